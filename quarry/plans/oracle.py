@@ -52,3 +52,115 @@ SELECT topic_a, topic_b,
        cnt, ya, yb, round(chi, 4) AS chisquare
 FROM c WHERE chi > 3.84
 """
+
+
+# ------------------------------------------------------------------ trips
+def _zone_edges_sql() -> str:
+    from quarry.plans.roles import ZONES
+    rows = []
+    for code, name, ring in ZONES:
+        pts = list(ring) + [ring[0]]
+        for (x1, y1), (x2, y2) in zip(pts[:-1], pts[1:]):
+            rows.append(f"({code}, '{name}', {float(x1)}, {float(y1)}, {float(x2)}, {float(y2)})")
+    return "zone_edges(zone_code, zone, x1, y1, x2, y2) AS (VALUES " + ", ".join(rows) + ")"
+
+
+_TRIPS = """
+ev AS (SELECT event_id, user_id, event_type, value, ts,
+              CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events),
+parsed AS (
+  SELECT event_id AS trip_id, CAST(user_id AS VARCHAR) AS license,
+         CASE WHEN event_type = 'error' THEN TIMESTAMP '1970-01-01 00:00:00'
+              ELSE date_trunc('second', ts) END AS pickup_datetime,
+         CASE WHEN event_type = 'error' THEN TIMESTAMP '1970-01-01 00:00:00'
+              ELSE date_trunc('second', ts + to_microseconds(CAST(round(value * 60000000.0) AS BIGINT))) END
+              AS dropoff_datetime,
+         CASE WHEN event_type = 'view' AND value < 20 THEN 0.0 ELSE CAST(event_id % 100 AS DOUBLE) END AS pickup_x,
+         CASE WHEN event_type = 'view' AND value < 20 THEN 0.0 ELSE CAST(k AS DOUBLE) END AS pickup_y,
+         CASE WHEN event_type = 'view' AND value < 20 THEN 0.0 ELSE CAST(k AS DOUBLE) END AS dropoff_x,
+         CASE WHEN event_type = 'view' AND value < 20 THEN 0.0 ELSE CAST(event_id % 100 AS DOUBLE) END AS dropoff_y,
+         (event_type = 'error' OR (event_type = 'view' AND value < 20)) AS parsefailed
+  FROM ev),
+clean AS (
+  SELECT *, (epoch_us(dropoff_datetime) - epoch_us(pickup_datetime)) / 60000000.0 AS duration_mins,
+            (epoch_us(dropoff_datetime) - epoch_us(pickup_datetime)) / 60000000.0 / 60.0 AS duration_hours
+  FROM parsed WHERE NOT parsefailed),
+clean2 AS (SELECT * FROM clean WHERE duration_mins > 1 AND duration_hours < 3),
+"""
+
+_ZONED = """
+areas AS (SELECT zone_code, zone, abs(sum(x1 * y2 - x2 * y1)) / 2.0 AS area FROM zone_edges GROUP BY 1, 2),
+hits AS (
+  SELECT c.trip_id, e.zone_code, e.zone
+  FROM clean2 c JOIN zone_edges e
+    ON ((e.y1 > c.dropoff_y) <> (e.y2 > c.dropoff_y))
+   AND c.dropoff_x < e.x1 + (c.dropoff_y - e.y1) * (e.x2 - e.x1) / nullif(e.y2 - e.y1, 0)
+  GROUP BY 1, 2, 3 HAVING count(*) % 2 = 1),
+ranked AS (
+  SELECT h.trip_id, h.zone, row_number() OVER (PARTITION BY h.trip_id
+         ORDER BY h.zone_code, a.area DESC, h.zone) AS rn
+  FROM hits h JOIN areas a USING (zone_code, zone)),
+zoned AS (
+  SELECT c.*, coalesce(r.zone, 'NA') AS zone
+  FROM clean2 c LEFT JOIN ranked r ON r.trip_id = c.trip_id AND r.rn = 1),
+done AS (
+  SELECT * FROM zoned WHERE zone <> 'NA'
+   AND NOT (pickup_x = 0 AND pickup_y = 0) AND NOT (dropoff_x = 0 AND dropoff_y = 0)),
+nxt AS (
+  SELECT *, lead(pickup_datetime) OVER (PARTITION BY license ORDER BY pickup_datetime, trip_id) AS next_pickup
+  FROM done),
+gaps AS (
+  SELECT *, (epoch_us(next_pickup) - epoch_us(dropoff_datetime)) / 60000000.0 AS gap_mins
+  FROM nxt WHERE next_pickup IS NOT NULL)
+"""
+
+
+def _trips_with(body: str, zoned: bool = False) -> str:
+    head = "WITH " + _TRIPS
+    if zoned:
+        head += _zone_edges_sql() + ",\n" + _ZONED
+    else:
+        head = head.rstrip().rstrip(",")
+    return head + "\n" + body
+
+
+ORACLE["parse_good_bad"] = _trips_with("""
+SELECT trip_id, license, pickup_datetime, dropoff_datetime, pickup_x, pickup_y, dropoff_x, dropoff_y,
+       parsefailed FROM parsed""")
+
+ORACLE["clean_durations"] = _trips_with("""
+SELECT trip_id, license, round(duration_mins, 4) AS duration_mins, round(duration_hours, 4) AS duration_hours
+FROM clean2""")
+
+ORACLE["zone_lookup"] = _trips_with("SELECT trip_id, zone FROM zoned", zoned=True)
+
+ORACLE["zone_counts"] = _trips_with(
+    "SELECT zone, count(*) AS cnt FROM zoned WHERE zone <> 'NA' GROUP BY zone", zoned=True)
+
+ORACLE["idle_within_shift"] = _trips_with("""
+SELECT trip_id, license, zone, round(gap_mins, 4) AS gap_mins FROM gaps
+WHERE gap_mins >= 0 AND gap_mins < 240""", zoned=True)
+
+ORACLE["idle_between_shifts"] = _trips_with("""
+SELECT trip_id, license, zone, round(gap_mins, 4) AS gap_mins FROM gaps
+WHERE gap_mins >= 240""", zoned=True)
+
+ORACLE["trip_sessions"] = _trips_with("""
+, brk AS (
+  SELECT trip_id, license, pickup_datetime,
+         CASE WHEN (epoch_us(pickup_datetime) - epoch_us(lag(dropoff_datetime) OVER w)) / 3600000000.0 >= 4
+              THEN 1 ELSE 0 END AS b
+  FROM done WINDOW w AS (PARTITION BY license ORDER BY pickup_datetime, trip_id))
+SELECT trip_id, license,
+       CAST(sum(b) OVER (PARTITION BY license ORDER BY pickup_datetime, trip_id
+                         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS session
+FROM brk""".lstrip(), zoned=True)
+
+ORACLE["sliding_tuples"] = _trips_with("""
+, w AS (
+  SELECT license, trip_id AS first_id,
+         list(trip_id) OVER (PARTITION BY license ORDER BY pickup_datetime, trip_id
+                             ROWS BETWEEN CURRENT ROW AND 2 FOLLOWING) AS ids
+  FROM done)
+SELECT license, first_id, array_to_string(ids, ',') AS window_ids FROM w WHERE len(ids) = 3""".lstrip(),
+    zoned=True)

@@ -24,3 +24,94 @@ def basket_items(spark: SparkSession, d: str) -> DataFrame:
 def basket_total(spark: SparkSession, d: str):
     """Number of citations (orders, with or without lines) as a scalar subquery."""
     return table(spark, d, "orders", "o_orderkey").select(F.count(F.lit(1))).scalar()
+
+
+# ----------------------------------------------------------------- trips
+
+TRIP_COLUMNS = ("trip_id", "license", "vendor_id", "pickup_datetime", "dropoff_datetime",
+                "pickup_longitude", "pickup_latitude", "dropoff_longitude", "dropoff_latitude")
+
+
+def trip_records(spark: SparkSession, d: str) -> DataFrame:
+    """Trip CSV records (all strings) derived from events: license = user,
+    pickup = ts, drop-off = ts + value minutes, points from (event_id % 100, k).
+    'error' events carry an unparsable pickup time and short 'view' events a
+    non-numeric longitude, so both failure paths are exercised."""
+    ev = table(spark, d, "events", "event_id", "ts", "user_id", "event_type", "value", "props")
+    k = F.get_json_object("props", "$.k").cast("int")
+    cell = F.pmod(F.col("event_id"), F.lit(100))
+    drop_ts = F.timestamp_add("MICROSECOND", F.round(F.col("value") * 60_000_000.0).cast("long"),
+                              F.col("ts"))
+    fmt = "yyyy-MM-dd HH:mm:ss"
+    return ev.select(
+        F.col("event_id").cast("string").alias("trip_id"),
+        F.col("user_id").cast("string").alias("license"),
+        F.col("event_type").alias("vendor_id"),
+        F.when(F.col("event_type") == "error", F.lit("not a time"))
+         .otherwise(F.date_format("ts", fmt)).alias("pickup_datetime"),
+        F.date_format(drop_ts, fmt).alias("dropoff_datetime"),
+        F.when((F.col("event_type") == "view") & (F.col("value") < 20), F.lit("n/a"))
+         .otherwise(cell.cast("string")).alias("pickup_longitude"),
+        k.cast("string").alias("pickup_latitude"),
+        k.cast("string").alias("dropoff_longitude"),
+        cell.cast("string").alias("dropoff_latitude"))
+
+
+def trip_csv(spark: SparkSession, d: str) -> str:
+    """Write the trip records as headed CSV to the shared folder; return the path."""
+    from quarry.session import shared_dir
+    from quarry.sources.files import write_csv
+    return write_csv(trip_records(spark, d), shared_dir(spark, "trips"))
+
+
+def read_trip_csv(spark: SparkSession, path: str) -> DataFrame:
+    from quarry.sources.files import read_csv, string_schema
+    return read_csv(spark, path, string_schema(*TRIP_COLUMNS), header=True)
+
+
+# Literal zones in the 0-100 plane (code, name, closed ring).
+# Zones 2 and 4 overlap; code 5 has two polygons of different area.
+ZONES = [
+    (1, "North", [(0, 0), (40, 0), (40, 50), (0, 50), (0, 0)]),
+    (2, "East", [(40, 0), (100, 0), (100, 30), (70, 45), (40, 30), (40, 0)]),
+    (3, "South", [(0, 50), (60, 50), (0, 100), (0, 50)]),
+    (4, "West", [(60, 40), (100, 40), (100, 100), (50, 100), (60, 40)]),
+    (5, "Island", [(20, 80), (45, 80), (45, 95), (20, 95), (20, 80)]),
+    (5, "Islet", [(30, 85), (35, 85), (35, 90), (30, 90), (30, 85)]),
+]
+
+
+def zones_geojson_text() -> str:
+    import json
+    feats = [{"type": "Feature",
+              "properties": {"boroughCode": str(code), "borough": name},
+              "geometry": {"type": "Polygon", "coordinates": [[[float(x), float(y)] for x, y in ring]]}}
+             for code, name, ring in ZONES]
+    return json.dumps({"type": "FeatureCollection", "features": feats}, indent=1)
+
+
+def zones(spark: SparkSession) -> DataFrame:
+    """Zones from a GeoJSON FeatureCollection written to the shared folder and
+    read back (multi-line JSON, one row per feature)."""
+    from pyspark.sql import types as T
+    from quarry.session import shared_dir
+    from quarry.sources.files import read_json
+    path = shared_dir(spark, "zones")
+    spark.createDataFrame([(zones_geojson_text(),)], "value string") \
+        .coalesce(1).write.mode("overwrite").text(path)
+    geom = T.StructType([T.StructField("type", T.StringType()),
+                         T.StructField("coordinates", T.ArrayType(T.ArrayType(T.ArrayType(T.DoubleType()))))])
+    props = T.StructType([T.StructField("boroughCode", T.StringType()),
+                          T.StructField("borough", T.StringType())])
+    feat = T.StructType([T.StructField("type", T.StringType()),
+                         T.StructField("properties", props),
+                         T.StructField("geometry", geom)])
+    schema = T.StructType([T.StructField("type", T.StringType()),
+                           T.StructField("features", T.ArrayType(feat))])
+    fc = read_json(spark, path, schema, multiline=True)
+    f = fc.select(F.explode("features").alias("f"))
+    return f.select(
+        F.col("f.properties.boroughCode").cast("int").alias("zone_code"),
+        F.col("f.properties.borough").alias("zone"),
+        F.transform(F.col("f.geometry.coordinates")[0],
+                    lambda p: F.struct(p[0].alias("x"), p[1].alias("y"))).alias("ring"))
