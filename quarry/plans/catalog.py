@@ -11,8 +11,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.operators import cooccur, trips
+from quarry.operators import cooccur, linkage, trips
 from quarry.plans import roles
+from quarry.session import shared_dir
+from quarry.sources import files
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -135,3 +137,45 @@ def sliding_tuples(spark, d):
     s = trips.sliding_tuples(_trips_done(spark, d), 3)
     return s.select("license", "first_id",
                     F.concat_ws(",", F.transform("window_ids", lambda x: x.cast("string"))).alias("window_ids"))
+
+
+# ---------------------------------------------------------------- 3 linkage
+
+def _link_counts(spark, d):
+    return linkage.pair_field_counts(roles.linkage_records(spark, d), "block", "segment", roles.LINK_FIELDS)
+
+
+@query("header_and_bad_rows")
+def header_and_bad_rows(spark, d):
+    """Text scan of a CSV whose header is a quoted line inside the data."""
+    path = files.write_lines(roles.linkage_lines(spark, d), shared_dir(spark, "linkage"))
+    lines = files.drop_header_lines(files.read_lines(spark, path))
+    a = F.split(F.col("value"), ",")
+    return lines.select(a[0].try_cast("long").alias("id"), a[1].try_cast("int").alias("block"),
+                        a[2].try_cast("double").alias("f_band"),
+                        F.when(a[3] != "?", a[3]).alias("f_tail"),
+                        a[4].try_cast("int").alias("f_cents"), a[5].alias("segment"))
+
+
+@query("match_counts")
+def match_counts(spark, d):
+    return linkage.match_counts(_link_counts(spark, d))
+
+
+@query("missing_stats")
+def missing_stats(spark, d):
+    s = linkage.missing_stats(_link_counts(spark, d))
+    return s.select("matched", "field", "cnt", "missing", *[r4(c).alias(c) for c in ("mean", "stdev", "min", "max")])
+
+
+@query("match_weights")
+def match_weights(spark, d):
+    """u comes from a frequencies CSV (header + one row) written and read back,
+    its header linked to its values by unpivot."""
+    fields = roles.LINK_FIELDS
+    freq = linkage.value_frequencies(roles.linkage_records(spark, d), fields)
+    path = files.write_csv(freq.coalesce(1), shared_dir(spark, "freq"))
+    wide = files.read_csv(spark, path, files.double_schema(*fields), header=True)
+    u_long = wide.unpivot([], fields, "field", "u")
+    w = linkage.match_weights(_link_counts(spark, d), u_long)
+    return w.select("field", *[r4(c).alias(c) for c in w.columns if c != "field"])

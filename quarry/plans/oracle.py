@@ -164,3 +164,70 @@ ORACLE["sliding_tuples"] = _trips_with("""
   FROM done)
 SELECT license, first_id, array_to_string(ids, ',') AS window_ids FROM w WHERE len(ids) = 3""".lstrip(),
     zoned=True)
+
+
+# ---------------------------------------------------------------- linkage
+_LINK = """
+r AS (
+  SELECT c_custkey AS id, c_nationkey AS block, c_mktsegment AS segment,
+         CASE WHEN c_acctbal >= 0 THEN floor(c_acctbal / 1000.0) END AS f_band,
+         right(c_name, 1) AS f_tail,
+         CASE WHEN c_acctbal >= 0 THEN CAST(round(c_acctbal * 100.0) AS BIGINT) % 10 END AS f_cents
+  FROM customer),
+pairs AS (
+  SELECT a.segment = b.segment AS matched,
+         a.f_band AS a1, b.f_band AS b1, a.f_tail AS a2, b.f_tail AS b2, a.f_cents AS a3, b.f_cents AS b3
+  FROM r a JOIN r b ON a.block = b.block AND a.id < b.id),
+scores AS (
+  SELECT matched, 'f_band' AS field,
+         CASE WHEN a1 IS NULL OR b1 IS NULL THEN NULL WHEN a1 = b1 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS s
+  FROM pairs
+  UNION ALL
+  SELECT matched, 'f_tail',
+         CASE WHEN a2 IS NULL OR b2 IS NULL THEN NULL WHEN a2 = b2 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END FROM pairs
+  UNION ALL
+  SELECT matched, 'f_cents',
+         CASE WHEN a3 IS NULL OR b3 IS NULL THEN NULL WHEN a3 = b3 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END FROM pairs),
+vals AS (
+  SELECT 'f_band' AS field, CAST(f_band AS VARCHAR) AS value FROM r
+  UNION ALL SELECT 'f_tail', f_tail FROM r
+  UNION ALL SELECT 'f_cents', CAST(f_cents AS VARCHAR) FROM r)
+"""
+
+ORACLE["header_and_bad_rows"] = """
+SELECT c_custkey AS id, c_nationkey AS block,
+       CASE WHEN c_acctbal >= 0 THEN floor(c_acctbal / 1000.0) END AS f_band,
+       right(c_name, 1) AS f_tail,
+       CAST(CASE WHEN c_acctbal >= 0 THEN CAST(round(c_acctbal * 100.0) AS BIGINT) % 10 END AS INTEGER) AS f_cents,
+       c_mktsegment AS segment
+FROM customer
+"""
+
+ORACLE["match_counts"] = f"""
+WITH {_LINK}
+SELECT matched, count(*) AS cnt FROM pairs GROUP BY matched
+"""
+
+ORACLE["missing_stats"] = f"""
+WITH {_LINK}
+SELECT matched, field, count(s) AS cnt, count(*) - count(s) AS missing,
+       round(avg(s), 4) AS mean, round(stddev_pop(s), 4) AS stdev,
+       round(min(s), 4) AS min, round(max(s), 4) AS max
+FROM scores GROUP BY matched, field
+"""
+
+ORACLE["match_weights"] = f"""
+WITH {_LINK},
+m AS (SELECT field, avg(CASE WHEN s = 1 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) AS m
+      FROM scores WHERE matched GROUP BY field),
+p AS (SELECT field, value, count(*) / (SELECT count(*) FROM customer)::DOUBLE AS p
+      FROM vals WHERE value IS NOT NULL GROUP BY field, value),
+u AS (SELECT field, sum(p * p) AS u FROM p GROUP BY field),
+x AS (SELECT field, m, u, (m > 0 AND m < 1 AND u > 0 AND u < 1) AS ok FROM m JOIN u USING (field))
+SELECT field, round(m, 4) AS m, round(u, 4) AS u,
+       round(CASE WHEN ok THEN m / u END, 4) AS match_ratio,
+       round(CASE WHEN ok THEN log2(m / u) END, 4) AS match_weight,
+       round(CASE WHEN ok THEN (1 - m) / (1 - u) END, 4) AS nonmatch_ratio,
+       round(CASE WHEN ok THEN log2((1 - m) / (1 - u)) END, 4) AS nonmatch_weight
+FROM x
+"""

@@ -115,3 +115,34 @@ def zones(spark: SparkSession) -> DataFrame:
         F.col("f.properties.borough").alias("zone"),
         F.transform(F.col("f.geometry.coordinates")[0],
                     lambda p: F.struct(p[0].alias("x"), p[1].alias("y"))).alias("ring"))
+
+
+# --------------------------------------------------------------- linkage
+
+LINK_FIELDS = ["f_band", "f_tail", "f_cents"]
+
+
+def linkage_records(spark: SparkSession, d: str) -> DataFrame:
+    """Customers as linkage records: block = nation, label = segment, three
+    compared fields; a negative balance makes f_band and f_cents missing."""
+    c = table(spark, d, "customer", "c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
+    ok = F.col("c_acctbal") >= 0
+    return c.select(
+        F.col("c_custkey").alias("id"), F.col("c_nationkey").alias("block"),
+        F.col("c_mktsegment").alias("segment"),
+        F.when(ok, F.floor(F.col("c_acctbal") / 1000.0)).alias("f_band"),
+        F.substring("c_name", -1, 1).alias("f_tail"),
+        F.when(ok, F.pmod(F.round(F.col("c_acctbal") * 100.0).cast("long"), F.lit(10))).alias("f_cents"))
+
+
+LINK_HEADER = '"id","block","f_band","f_tail","f_cents","segment"'
+
+
+def linkage_lines(spark: SparkSession, d: str) -> DataFrame:
+    """The records as CSV text with a quoted header line and '?' for missing."""
+    r = linkage_records(spark, d)
+    cells = [F.coalesce(F.col(c).cast("string"), F.lit("?"))
+             for c in ("id", "block", "f_band", "f_tail", "f_cents", "segment")]
+    body = r.select(F.concat_ws(",", *cells).alias("value"))
+    head = spark.createDataFrame([(LINK_HEADER,)], "value string")
+    return head.unionByName(body)

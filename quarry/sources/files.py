@@ -18,6 +18,10 @@ def string_schema(*names: str) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType(), True) for n in names])
 
 
+def double_schema(*names: str) -> T.StructType:
+    return T.StructType([T.StructField(n, T.DoubleType(), True) for n in names])
+
+
 def write_csv(df: DataFrame, path: str, header: bool = True, sep: str = ",",
               compression: str | None = None) -> str:
     w = df.write.mode("overwrite").option("header", header).option("sep", sep)
