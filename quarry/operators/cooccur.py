@@ -101,3 +101,11 @@ def hash_collision_check(items: DataFrame, item: str = "topic") -> DataFrame:
     """count(distinct topic) vs count(distinct id): equal when md5[:8] has no collision."""
     return items.agg(F.count_distinct(item).alias("unique_topics"),
                      F.count_distinct(hash8(item)).alias("unique_hashids"))
+
+
+def major_topics(citations: DataFrame, id_col: str = "PMID") -> DataFrame:
+    """(id, topic) for every DescriptorName marked MajorTopicYN = 'Y'."""
+    heads = F.filter(F.col("MeshHeadingList.MeshHeading"),
+                     lambda h: h["DescriptorName"]["_MajorTopicYN"] == "Y")
+    names = F.transform(heads, lambda h: h["DescriptorName"]["_VALUE"])
+    return citations.select(F.col(id_col).alias("basket"), F.explode(names).alias("topic"))

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.operators import cooccur, linkage, trips
+from quarry.operators import cooccur, linkage, risk, trips
 from quarry.plans import roles
 from quarry.session import shared_dir
 from quarry.sources import files
@@ -179,3 +179,113 @@ def match_weights(spark, d):
     u_long = wide.unpivot([], fields, "field", "u")
     w = linkage.match_weights(_link_counts(spark, d), u_long)
     return w.select("field", *[r4(c).alias(c) for c in w.columns if c != "field"])
+
+
+@query("xml_topics")
+def xml_topics(spark, d):
+    """Citations written as gzip XML, read back one row per child of the root,
+    major topics picked by attribute."""
+    path = roles.citation_xml(spark, d)
+    cit = files.read_xml(spark, path, "MedlineCitation", roles.citation_schema())
+    return cooccur.major_topics(cit)
+
+
+# ------------------------------------------------------------------- 5/6 risk
+
+def _filled(spark, d, factors=False):
+    q = roles.factor_quotes(spark, d) if factors else roles.stock_quotes(spark, d)
+    return risk.fill_calendar(q, roles.RISK_START, roles.RISK_END)
+
+
+def _returns(spark, d, factors=False):
+    return risk.horizon_returns(_filled(spark, d, factors), 10)
+
+
+@query("bday_fill")
+def bday_fill(spark, d):
+    return _filled(spark, d).select("instrument", "date", r4("price").alias("price"))
+
+
+@query("horizon_returns")
+def horizon_returns(spark, d):
+    return _returns(spark, d).select("instrument", "date", F.round("ret", 8).alias("ret"))
+
+
+@query("factor_matrix")
+def factor_matrix(spark, d):
+    fr = _returns(spark, d, True).withColumn("ret", F.round("ret", 8))
+    return risk.factor_matrix(fr)
+
+
+@query("factor_cov")
+def factor_cov(spark, d):
+    c = risk.factor_cov(_returns(spark, d, True))
+    return c.select("factor_a", "factor_b", F.round("cov", 10).alias("cov"))
+
+
+@query("factor_features")
+def factor_features(spark, d):
+    f = risk.factor_features(_returns(spark, d, True))
+    return f.select("date", F.posexplode("features").alias("idx", "value")) \
+        .select("date", "idx", F.round("value", 8).alias("value"))
+
+
+@query("factor_beta")
+def factor_beta(spark, d):
+    b = risk.factor_beta(_returns(spark, d), _returns(spark, d, True))
+    return b.select("instrument", "factor", F.round("beta", 6).alias("beta"), F.round("alpha", 6).alias("alpha"))
+
+
+@query("instrument_ols")
+def instrument_ols(spark, d):
+    feats = risk.factor_features(_returns(spark, d, True))
+    return risk.instrument_ols(_returns(spark, d), feats)
+
+
+def _scenarios(spark, d):
+    fr = _returns(spark, d, True)
+    names, means, chol = risk.cholesky_params(risk.factor_cov(fr), risk.factor_means(fr))
+    ols = risk.instrument_ols(_returns(spark, d), risk.factor_features(fr))
+    w = ols.groupBy("idx").agg(F.avg("coef").alias("w")).orderBy("idx").collect()
+    if len(w) != 3 * len(names):
+        raise ValueError("weights do not match the factor features")
+    return risk.scenario_returns(roles.trials(spark, d), means, chol, [r["w"] for r in w])
+
+
+@query("scenario_returns")
+def scenario_returns(spark, d):
+    return _scenarios(spark, d)
+
+
+@query("scenario_var")
+def scenario_var(spark, d):
+    return risk.var_cvar(_scenarios(spark, d))
+
+
+@query("var_cvar")
+def var_cvar(spark, d):
+    """Historical 5 % VaR / CVaR of the pooled 10-day returns."""
+    v = risk.var_cvar(_returns(spark, d))
+    return v.select(F.round("var", 8).alias("var"), F.round("cvar", 8).alias("cvar"))
+
+
+def _hist_keyed(spark, d):
+    r = _returns(spark, d)
+    return r.select(F.concat_ws("|", "instrument", F.col("date").cast("string")).alias("key"), "ret")
+
+
+@query("bootstrap_ci")
+def bootstrap_ci(spark, d):
+    b = risk.bootstrap_var_cvar(_hist_keyed(spark, d), replicates=100, seed=7, key="key")
+    lo_hi_v = risk.confidence_interval(b, "var", 0.05)
+    lo_hi_c = risk.confidence_interval(b.withColumnRenamed("var", "_v").withColumnRenamed("cvar", "var"),
+                                       "var", 0.05)
+    out = lo_hi_v.select(F.lit("var").alias("stat"), "lower", "upper").unionByName(
+        lo_hi_c.select(F.lit("cvar").alias("stat"), "lower", "upper"))
+    return out.select("stat", F.round("lower", 8).alias("lower"), F.round("upper", 8).alias("upper"))
+
+
+@query("return_kde")
+def return_kde(spark, d):
+    k = risk.kde(_returns(spark, d), "ret", 100, 1.0)
+    return k.select("i", F.round("x", 8).alias("x"), F.round("density", 8).alias("density"))

@@ -231,3 +231,107 @@ SELECT field, round(m, 4) AS m, round(u, 4) AS u,
        round(CASE WHEN ok THEN log2((1 - m) / (1 - u)) END, 4) AS nonmatch_weight
 FROM x
 """
+
+ORACLE["xml_topics"] = """
+SELECT l.l_orderkey AS basket, p.p_name AS topic
+FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey WHERE l.l_quantity >= 25
+"""
+
+
+# ------------------------------------------------------------------- risk
+def _series(name: str, src: str) -> str:
+    return f"""
+{name}_q AS (SELECT * FROM ({src}) s
+             WHERE date >= DATE '1995-06-03' AND date <= DATE '2001-06-01'),
+{name}_first AS (SELECT instrument, arg_min(price, date) AS first_price FROM {name}_q GROUP BY 1),
+{name}_cal AS (SELECT f.instrument, f.first_price, CAST(t.d AS DATE) AS date
+               FROM {name}_first f,
+                    generate_series(TIMESTAMP '1995-06-03', TIMESTAMP '2001-05-31', INTERVAL 1 DAY) t(d)
+               WHERE isodow(t.d) <= 5),
+{name}_filled AS (SELECT c.instrument, c.date, coalesce(q.price, c.first_price) AS price
+                  FROM {name}_cal c ASOF LEFT JOIN {name}_q q
+                  ON c.instrument = q.instrument AND c.date >= q.date),
+{name}_ret AS (SELECT instrument, date,
+                      CASE WHEN price = 0 THEN 0.0 ELSE (l - price) / price END AS ret
+               FROM (SELECT *, lead(price, 9) OVER (PARTITION BY instrument ORDER BY date) AS l
+                     FROM {name}_filled) x WHERE l IS NOT NULL)"""
+
+
+_STOCK_SRC = """SELECT o_orderpriority AS instrument, CAST(o_orderdate AS DATE) AS date,
+                       avg(o_totalprice) AS price FROM orders GROUP BY 1, 2"""
+_FACTOR_SRC = """SELECT c_mktsegment AS instrument, CAST(o_orderdate AS DATE) AS date,
+                        avg(o_totalprice) AS price
+                 FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2"""
+_RISK = "WITH " + _series("s", _STOCK_SRC) + "," + _series("f", _FACTOR_SRC)
+
+ORACLE["bday_fill"] = _RISK + """
+SELECT instrument, date, round(price, 4) AS price FROM s_filled"""
+
+ORACLE["horizon_returns"] = _RISK + """
+SELECT instrument, date, round(ret, 8) AS ret FROM s_ret"""
+
+ORACLE["factor_matrix"] = _RISK + """,
+fr AS (SELECT date, instrument, round(ret, 8) AS ret FROM f_ret)
+PIVOT fr ON instrument USING first(ret) GROUP BY date"""
+
+ORACLE["factor_cov"] = _RISK + """
+SELECT a.instrument AS factor_a, b.instrument AS factor_b, round(covar_samp(a.ret, b.ret), 10) AS cov
+FROM f_ret a JOIN f_ret b USING (date) GROUP BY 1, 2"""
+
+ORACLE["factor_features"] = _RISK + """,
+nf AS (SELECT count(DISTINCT instrument) AS n FROM f_ret),
+full_dates AS (SELECT date FROM f_ret GROUP BY date HAVING count(*) = (SELECT n FROM nf)),
+ranked AS (SELECT f.date, f.ret,
+                  row_number() OVER (PARTITION BY f.date ORDER BY f.instrument) - 1 AS j
+           FROM f_ret f JOIN full_dates USING (date))
+SELECT date, CAST(j AS INTEGER) AS idx, round(sign(ret) * ret * ret, 8) AS value FROM ranked
+UNION ALL
+SELECT date, CAST(j + (SELECT n FROM nf) AS INTEGER), round(sign(ret) * sqrt(abs(ret)), 8) FROM ranked
+UNION ALL
+SELECT date, CAST(j + 2 * (SELECT n FROM nf) AS INTEGER), round(ret, 8) FROM ranked"""
+
+ORACLE["factor_beta"] = _RISK + """
+SELECT s.instrument, f.instrument AS factor,
+       round(regr_slope(s.ret, f.ret), 6) AS beta, round(regr_intercept(s.ret, f.ret), 6) AS alpha
+FROM s_ret s JOIN f_ret f USING (date) GROUP BY 1, 2"""
+
+ORACLE["var_cvar"] = _RISK + """,
+r AS (SELECT ret, row_number() OVER (ORDER BY ret) AS rn FROM s_ret),
+k AS (SELECT greatest(floor(count(*) / 20.0), 1) AS k FROM s_ret)
+SELECT round(max(ret) FILTER (WHERE rn = k), 8) AS var, round(avg(ret) FILTER (WHERE rn <= k), 8) AS cvar
+FROM r, k"""
+
+
+def _poisson_sql(u: str) -> str:
+    from quarry.operators.risk import POISSON1_CDF
+    arms = " ".join(f"WHEN {u} <= {c!r} THEN {j}" for j, c in enumerate(POISSON1_CDF))
+    return f"CASE {arms} ELSE 8 END"
+
+
+ORACLE["bootstrap_ci"] = _RISK + f""",
+hk AS (SELECT instrument || '|' || CAST(date AS VARCHAR) AS key, ret FROM s_ret),
+b AS (SELECT g, ret,
+             (CAST('0x' || substr(md5(key || '|' || CAST(g AS VARCHAR) || '|7'), 1, 8) AS BIGINT) + 0.5)
+               / 4294967296.0 AS u
+      FROM hk, range(100) t(g)),
+bw AS (SELECT g, ret, {_poisson_sql('u')} AS w FROM b),
+bw2 AS (SELECT * FROM bw WHERE w > 0),
+kk AS (SELECT g, greatest(floor(sum(w) / 20.0), 1) AS k FROM bw2 GROUP BY g),
+cum AS (SELECT g, ret, w, sum(w) OVER (PARTITION BY g ORDER BY ret ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+               - w AS before FROM bw2),
+st AS (SELECT c.g, min(c.ret) FILTER (WHERE c.before + c.w >= k.k) AS var,
+              sum(c.ret * least(c.w, k.k - c.before)) FILTER (WHERE c.before < k.k) / k.k AS cvar
+       FROM cum c JOIN kk k USING (g) GROUP BY c.g, k.k),
+rv AS (SELECT var AS v, row_number() OVER (ORDER BY var, g) - 1 AS i FROM st),
+rc AS (SELECT cvar AS v, row_number() OVER (ORDER BY cvar, g) - 1 AS i FROM st)
+SELECT 'var' AS stat, round(max(v) FILTER (WHERE i = 1), 8) AS lower, round(max(v) FILTER (WHERE i = 98), 8) AS upper
+FROM rv
+UNION ALL
+SELECT 'cvar', round(max(v) FILTER (WHERE i = 1), 8), round(max(v) FILTER (WHERE i = 98), 8) FROM rc"""
+
+ORACLE["return_kde"] = _RISK + """,
+mm AS (SELECT min(ret) AS lo, max(ret) AS hi FROM s_ret),
+g AS (SELECT CAST(i AS INTEGER) AS i, lo + i * (hi - lo) / 100.0 AS x FROM mm, range(100) t(i))
+SELECT g.i, round(g.x, 8) AS x,
+       round(avg(exp(-0.5 * (g.x - s.ret) * (g.x - s.ret)) / sqrt(2 * pi())), 8) AS density
+FROM g, s_ret s GROUP BY g.i, g.x"""

@@ -146,3 +146,63 @@ def linkage_lines(spark: SparkSession, d: str) -> DataFrame:
     body = r.select(F.concat_ws(",", *cells).alias("value"))
     head = spark.createDataFrame([(LINK_HEADER,)], "value string")
     return head.unionByName(body)
+
+
+# ------------------------------------------------------------ citations XML
+
+def citation_records(spark: SparkSession, d: str) -> DataFrame:
+    """One citation element per order line: PMID = order, one MeshHeading whose
+    DescriptorName is the part name; it is a major topic when quantity >= 25."""
+    li = table(spark, d, "lineitem", "l_orderkey", "l_partkey", "l_quantity")
+    pt = table(spark, d, "part", "p_partkey", "p_name")
+    x = li.join(pt, li.l_partkey == pt.p_partkey)
+    name = F.struct(F.col("p_name").alias("_VALUE"),
+                    F.when(F.col("l_quantity") >= 25, "Y").otherwise("N").alias("_MajorTopicYN"))
+    heading = F.struct(name.alias("DescriptorName"))
+    return x.select(F.col("l_orderkey").alias("PMID"),
+                    F.struct(F.array(heading).alias("MeshHeading")).alias("MeshHeadingList"))
+
+
+def citation_schema():
+    from pyspark.sql import types as T
+    name = T.StructType([T.StructField("_VALUE", T.StringType()),
+                         T.StructField("_MajorTopicYN", T.StringType())])
+    heading = T.StructType([T.StructField("DescriptorName", name)])
+    hlist = T.StructType([T.StructField("MeshHeading", T.ArrayType(heading))])
+    return T.StructType([T.StructField("PMID", T.LongType()),
+                         T.StructField("MeshHeadingList", hlist)])
+
+
+def citation_xml(spark: SparkSession, d: str) -> str:
+    """Write the citations as gzip XML (root MedlineCitationSet) to the shared folder."""
+    from quarry.session import shared_dir
+    from quarry.sources.files import write_xml
+    return write_xml(citation_records(spark, d), shared_dir(spark, "citations"),
+                     "MedlineCitation", "MedlineCitationSet", compression="gzip")
+
+
+# ------------------------------------------------------------------- risk
+
+# The analysis window (start is a Saturday).
+RISK_START, RISK_END = "1995-06-03", "2001-06-01"
+
+
+def stock_quotes(spark: SparkSession, d: str) -> DataFrame:
+    """Instrument = order priority; price = daily mean order total."""
+    from quarry.operators.risk import daily_quotes
+    o = table(spark, d, "orders", "o_orderpriority", "o_orderdate", "o_totalprice")
+    return daily_quotes(o, "o_orderpriority", "o_orderdate", "o_totalprice")
+
+
+def factor_quotes(spark: SparkSession, d: str) -> DataFrame:
+    """Factor = customer segment; price = daily mean order total."""
+    from quarry.operators.risk import daily_quotes
+    o = table(spark, d, "orders", "o_custkey", "o_orderdate", "o_totalprice")
+    c = table(spark, d, "customer", "c_custkey", "c_mktsegment")
+    x = o.join(c, o.o_custkey == c.c_custkey)
+    return daily_quotes(x, "c_mktsegment", "o_orderdate", "o_totalprice")
+
+
+def trials(spark: SparkSession, d: str) -> DataFrame:
+    """One Monte Carlo trial per order: the trial count grows with the data."""
+    return table(spark, d, "orders", "o_orderkey").select(F.col("o_orderkey").alias("trial"))
