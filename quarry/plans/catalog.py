@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.operators import cooccur, linkage, risk, trips
+from quarry.operators import cooccur, linkage, recommend, risk, trips
 from quarry.plans import roles
 from quarry.session import shared_dir
 from quarry.sources import files
@@ -289,3 +289,112 @@ def bootstrap_ci(spark, d):
 def return_kde(spark, d):
     k = risk.kde(_returns(spark, d), "ret", 100, 1.0)
     return k.select("i", F.round("x", 8).alias("x"), F.round("density", 8).alias("density"))
+
+
+# -------------------------------------------------------------- 7/8 recommend
+
+def _text(spark, lines, name):
+    return files.read_lines(spark, files.write_lines(lines, shared_dir(spark, name)))
+
+
+def _ratings(spark, d):
+    """Plays read back from space-separated text, alias file applied."""
+    from pyspark.sql import types as T
+    path = files.write_lines(roles.plays_lines(spark, d), shared_dir(spark, "plays"))
+    schema = T.StructType([T.StructField("user", T.LongType()), T.StructField("item", T.LongType()),
+                           T.StructField("count", T.LongType())])
+    raw = files.read_csv(spark, path, schema, header=False, sep=" ")
+    alias = recommend.parse_alias(_text(spark, roles.alias_lines(spark, d), "alias"))
+    return recommend.resolve_alias(raw, alias)
+
+
+def _fold(c_user="user", c_item="item"):
+    from quarry.functions.expr import hash_int
+    return F.pmod(hash_int(F.col(c_user), F.col(c_item), F.lit("fold")), F.lit(10)).cast("int")
+
+
+@query("artist_parse")
+def artist_parse(spark, d):
+    return recommend.parse_id_name(_text(spark, roles.artist_lines(spark, d), "artists"))
+
+
+@query("resolve_alias")
+def resolve_alias(spark, d):
+    return _ratings(spark, d)
+
+
+@query("popularity")
+def popularity(spark, d):
+    r = _ratings(spark, d)
+    return r.groupBy("item").agg(F.sum("count").alias("pop"))
+
+
+def _auc(spark, d, folds):
+    r = _ratings(spark, d).withColumn("fold_of", _fold())
+    if folds:
+        r = r.select("*", F.explode(F.sequence(F.lit(0), F.lit(9))).alias("fold"))
+        g = ("fold", "user")
+    else:
+        r = r.withColumn("fold", F.lit(0))
+        g = ("user",)
+    cv = r.where(F.col("fold_of") == F.col("fold"))
+    train = r.where(F.col("fold_of") != F.col("fold"))
+    neg = recommend.sample_negatives(cv, r.select("item"), seed=42, group=g)
+    if folds:
+        pop = train.groupBy("fold", "item").agg(F.sum("count").cast("double").alias("score"))
+        ps = cv.select(*g, "item").join(pop, ["fold", "item"], "left").na.fill(0.0, ["score"])
+        ns = neg.join(pop, ["fold", "item"], "left").na.fill(0.0, ["score"])
+    else:
+        ps = recommend.popularity_scorer(train, cv.select(*g, "item"))
+        ns = recommend.popularity_scorer(train, neg)
+    return recommend.auc_per_user(ps, ns, g)
+
+
+@query("user_auc")
+def user_auc(spark, d):
+    return _auc(spark, d, False).select("user", r4("auc").alias("auc"))
+
+
+@query("cv_auc")
+def cv_auc(spark, d):
+    a = _auc(spark, d, True)
+    return a.groupBy("fold").agg(F.round(F.avg("auc"), 6).alias("mean_auc"))
+
+
+@query("als_topn")
+def als_topn(spark, d):
+    """Implicit ALS (rank 10, 5 iterations, reg 0.01, alpha 1.0); top 5 per user."""
+    from pyspark.ml.recommendation import ALS
+    r = _ratings(spark, d)
+    als = ALS(rank=10, maxIter=5, regParam=0.01, alpha=1.0, implicitPrefs=True, seed=1,
+              userCol="user", itemCol="item", ratingCol="count", coldStartStrategy="drop")
+    model = als.fit(r.withColumn("count", F.col("count").cast("float")))
+    recs = model.recommendForAllUsers(5)
+    return recs.select("user", F.posexplode("recommendations").alias("rank", "rec")) \
+        .select("user", "rank", F.col("rec.item").alias("item"), F.col("rec.rating").alias("score"))
+
+
+@query("als_grid")
+def als_grid(spark, d):
+    """ALS grid rank {10, 50} x reg {1.0, 0.001} x alpha {1.0, 40.0}, each scored
+    by mean per-user AUC on a held-out fold with sampled negatives."""
+    from pyspark.ml.recommendation import ALS
+    r = _ratings(spark, d).withColumn("fold_of", _fold())
+    cv, train = r.where(F.col("fold_of") == 0), r.where(F.col("fold_of") != 0)
+    neg = recommend.sample_negatives(cv, r.select("item"), seed=42).checkpoint()
+    train = train.withColumn("count", F.col("count").cast("float")).checkpoint()
+    rows = []
+    for rank in (10, 50):
+        for reg in (1.0, 0.001):
+            for alpha in (1.0, 40.0):
+                m = ALS(rank=rank, maxIter=10, regParam=reg, alpha=alpha, implicitPrefs=True, seed=1,
+                        userCol="user", itemCol="item", ratingCol="count").fit(train)
+                ps = m.transform(cv.select("user", "item")).withColumnRenamed("prediction", "score")
+                ns = m.transform(neg).withColumnRenamed("prediction", "score")
+                auc = recommend.auc_per_user(ps.na.fill(0.0, ["score"]), ns.na.fill(0.0, ["score"]))
+                rows.append(auc.select(F.lit(rank).alias("rank"), F.lit(reg).alias("reg"),
+                                       F.lit(alpha).alias("alpha"), F.avg("auc").alias("mean_auc")))
+    out = rows[0]
+    for x in rows[1:]:
+        out = out.unionByName(x)
+    return out

@@ -335,3 +335,73 @@ g AS (SELECT CAST(i AS INTEGER) AS i, lo + i * (hi - lo) / 100.0 AS x FROM mm, r
 SELECT g.i, round(g.x, 8) AS x,
        round(avg(exp(-0.5 * (g.x - s.ret) * (g.x - s.ret)) / sqrt(2 * pi())), 8) AS density
 FROM g, s_ret s GROUP BY g.i, g.x"""
+
+
+# -------------------------------------------------------------- recommend
+_RATINGS = """
+plays AS (SELECT o_custkey AS "user", l_partkey AS item, count(*) AS count
+          FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2),
+good AS (SELECT p_name, p_brand, min(p_partkey) AS good FROM part GROUP BY 1, 2),
+alias AS (SELECT p.p_partkey AS bad, g.good FROM part p JOIN good g USING (p_name, p_brand)
+          WHERE p.p_partkey <> g.good),
+ratings AS (SELECT "user", coalesce(a.good, item) AS item, sum(count) AS count
+            FROM plays LEFT JOIN alias a ON a.bad = plays.item GROUP BY 1, 2),
+r AS (SELECT *, CAST('0x' || substr(md5(CAST("user" AS VARCHAR) || '|' || CAST(item AS VARCHAR) || '|fold'), 1, 8)
+                     AS BIGINT) % 10 AS fold_of FROM ratings),
+items AS (SELECT item, row_number() OVER (ORDER BY item) - 1 AS idx FROM (SELECT DISTINCT item FROM r) x),
+ni AS (SELECT count(*) AS n FROM items)
+"""
+
+
+def _auc_sql(folds: bool) -> str:
+    if folds:
+        fx = "CROSS JOIN range(10) f(fold)"
+        g, gsel, key = '"fold", "user"', 'f.fold AS "fold", r."user"', "CAST(fold AS VARCHAR) || '|' || "
+    else:
+        fx = ""
+        g, gsel, key = '"user"', 'CAST(0 AS BIGINT) AS "fold", r."user"', ""
+    return f"""
+WITH {_RATINGS},
+rf AS (SELECT {gsel}, r.item, r.count, r.fold_of FROM r {fx}),
+cv AS (SELECT * FROM rf WHERE fold_of = "fold"),
+train AS (SELECT * FROM rf WHERE fold_of <> "fold"),
+pos AS (SELECT DISTINCT "fold", "user", item FROM cv),
+npos AS (SELECT "fold", "user", count(*) AS n_pos FROM pos GROUP BY 1, 2),
+draws AS (SELECT p."fold", p."user", p.n_pos, t.idx AS j,
+                 CAST('0x' || substr(md5({key.replace('fold', 'p.fold')}CAST(p."user" AS VARCHAR) || '|' || CAST(t.idx AS VARCHAR) || '|42'), 1, 8)
+                      AS BIGINT) % (SELECT n FROM ni) AS didx
+          FROM npos p CROSS JOIN items t),
+cand AS (SELECT d."fold", d."user", d.n_pos, d.j, i.item FROM draws d JOIN items i ON i.idx = d.didx
+         WHERE NOT EXISTS (SELECT 1 FROM pos q WHERE q."fold" = d."fold" AND q."user" = d."user" AND q.item = i.item)),
+neg AS (SELECT "fold", "user", item FROM (
+          SELECT *, row_number() OVER (PARTITION BY "fold", "user" ORDER BY j) AS rn FROM cand) x
+        WHERE rn <= n_pos),
+pop AS (SELECT "fold", item, CAST(sum(count) AS DOUBLE) AS score FROM train GROUP BY 1, 2),
+ps AS (SELECT c."fold", c."user", coalesce(p.score, 0.0) AS score FROM cv c LEFT JOIN pop p USING ("fold", item)),
+ns AS (SELECT n."fold", n."user", coalesce(p.score, 0.0) AS score FROM neg n LEFT JOIN pop p USING ("fold", item)),
+auc AS (SELECT ps."fold", ps."user", avg(CASE WHEN ps.score > ns.score THEN 1.0 ELSE 0.0 END) AS auc
+        FROM ps JOIN ns USING ("fold", "user") GROUP BY 1, 2)
+"""
+
+
+ORACLE["artist_parse"] = """
+SELECT p_partkey AS id, trim(p_name) AS name FROM part WHERE p_size NOT IN (2, 3)
+"""
+
+ORACLE["resolve_alias"] = f"""
+WITH {_RATINGS}
+SELECT "user", item, count FROM ratings
+"""
+
+ORACLE["popularity"] = f"""
+WITH {_RATINGS}
+SELECT item, sum(count) AS pop FROM ratings GROUP BY item
+"""
+
+ORACLE["user_auc"] = _auc_sql(False) + """
+SELECT "user", round(auc, 4) AS auc FROM auc
+"""
+
+ORACLE["cv_auc"] = _auc_sql(True) + """
+SELECT CAST("fold" AS INTEGER) AS "fold", round(avg(auc), 6) AS mean_auc FROM auc GROUP BY 1
+"""

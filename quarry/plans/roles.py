@@ -206,3 +206,41 @@ def factor_quotes(spark: SparkSession, d: str) -> DataFrame:
 def trials(spark: SparkSession, d: str) -> DataFrame:
     """One Monte Carlo trial per order: the trial count grows with the data."""
     return table(spark, d, "orders", "o_orderkey").select(F.col("o_orderkey").alias("trial"))
+
+
+# -------------------------------------------------------------- recommend
+
+def plays(spark: SparkSession, d: str) -> DataFrame:
+    """(user, item, count): customer, part, number of order lines."""
+    li = table(spark, d, "lineitem", "l_orderkey", "l_partkey")
+    o = table(spark, d, "orders", "o_orderkey", "o_custkey")
+    return (li.join(o, li.l_orderkey == o.o_orderkey)
+            .groupBy(F.col("o_custkey").alias("user"), F.col("l_partkey").alias("item"))
+            .agg(F.count(F.lit(1)).alias("count")))
+
+
+def plays_lines(spark: SparkSession, d: str) -> DataFrame:
+    """The plays as space-separated text lines 'user item count'."""
+    p = plays(spark, d)
+    return p.select(F.concat_ws(" ", "user", "item", "count").alias("value"))
+
+
+def alias_lines(spark: SparkSession, d: str) -> DataFrame:
+    """'bad<TAB>good' lines: every part maps to the smallest part with the same
+    (name, brand); parts of size 1 add a blank-id line (to be dropped)."""
+    p = table(spark, d, "part", "p_partkey", "p_name", "p_brand", "p_size")
+    good = p.groupBy("p_name", "p_brand").agg(F.min("p_partkey").alias("good"))
+    x = p.join(good, ["p_name", "p_brand"]).where(F.col("p_partkey") != F.col("good"))
+    body = x.select(F.concat_ws("\t", "p_partkey", "good").alias("value"))
+    blanks = p.where(F.col("p_size") == 1).select(F.concat(F.lit("\t"), F.col("p_partkey").cast("string")).alias("value"))
+    return body.unionByName(blanks)
+
+
+def artist_lines(spark: SparkSession, d: str) -> DataFrame:
+    """'id<TAB>name' lines with dirt: size-2 parts get a non-numeric id and
+    size-3 parts lose their tab; names carry spaces to be trimmed."""
+    p = table(spark, d, "part", "p_partkey", "p_name", "p_size")
+    idc = F.when(F.col("p_size") == 2, F.concat(F.lit("x"), F.col("p_partkey").cast("string"))) \
+        .otherwise(F.col("p_partkey").cast("string"))
+    sep = F.when(F.col("p_size") == 3, F.lit(" ")).otherwise(F.lit("\t"))
+    return p.select(F.concat(idc, sep, F.lit("  "), F.col("p_name"), F.lit(" ")).alias("value"))
