@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.operators import cooccur, linkage, recommend, risk, trips
+from quarry.operators import cooccur, graph, linkage, recommend, risk, trips
 from quarry.plans import roles
 from quarry.session import shared_dir
 from quarry.sources import files
@@ -398,3 +398,65 @@ def als_grid(spark, d):
     for x in rows[1:]:
         out = out.unionByName(x)
     return out
+
+
+# ------------------------------------------------------------------ 9 graph
+
+def _g(spark, d, k):
+    return roles.supplier_vertices(spark, d), roles.handoff_edges(spark, d, k)
+
+
+@query("components")
+def components(spark, d):
+    v, e = _g(spark, d, 8)
+    return graph.connected_components(v, e)
+
+
+@query("component_sizes")
+def component_sizes(spark, d):
+    c = components(spark, d)
+    return c.groupBy("component").agg(F.count(F.lit(1)).alias("cnt"))
+
+
+@query("scc")
+def scc(spark, d):
+    v, e = _g(spark, d, 7)
+    return graph.strongly_connected_components(v, e)
+
+
+@query("degrees")
+def degrees(spark, d):
+    v, e = _g(spark, d, 7)
+    return v.join(graph.degrees(e), "id")
+
+
+@query("triangles")
+def triangles(spark, d):
+    v, e = _g(spark, d, 7)
+    return graph.triangle_count(v, e)
+
+
+@query("clustering_coef")
+def clustering_coef(spark, d):
+    v, e = _g(spark, d, 7)
+    c = graph.clustering_coefficient(v, e)
+    return c.select("id", "triangles", "degree", r4("coef").alias("coef"))
+
+
+@query("clustering_mean")
+def clustering_mean(spark, d):
+    v, e = _g(spark, d, 7)
+    return graph.clustering_coefficient(v, e).agg(r4(F.avg("coef")).alias("mean_coef"))
+
+
+@query("landmark_paths")
+def landmark_paths(spark, d):
+    v, e = _g(spark, d, 7)
+    lm = graph.sample_vertices(v, 0.05, seed=1)
+    return graph.landmark_distances(lm, e)
+
+
+@query("pagerank5")
+def pagerank5(spark, d):
+    v, e = _g(spark, d, 7)
+    return graph.pagerank(v, e, 0.15, 5).select("id", F.round("rank", 10).alias("rank"))

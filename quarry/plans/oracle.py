@@ -405,3 +405,79 @@ SELECT "user", round(auc, 4) AS auc FROM auc
 ORACLE["cv_auc"] = _auc_sql(True) + """
 SELECT CAST("fold" AS INTEGER) AS "fold", round(avg(auc), 6) AS mean_auc FROM auc GROUP BY 1
 """
+
+
+# ------------------------------------------------------------------ graph
+def _graph(k: int) -> str:
+    return f"""WITH RECURSIVE
+v AS (SELECT s_suppkey AS id FROM supplier),
+h AS (SELECT a.l_suppkey AS src, b.l_suppkey AS dst FROM lineitem a JOIN lineitem b
+      ON a.l_orderkey = b.l_orderkey AND b.l_linenumber = a.l_linenumber + 1),
+e AS (SELECT src, dst, count(*) AS cnt FROM h WHERE src <> dst GROUP BY 1, 2 HAVING count(*) >= {k}),
+ue AS (SELECT src, dst FROM e UNION SELECT dst, src FROM e)"""
+
+
+ORACLE["components"] = _graph(8) + """,
+reach(a, b) AS (SELECT id, id FROM v UNION SELECT r.a, ue.dst FROM reach r JOIN ue ON ue.src = r.b)
+SELECT a AS id, min(b) AS component FROM reach GROUP BY a"""
+
+ORACLE["component_sizes"] = _graph(8) + """,
+reach(a, b) AS (SELECT id, id FROM v UNION SELECT r.a, ue.dst FROM reach r JOIN ue ON ue.src = r.b),
+c AS (SELECT a AS id, min(b) AS component FROM reach GROUP BY a)
+SELECT component, count(*) AS cnt FROM c GROUP BY component"""
+
+ORACLE["scc"] = _graph(7) + """,
+reach(a, b) AS (SELECT id, id FROM v UNION SELECT r.a, e.dst FROM reach r JOIN e ON e.src = r.b)
+SELECT r.a AS id, min(r.b) AS component FROM reach r JOIN reach q ON q.a = r.b AND q.b = r.a GROUP BY r.a"""
+
+ORACLE["degrees"] = _graph(7) + """,
+ends AS (SELECT src AS id FROM e UNION ALL SELECT dst FROM e)
+SELECT id, count(*) AS degree FROM ends JOIN v USING (id) GROUP BY id"""
+
+_TRI = """,
+t AS (SELECT a.src AS x, a.dst AS y, b.dst AS z FROM ue a JOIN ue b ON b.src = a.dst
+      JOIN ue c ON c.src = a.src AND c.dst = b.dst WHERE a.src < a.dst AND a.dst < b.dst),
+per AS (SELECT id, count(*) AS n FROM (SELECT x AS id FROM t UNION ALL SELECT y FROM t UNION ALL SELECT z FROM t) q
+        GROUP BY id),
+tri AS (SELECT v.id, coalesce(per.n, 0) AS triangles FROM v LEFT JOIN per USING (id)),
+deg AS (SELECT src AS id, count(*) AS degree FROM ue GROUP BY src),
+cc AS (SELECT tri.id, tri.triangles, coalesce(deg.degree, 0) AS degree,
+              CASE WHEN coalesce(deg.degree, 0) >= 2 THEN tri.triangles / (deg.degree * (deg.degree - 1) / 2.0) END
+              AS coef
+       FROM tri LEFT JOIN deg USING (id))"""
+
+ORACLE["triangles"] = _graph(7) + _TRI + """
+SELECT id, triangles FROM tri"""
+
+ORACLE["clustering_coef"] = _graph(7) + _TRI + """
+SELECT id, triangles, degree, round(coef, 4) AS coef FROM cc"""
+
+ORACLE["clustering_mean"] = _graph(7) + _TRI + """
+SELECT round(avg(coef), 4) AS mean_coef FROM cc"""
+
+ORACLE["landmark_paths"] = _graph(7) + """,
+lm AS (SELECT id FROM v WHERE (CAST('0x' || substr(md5(CAST(id AS VARCHAR) || '|1'), 1, 8) AS BIGINT) + 0.5)
+                               / 4294967296.0 < 0.05),
+bfs(landmark, id, dist) AS (
+  SELECT id, id, 0 FROM lm
+  UNION SELECT b.landmark, e.dst, b.dist + 1 FROM bfs b JOIN e ON e.src = b.id
+        WHERE b.dist < (SELECT count(*) FROM v))
+SELECT id, landmark, CAST(min(dist) AS INTEGER) AS dist FROM bfs GROUP BY id, landmark"""
+
+
+def _pagerank_sql(iters: int = 5, alpha: float = 0.15) -> str:
+    parts = [_graph(7) + """,
+n AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM v),
+od AS (SELECT src, count(*) AS outdeg FROM e GROUP BY src),
+r0 AS (SELECT id, 1.0 / (SELECT n FROM n) AS rank FROM v)"""]
+    for i in range(1, iters + 1):
+        parts.append(f""",
+r{i} AS (SELECT v.id, {alpha} / (SELECT n FROM n) + {1 - alpha} * coalesce(s.s, 0.0) AS rank
+        FROM v LEFT JOIN (SELECT e.dst AS id, sum(r.rank / od.outdeg) AS s
+                          FROM e JOIN od USING (src) JOIN r{i - 1} r ON r.id = e.src GROUP BY e.dst) s
+        USING (id))""")
+    parts.append(f"\nSELECT id, round(rank, 10) AS rank FROM r{iters}")
+    return "".join(parts)
+
+
+ORACLE["pagerank5"] = _pagerank_sql()

@@ -244,3 +244,23 @@ def artist_lines(spark: SparkSession, d: str) -> DataFrame:
         .otherwise(F.col("p_partkey").cast("string"))
     sep = F.when(F.col("p_size") == 3, F.lit(" ")).otherwise(F.lit("\t"))
     return p.select(F.concat(idc, sep, F.lit("  "), F.col("p_name"), F.lit(" ")).alias("value"))
+
+
+# ------------------------------------------------------------------ graph
+
+def handoff_edges(spark: SparkSession, d: str, min_count: int) -> DataFrame:
+    """Directed supplier hand-off: supplier of line n -> supplier of line n + 1
+    of the same order, kept when seen at least ``min_count`` times (self-loops
+    dropped).  Output (src, dst, cnt)."""
+    a = table(spark, d, "lineitem", "l_orderkey", "l_linenumber", "l_suppkey")
+    b = a.select(F.col("l_orderkey").alias("o"), (F.col("l_linenumber") - 1).alias("n"),
+                 F.col("l_suppkey").alias("dst"))
+    h = (a.select(F.col("l_orderkey").alias("o"), F.col("l_linenumber").alias("n"),
+                  F.col("l_suppkey").alias("src"))
+         .join(b, ["o", "n"]).where(F.col("src") != F.col("dst")))
+    return (h.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("cnt"))
+            .where(F.col("cnt") >= min_count))
+
+
+def supplier_vertices(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "supplier", "s_suppkey").select(F.col("s_suppkey").alias("id"))
