@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.operators import cooccur, graph, linkage, recommend, risk, trips
+from quarry.operators import cooccur, graph, linkage, recommend, risk, text, trips
 from quarry.plans import roles
 from quarry.session import shared_dir
 from quarry.sources import files
@@ -460,3 +460,59 @@ def landmark_paths(spark, d):
 def pagerank5(spark, d):
     v, e = _g(spark, d, 7)
     return graph.pagerank(v, e, 0.15, 5).select("id", F.round("rank", 10).alias("rank"))
+
+
+# ------------------------------------------------------------------- 10 text
+VOCAB_SIZE = 20
+
+
+def _tf(spark, d):
+    return text.term_counts(text.remove_stop_words(text.tokens(roles.english_docs(spark, d))))
+
+
+def _tfidf(spark, d):
+    docs = roles.english_docs(spark, d)
+    tf = _tf(spark, d)
+    n_docs = docs.select(F.count(F.lit(1))).scalar()
+    return text.tfidf(tf, text.vocabulary(tf, VOCAB_SIZE), n_docs)
+
+
+@query("tokens")
+def tokens(spark, d):
+    return _tf(spark, d)
+
+
+@query("tfidf")
+def tfidf(spark, d):
+    t = _tfidf(spark, d)
+    return t.select("doc_id", "term", "tf", F.round("idf", 6).alias("idf"), F.round("tfidf", 6).alias("tfidf"))
+
+
+@query("doc_cosine")
+def doc_cosine(spark, d):
+    """Ten documents most similar (TF-IDF cosine) to the first English document."""
+    unit = text.normalize_rows(_tfidf(spark, d))
+    q = roles.english_docs(spark, d).select(F.min("doc_id")).scalar()
+    c = text.cosine_to(unit, q)
+    top = c.orderBy(F.col("cosine").desc(), F.col("doc_id").asc()).limit(10)
+    return top.select("doc_id", F.round("cosine", 6).alias("cosine"))
+
+
+def _svd(spark, d, k=4):
+    t = _tfidf(spark, d).checkpoint()
+    return text.svd(t, VOCAB_SIZE, k), t
+
+
+@query("concept_terms")
+def concept_terms(spark, d):
+    (u, v, s), t = _svd(spark, d)
+    names = t.select("term", "term_idx").distinct()
+    top = text.top_per_concept(v.join(names, "term_idx"), "term", 10)
+    return top.select("concept", "rank", "term", F.round("weight", 6).alias("weight"))
+
+
+@query("concept_docs")
+def concept_docs(spark, d):
+    (u, v, s), t = _svd(spark, d)
+    top = text.top_per_concept(u, "doc_id", 10)
+    return top.select("concept", "rank", "doc_id", F.round("weight", 6).alias("weight"))

@@ -481,3 +481,46 @@ r{i} AS (SELECT v.id, {alpha} / (SELECT n FROM n) + {1 - alpha} * coalesce(s.s,
 
 
 ORACLE["pagerank5"] = _pagerank_sql()
+
+
+# ------------------------------------------------------------------- text
+# Spark's default English stop-word list (StopWordsRemover).
+STOP_WORDS_EN = (
+    "i me my myself we our ours ourselves you your yours yourself yourselves he him his himself "
+    "she her hers herself it its itself they them their theirs themselves what which who whom this "
+    "that these those am is are was were be been being have has had having do does did doing a an "
+    "the and but if or because as until while of at by for with about against between into through "
+    "during before after above below to from up down in out on off over under again further then "
+    "once here there when where why how all any both each few more most other some such no nor not "
+    "only own same so than too very s t can will just don should now i'll you'll he'll she'll we'll "
+    "they'll i'd you'd he'd she'd we'd they'd i'm you're he's she's it's we're they're i've we've "
+    "you've they've isn't aren't wasn't weren't haven't hasn't hadn't don't doesn't didn't won't "
+    "wouldn't shan't shouldn't mustn't can't couldn't cannot could here's how's let's ought that's "
+    "there's what's when's where's who's why's would").split()
+
+_SW = ", ".join("'" + w.replace("'", "''") + "'" for w in STOP_WORDS_EN)
+_TEXT = f"""
+docs AS (SELECT doc_id, text FROM documents WHERE lang = 'en'),
+toks AS (SELECT doc_id, unnest(regexp_extract_all(lower(coalesce(text, '')), '[a-z]+')) AS term FROM docs),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM toks WHERE term NOT IN ({_SW}) GROUP BY 1, 2),
+vocab AS (SELECT term FROM tf GROUP BY term ORDER BY sum(tf) DESC, term ASC LIMIT 20),
+t AS (SELECT tf.* FROM tf JOIN vocab USING (term)),
+dfq AS (SELECT term, count(*) AS df FROM t GROUP BY term),
+ti AS (SELECT t.doc_id, t.term, t.tf,
+              ln(((SELECT count(*) FROM docs) + 1.0) / (dfq.df + 1.0)) AS idf
+       FROM t JOIN dfq USING (term)),
+tw AS (SELECT *, tf * idf AS tfidf FROM ti)
+"""
+
+ORACLE["tokens"] = f"WITH {_TEXT} SELECT doc_id, term, tf FROM tf"
+
+ORACLE["tfidf"] = f"""WITH {_TEXT}
+SELECT doc_id, term, tf, round(idf, 6) AS idf, round(tfidf, 6) AS tfidf FROM tw"""
+
+ORACLE["doc_cosine"] = f"""WITH {_TEXT},
+nrm AS (SELECT doc_id, sqrt(sum(tfidf * tfidf)) AS norm FROM tw GROUP BY doc_id),
+u AS (SELECT tw.doc_id, tw.term, CASE WHEN norm > 0 THEN tfidf / norm ELSE 0 END AS unit
+      FROM tw JOIN nrm USING (doc_id)),
+q AS (SELECT term, unit AS q FROM u WHERE doc_id = (SELECT min(doc_id) FROM docs)),
+c AS (SELECT u.doc_id, sum(u.unit * q.q) AS cosine FROM u JOIN q USING (term) GROUP BY u.doc_id)
+SELECT doc_id, round(cosine, 6) AS cosine FROM c ORDER BY cosine DESC, doc_id ASC LIMIT 10"""

@@ -264,3 +264,10 @@ def handoff_edges(spark: SparkSession, d: str, min_count: int) -> DataFrame:
 
 def supplier_vertices(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "supplier", "s_suppkey").select(F.col("s_suppkey").alias("id"))
+
+
+# ------------------------------------------------------------------- text
+
+def english_docs(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "documents", "doc_id", "text", "lang").where(F.col("lang") == "en") \
+        .select("doc_id", "text")
