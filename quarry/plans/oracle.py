@@ -524,3 +524,32 @@ u AS (SELECT tw.doc_id, tw.term, CASE WHEN norm > 0 THEN tfidf / norm ELSE 0 END
 q AS (SELECT term, unit AS q FROM u WHERE doc_id = (SELECT min(doc_id) FROM docs)),
 c AS (SELECT u.doc_id, sum(u.unit * q.q) AS cosine FROM u JOIN q USING (term) GROUP BY u.doc_id)
 SELECT doc_id, round(cosine, 6) AS cosine FROM c ORDER BY cosine DESC, doc_id ASC LIMIT 10"""
+
+
+# --------------------------------------------------------------- classify
+_COVER = """
+cov AS (SELECT e.vec_id, e.label AS label0, c.c_mktsegment, c.c_nationkey,
+               CASE WHEN (CAST('0x' || substr(md5(CAST(e.vec_id AS VARCHAR) || '|split'), 1, 8) AS BIGINT)) % 10 < 8
+                    THEN 'train'
+                    WHEN (CAST('0x' || substr(md5(CAST(e.vec_id AS VARCHAR) || '|split'), 1, 8) AS BIGINT)) % 10 = 8
+                    THEN 'cv' ELSE 'test' END AS split
+        FROM embeddings e JOIN customer c ON e.vec_id = c.c_custkey)
+"""
+
+ORACLE["onehot_decode"] = f"""WITH {_COVER}
+SELECT vec_id, label0 AS label,
+       CAST(list_position(['AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD', 'MACHINERY'], c_mktsegment) - 1
+            AS INTEGER) AS wilderness,
+       CAST(c_nationkey AS INTEGER) AS soil
+FROM cov"""
+
+ORACLE["class_priors"] = f"""WITH {_COVER}
+SELECT label0 AS label, round(count(*) / (SELECT count(*) FROM cov)::DOUBLE, 6) AS prior
+FROM cov GROUP BY label0"""
+
+ORACLE["random_baseline"] = f"""WITH {_COVER},
+tr AS (SELECT label0, count(*) / (SELECT count(*) FROM cov WHERE split = 'train')::DOUBLE AS p
+       FROM cov WHERE split = 'train' GROUP BY 1),
+cv AS (SELECT label0, count(*) / (SELECT count(*) FROM cov WHERE split = 'cv')::DOUBLE AS p
+       FROM cov WHERE split = 'cv' GROUP BY 1)
+SELECT round(sum(tr.p * cv.p), 6) AS accuracy FROM tr JOIN cv USING (label0)"""

@@ -271,3 +271,45 @@ def supplier_vertices(spark: SparkSession, d: str) -> DataFrame:
 def english_docs(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents", "doc_id", "text", "lang").where(F.col("lang") == "en") \
         .select("doc_id", "text")
+
+
+# -------------------------------------------------------------- classify
+
+# The five market segments, in one-hot flag order.
+SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+N_NATIONS = 25
+NUMERIC = [f"e{i}" for i in range(10)]
+WILD = [f"w{i}" for i in range(len(SEGMENTS))]
+SOIL = [f"s{i}" for i in range(N_NATIONS)]
+COVER_COLUMNS = NUMERIC + WILD + SOIL + ["label"]
+
+
+def cover_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Forest-cover-like rows: 10 numerics (first embedding dims), one-hot
+    'wilderness' (segment) and 'soil' (nation) flags, 1-based label last."""
+    e = table(spark, d, "embeddings", "vec_id", "embedding", "label")
+    c = table(spark, d, "customer", "c_custkey", "c_nationkey", "c_mktsegment")
+    x = e.join(c, e.vec_id == c.c_custkey)
+    cols = [F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(10)]
+    cols += [(F.col("c_mktsegment") == s).cast("int").alias(WILD[i]) for i, s in enumerate(SEGMENTS)]
+    cols += [(F.col("c_nationkey") == i).cast("int").alias(SOIL[i]) for i in range(N_NATIONS)]
+    return x.select("vec_id", *cols, (F.col("label") + 1).alias("label"))
+
+
+def cover_file(spark: SparkSession, d: str) -> DataFrame:
+    """The rows written as header-less CSV and read back with an explicit schema."""
+    from pyspark.sql import types as T
+    from quarry.session import shared_dir
+    from quarry.sources.files import read_csv, write_csv
+    path = write_csv(cover_rows(spark, d), shared_dir(spark, "cover"), header=False)
+    fields = [T.StructField("vec_id", T.LongType())]
+    fields += [T.StructField(c, T.DoubleType()) for c in NUMERIC]
+    fields += [T.StructField(c, T.IntegerType()) for c in WILD + SOIL + ["label"]]
+    return read_csv(spark, path, T.StructType(fields), header=False)
+
+
+def split_of(key: str = "vec_id"):
+    """Deterministic 80/10/10 split: 'train', 'cv', 'test' from a hash of the key."""
+    from quarry.functions.expr import hash_int
+    b = F.pmod(hash_int(F.col(key), F.lit("split")), F.lit(10))
+    return F.when(b < 8, "train").when(b == 8, "cv").otherwise("test")
