@@ -11,10 +11,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.operators import classify, cooccur, graph, linkage, recommend, risk, text, trips
+from quarry.operators import (anomaly, classify, cooccur, graph, linkage, recommend, risk, scoring,
+                              text, trips)
 from quarry.plans import roles
 from quarry.session import shared_dir
 from quarry.sources import files
+from quarry.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -621,3 +623,126 @@ def logreg(spark, d):
     data = [(int(k), int(j), float(rows[k, j])) for k in range(rows.shape[0]) for j in range(rows.shape[1])]
     data += [(int(k), -1, float(ic[k])) for k in range(len(ic))]
     return spark.createDataFrame(data, "class int, feature int, coef double")
+
+
+# ---------------------------------------------------------------- 12 anomaly
+HASH_DIMS = 1 << 10
+KMEANS_K = 150
+
+
+def _anomaly_model(spark, d):
+    from pyspark.ml.clustering import KMeansModel
+    ev = roles.network_records(table(spark, d, "events"))
+    h = anomaly.hasher(["event_type", "k", "value"], HASH_DIMS)
+    feats = h.transform(ev).cache()
+    import hashlib
+    tag = hashlib.md5(d.encode()).hexdigest()[:10]
+    path = shared_dir(spark).rstrip("/") + f"/quarry-models/kmeans-{tag}-{KMEANS_K}-{HASH_DIMS}"
+    model = files.load_or_fit(spark, path, KMeansModel, lambda: anomaly.fit_kmeans(feats, KMEANS_K, 1))
+    return h, model, feats
+
+
+@query("hash_features")
+def hash_features(spark, d):
+    from pyspark.ml.functions import vector_to_array
+    h = anomaly.hasher(["event_type", "k", "value"], HASH_DIMS)
+    x = h.transform(roles.network_records(table(spark, d, "events")))
+    arr = vector_to_array("features")
+    return x.select("event_id", F.size(F.filter(arr, lambda v: v != 0)).alias("nnz"),
+                    F.round(F.aggregate(arr, F.lit(0.0), lambda s, v: s + v), 4).alias("total"))
+
+
+@query("kmeans_assign")
+def kmeans_assign(spark, d):
+    h, model, feats = _anomaly_model(spark, d)
+    s = anomaly.score(model, feats, anomaly.centres(model, spark))
+    return s.select("event_id", "cluster", F.round("distance", 6).alias("distance"))
+
+
+@query("anomaly_stream")
+def anomaly_stream(spark, d):
+    """Events replayed as a file stream (several Parquet files), scored by the
+    batch-fitted model, written to a Parquet sink and read back."""
+    from quarry.streaming.anomaly_stream import run_scoring_stream
+    h, model, _ = _anomaly_model(spark, d)
+    ev = table(spark, d, "events")
+    src = shared_dir(spark, "events-src")
+    ev.repartition(8, "event_id").write.mode("overwrite").parquet(src)
+    sink = run_scoring_stream(spark, src, ev.schema, roles.network_records, h, model,
+                              anomaly.centres(model, spark), shared_dir(spark, "scored"),
+                              shared_dir(spark, "scored-ckpt"), files_per_trigger=2)
+    out = spark.read.parquet(sink)
+    return out.select("event_id", "cluster", F.round("distance", 6).alias("distance"))
+
+
+# ------------------------------------------------------------ 13 scoring
+
+def _image_sets(spark, d):
+    """Two classes ('tulips' = label 1, 'daisy' = label 0) written to one
+    folder each and read back with the label taken from the folder name; a
+    deterministic 60/40 split per class; train and test are unions by name."""
+    e = table(spark, d, "embeddings", "vec_id", "embedding", "label")
+    root = shared_dir(spark, "images")
+    for name, lab in (("tulips", 1), ("daisy", 0)):
+        e.where(F.col("label") == lab).drop("label").write.mode("overwrite").parquet(f"{root}/{name}")
+    parts = []
+    for name, lab in (("tulips", 1), ("daisy", 0)):
+        x = spark.read.parquet(f"{root}/{name}").select("*", F.col("_metadata.file_path").alias("path"))
+        x = x.withColumn("label", F.when(F.col("path").contains("/tulips/"), 1.0).otherwise(0.0))
+        from quarry.functions.expr import hash_uniform
+        x = x.withColumn("is_train", hash_uniform(F.col("vec_id"), F.lit("img")) < 0.6)
+        parts.append(x)
+    train = parts[0].where("is_train").unionByName(parts[1].where("is_train"))
+    test = parts[0].where("not is_train").unionByName(parts[1].where("not is_train"))
+    return train, test, root
+
+
+@query("image_files")
+def image_files(spark, d):
+    """binaryFile scan of the class folders: path, length, label from the folder."""
+    _, _, root = _image_sets(spark, d)
+    b = files.read_binary(spark, root, "*.parquet")
+    return b.select("path", "length",
+                    F.when(F.col("path").contains("/tulips/"), 1).otherwise(0).alias("label"))
+
+
+def _fitted(spark, d):
+    train, test, _ = _image_sets(spark, d)
+    model = scoring.feature_lr_pipeline(1, 0.05, 0.3).fit(train)
+    return model, model.transform(test)
+
+
+@query("embed_pipeline")
+def embed_pipeline(spark, d):
+    """Pipeline (featurizer + LR, 1 iteration, reg 0.05, alpha 0.3): test accuracy."""
+    _, pred = _fitted(spark, d)
+    return pred.agg(classify.accuracy(pred).alias("accuracy"))
+
+
+@query("worst_predictions")
+def worst_predictions(spark, d):
+    _, pred = _fitted(spark, d)
+    return scoring.worst_predictions(pred, 10)
+
+
+@query("topk_classes")
+def topk_classes(spark, d):
+    """Ten most probable of the ten classes per embedding (multinomial LR)."""
+    e = table(spark, d, "embeddings", "vec_id", "embedding", "label") \
+        .withColumn("label", F.col("label").cast("double"))
+    m = scoring.feature_lr_pipeline(10, 0.01, 0.0).fit(e)
+    return scoring.top_classes(m.transform(e), 10)
+
+
+@query("sql_model_udf")
+def sql_model_udf(spark, d):
+    """Two fitted models registered as SQL functions and called from SQL."""
+    e = table(spark, d, "embeddings", "vec_id", "embedding", "label") \
+        .withColumn("label", F.col("label").cast("double"))
+    for name, reg in (("k_model_udf", 0.01), ("m_model_udf", 0.1)):
+        lr = scoring.feature_lr_pipeline(10, reg, 0.0).fit(e).stages[-1]
+        scoring.register_linear_model_udf(spark, name, lr.coefficientMatrix.toArray(),
+                                          lr.interceptVector.toArray())
+    e.createOrReplaceTempView("train_df")
+    return spark.sql("SELECT vec_id, CAST(label AS INT) AS label, k_model_udf(embedding) AS k_prediction, "
+                     "m_model_udf(embedding) AS m_prediction FROM train_df")

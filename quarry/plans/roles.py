@@ -313,3 +313,11 @@ def split_of(key: str = "vec_id"):
     from quarry.functions.expr import hash_int
     b = F.pmod(hash_int(F.col(key), F.lit("split")), F.lit(10))
     return F.when(b < 8, "train").when(b == 8, "cv").otherwise("test")
+
+
+# ---------------------------------------------------------------- anomaly
+
+def network_records(ev: DataFrame) -> DataFrame:
+    """(event_id, event_type, k, value) from events (batch or stream)."""
+    return ev.select("event_id", "event_type",
+                     F.get_json_object("props", "$.k").cast("double").alias("k"), "value")
