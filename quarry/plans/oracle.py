@@ -553,3 +553,46 @@ tr AS (SELECT label0, count(*) / (SELECT count(*) FROM cov WHERE split = 'train'
 cv AS (SELECT label0, count(*) / (SELECT count(*) FROM cov WHERE split = 'cv')::DOUBLE AS p
        FROM cov WHERE split = 'cv' GROUP BY 1)
 SELECT round(sum(tr.p * cv.p), 6) AS accuracy FROM tr JOIN cv USING (label0)"""
+
+
+# ------------------------------------------------------------ general ops
+ORACLE["csv_roundtrip"] = "SELECT * FROM part"
+
+ORACLE["materialized_components"] = ORACLE["components"]
+
+ORACLE["view_sql"] = """
+SELECT p_type, count(*) AS cnt FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY p_type"""
+
+ORACLE["flatten"] = """
+SELECT p_partkey, unnest(string_split(p_name, ' ')) AS word FROM part"""
+
+ORACLE["sample_hash"] = """
+SELECT l_orderkey, l_linenumber, l_partkey, l_quantity FROM lineitem
+WHERE (CAST('0x' || substr(md5(CAST(l_orderkey AS VARCHAR) || '|' || CAST(l_linenumber AS VARCHAR) || '|'
+       || CAST(l_partkey AS VARCHAR) || '|1'), 1, 8) AS BIGINT) + 0.5) / 4294967296.0 < 0.05"""
+
+ORACLE["sample_stats"] = """
+WITH x AS (SELECT l_returnflag, CASE WHEN l_discount > 0 THEN l_extendedprice * (1 - l_discount) END AS v
+           FROM lineitem),
+s AS (SELECT l_returnflag, count(v) AS cnt, count(*) - count(v) AS missing, avg(v) AS mean,
+             stddev_pop(v) AS stdev, min(v) AS mn, max(v) AS mx FROM x GROUP BY l_returnflag)
+SELECT l_returnflag, cnt, missing, round(mean, 4) AS mean, round(stdev, 4) AS stdev,
+       round(mn, 4) AS min, round(mx, 4) AS max,
+       CAST(ceil(sqrt(abs(mx - mn))) AS BIGINT) AS ceil_sqrt_range,
+       round(pow(mean / 1000.0, 2), 4) AS mean_k_sq
+FROM s"""
+
+ORACLE["top_k"] = """
+SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey ASC LIMIT 10"""
+
+ORACLE["sorted_summary"] = """
+SELECT c_nationkey, count(*) AS cnt, round(count(*) / (SELECT count(*) FROM customer)::DOUBLE, 6) AS share
+FROM customer GROUP BY c_nationkey"""
+
+ORACLE["union_distinct"] = """
+SELECT l_suppkey AS suppkey FROM lineitem UNION SELECT s_suppkey FROM supplier WHERE s_nationkey = 0"""
+
+ORACLE["partition_pairs"] = _trips_with("""
+SELECT license, trip_id, lead(trip_id) OVER (PARTITION BY license ORDER BY pickup_datetime, trip_id)
+       AS next_trip_id
+FROM done QUALIFY next_trip_id IS NOT NULL""", zoned=True)
