@@ -182,8 +182,10 @@ def select_kth(df: DataFrame, k: DataFrame, group: str = "grp", value: str = "v"
     from quarry.session import shared_dir
     shared_dir(df.sparkSession)  # checkpoint() needs the shared folder
     B = float(buckets)
+    # The (group, value, weight) table is read once per pass: cut its lineage
+    # (written to the shared checkpoint folder) so a pass never recomputes it.
     d = df.select(F.col(group).alias("g"), F.col(value).cast("double").alias("v"),
-                  F.col(weight).cast("double").alias("w"))
+                  F.col(weight).cast("double").alias("w")).checkpoint()
     st = (d.groupBy("g").agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
           .join(k.select(F.col(group).alias("g"), F.col("k").cast("double").alias("k")), "g")
           .select("g", "lo", "hi", F.col("k").alias("krem"), "k",

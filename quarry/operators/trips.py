@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from quarry.functions.expr import point_in_polygon, polygon_area
 
 TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
-EPOCH = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+def _epoch():
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
 
 
 def _ts(c: str):
@@ -39,8 +40,8 @@ def parse_trips(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
 
     return raw.select(
         *keep, F.col("license"),
-        F.when(t_ok, pu).otherwise(EPOCH).alias("pickup_datetime"),
-        F.when(t_ok, do).otherwise(EPOCH).alias("dropoff_datetime"),
+        F.when(t_ok, pu).otherwise(_epoch()).alias("pickup_datetime"),
+        F.when(t_ok, do).otherwise(_epoch()).alias("dropoff_datetime"),
         pt(coords[0], coords[1]).alias("pickup_loc"),
         pt(coords[2], coords[3]).alias("dropoff_loc"),
         (~(t_ok & p_ok)).alias("parsefailed"))
