@@ -7,7 +7,7 @@ forms a self-pair or inflates a count; plain frequencies keep multiplicity.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.expr import chi_square, hash8
@@ -44,7 +44,10 @@ def pairs_within(dist: DataFrame, chunk: int = PAIR_CHUNK) -> DataFrame:
     baskets with n <= chunk get one bucket and are not replicated.  The join key
     is (basket, salt), so the split buckets go to different tasks.
     """
-    sized = dist.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("basket")))
+    # basket sizes by aggregation (partial counts map-side), joined back: no
+    # window buffers a hot basket in one task
+    sizes = dist.groupBy("basket").agg(F.count(F.lit(1)).alias("n"))
+    sized = dist.join(sizes, "basket")
     nsalt = F.greatest(F.lit(1), F.ceil(F.col("n") / F.lit(chunk))).cast("int")
     left = sized.select("basket", F.col("item").alias("a"),
                         F.pmod(F.xxhash64("item"), nsalt).cast("int").alias("salt"))

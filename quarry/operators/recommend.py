@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions.expr import hash_int
+from quarry.operators import ordered
 
 Scorer = Callable[[DataFrame, DataFrame], DataFrame]
 
@@ -117,8 +118,14 @@ def auc_per_user(pos_scored: DataFrame, neg_scored: DataFrame,
            .unionByName(neg_scored.select(*g, "score", F.lit(0).alias("is_pos"))))
     per = lab.groupBy(*g, "score").agg(F.sum("is_pos").alias("p"),
                                        F.sum(1 - F.col("is_pos")).alias("n"))
-    w = Window.partitionBy(*g).orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
-    per = per.withColumn("n_below", F.coalesce(F.sum("n").over(w), F.lit(0)))
+    # Negatives strictly below each score: an inclusive running sum minus the
+    # row itself, ordered per user but split by a coarse score bucket (signed
+    # log scale, non-decreasing in the score) so a hot user is not one task.
+    s = F.col("score")
+    bucket = (F.signum(s) * F.floor(F.log2(F.lit(1.0) + F.abs(s)) * 8)).cast("long")
+    per = per.withColumn("_k", F.struct(*g))
+    per = ordered.running_sum(per, "_k", ["score"], "n", bucket, "_cum")
+    per = per.withColumn("n_below", F.col("_cum") - F.col("n")).drop("_k", "_cum")
     return (per.groupBy(*g).agg(F.sum(F.col("p") * F.col("n_below")).alias("correct"),
                                 F.sum("p").alias("np"), F.sum("n").alias("nn"))
             .where((F.col("nn") > 0) & (F.col("np") > 0))

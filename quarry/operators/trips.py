@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.expr import point_in_polygon, polygon_area
+from quarry.operators import ordered
 
 TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
 def _epoch():
@@ -118,16 +119,16 @@ def assign_zone(trips: DataFrame, zones: DataFrame, point: str = "dropoff_loc",
 
 def next_trip(trips: DataFrame, license: str = "license", order: str = "pickup_datetime",
               tie: str = "trip_id") -> DataFrame:
-    """Each trip with the next trip of the same license (sliding pair, n=2).
+    """Each trip with the next trip of the same license (sliding pair, n=2);
+    the last trip of each license has no successor and is dropped.
 
-    One exchange on ``license`` with a sort inside each partition (the
-    co-locate-and-sort step); the last trip of each license has no successor
-    and is dropped, like the sliding window over a sorted partition.
+    Ordered per (license, day) with day boundaries stitched (see
+    ``ordered.next_in_order``), so a license with a huge share of the trips
+    is spread over its days instead of sorted in one task.
     """
-    w = Window.partitionBy(license).orderBy(F.col(order), F.col(tie))
-    return (trips
-            .withColumn("next_pickup", F.lead(order).over(w))
-            .withColumn("next_trip_id", F.lead(tie).over(w))
+    x = ordered.next_in_order(trips, license, [order, tie], [order, tie], F.to_date(order), "next_")
+    return (x.withColumnRenamed("next_" + order, "next_pickup")
+            .withColumnRenamed("next_" + tie, "next_trip_id")
             .where(F.col("next_pickup").isNotNull()))
 
 
@@ -154,22 +155,29 @@ def idle_by_zone(trips: DataFrame, shift_gap_hours: float = 4.0, within: bool =
 def sessionize(trips: DataFrame, license: str = "license", order: str = "pickup_datetime",
                tie: str = "trip_id", shift_gap_hours: float = 4.0) -> DataFrame:
     """Session (shift) number per license: a new shift starts after a gap of
-    at least ``shift_gap_hours`` since the previous drop-off."""
-    w = Window.partitionBy(license).orderBy(F.col(order), F.col(tie))
-    prev_drop = F.lag("dropoff_datetime").over(w)
-    gap_h = F.timestamp_diff("MICROSECOND", prev_drop, F.col(order)).cast("double") / 3.6e9
-    brk = F.when(gap_h >= shift_gap_hours, 1).otherwise(0)
-    return (trips.withColumn("_brk", brk)
-            .withColumn("session", F.sum("_brk").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-            .drop("_brk"))
+    at least ``shift_gap_hours`` since the previous drop-off.  Previous-row
+    lookup and the running count are both split by (license, day)."""
+    day = F.to_date(order)
+    x = ordered.prev_in_order(trips, license, [order, tie], ["dropoff_datetime"], day, "prev_")
+    gap_h = F.timestamp_diff("MICROSECOND", F.col("prev_dropoff_datetime"), F.col(order)).cast("double") / 3.6e9
+    x = x.withColumn("_brk", F.when(gap_h >= shift_gap_hours, 1).otherwise(0))
+    x = ordered.running_sum(x, license, [order, tie], "_brk", F.to_date(order), "session")
+    return x.drop("_brk", "prev_dropoff_datetime")
 
 
 def sliding_tuples(trips: DataFrame, n: int, license: str = "license",
                    order: str = "pickup_datetime", tie: str = "trip_id") -> DataFrame:
     """Sliding windows of n consecutive trips per license: the trip ids of
-    each full window (windows shorter than n at the end are dropped)."""
-    w = (Window.partitionBy(license).orderBy(F.col(order), F.col(tie))
-         .rowsBetween(0, n - 1))
-    return (trips.withColumn("window_ids", F.collect_list(tie).over(w))
-            .where(F.size("window_ids") == n)
-            .select(license, F.col(tie).alias("first_id"), "window_ids"))
+    each full window (shorter windows at the end are dropped).  Built by
+    following successor links: n - 2 equi-joins on the unique trip id."""
+    nxt = next_trip(trips, license, order, tie).select(license, F.col(tie).alias("first_id"),
+                                                       F.array(F.col(tie), F.col("next_trip_id")).alias("window_ids"),
+                                                       F.col("next_trip_id").alias("_last"))
+    links = next_trip(trips, license, order, tie).select(F.col(tie).alias("_last"),
+                                                         F.col("next_trip_id").alias("_nn"))
+    out = nxt
+    for _ in range(n - 2):
+        out = (out.join(links, "_last")
+               .select(license, "first_id", F.concat("window_ids", F.array("_nn")).alias("window_ids"),
+                       F.col("_nn").alias("_last")))
+    return out.drop("_last")
