@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.expr import hash_int
@@ -90,8 +90,11 @@ def sample_negatives(positives: DataFrame, items: DataFrame, seed: int = 42,
         draws = draws.withColumn(
             "idx", F.pmod(hash_int(*[F.col(c) for c in g], F.col("j"), F.lit(seed)), n_items))
         cand = draws.join(idx, "idx").join(pos, g + ["item"], "left_anti")
-        w = Window.partitionBy(*g).orderBy("j")
-        cand = cand.withColumn("r", F.row_number().over(w) + F.col("have"))
+        # rank of each candidate among the user's round (draw order j), as a
+        # running count split by (user, j // 4096) so a hot user is not one task
+        cand = ordered.running_sum(cand.withColumn("_k", F.struct(*g)).withColumn("_one", F.lit(1)),
+                                   "_k", ["j"], "_one", F.floor(F.col("j") / 4096), "_r")
+        cand = cand.withColumn("r", F.col("_r") + F.col("have")).drop("_k", "_one", "_r")
         take = cand.where(F.col("r") <= F.col("n_pos")).select(*g, "item", "j")
         take = take.checkpoint()
         result = take if result is None else result.unionByName(take)
