@@ -332,7 +332,8 @@ def popularity(spark, d):
 
 
 def _auc(spark, d, folds):
-    r = _ratings(spark, d).withColumn("fold_of", _fold())
+    # read by the train, validation and negative-sampling branches: cut once
+    r = _ratings(spark, d).withColumn("fold_of", _fold()).checkpoint()
     if folds:
         r = r.select("*", F.explode(F.sequence(F.lit(0), F.lit(9))).alias("fold"))
         g = ("fold", "user")
@@ -853,3 +854,16 @@ def partition_pairs(spark, d):
                                 "license string, trip_id long, next_trip_id long, "
                                 "pickup_datetime timestamp_ntz, next_pickup_datetime timestamp_ntz")
     return p.select("license", "trip_id", "next_trip_id")
+
+
+@query("landmark_maps")
+def landmark_maps(spark, d):
+    """Map form of the landmark hops: (id, {landmark: hops}); {} when no
+    landmark reaches the vertex.  Rendered as 'landmark:hops,...' sorted."""
+    v, e = _g(spark, d, 7)
+    lm = graph.sample_vertices(v, 0.05, seed=1)
+    m = graph.landmark_maps(v, graph.landmark_distances(lm, e))
+    ent = F.array_sort(F.map_entries("map"))
+    txt = F.array_join(F.transform(ent, lambda x: F.concat_ws(":", x["key"].cast("string"),
+                                                             x["value"].cast("string"))), ",")
+    return m.select("id", F.size("map").alias("n_landmarks"), txt.alias("hops"))

@@ -596,3 +596,17 @@ ORACLE["partition_pairs"] = _trips_with("""
 SELECT license, trip_id, lead(trip_id) OVER (PARTITION BY license ORDER BY pickup_datetime, trip_id)
        AS next_trip_id
 FROM done QUALIFY next_trip_id IS NOT NULL""", zoned=True)
+
+ORACLE["landmark_maps"] = _graph(7) + """,
+lm AS (SELECT id FROM v WHERE (CAST('0x' || substr(md5(CAST(id AS VARCHAR) || '|1'), 1, 8) AS BIGINT) + 0.5)
+                               / 4294967296.0 < 0.05),
+bfs(landmark, id, dist) AS (
+  SELECT id, id, 0 FROM lm
+  UNION SELECT b.landmark, e.dst, b.dist + 1 FROM bfs b JOIN e ON e.src = b.id
+        WHERE b.dist < (SELECT count(*) FROM v)),
+best AS (SELECT id, landmark, min(dist) AS dist FROM bfs GROUP BY id, landmark),
+agg AS (SELECT id, count(*) AS n, string_agg(CAST(landmark AS VARCHAR) || ':' || CAST(dist AS VARCHAR), ','
+                                              ORDER BY landmark) AS hops
+        FROM best GROUP BY id)
+SELECT v.id, CAST(coalesce(agg.n, 0) AS INTEGER) AS n_landmarks, coalesce(agg.hops, '') AS hops
+FROM v LEFT JOIN agg USING (id)"""
