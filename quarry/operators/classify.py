@@ -79,15 +79,20 @@ def logreg(max_iter: int = 10, reg: float = 0.3, elastic: float = 0.8) -> Logist
     return LogisticRegression(maxIter=max_iter, regParam=reg, elasticNetParam=elastic)
 
 
-def grid_eval(train: DataFrame, cv: DataFrame, grid: list[dict], make) -> DataFrame:
+def grid_eval(train: DataFrame, cv: DataFrame, grid: list[dict], make, parallelism: int = 4) -> DataFrame:
     """Fit one model per parameter set, score train and validation accuracy;
-    rows ordered by validation accuracy (desc)."""
+    rows ordered by validation accuracy (desc).  Fits run as concurrent Spark
+    jobs from ``parallelism`` driver threads (as ML tuning's ``parallelism``)."""
+    from concurrent.futures import ThreadPoolExecutor
     spark = train.sparkSession
-    rows = []
-    for params in grid:
+
+    def one(params):
         m = make(**params).fit(train)
         tr = m.transform(train).agg(accuracy(None).alias("a")).first()["a"]
         va = m.transform(cv).agg(accuracy(None).alias("a")).first()["a"]
-        rows.append((str(sorted(params.items())), float(tr), float(va)))
+        return (str(sorted(params.items())), float(tr), float(va))
+
+    with ThreadPoolExecutor(max_workers=parallelism) as ex:
+        rows = list(ex.map(one, grid))
     df = spark.createDataFrame(rows, "params string, train_accuracy double, cv_accuracy double")
     return df.orderBy(F.col("cv_accuracy").desc(), "params")

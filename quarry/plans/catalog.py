@@ -399,17 +399,21 @@ def als_grid(spark, d):
     cv, train = r.where(F.col("fold_of") == 0), r.where(F.col("fold_of") != 0)
     neg = recommend.sample_negatives(cv, r.select("item"), seed=42).checkpoint()
     train = train.withColumn("count", F.col("count").cast("float")).checkpoint()
-    rows = []
-    for rank in (10, 50):
-        for reg in (1.0, 0.001):
-            for alpha in (1.0, 40.0):
-                m = ALS(rank=rank, maxIter=10, regParam=reg, alpha=alpha, implicitPrefs=True, seed=1,
-                        userCol="user", itemCol="item", ratingCol="count").fit(train)
-                ps = m.transform(cv.select("user", "item")).withColumnRenamed("prediction", "score")
-                ns = m.transform(neg).withColumnRenamed("prediction", "score")
-                auc = recommend.auc_per_user(ps.na.fill(0.0, ["score"]), ns.na.fill(0.0, ["score"]))
-                rows.append(auc.select(F.lit(rank).alias("rank"), F.lit(reg).alias("reg"),
-                                       F.lit(alpha).alias("alpha"), F.avg("auc").alias("mean_auc")))
+    grid = [(rank, reg, alpha) for rank in (10, 50) for reg in (1.0, 0.001) for alpha in (1.0, 40.0)]
+
+    def one(p):
+        rank, reg, alpha = p
+        m = ALS(rank=rank, maxIter=10, regParam=reg, alpha=alpha, implicitPrefs=True, seed=1,
+                userCol="user", itemCol="item", ratingCol="count").fit(train)
+        ps = m.transform(cv.select("user", "item")).withColumnRenamed("prediction", "score")
+        ns = m.transform(neg).withColumnRenamed("prediction", "score")
+        auc = recommend.auc_per_user(ps.na.fill(0.0, ["score"]), ns.na.fill(0.0, ["score"]))
+        return auc.select(F.lit(rank).alias("rank"), F.lit(reg).alias("reg"),
+                          F.lit(alpha).alias("alpha"), F.avg("auc").alias("mean_auc")).checkpoint()
+
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=4) as ex:   # concurrent fits, like ML tuning's parallelism
+        rows = list(ex.map(one, grid))
     out = rows[0]
     for x in rows[1:]:
         out = out.unionByName(x)
