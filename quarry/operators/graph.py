@@ -209,6 +209,41 @@ def merge_min_maps(a, b):
     return F.map_zip_with(a, b, lambda k, x, y: F.least(x, y))
 
 
+def landmark_maps_pregel(vertices: DataFrame, edges: DataFrame, landmarks: DataFrame) -> DataFrame:
+    """Shortest hop maps by message passing: landmarks start with {self: 0},
+    the rest with {}; every round each source sends its map with all values
+    + 1 (``transform_values``) to its out-neighbours, messages to one vertex
+    are combined key-wise by min, and merged into the vertex's map
+    (``map_zip_with`` min).  Stops when no map changes.  Messages are
+    exploded to (dst, landmark, hops) and aggregated, so a vertex's inbox is
+    never collected; a map holds at most one entry per landmark."""
+    e = edges.select("src", "dst").where(F.col("src") != F.col("dst")).distinct()
+    e = _ckpt(e)
+    lm = landmarks.select("id", F.lit(True).alias("is_lm"))
+    empty = F.create_map().cast("map<bigint,int>")
+    state = _ckpt(vertices.select("id").join(lm, "id", "left").select(
+        "id", F.when(F.col("is_lm"), F.create_map(F.col("id"), F.lit(0))).otherwise(empty).alias("map")))
+    for _ in range(MAX_ROUNDS):
+        sent = (e.join(state.select(F.col("id").alias("src"), "map"), "src")
+                .where(F.size("map") > 0)
+                .select("dst", F.explode(F.transform_values("map", lambda k, v: v + 1)).alias("lmk", "hops")))
+        inbox = (sent.groupBy("dst", "lmk").agg(F.min("hops").alias("hops"))
+                 .groupBy(F.col("dst").alias("id"))
+                 .agg(F.map_from_entries(F.collect_list(F.struct("lmk", "hops"))).alias("msg")))
+        merged = (state.join(inbox, "id", "left")
+                  .withColumn("new", F.when(F.col("msg").isNull(), F.col("map"))
+                              .otherwise(merge_min_maps(F.col("map"), F.col("msg"))))
+                  .withColumn("changed", F.coalesce(
+                      F.exists(F.map_entries("new"),
+                               lambda x: F.coalesce(F.col("map")[x["key"]] != x["value"], F.lit(True))),
+                      F.lit(False))))
+        merged = _ckpt(merged.select("id", F.col("new").alias("map"), "changed"))
+        state = merged.select("id", "map")
+        if merged.where(F.col("changed")).limit(1).count() == 0:
+            break
+    return state
+
+
 def pagerank(vertices: DataFrame, edges: DataFrame, alpha: float = 0.15,
              iterations: int = 5) -> DataFrame:
     """rank <- alpha / N + (1 - alpha) * sum over in-edges of rank(src) / outdeg(src),

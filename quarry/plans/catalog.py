@@ -866,7 +866,7 @@ def landmark_maps(spark, d):
     landmark reaches the vertex.  Rendered as 'landmark:hops,...' sorted."""
     v, e = _g(spark, d, 7)
     lm = graph.sample_vertices(v, 0.05, seed=1)
-    m = graph.landmark_maps(v, graph.landmark_distances(lm, e))
+    m = graph.landmark_maps_pregel(v, e, lm)
     ent = F.array_sort(F.map_entries("map"))
     txt = F.array_join(F.transform(ent, lambda x: F.concat_ws(":", x["key"].cast("string"),
                                                              x["value"].cast("string"))), ",")
