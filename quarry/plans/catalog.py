@@ -871,3 +871,17 @@ def landmark_maps(spark, d):
     txt = F.array_join(F.transform(ent, lambda x: F.concat_ws(":", x["key"].cast("string"),
                                                              x["value"].cast("string"))), ",")
     return m.select("id", F.size("map").alias("n_landmarks"), txt.alias("hops"))
+
+
+@query("xml_wholetext_topics")
+def xml_wholetext_topics(spark, d):
+    """Whole-file scan (gzip) of the citation XML, major topics by XPath with an
+    attribute predicate, then the topic frequency table.  Each row is one
+    written part file (bounded by the writer's partition size); the rowTag
+    reader in ``xml_topics`` is the record-at-a-time path."""
+    path = roles.citation_xml(spark, d)
+    # part files of empty partitions hold no root element: skip them
+    docs = files.read_lines(spark, path, whole_text=True).where(F.col("value").contains("<MedlineCitation>"))
+    xp = '//MedlineCitation/MeshHeadingList/MeshHeading/DescriptorName[@MajorTopicYN="Y"]/text()'
+    topics = docs.select(F.explode(F.xpath(F.col("value"), F.lit(xp))).alias("topic"))
+    return cooccur.item_frequency(topics, "topic")

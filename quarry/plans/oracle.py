@@ -610,3 +610,8 @@ agg AS (SELECT id, count(*) AS n, string_agg(CAST(landmark AS VARCHAR) || ':' ||
         FROM best GROUP BY id)
 SELECT v.id, CAST(coalesce(agg.n, 0) AS INTEGER) AS n_landmarks, coalesce(agg.hops, '') AS hops
 FROM v LEFT JOIN agg USING (id)"""
+
+ORACLE["xml_wholetext_topics"] = """
+SELECT p.p_name AS topic, count(*) AS cnt
+FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey WHERE l.l_quantity >= 25 GROUP BY p.p_name
+"""

@@ -51,7 +51,7 @@ def write_lines(lines: DataFrame, path: str, compression: str | None = None) ->
 
 def read_lines(spark: SparkSession, path: str, whole_text: bool = False) -> DataFrame:
     """Line scan (``value`` column); ``whole_text`` gives one row per file."""
-    return spark.read.option("wholetext", whole_text).text(path)
+    return spark.read.text(path, wholetext=whole_text)
 
 
 def drop_header_lines(lines: DataFrame, marker: str = '"') -> DataFrame:
