@@ -696,18 +696,19 @@ def anomaly_stream(spark, d):
 # ------------------------------------------------------------ 13 scoring
 
 def _image_sets(spark, d):
-    """Two classes ('tulips' = label 1, 'daisy' = label 0) written to one
-    folder each and read back with the label taken from the folder name; a
-    deterministic 60/40 split per class; train and test are unions by name."""
+    """Two classes written to one folder each - 'tulips' (label >= 5, class 1)
+    and 'daisy' (label < 5, class 0), so every embedding is used - and read
+    back with the class taken from the folder name; a deterministic 60/40
+    split per class; train and test are unions by name."""
+    from quarry.functions.expr import hash_uniform
     e = table(spark, d, "embeddings", "vec_id", "embedding", "label")
     root = shared_dir(spark, "images")
-    for name, lab in (("tulips", 1), ("daisy", 0)):
-        e.where(F.col("label") == lab).drop("label").write.mode("overwrite").parquet(f"{root}/{name}")
+    e.where(F.col("label") >= 5).drop("label").write.mode("overwrite").parquet(f"{root}/tulips")
+    e.where(F.col("label") < 5).drop("label").write.mode("overwrite").parquet(f"{root}/daisy")
     parts = []
-    for name, lab in (("tulips", 1), ("daisy", 0)):
+    for name in ("tulips", "daisy"):
         x = spark.read.parquet(f"{root}/{name}").select("*", F.col("_metadata.file_path").alias("path"))
         x = x.withColumn("label", F.when(F.col("path").contains("/tulips/"), 1.0).otherwise(0.0))
-        from quarry.functions.expr import hash_uniform
         x = x.withColumn("is_train", hash_uniform(F.col("vec_id"), F.lit("img")) < 0.6)
         parts.append(x)
     train = parts[0].where("is_train").unionByName(parts[1].where("is_train"))
@@ -841,9 +842,9 @@ def sorted_summary(spark, d):
 
 @query("union_distinct")
 def union_distinct(spark, d):
-    """Suppliers that ship anything, union suppliers of nation 0, distinct."""
+    """Suppliers that ship anything, union suppliers in debt, distinct."""
     a = table(spark, d, "lineitem", "l_suppkey").select(F.col("l_suppkey").alias("suppkey"))
-    b = table(spark, d, "supplier", "s_suppkey", "s_nationkey").where(F.col("s_nationkey") == 0) \
+    b = table(spark, d, "supplier", "s_suppkey", "s_acctbal").where(F.col("s_acctbal") < 0) \
         .select(F.col("s_suppkey").alias("suppkey"))
     return basic.union_distinct(a, b)
 

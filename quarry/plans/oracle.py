@@ -240,13 +240,16 @@ FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey WHERE l.l_quantity >= 2
 
 # ------------------------------------------------------------------- risk
 def _series(name: str, src: str) -> str:
+    from quarry.plans.roles import RISK_END, RISK_START
+    import datetime as _dt
+    last_day = (_dt.date.fromisoformat(RISK_END) - _dt.timedelta(days=1)).isoformat()
     return f"""
 {name}_q AS (SELECT * FROM ({src}) s
-             WHERE date >= DATE '1995-06-03' AND date <= DATE '2001-06-01'),
+             WHERE date >= DATE '{RISK_START}' AND date <= DATE '{RISK_END}'),
 {name}_first AS (SELECT instrument, arg_min(price, date) AS first_price FROM {name}_q GROUP BY 1),
 {name}_cal AS (SELECT f.instrument, f.first_price, CAST(t.d AS DATE) AS date
                FROM {name}_first f,
-                    generate_series(TIMESTAMP '1995-06-03', TIMESTAMP '2001-05-31', INTERVAL 1 DAY) t(d)
+                    generate_series(TIMESTAMP '{RISK_START}', TIMESTAMP '{last_day}', INTERVAL 1 DAY) t(d)
                WHERE isodow(t.d) <= 5),
 {name}_filled AS (SELECT c.instrument, c.date, coalesce(q.price, c.first_price) AS price
                   FROM {name}_cal c ASOF LEFT JOIN {name}_q q
@@ -590,7 +593,7 @@ SELECT c_nationkey, count(*) AS cnt, round(count(*) / (SELECT count(*) FROM cust
 FROM customer GROUP BY c_nationkey"""
 
 ORACLE["union_distinct"] = """
-SELECT l_suppkey AS suppkey FROM lineitem UNION SELECT s_suppkey FROM supplier WHERE s_nationkey = 0"""
+SELECT l_suppkey AS suppkey FROM lineitem UNION SELECT s_suppkey FROM supplier WHERE s_acctbal < 0"""
 
 ORACLE["partition_pairs"] = _trips_with("""
 SELECT license, trip_id, lead(trip_id) OVER (PARTITION BY license ORDER BY pickup_datetime, trip_id)

@@ -183,8 +183,10 @@ def citation_xml(spark: SparkSession, d: str) -> str:
 
 # ------------------------------------------------------------------- risk
 
-# The analysis window (start is a Saturday).
-RISK_START, RISK_END = "1995-06-03", "2001-06-01"
+# The analysis window.  It spans every order date (start is a
+# Saturday before the first order, so the start is padded with the first
+# price; end is after the last order).
+RISK_START, RISK_END = "1994-12-31", "2001-08-03"
 
 
 def stock_quotes(spark: SparkSession, d: str) -> DataFrame:
