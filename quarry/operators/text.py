@@ -12,12 +12,13 @@ from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-TOKEN_PATTERN = r"[a-z]+"
+TOKEN_PATTERN = r"\p{L}+"
 
 
 def tokens(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """(doc_id, words): lower-cased letter runs (punctuation and digits are
-    separators); a NULL text gives an empty list, the row is kept."""
+    """(doc_id, words): lower-cased runs of letters in any script (punctuation,
+    digits and spaces separate); a NULL text gives an empty list, the row is
+    kept."""
     words = F.regexp_extract_all(F.lower(F.coalesce(F.col(text), F.lit(""))), F.lit(TOKEN_PATTERN), 0)
     return docs.select(F.col(id_col).alias("doc_id"), words.alias("words"))
 

@@ -487,11 +487,11 @@ VOCAB_SIZE = 20
 
 
 def _tf(spark, d):
-    return text.term_counts(text.remove_stop_words(text.tokens(roles.english_docs(spark, d))))
+    return text.term_counts(text.remove_stop_words(text.tokens(roles.corpus(spark, d))))
 
 
 def _tfidf(spark, d):
-    docs = roles.english_docs(spark, d)
+    docs = roles.corpus(spark, d)
     tf = _tf(spark, d)
     n_docs = docs.select(F.count(F.lit(1))).scalar()
     return text.tfidf(tf, text.vocabulary(tf, VOCAB_SIZE), n_docs)
@@ -510,9 +510,9 @@ def tfidf(spark, d):
 
 @query("doc_cosine")
 def doc_cosine(spark, d):
-    """Ten documents most similar (TF-IDF cosine) to the first English document."""
+    """Ten documents most similar (TF-IDF cosine) to the first document."""
     unit = text.normalize_rows(_tfidf(spark, d))
-    q = roles.english_docs(spark, d).select(F.min("doc_id")).scalar()
+    q = roles.corpus(spark, d).select(F.min("doc_id")).scalar()
     c = text.cosine_to(unit, q)
     top = c.orderBy(F.col("cosine").desc(), F.col("doc_id").asc()).limit(10)
     return top.select("doc_id", F.round("cosine", 6).alias("cosine"))

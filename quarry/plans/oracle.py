@@ -503,8 +503,8 @@ STOP_WORDS_EN = (
 
 _SW = ", ".join("'" + w.replace("'", "''") + "'" for w in STOP_WORDS_EN)
 _TEXT = f"""
-docs AS (SELECT doc_id, text FROM documents WHERE lang = 'en'),
-toks AS (SELECT doc_id, unnest(regexp_extract_all(lower(coalesce(text, '')), '[a-z]+')) AS term FROM docs),
+docs AS (SELECT doc_id, text FROM documents),
+toks AS (SELECT doc_id, unnest(regexp_extract_all(lower(coalesce(text, '')), '\\p{{L}}+')) AS term FROM docs),
 tf AS (SELECT doc_id, term, count(*) AS tf FROM toks WHERE term NOT IN ({_SW}) GROUP BY 1, 2),
 vocab AS (SELECT term FROM tf GROUP BY term ORDER BY sum(tf) DESC, term ASC LIMIT 20),
 t AS (SELECT tf.* FROM tf JOIN vocab USING (term)),

@@ -270,9 +270,9 @@ def supplier_vertices(spark: SparkSession, d: str) -> DataFrame:
 
 # ------------------------------------------------------------------- text
 
-def english_docs(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "documents", "doc_id", "text", "lang").where(F.col("lang") == "en") \
-        .select("doc_id", "text")
+def corpus(spark: SparkSession, d: str) -> DataFrame:
+    """The article corpus: every document (all languages), whole texts."""
+    return table(spark, d, "documents", "doc_id", "text")
 
 
 # -------------------------------------------------------------- classify

@@ -11,9 +11,10 @@ def _plan(df) -> str:
 
 def test_pruned_scan_and_pushed_filter(spark):
     df = entry.queries()["xml_topics"](spark, SMOKE)
-    from quarry.plans import roles
-    docs = roles.english_docs(spark, SMOKE)
-    p = _plan(docs)
+    from quarry.sources.tables import table
+    from pyspark.sql import functions as F
+    en = table(spark, SMOKE, "documents", "doc_id", "text", "lang").where(F.col("lang") == "en")
+    p = _plan(en.select("doc_id", "text"))
     assert "PushedFilters: [IsNotNull(lang), EqualTo(lang,en)]" in p
     assert "ReadSchema: struct<doc_id:bigint,text:string,lang:string>" in p
     assert df is not None
