@@ -32,3 +32,46 @@ def test_select_kth_matches_sort(spark, vals):
     s = sorted(vals)
     assert r.var == s[k - 1]
     assert abs(r.cvar - sum(s[:k]) / k) < 1e-9
+
+
+@settings(max_examples=8, deadline=None)
+@given(quotes=st.lists(st.tuples(st.integers(0, 40), st.floats(1, 100, allow_nan=False)),
+                       min_size=1, max_size=15))
+def test_fill_never_looks_ahead(spark, quotes):
+    import datetime as dt
+    from quarry.operators import risk
+    base = dt.date(2021, 3, 1)
+    q = {}
+    for day, p in quotes:
+        q[base + dt.timedelta(days=day)] = p          # one quote per date
+    df = spark.createDataFrame([("x", d, float(p)) for d, p in q.items()],
+                               "instrument string, date date, price double")
+    start, end = base, base + dt.timedelta(days=41)
+    got = {r.date: r.price for r in risk.fill_calendar(df, start.isoformat(), end.isoformat()).collect()}
+    first = q[min(q)]
+    for d, p in got.items():
+        past = [x for x in q if x <= d]
+        want = q[max(past)] if past else first
+        assert p == want
+        assert d.weekday() < 5 and start <= d < end
+
+
+def test_component_label_constant_over_edges(spark):
+    import __spark_entry__ as entry
+    from quarry.plans import roles
+    d = "/root/testdata/sf0.01"
+    comp = {r.id: r.component for r in entry.queries()["components"](spark, d).collect()}
+    for e in roles.handoff_edges(spark, d, 8).collect():
+        assert comp[e.src] == comp[e.dst]
+    assert all(c <= i for i, c in comp.items())
+
+
+def test_svd_factors_orthonormal(spark):
+    import numpy as np
+    from quarry.plans import catalog
+    (u, v, s), _ = catalog._svd(spark, "/root/testdata/sf0.001")
+    vv = np.zeros((20, 4))
+    for r in v.collect():
+        vv[r.term_idx, r.concept] = r.weight
+    assert np.allclose(vv.T @ vv, np.eye(4), atol=1e-8)
+    assert all(a >= b for a, b in zip(s, s[1:]))
