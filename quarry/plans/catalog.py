@@ -572,7 +572,8 @@ def random_baseline(spark, d):
 
 def _numeric(spark, d):
     c = _cover(spark, d)
-    return classify.assemble(c, roles.NUMERIC + roles.WILD + roles.SOIL).cache()
+    # read by several fits: cut lineage into the shared folder (no executor memory held)
+    return classify.assemble(c, roles.NUMERIC + roles.WILD + roles.SOIL).checkpoint()
 
 
 @query("confusion")
@@ -603,7 +604,7 @@ def _categorical(spark, d):
     from pyspark.ml.feature import VectorIndexer
     x = classify.assemble(_decoded(spark, d), roles.NUMERIC + ["wilderness", "soil"], "raw")
     vi = VectorIndexer(inputCol="raw", outputCol="features", maxCategories=40).fit(x)
-    return vi.transform(x).cache()
+    return vi.transform(x).checkpoint()
 
 
 @query("tree_grid_categorical")
@@ -652,7 +653,7 @@ def _anomaly_model(spark, d):
     from pyspark.ml.clustering import KMeansModel
     ev = roles.network_records(table(spark, d, "events"))
     h = anomaly.hasher(["event_type", "k", "value"], HASH_DIMS)
-    feats = h.transform(ev).cache()
+    feats = h.transform(ev).checkpoint()
     import hashlib
     tag = hashlib.md5(d.encode()).hexdigest()[:10]
     path = shared_dir(spark).rstrip("/") + f"/quarry-models/kmeans-{tag}-{KMEANS_K}-{HASH_DIMS}"
