@@ -386,8 +386,12 @@ def als_topn(spark, d):
               .join(seen, ["user", "item"], "left_anti"))
     recs = scored.orderBy(F.col("score").desc(), "item").limit(5).withColumn("kind", F.lit("recommended"))
     names = table(spark, d, "part", "p_partkey", "p_name").withColumnRenamed("p_partkey", "item")
-    own = seen.withColumn("score", F.lit(None).cast("float")).withColumn("kind", F.lit("existing"))
-    return recs.unionByName(own).join(names, "item", "left").select("user", "kind", "item", "p_name", "score")
+    # the user's existing items: names filtered by membership (semi join)
+    own = names.join(seen.select("item"), "item", "left_semi").join(seen, "item")
+    own = own.select("user", F.lit("existing").alias("kind"), "item", "p_name",
+                     F.lit(None).cast("float").alias("score"))
+    recs = recs.join(names, "item", "left").select("user", "kind", "item", "p_name", "score")
+    return recs.unionByName(own)
 
 
 @query("als_grid")
