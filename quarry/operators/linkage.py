@@ -38,9 +38,14 @@ def pair_field_counts(records: DataFrame, block: str, label: str,
 
     Output columns: field, matched, pairs, nonnull, agree (doubles).
     """
+    from quarry.session import shared_dir
+    shared_dir(records.sparkSession)   # checkpoint() below needs the shared folder
     long = to_long(records, block, label, fields)
-    bsv = (long.where(F.col("value").isNotNull())
-           .groupBy("field", "block", "label", "value").agg(F.count(F.lit(1)).alias("c")))
+    # One pass over the records: value counts per (field, block, label, value),
+    # NULL values included, written once; every sum below reads this table.
+    bsv_all = (long.groupBy("field", "block", "label", "value")
+               .agg(F.count(F.lit(1)).alias("c")).checkpoint())
+    bsv = bsv_all.where(F.col("value").isNotNull())
     # matched side: same block and label
     bs = bsv.groupBy("field", "block", "label").agg(
         F.sum("c").alias("nn"), F.sum(_c2(F.col("c"))).alias("agree"))
@@ -51,9 +56,10 @@ def pair_field_counts(records: DataFrame, block: str, label: str,
     a_all = bv.groupBy("field").agg(F.sum(_c2(F.col("c"))).alias("agree_all"))
     nn_all = (bs.groupBy("field", "block").agg(F.sum("nn").alias("nn"))
               .groupBy("field").agg(F.sum(_c2(F.col("nn"))).alias("nonnull_all")))
-    # total pairs do not depend on the field: two scalar subqueries
-    sizes = records.groupBy(F.col(block).alias("block"), F.col(label).alias("label")) \
-        .agg(F.count(F.lit(1)).alias("n"))
+    # total pairs do not depend on the field: block sizes from any one field's
+    # counts (NULLs included), as two scalar subqueries
+    sizes = (bsv_all.where(F.col("field") == fields[0])
+             .groupBy("block", "label").agg(F.sum("c").alias("n")))
     p_m = sizes.select(F.sum(_c2(F.col("n")))).scalar()
     p_all = (sizes.groupBy("block").agg(F.sum("n").alias("n"))
              .select(F.sum(_c2(F.col("n")))).scalar())

@@ -200,7 +200,10 @@ def _filled(spark, d, factors=False):
 
 
 def _returns(spark, d, factors=False):
-    return risk.horizon_returns(_filled(spark, d, factors), 10)
+    """10-day returns, written once to the shared folder: several branches
+    (covariance, means, features, regressions, scalar bounds) read them, and
+    each re-read would otherwise re-scan and re-aggregate the orders."""
+    return risk.horizon_returns(_filled(spark, d, factors), 10).checkpoint()
 
 
 @query("bday_fill")
@@ -427,7 +430,10 @@ def als_grid(spark, d):
 # ------------------------------------------------------------------ 9 graph
 
 def _g(spark, d, k):
-    return roles.supplier_vertices(spark, d), roles.handoff_edges(spark, d, k)
+    """Vertices and the (aggregated, small) edge list, the latter written once:
+    degree, triangle and clustering branches all read it, and recomputing it
+    means re-running the lineitem self-join."""
+    return roles.supplier_vertices(spark, d), roles.handoff_edges(spark, d, k).checkpoint()
 
 
 @query("components")
@@ -490,13 +496,16 @@ def pagerank5(spark, d):
 VOCAB_SIZE = 20
 
 
-def _tf(spark, d):
-    return text.term_counts(text.remove_stop_words(text.tokens(roles.corpus(spark, d))))
+def _tf(spark, d, materialize=False):
+    """(doc_id, term, tf).  ``materialize`` writes it once to the shared folder
+    when several branches read it, so the corpus is tokenised only once."""
+    tf = text.term_counts(text.remove_stop_words(text.tokens(roles.corpus(spark, d))))
+    return tf.checkpoint() if materialize else tf
 
 
 def _tfidf(spark, d):
     docs = roles.corpus(spark, d)
-    tf = _tf(spark, d)
+    tf = _tf(spark, d, materialize=True)
     n_docs = docs.select(F.count(F.lit(1))).scalar()
     return text.tfidf(tf, text.vocabulary(tf, VOCAB_SIZE), n_docs)
 
