@@ -95,3 +95,44 @@ def test_bucketed_order_ops_equal_plain_windows(spark, rows):
     g = sorted((r.k, r.t, r.next_v, r.run) for r in got.collect())
     e = sorted((r.k, r.t, r.next_v, r.run) for r in want.collect())
     assert g == e
+
+
+@settings(max_examples=8, deadline=None)
+@given(recs=st.lists(st.tuples(st.integers(0, 2), st.sampled_from("xy"),
+                               st.one_of(st.none(), st.sampled_from("abc"))), min_size=2, max_size=25))
+def test_pair_free_linkage_counts_equal_brute_force(spark, recs):
+    """Sums of binomials of value counts == statistics over explicit pairs."""
+    from itertools import combinations
+    from quarry.operators import linkage
+    df = spark.createDataFrame(recs, "block int, label string, f string")
+    got = {r.matched: (r.pairs, r.nonnull, r.agree)
+           for r in linkage.pair_field_counts(df, "block", "label", ["f"]).collect()}
+    want = {True: [0, 0, 0], False: [0, 0, 0]}
+    for (b1, l1, f1), (b2, l2, f2) in combinations(recs, 2):
+        if b1 != b2:
+            continue
+        w = want[l1 == l2]
+        w[0] += 1
+        if f1 is not None and f2 is not None:
+            w[1] += 1
+            w[2] += f1 == f2
+    assert {k: tuple(float(x) for x in v) for k, v in want.items()} == got
+
+
+@settings(max_examples=8, deadline=None)
+@given(items=st.lists(st.tuples(st.integers(0, 3), st.sampled_from("abcdefg")), min_size=1, max_size=40),
+       chunk=st.integers(1, 4))
+def test_salted_pairs_equal_brute_force(spark, items, chunk):
+    from itertools import combinations
+    from quarry.operators import cooccur
+    df = spark.createDataFrame(items, "basket long, topic string")
+    dist = cooccur.distinct_baskets(df, "basket", "topic")
+    got = {(r.topic_a, r.topic_b): r.cnt for r in cooccur.pair_counts(dist, chunk).collect()}
+    baskets = {}
+    for b, t in items:
+        baskets.setdefault(b, set()).add(t)
+    want = {}
+    for ts in baskets.values():
+        for a, b in combinations(sorted(ts), 2):
+            want[(a, b)] = want.get((a, b), 0) + 1
+    assert got == want
