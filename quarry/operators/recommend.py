@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions.expr import hash_int
@@ -56,11 +56,25 @@ def popularity_scorer(train: DataFrame, pairs: DataFrame) -> DataFrame:
 
 
 def item_index(items: DataFrame) -> DataFrame:
-    """Dense 0-based index of each distinct item in item order (zipWithIndex
-    after a distributed sort; no single-partition window)."""
-    d = items.select("item").distinct().orderBy("item")
-    rdd = d.rdd.zipWithIndex().map(lambda t: (t[0][0], t[1]))
-    return rdd.toDF("item long, idx long")
+    """Dense 0-based index of each distinct item in item order, JVM-side.
+
+    Range-partition and sort the distinct items, tag rows with
+    ``monotonically_increasing_id`` (partition id in the upper bits, row
+    position below), write once so the tags are fixed, then add each
+    partition's offset = rows in all earlier partitions (a table with one row
+    per partition, broadcast)."""
+    from quarry.session import shared_dir
+    shared_dir(items.sparkSession)
+    d = (items.select("item").distinct().repartitionByRange("item").sortWithinPartitions("item")
+         .withColumn("_mid", F.monotonically_increasing_id()).checkpoint())
+    pid = F.shiftright(F.col("_mid"), 33)
+    counts = d.groupBy(pid.alias("_pid")).agg(F.count(F.lit(1)).alias("_n"))
+    # one row per partition: a global window over a partition-count-sized table
+    w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    off = counts.select("_pid", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
+    local = F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))
+    return (d.join(F.broadcast(off), pid == F.col("_pid"))
+            .select("item", (F.col("_off") + local).cast("long").alias("idx")))
 
 
 def sample_negatives(positives: DataFrame, items: DataFrame, seed: int = 42,
