@@ -2,8 +2,9 @@
 concept rankings, cosine queries.
 
 TF-IDF is kept sparse and relational, (doc_id, term, tf, idf, tfidf), so
-every step is a join or an aggregation; the SVD takes the same rows as an
-``IndexedRowMatrix`` keyed by doc id (row identity is carried, never zipped).
+every step is a join or an aggregation; the SVD aggregates the vocabulary-
+sized Gram matrix from the same rows and keeps doc ids on U (row identity is
+carried, never zipped).
 """
 
 from __future__ import annotations
@@ -72,37 +73,48 @@ def cosine_to(unit: DataFrame, query_doc) -> DataFrame:
 
 
 def svd(tfidf_rows: DataFrame, n_terms: int, k: int):
-    """Truncated SVD of the doc x term TF-IDF matrix (rows keyed by doc id).
-
-    Returns (U rows DataFrame (doc_id, concept, weight), V DataFrame
-    (term_idx, concept, weight), singular values list).  Each singular
-    vector's sign is fixed so its largest-magnitude V entry is positive.
+    """Truncated SVD of the doc x term TF-IDF matrix A (rows keyed by doc id).
+
+    As for any tall, narrow matrix: the Gram matrix A^T A (n_terms x
+    n_terms) is one aggregation - each doc's dense row (n_terms values, the
+    vocabulary bounds it) contributes its outer product - and is
+    eigen-decomposed on the driver (n_terms^2 numbers, checked);
+    V = eigenvectors, s = sqrt(eigenvalues), and U = A V / s is a column
+    expression per doc.  Each singular vector's sign is fixed so its
+    largest-magnitude V entry is positive.
+
+    Returns (U (doc_id, concept, weight), V (term_idx, concept, weight),
+    singular values).
     """
-    from pyspark.mllib.linalg import Vectors
-    from pyspark.mllib.linalg.distributed import IndexedRow, IndexedRowMatrix
-
-    rows = (tfidf_rows.groupBy("doc_id")
-            .agg(F.map_from_entries(F.collect_list(F.struct("term_idx", "tfidf"))).alias("m")))
-
-    def to_row(r):
-        m = r["m"]
-        idx = sorted(m)
-        return IndexedRow(int(r["doc_id"]), Vectors.sparse(n_terms, idx, [float(m[i]) for i in idx]))
-
-    mat = IndexedRowMatrix(rows.rdd.map(to_row), numCols=n_terms)
-    res = mat.computeSVD(k, computeU=True)
-    v = res.V.toArray()
-    signs = [1.0 if v[abs(v[:, j]).argmax(), j] >= 0 else -1.0 for j in range(v.shape[1])]
+    import numpy as np
+    if n_terms > 4096:
+        raise ValueError("Gram matrix too large for a driver-side eigensolve")
     spark = tfidf_rows.sparkSession
+    m = (tfidf_rows.groupBy("doc_id")
+         .agg(F.map_from_entries(F.collect_list(F.struct("term_idx", "tfidf"))).alias("m")))
+    rows = m.select("doc_id", F.transform(F.sequence(F.lit(0), F.lit(n_terms - 1)),
+                                          lambda i: F.coalesce(F.col("m")[i], F.lit(0.0))).alias("a"))
+    outer = rows.select(F.posexplode("a").alias("i", "ai"), "a").select(
+        "i", F.posexplode(F.transform("a", lambda aj: F.col("ai") * aj)).alias("j", "g"))
+    gram = np.zeros((n_terms, n_terms))
+    for r in outer.groupBy("i", "j").agg(F.sum("g").alias("g")).collect():   # n_terms^2 rows
+        gram[r["i"], r["j"]] = r["g"]
+    vals, vecs = np.linalg.eigh(gram)
+    order = np.argsort(vals)[::-1][:k]
+    vals, vecs = np.clip(vals[order], 0.0, None), vecs[:, order]
+    keep = vals > 1e-12 * max(vals.max(initial=0.0), 1e-300)
+    vals, vecs = vals[keep], vecs[:, keep]
+    signs = np.where(vecs[np.abs(vecs).argmax(axis=0), np.arange(vecs.shape[1])] >= 0, 1.0, -1.0)
+    v = vecs * signs
+    s = np.sqrt(vals)
     v_df = spark.createDataFrame(
-        [(i, j, float(v[i, j] * signs[j])) for i in range(v.shape[0]) for j in range(v.shape[1])],
+        [(i, j, float(v[i, j])) for i in range(v.shape[0]) for j in range(v.shape[1])],
         "term_idx int, concept int, weight double")
-    kk = v.shape[1]
-    u_df = res.U.rows.map(lambda r: (r.index, [float(x) for x in r.vector.toArray()])) \
-        .toDF("doc_id long, u array<double>")
-    sg = F.array(*[F.lit(s) for s in signs])
-    u_long = u_df.select("doc_id", F.posexplode(F.zip_with("u", sg, lambda a, b: a * b)).alias("concept", "weight"))
-    return u_long, v_df, [float(s) for s in res.s.toArray()][:kk]
+    cols = [F.array(*[F.lit(float(v[i, c] / s[c])) for i in range(n_terms)]) for c in range(v.shape[1])]
+    from quarry.functions.expr import dot
+    u = rows.select("doc_id", F.array(*[dot(F.col("a"), cvec) for cvec in cols]).alias("u"))
+    u_long = u.select("doc_id", F.posexplode("u").alias("concept", "weight"))
+    return u_long, v_df, [float(x) for x in s]
 
 
 def top_per_concept(weights: DataFrame, key: str, n: int, salts: int = 64) -> DataFrame:
