@@ -21,7 +21,7 @@ def decode_onehot(df: DataFrame, groups: dict[str, list[str]]) -> DataFrame:
     out = df
     for name, cols in groups.items():
         pos = F.array_position(F.array(*[F.col(c).cast("double") for c in cols]), F.lit(1.0))
-        out = out.withColumn(name, F.when(pos > 0, pos - 1)).drop(*cols)
+        out = out.withColumn(name, F.when(pos > 0, (pos - 1).cast("int"))).drop(*cols)
     return out
 
 

@@ -347,7 +347,7 @@ plays AS (SELECT o_custkey AS "user", l_partkey AS item, count(*) AS count
 good AS (SELECT p_name, p_brand, min(p_partkey) AS good FROM part GROUP BY 1, 2),
 alias AS (SELECT p.p_partkey AS bad, g.good FROM part p JOIN good g USING (p_name, p_brand)
           WHERE p.p_partkey <> g.good),
-ratings AS (SELECT "user", coalesce(a.good, item) AS item, sum(count) AS count
+ratings AS (SELECT "user", coalesce(a.good, item) AS item, CAST(sum(count) AS BIGINT) AS count
             FROM plays LEFT JOIN alias a ON a.bad = plays.item GROUP BY 1, 2),
 r AS (SELECT *, CAST('0x' || substr(md5(CAST("user" AS VARCHAR) || '|' || CAST(item AS VARCHAR) || '|fold'), 1, 8)
                      AS BIGINT) % 10 AS fold_of FROM ratings),
@@ -398,7 +398,7 @@ SELECT "user", item, count FROM ratings
 
 ORACLE["popularity"] = f"""
 WITH {_RATINGS}
-SELECT item, sum(count) AS pop FROM ratings GROUP BY item
+SELECT item, CAST(sum(count) AS BIGINT) AS pop FROM ratings GROUP BY item
 """
 
 ORACLE["user_auc"] = _auc_sql(False) + """
