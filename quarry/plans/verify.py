@@ -39,6 +39,17 @@ def _norm(v):
     return v
 
 
+# Spark simple type names -> DuckDB type names (for the schema comparison)
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "date": "DATE", "float": "FLOAT"}
+
+
+def type_mismatches(sdf, rel) -> list:
+    st = {f.name: f.dataType.simpleString() for f in sdf.schema.fields}
+    dt = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    return [(c, st[c], dt.get(c)) for c in st if SPARK_TO_DUCK.get(st[c], st[c]) != dt.get(c)]
+
+
 def rows_of_spark(df):
     cols = sorted(df.columns)
     return cols, Counter(tuple(_norm(r[c]) for c in cols) for r in df.collect())
@@ -61,7 +72,8 @@ def compare(spark, sf_dir: str, names=None) -> dict:
     for name in names or sorted(qs):
         t0 = time.time()
         try:
-            scols, srows = rows_of_spark(qs[name](spark, sf_dir))
+            sdf = qs[name](spark, sf_dir)
+            scols, srows = rows_of_spark(sdf)
         except Exception as e:  # noqa: BLE001
             out[name] = f"SPARK ERROR {type(e).__name__}: {str(e)[:300]}"
             continue
@@ -81,7 +93,8 @@ def compare(spark, sf_dir: str, names=None) -> dict:
             diff = list((srows - drows).items())[:3], list((drows - srows).items())[:3]
             out[name] = f"VALUES n={n_s}/{n_d} spark-only/duck-only={diff}"
         else:
-            out[name] = f"OK n={n_s} ({dt:.1f}s)"
+            bad = type_mismatches(sdf, con.sql(sql[name]))
+            out[name] = f"OK n={n_s} ({dt:.1f}s)" if not bad else f"TYPES {bad}"
     return out
 
 
