@@ -87,7 +87,7 @@ def svd(tfidf_rows: DataFrame, n_terms: int, k: int):
     singular values).
     """
     import numpy as np
-    if n_terms > 4096:
+    if n_terms > 1024:
         raise ValueError("Gram matrix too large for a driver-side eigensolve")
     spark = tfidf_rows.sparkSession
     m = (tfidf_rows.groupBy("doc_id")

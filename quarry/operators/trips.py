@@ -93,22 +93,36 @@ def zone_table(zones: DataFrame) -> DataFrame:
                                              F.col("zone")))
 
 
+MAX_BROADCAST_ZONES = 10_000
+
+
 def assign_zone(trips: DataFrame, zones: DataFrame, point: str = "dropoff_loc",
-                key: str = "trip_id", default: str = "NA") -> DataFrame:
+                key: str = "trip_id", default: str = "NA", cell: float | None = None) -> DataFrame:
     """First zone (by priority) whose polygon contains ``point``, else ``default``.
 
-    The zone table is a small fixed literal (bounded by the number of polygons,
-    not by the data), so it is broadcast; the bounding-box predicate lets the
-    nested-loop join skip most polygons cheaply before ray casting.  ``key``
+    A zone table of at most MAX_BROADCAST_ZONES polygons (a bounded count is
+    checked) is broadcast and matched by a nested-loop join whose bounding-box
+    predicate skips most polygons before ray casting.  A larger table - or an
+    explicit ``cell`` size - uses a grid: each polygon is exploded over the
+    grid cells its bounding box covers, each point keyed by its cell, and the
+    join is an equi-join on the cell, so neither side is broadcast.  ``key``
     must identify a trip; the result has one row per input trip.
     """
     zt = zone_table(zones)
     x, y = F.col(point + ".x"), F.col(point + ".y")
-    cand = trips.select(key, x.alias("_px"), y.alias("_py")).join(
-        F.broadcast(zt),
-        (F.col("_px") >= F.col("min_x")) & (F.col("_px") <= F.col("max_x"))
-        & (F.col("_py") >= F.col("min_y")) & (F.col("_py") <= F.col("max_y")),
-        "inner")
+    pts = trips.select(key, x.alias("_px"), y.alias("_py"))
+    in_box = ((F.col("_px") >= F.col("min_x")) & (F.col("_px") <= F.col("max_x"))
+              & (F.col("_py") >= F.col("min_y")) & (F.col("_py") <= F.col("max_y")))
+    n_zones = zones.limit(MAX_BROADCAST_ZONES + 1).count()
+    if cell is None and n_zones <= MAX_BROADCAST_ZONES:
+        cand = pts.join(F.broadcast(zt), in_box, "inner")
+    else:
+        size = F.lit(float(cell or 1.0))
+        gx = F.explode(F.sequence(F.floor(F.col("min_x") / size), F.floor(F.col("max_x") / size)))
+        gy = F.explode(F.sequence(F.floor(F.col("min_y") / size), F.floor(F.col("max_y") / size)))
+        zc = zt.select("*", gx.alias("_cx")).select("*", gy.alias("_cy"))
+        pc = pts.select("*", F.floor(F.col("_px") / size).alias("_cx"), F.floor(F.col("_py") / size).alias("_cy"))
+        cand = pc.join(zc, ["_cx", "_cy"]).where(in_box)
     hit = (cand.where(point_in_polygon(F.col("_px"), F.col("_py"), F.col("ring")))
            .groupBy(key).agg(F.min_by("zone", "priority").alias("_zone")))
     return (trips.join(hit, key, "left")

@@ -145,3 +145,14 @@ def test_pagerank_mass_without_dangling(spark):
     e = spark.createDataFrame([(0, 1), (1, 2), (2, 0)], "src long, dst long")
     r = graph.pagerank(v, e, 0.15, 5).collect()
     assert math.isclose(sum(x.rank for x in r), 1.0) and all(math.isclose(x.rank, 1 / 3) for x in r)
+
+
+def test_zone_grid_join_equals_broadcast(spark):
+    from quarry.plans import roles
+    ev = spark.createDataFrame([(i, (float(i % 101), float((i * 37) % 101))) for i in range(2000)],
+                               "trip_id long, dropoff_loc struct<x:double,y:double>")
+    z = spark.createDataFrame([(c, n, [(float(a), float(b)) for a, b in ring]) for c, n, ring in roles.ZONES],
+                              "zone_code int, zone string, ring array<struct<x:double,y:double>>")
+    a = {r.trip_id: r.zone for r in trips.assign_zone(ev, z).collect()}
+    b = {r.trip_id: r.zone for r in trips.assign_zone(ev, z, cell=7.0).collect()}
+    assert a == b and len(set(a.values())) > 2
