@@ -96,3 +96,14 @@ def grid_eval(train: DataFrame, cv: DataFrame, grid: list[dict], make, paralleli
         rows = list(ex.map(one, grid))
     df = spark.createDataFrame(rows, "params string, train_accuracy double, cv_accuracy double")
     return df.orderBy(F.col("cv_accuracy").desc(), "params")
+
+
+def refit_score(train: DataFrame, cv: DataFrame, test: DataFrame, model, label: str) -> DataFrame:
+    """Refit one chosen model on train + cv (union by name) and score it on
+    the held-out test split and on the data it was fitted on."""
+    both = train.unionByName(cv)
+    m = model.fit(both)
+    fit_acc = m.transform(both).agg(accuracy(None).alias("a")).first()["a"]
+    test_acc = m.transform(test).agg(accuracy(None).alias("a")).first()["a"]
+    return train.sparkSession.createDataFrame(
+        [(label, float(fit_acc), float(test_acc))], "params string, train_accuracy double, cv_accuracy double")

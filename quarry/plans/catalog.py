@@ -609,8 +609,11 @@ def tree_grid(spark, d):
     """impurity {gini, entropy} x depth {1, 20} x bins {10, 300}, numeric features."""
     x = _numeric(spark, d)
     grid = [dict(impurity=i, depth=dp, bins=b) for i in ("gini", "entropy") for dp in (1, 20) for b in (10, 300)]
-    return classify.grid_eval(x.where(F.col("split") == "train"), x.where(F.col("split") == "cv"),
-                              grid, classify.tree)
+    tr, cv, te = (x.where(F.col("split") == k) for k in ("train", "cv", "test"))
+    g = classify.grid_eval(tr, cv, grid, classify.tree)
+    # then entropy / depth 20 / 300 bins refitted on train + cv: fit and test accuracy
+    refit = classify.refit_score(tr, cv, te, classify.tree("entropy", 20, 300), "refit entropy/20/300 (test)")
+    return g.unionByName(refit)
 
 
 def _categorical(spark, d):
@@ -626,8 +629,10 @@ def tree_grid_categorical(spark, d):
     x = _categorical(spark, d)
     grid = [dict(impurity=i, depth=dp, bins=b) for i in ("gini", "entropy") for dp in (10, 20, 30)
             for b in (40, 300)]
-    return classify.grid_eval(x.where(F.col("split") == "train"), x.where(F.col("split") == "cv"),
-                              grid, classify.tree)
+    tr, cv, te = (x.where(F.col("split") == k) for k in ("train", "cv", "test"))
+    g = classify.grid_eval(tr, cv, grid, classify.tree)
+    refit = classify.refit_score(tr, cv, te, classify.tree("entropy", 30, 300), "refit entropy/30/300 (test)")
+    return g.unionByName(refit)
 
 
 @query("forest")
