@@ -101,28 +101,35 @@ def assign_zone(trips: DataFrame, zones: DataFrame, point: str = "dropoff_loc",
     """First zone (by priority) whose polygon contains ``point``, else ``default``.
 
     A zone table of at most MAX_BROADCAST_ZONES polygons (a bounded count is
-    checked) is broadcast and matched by a nested-loop join whose bounding-box
-    predicate skips most polygons before ray casting.  A larger table - or an
-    explicit ``cell`` size - uses a grid: each polygon is exploded over the
-    grid cells its bounding box covers, each point keyed by its cell, and the
-    join is an equi-join on the cell, so neither side is broadcast.  ``key``
-    must identify a trip; the result has one row per input trip.
+    checked) travels as one scalar-subquery value - the array of zones, with
+    bounding boxes - and every trip row picks its first containing zone in
+    place: no join, no shuffle, the trip rows never move.  A larger table -
+    or an explicit ``cell`` size - uses a grid: each polygon is exploded over
+    the grid cells its bounding box covers, each point keyed by its cell, the
+    join is an equi-join on the cell, and the winner per trip is an
+    aggregation joined back.  ``key`` must identify a trip (grid path only).
     """
     zt = zone_table(zones)
     x, y = F.col(point + ".x"), F.col(point + ".y")
+    n_zones = zones.limit(MAX_BROADCAST_ZONES + 1).count()
+    if cell is None and n_zones <= MAX_BROADCAST_ZONES:
+        arr = zt.select(F.collect_list(F.struct("priority", "zone", "ring", "min_x", "max_x", "min_y", "max_y"))
+                        ).scalar()
+        # the subquery value is projected first: higher-order functions take columns only
+        t = trips.withColumn("_zones", arr)
+        inside = F.filter("_zones", lambda z: (x >= z["min_x"]) & (x <= z["max_x"]) & (y >= z["min_y"])
+                          & (y <= z["max_y"]) & point_in_polygon(x, y, z["ring"]))
+        best = F.array_min(F.transform(inside, lambda z: F.struct(z["priority"].alias("p"), z["zone"].alias("z"))))
+        return t.withColumn("zone", F.coalesce(best["z"], F.lit(default))).drop("_zones")
     pts = trips.select(key, x.alias("_px"), y.alias("_py"))
     in_box = ((F.col("_px") >= F.col("min_x")) & (F.col("_px") <= F.col("max_x"))
               & (F.col("_py") >= F.col("min_y")) & (F.col("_py") <= F.col("max_y")))
-    n_zones = zones.limit(MAX_BROADCAST_ZONES + 1).count()
-    if cell is None and n_zones <= MAX_BROADCAST_ZONES:
-        cand = pts.join(F.broadcast(zt), in_box, "inner")
-    else:
-        size = F.lit(float(cell or 1.0))
-        gx = F.explode(F.sequence(F.floor(F.col("min_x") / size), F.floor(F.col("max_x") / size)))
-        gy = F.explode(F.sequence(F.floor(F.col("min_y") / size), F.floor(F.col("max_y") / size)))
-        zc = zt.select("*", gx.alias("_cx")).select("*", gy.alias("_cy"))
-        pc = pts.select("*", F.floor(F.col("_px") / size).alias("_cx"), F.floor(F.col("_py") / size).alias("_cy"))
-        cand = pc.join(zc, ["_cx", "_cy"]).where(in_box)
+    size = F.lit(float(cell or 1.0))
+    gx = F.explode(F.sequence(F.floor(F.col("min_x") / size), F.floor(F.col("max_x") / size)))
+    gy = F.explode(F.sequence(F.floor(F.col("min_y") / size), F.floor(F.col("max_y") / size)))
+    zc = zt.select("*", gx.alias("_cx")).select("*", gy.alias("_cy"))
+    pc = pts.select("*", F.floor(F.col("_px") / size).alias("_cx"), F.floor(F.col("_py") / size).alias("_cy"))
+    cand = pc.join(zc, ["_cx", "_cy"]).where(in_box)
     hit = (cand.where(point_in_polygon(F.col("_px"), F.col("_py"), F.col("ring")))
            .groupBy(key).agg(F.min_by("zone", "priority").alias("_zone")))
     return (trips.join(hit, key, "left")
