@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from quarry.operators import (anomaly, basic, classify, cooccur, graph, linkage, recommend, risk, scoring,
                               text, trips)
 from quarry.plans import roles
-from quarry.session import shared_dir
+from quarry.session import shared_dir, stand_in_source
 from quarry.sources import files
 from quarry.sources.tables import table
 
@@ -150,7 +150,7 @@ def _link_counts(spark, d):
 @query("header_and_bad_rows")
 def header_and_bad_rows(spark, d):
     """Text scan of a CSV whose header is a quoted line inside the data."""
-    path = files.write_lines(roles.linkage_lines(spark, d), shared_dir(spark, "linkage"))
+    path = stand_in_source(spark, "linkage", d, lambda p: files.write_lines(roles.linkage_lines(spark, d), p))
     lines = files.drop_header_lines(files.read_lines(spark, path))
     a = F.split(F.col("value"), ",")
     return lines.select(a[0].try_cast("long").alias("id"), a[1].try_cast("int").alias("block"),
@@ -298,18 +298,20 @@ def return_kde(spark, d):
 
 # -------------------------------------------------------------- 7/8 recommend
 
-def _text(spark, lines, name):
-    return files.read_lines(spark, files.write_lines(lines, shared_dir(spark, name)))
+def _text(spark, d, make_lines, name):
+    """A stand-in text input (written once per application) read line by line."""
+    path = stand_in_source(spark, name, d, lambda p: files.write_lines(make_lines(spark, d), p))
+    return files.read_lines(spark, path)
 
 
 def _ratings(spark, d):
     """Plays read back from space-separated text, alias file applied."""
     from pyspark.sql import types as T
-    path = files.write_lines(roles.plays_lines(spark, d), shared_dir(spark, "plays"))
+    path = stand_in_source(spark, "plays", d, lambda p: files.write_lines(roles.plays_lines(spark, d), p))
     schema = T.StructType([T.StructField("user", T.LongType()), T.StructField("item", T.LongType()),
                            T.StructField("count", T.LongType())])
     raw = files.read_csv(spark, path, schema, header=False, sep=" ")
-    alias = recommend.parse_alias(_text(spark, roles.alias_lines(spark, d), "alias"))
+    alias = recommend.parse_alias(_text(spark, d, roles.alias_lines, "alias"))
     return recommend.resolve_alias(raw, alias)
 
 
@@ -320,7 +322,7 @@ def _fold(c_user="user", c_item="item"):
 
 @query("artist_parse")
 def artist_parse(spark, d):
-    return recommend.parse_id_name(_text(spark, roles.artist_lines(spark, d), "artists"))
+    return recommend.parse_id_name(_text(spark, d, roles.artist_lines, "artists"))
 
 
 @query("resolve_alias")
@@ -703,8 +705,8 @@ def anomaly_stream(spark, d):
     from quarry.streaming.anomaly_stream import run_scoring_stream
     h, model, _ = _anomaly_model(spark, d)
     ev = table(spark, d, "events")
-    src = shared_dir(spark, "events-src")
-    ev.repartition(8, "event_id").write.mode("overwrite").parquet(src)
+    src = stand_in_source(spark, "events-src", d,
+                          lambda p: ev.repartition(8, "event_id").write.mode("overwrite").parquet(p))
     sink = run_scoring_stream(spark, src, ev.schema, roles.network_records, h, model,
                               anomaly.centres(model, spark), shared_dir(spark, "scored"),
                               shared_dir(spark, "scored-ckpt"), files_per_trigger=2)
@@ -721,9 +723,11 @@ def _image_sets(spark, d):
     split per class; train and test are unions by name."""
     from quarry.functions.expr import hash_uniform
     e = table(spark, d, "embeddings", "vec_id", "embedding", "label")
-    root = shared_dir(spark, "images")
-    e.where(F.col("label") >= 5).drop("label").write.mode("overwrite").parquet(f"{root}/tulips")
-    e.where(F.col("label") < 5).drop("label").write.mode("overwrite").parquet(f"{root}/daisy")
+
+    def write(root):
+        e.where(F.col("label") >= 5).drop("label").write.mode("overwrite").parquet(f"{root}/tulips")
+        e.where(F.col("label") < 5).drop("label").write.mode("overwrite").parquet(f"{root}/daisy")
+    root = stand_in_source(spark, "images", d, write)
     parts = []
     for name in ("tulips", "daisy"):
         x = spark.read.parquet(f"{root}/{name}").select("*", F.col("_metadata.file_path").alias("path"))

@@ -59,9 +59,9 @@ def trip_records(spark: SparkSession, d: str) -> DataFrame:
 
 def trip_csv(spark: SparkSession, d: str) -> str:
     """Write the trip records as headed CSV to the shared folder; return the path."""
-    from quarry.session import shared_dir
+    from quarry.session import stand_in_source
     from quarry.sources.files import write_csv
-    return write_csv(trip_records(spark, d), shared_dir(spark, "trips"))
+    return stand_in_source(spark, "trips", d, lambda p: write_csv(trip_records(spark, d), p))
 
 
 def read_trip_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -96,9 +96,9 @@ def zones(spark: SparkSession) -> DataFrame:
     from pyspark.sql import types as T
     from quarry.session import shared_dir
     from quarry.sources.files import read_json
-    path = shared_dir(spark, "zones")
-    spark.createDataFrame([(zones_geojson_text(),)], "value string") \
-        .coalesce(1).write.mode("overwrite").text(path)
+    from quarry.session import stand_in_source
+    path = stand_in_source(spark, "zones", "", lambda p: spark.createDataFrame(
+        [(zones_geojson_text(),)], "value string").coalesce(1).write.mode("overwrite").text(p))
     geom = T.StructType([T.StructField("type", T.StringType()),
                          T.StructField("coordinates", T.ArrayType(T.ArrayType(T.ArrayType(T.DoubleType()))))])
     props = T.StructType([T.StructField("boroughCode", T.StringType()),
@@ -175,10 +175,10 @@ def citation_schema():
 
 def citation_xml(spark: SparkSession, d: str) -> str:
     """Write the citations as gzip XML (root MedlineCitationSet) to the shared folder."""
-    from quarry.session import shared_dir
+    from quarry.session import stand_in_source
     from quarry.sources.files import write_xml
-    return write_xml(citation_records(spark, d), shared_dir(spark, "citations"),
-                     "MedlineCitation", "MedlineCitationSet", compression="gzip")
+    return stand_in_source(spark, "citations", d, lambda p: write_xml(
+        citation_records(spark, d), p, "MedlineCitation", "MedlineCitationSet", compression="gzip"))
 
 
 # ------------------------------------------------------------------- risk
@@ -301,9 +301,9 @@ def cover_rows(spark: SparkSession, d: str) -> DataFrame:
 def cover_file(spark: SparkSession, d: str) -> DataFrame:
     """The rows written as header-less CSV and read back with an explicit schema."""
     from pyspark.sql import types as T
-    from quarry.session import shared_dir
+    from quarry.session import stand_in_source
     from quarry.sources.files import read_csv, write_csv
-    path = write_csv(cover_rows(spark, d), shared_dir(spark, "cover"), header=False)
+    path = stand_in_source(spark, "cover", d, lambda p: write_csv(cover_rows(spark, d), p, header=False))
     fields = [T.StructField("vec_id", T.LongType())]
     fields += [T.StructField(c, T.DoubleType()) for c in NUMERIC]
     fields += [T.StructField(c, T.IntegerType()) for c in WILD + SOIL + ["label"]]

@@ -72,3 +72,23 @@ def shared_dir(spark: SparkSession, sub: str | None = None) -> str:
     if sub is None:
         return root
     return root.rstrip("/") + f"/quarry-{sub}-{uuid.uuid4().hex[:12]}"
+
+
+_SOURCES: dict[tuple, str] = {}
+
+
+def stand_in_source(spark: SparkSession, name: str, key: str, write) -> str:
+    """Path of a stand-in input file set (e.g. the trip CSV made from events),
+    written once per Spark application and fixture and reused by every query
+    that reads it, as real inputs would be.  ``write(path)`` creates it."""
+    k = (spark.sparkContext.applicationId, name, key.rstrip("/"))
+    path = _SOURCES.get(k)
+    if path is not None:
+        jvm = spark.sparkContext._jvm
+        hp = jvm.org.apache.hadoop.fs.Path(path)
+        if hp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hp):
+            return path
+    path = shared_dir(spark, name)
+    write(path)
+    _SOURCES[k] = path
+    return path
