@@ -89,12 +89,14 @@ def connected_components(vertices: DataFrame, edges: DataFrame) -> DataFrame:
 def strongly_connected_components(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     """(id, component): component = smallest id of the vertex's SCC.
 
-    Colouring: forward-propagate the smallest reaching id (colour); a vertex
-    whose colour is its own id is a root; the root's SCC is the set of
-    same-colour vertices that reach it (backward propagation inside the
-    colour).  Assign, remove, repeat on the rest.
+    Trim, then colour: vertices without in- or out-edges inside the
+    remaining graph are singleton SCCs and are peeled off; otherwise
+    forward-propagate the smallest reaching id (colour); a vertex whose colour
+    is its own id is a root; the root's SCC is the set of same-colour vertices
+    that reach it (backward propagation inside the colour).  Assign, remove,
+    repeat on the rest.
     """
-    e_all = edges.select("src", "dst").where(F.col("src") != F.col("dst")).distinct()
+    e_all = _ckpt(edges.select("src", "dst").where(F.col("src") != F.col("dst")).distinct())
     rest = _ckpt(vertices.select("id"))
     done = None
     for _ in range(MAX_ROUNDS):
@@ -103,6 +105,17 @@ def strongly_connected_components(vertices: DataFrame, edges: DataFrame) -> Data
         ids = rest.select("id")
         e = (e_all.join(ids.withColumnRenamed("id", "src"), "src")
              .join(ids.withColumnRenamed("id", "dst"), "dst"))
+        # trim: a vertex without in-edges or without out-edges inside the rest
+        # is a singleton SCC; peel those first (cheap, and it shrinks the
+        # graph the propagation rounds walk over)
+        has_in = e.select(F.col("dst").alias("id")).distinct()
+        has_out = e.select(F.col("src").alias("id")).distinct()
+        single = rest.join(has_in, "id", "left_anti").unionByName(rest.join(has_out, "id", "left_anti")).distinct()
+        single = _ckpt(single.select("id", F.col("id").alias("component")))
+        if single.limit(1).count() > 0:
+            done = single if done is None else _ckpt(done.unionByName(single))
+            rest = _ckpt(rest.join(single.select("id"), "id", "left_anti"))
+            continue
         colour = _propagate_min(rest.select("id", F.col("id").alias("label")), e)
         # backward reach of each root inside its colour: reversed same-colour edges
         ce = (e.join(colour.select(F.col("id").alias("src"), F.col("label").alias("cs")), "src")
