@@ -77,6 +77,9 @@ def item_index(items: DataFrame) -> DataFrame:
             .select("item", (F.col("_off") + local).cast("long").alias("idx")))
 
 
+DRAW_CHUNK = 4096
+
+
 def sample_negatives(positives: DataFrame, items: DataFrame, seed: int = 42,
                      group: tuple[str, ...] = ("user",)) -> DataFrame:
     """Per group (user), as many negatives as distinct positives.
@@ -99,8 +102,15 @@ def sample_negatives(positives: DataFrame, items: DataFrame, seed: int = 42,
     result = None
     for _ in range(64):
         end = F.least(F.col("next_j") + (F.col("n_pos") - F.col("have")) * 2 + 8, n_items)
-        draws = todo.select(*g, "n_pos", "have", end.alias("end"),
-                            F.explode(F.sequence(F.col("next_j"), end - 1)).alias("j"))
+        # two-level generation: chunk starts first (one row per DRAW_CHUNK
+        # draws), spread over tasks, then each chunk's draws - a user with a
+        # huge positive set never expands all its draws inside one task
+        chunks = (todo.select(*g, "n_pos", "have", end.alias("end"),
+                              F.explode(F.sequence(F.col("next_j"), end - 1, F.lit(DRAW_CHUNK).cast("long")))
+                              .alias("c0"))
+                  .repartition(*g, "c0"))
+        draws = chunks.select(*g, "n_pos", "have", "end", F.explode(
+            F.sequence(F.col("c0"), F.least(F.col("c0") + DRAW_CHUNK - 1, F.col("end") - 1))).alias("j"))
         draws = draws.withColumn(
             "idx", F.pmod(hash_int(*[F.col(c) for c in g], F.col("j"), F.lit(seed)), n_items))
         cand = draws.join(idx, "idx").join(pos, g + ["item"], "left_anti")

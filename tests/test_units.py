@@ -156,3 +156,13 @@ def test_zone_grid_join_equals_broadcast(spark):
     a = {r.trip_id: r.zone for r in trips.assign_zone(ev, z).collect()}
     b = {r.trip_id: r.zone for r in trips.assign_zone(ev, z, cell=7.0).collect()}
     assert a == b and len(set(a.values())) > 2
+
+
+def test_negative_sampling_chunked_draws_identical(spark, monkeypatch):
+    pos = spark.createDataFrame([(u, i) for u in range(4) for i in range(u * 3, u * 3 + 7)],
+                                "user long, item long")
+    items = spark.createDataFrame([(i,) for i in range(40)], "item long")
+    one = sorted(tuple(r) for r in recommend.sample_negatives(pos, items, seed=5).collect())
+    monkeypatch.setattr(recommend, "DRAW_CHUNK", 3)
+    many = sorted(tuple(r) for r in recommend.sample_negatives(pos, items, seed=5).collect())
+    assert one == many and len(one) == 28
