@@ -1,911 +1,13 @@
-"""Query registry: name -> callable(spark, sf_dir) -> DataFrame.
+"""The query catalog: importing it registers every query.
 
-Each query reads whole tables (or Spark-derived data from them).  Floating
-outputs are rounded to 4 digits so the DuckDB oracle can compare hashes.
+Queries live in ``quarry.plans.queries``, one module per application domain;
+this module exposes the registry and the few helpers tests use.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from quarry.operators import (anomaly, basic, classify, cooccur, graph, linkage, recommend, risk, scoring,
-                              text, trips)
-from quarry.plans import roles
-from quarry.session import shared_dir, stand_in_source
-from quarry.sources import files
-from quarry.sources.tables import table
-
-Query = Callable[[SparkSession, str], DataFrame]
-REGISTRY: dict[str, Query] = {}
-
-CHI_THRESHOLD = 3.84  # 5 % level, 1 dof; the fixtures have no pair above 19.5
-
-
-def query(name: str):
-    def deco(fn: Query) -> Query:
-        REGISTRY[name] = fn
-        return fn
-    return deco
-
-
-def r4(c) -> F.Column:
-    return F.round(F.col(c) if isinstance(c, str) else c, 4)
-
-
-# ---------------------------------------------------------------- 1 co-occurrence
-
-@query("topic_freq")
-def topic_freq(spark, d):
-    return cooccur.item_frequency(roles.basket_items(spark, d), "topic")
-
-
-@query("freq_of_freq")
-def freq_of_freq(spark, d):
-    return cooccur.frequency_of_frequency(topic_freq(spark, d))
-
-
-@query("pair_counts")
-def pair_counts(spark, d):
-    dist = cooccur.distinct_baskets(roles.basket_items(spark, d), "basket", "topic")
-    return cooccur.pair_counts(dist)
-
-
-@query("hash_collisions")
-def hash_collisions(spark, d):
-    return cooccur.hash_collision_check(roles.basket_items(spark, d), "topic")
-
-
-@query("cooccurrence_chisq")
-def cooccurrence_chisq(spark, d, threshold: float = CHI_THRESHOLD):
-    dist = cooccur.distinct_baskets(roles.basket_items(spark, d), "basket", "topic")
-    e = cooccur.chi_square_edges(dist, roles.basket_total(spark, d), threshold)
-    return e.withColumn("chisquare", r4("chisquare"))
-
-
-# ------------------------------------------------------- 2 parsing, 4 trips
-
-def _parsed_trips(spark, d):
-    raw = roles.read_trip_csv(spark, roles.trip_csv(spark, d))
-    p = trips.parse_trips(raw, keep=("trip_id",))
-    return p.withColumn("trip_id", F.col("trip_id").cast("long"))
-
-
-def _flat_points(df):
-    return df.select("*", F.col("pickup_loc.x").alias("pickup_x"), F.col("pickup_loc.y").alias("pickup_y"),
-                     F.col("dropoff_loc.x").alias("dropoff_x"), F.col("dropoff_loc.y").alias("dropoff_y")) \
-        .drop("pickup_loc", "dropoff_loc")
-
-
-def _clean_trips(spark, d):
-    return trips.clean(trips.good_rows(_parsed_trips(spark, d)))
-
-
-def _zoned_trips(spark, d):
-    return trips.assign_zone(_clean_trips(spark, d), roles.zones(spark), "dropoff_loc", "trip_id")
-
-
-def _trips_done(spark, d):
-    z = _zoned_trips(spark, d).where(F.col("zone") != "NA")
-    return trips.drop_zero_points(z)
-
-
-@query("parse_good_bad")
-def parse_good_bad(spark, d):
-    return _flat_points(_parsed_trips(spark, d))
-
-
-@query("clean_durations")
-def clean_durations(spark, d):
-    return _clean_trips(spark, d).select("trip_id", "license", r4("duration_mins").alias("duration_mins"),
-                                         r4("duration_hours").alias("duration_hours"))
-
-
-@query("zone_lookup")
-def zone_lookup(spark, d):
-    return _zoned_trips(spark, d).select("trip_id", "zone")
-
-
-@query("zone_counts")
-def zone_counts(spark, d):
-    z = _zoned_trips(spark, d).where(F.col("zone") != "NA")
-    return z.groupBy("zone").agg(F.count(F.lit(1)).alias("cnt"))
-
-
-def _idle(spark, d, within):
-    g = trips.idle_by_zone(_trips_done(spark, d), 4.0, within)
-    return g.select("trip_id", "license", "zone", r4("gap_mins").alias("gap_mins"))
-
-
-@query("idle_within_shift")
-def idle_within_shift(spark, d):
-    return _idle(spark, d, True)
-
-
-@query("idle_between_shifts")
-def idle_between_shifts(spark, d):
-    return _idle(spark, d, False)
-
-
-@query("trip_sessions")
-def trip_sessions(spark, d):
-    return trips.sessionize(_trips_done(spark, d)).select("trip_id", "license", "session")
-
-
-@query("sliding_tuples")
-def sliding_tuples(spark, d):
-    s = trips.sliding_tuples(_trips_done(spark, d), 3)
-    return s.select("license", "first_id",
-                    F.concat_ws(",", F.transform("window_ids", lambda x: x.cast("string"))).alias("window_ids"))
-
-
-# ---------------------------------------------------------------- 3 linkage
-
-def _link_counts(spark, d):
-    return linkage.pair_field_counts(roles.linkage_records(spark, d), "block", "segment", roles.LINK_FIELDS)
-
-
-@query("header_and_bad_rows")
-def header_and_bad_rows(spark, d):
-    """Text scan of a CSV whose header is a quoted line inside the data."""
-    path = stand_in_source(spark, "linkage", d, lambda p: files.write_lines(roles.linkage_lines(spark, d), p))
-    lines = files.drop_header_lines(files.read_lines(spark, path))
-    a = F.split(F.col("value"), ",")
-    return lines.select(a[0].try_cast("long").alias("id"), a[1].try_cast("int").alias("block"),
-                        a[2].try_cast("double").alias("f_band"),
-                        F.when(a[3] != "?", a[3]).alias("f_tail"),
-                        a[4].try_cast("int").alias("f_cents"), a[5].alias("segment"))
-
-
-@query("match_counts")
-def match_counts(spark, d):
-    return linkage.match_counts(_link_counts(spark, d))
-
-
-@query("missing_stats")
-def missing_stats(spark, d):
-    s = linkage.missing_stats(_link_counts(spark, d))
-    return s.select("matched", "field", "cnt", "missing", *[r4(c).alias(c) for c in ("mean", "stdev", "min", "max")])
-
-
-@query("match_weights")
-def match_weights(spark, d):
-    """u comes from a frequencies CSV (header + one row) written and read back,
-    its header linked to its values by unpivot."""
-    fields = roles.LINK_FIELDS
-    freq = linkage.value_frequencies(roles.linkage_records(spark, d), fields)
-    path = files.write_csv(freq.coalesce(1), shared_dir(spark, "freq"))
-    wide = files.read_csv(spark, path, files.double_schema(*fields), header=True)
-    u_long = wide.unpivot([], fields, "field", "u")
-    w = linkage.match_weights(_link_counts(spark, d), u_long)
-    return w.select("field", *[r4(c).alias(c) for c in w.columns if c != "field"])
-
-
-@query("xml_topics")
-def xml_topics(spark, d):
-    """Citations written as gzip XML, read back one row per child of the root,
-    major topics picked by attribute."""
-    path = roles.citation_xml(spark, d)
-    cit = files.read_xml(spark, path, "MedlineCitation", roles.citation_schema())
-    return cooccur.major_topics(cit)
-
-
-# ------------------------------------------------------------------- 5/6 risk
-
-def _filled(spark, d, factors=False):
-    q = roles.factor_quotes(spark, d) if factors else roles.stock_quotes(spark, d)
-    return risk.fill_calendar(q, roles.RISK_START, roles.RISK_END)
-
-
-def _returns(spark, d, factors=False):
-    """10-day returns, written once to the shared folder: several branches
-    (covariance, means, features, regressions, scalar bounds) read them, and
-    each re-read would otherwise re-scan and re-aggregate the orders."""
-    return risk.horizon_returns(_filled(spark, d, factors), 10).checkpoint()
-
-
-@query("bday_fill")
-def bday_fill(spark, d):
-    return _filled(spark, d).select("instrument", "date", r4("price").alias("price"))
-
-
-@query("horizon_returns")
-def horizon_returns(spark, d):
-    return _returns(spark, d).select("instrument", "date", F.round("ret", 8).alias("ret"))
-
-
-@query("factor_matrix")
-def factor_matrix(spark, d):
-    fr = _returns(spark, d, True).withColumn("ret", F.round("ret", 8))
-    return risk.factor_matrix(fr)
-
-
-@query("factor_cov")
-def factor_cov(spark, d):
-    c = risk.factor_cov(_returns(spark, d, True))
-    return c.select("factor_a", "factor_b", F.round("cov", 10).alias("cov"))
-
-
-@query("factor_features")
-def factor_features(spark, d):
-    f = risk.factor_features(_returns(spark, d, True))
-    return f.select("date", F.posexplode("features").alias("idx", "value")) \
-        .select("date", "idx", F.round("value", 8).alias("value"))
-
-
-@query("factor_beta")
-def factor_beta(spark, d):
-    b = risk.factor_beta(_returns(spark, d), _returns(spark, d, True))
-    return b.select("instrument", "factor", F.round("beta", 6).alias("beta"), F.round("alpha", 6).alias("alpha"))
-
-
-@query("instrument_ols")
-def instrument_ols(spark, d):
-    feats = risk.factor_features(_returns(spark, d, True))
-    return risk.instrument_ols(_returns(spark, d), feats)
-
-
-def _scenarios(spark, d):
-    fr = _returns(spark, d, True)
-    names, means, chol = risk.cholesky_params(risk.factor_cov(fr), risk.factor_means(fr))
-    ols = risk.instrument_ols(_returns(spark, d), risk.factor_features(fr))
-    w = ols.groupBy("idx").agg(F.avg("coef").alias("w")).orderBy("idx").collect()
-    if len(w) != 3 * len(names):
-        raise ValueError("weights do not match the factor features")
-    return risk.scenario_returns(roles.trials(spark, d), means, chol, [r["w"] for r in w])
-
-
-@query("scenario_returns")
-def scenario_returns(spark, d):
-    return _scenarios(spark, d)
-
-
-@query("scenario_var")
-def scenario_var(spark, d):
-    return risk.var_cvar(_scenarios(spark, d))
-
-
-@query("var_cvar")
-def var_cvar(spark, d):
-    """Historical 5 % VaR / CVaR of the pooled 10-day returns."""
-    v = risk.var_cvar(_returns(spark, d))
-    return v.select(F.round("var", 8).alias("var"), F.round("cvar", 8).alias("cvar"))
-
-
-def _hist_keyed(spark, d):
-    r = _returns(spark, d)
-    return r.select(F.concat_ws("|", "instrument", F.col("date").cast("string")).alias("key"), "ret")
-
-
-@query("bootstrap_ci")
-def bootstrap_ci(spark, d):
-    b = risk.bootstrap_var_cvar(_hist_keyed(spark, d), replicates=100, seed=7, key="key")
-    lo_hi_v = risk.confidence_interval(b, "var", 0.05)
-    lo_hi_c = risk.confidence_interval(b.withColumnRenamed("var", "_v").withColumnRenamed("cvar", "var"),
-                                       "var", 0.05)
-    out = lo_hi_v.select(F.lit("var").alias("stat"), "lower", "upper").unionByName(
-        lo_hi_c.select(F.lit("cvar").alias("stat"), "lower", "upper"))
-    return out.select("stat", F.round("lower", 8).alias("lower"), F.round("upper", 8).alias("upper"))
-
-
-@query("return_kde")
-def return_kde(spark, d):
-    k = risk.kde(_returns(spark, d), "ret", 100, 1.0)
-    return k.select("i", F.round("x", 8).alias("x"), F.round("density", 8).alias("density"))
-
-
-# -------------------------------------------------------------- 7/8 recommend
-
-def _text(spark, d, make_lines, name):
-    """A stand-in text input (written once per application) read line by line."""
-    path = stand_in_source(spark, name, d, lambda p: files.write_lines(make_lines(spark, d), p))
-    return files.read_lines(spark, path)
-
-
-def _ratings(spark, d):
-    """Plays read back from space-separated text, alias file applied."""
-    from pyspark.sql import types as T
-    path = stand_in_source(spark, "plays", d, lambda p: files.write_lines(roles.plays_lines(spark, d), p))
-    schema = T.StructType([T.StructField("user", T.LongType()), T.StructField("item", T.LongType()),
-                           T.StructField("count", T.LongType())])
-    raw = files.read_csv(spark, path, schema, header=False, sep=" ")
-    alias = recommend.parse_alias(_text(spark, d, roles.alias_lines, "alias"))
-    return recommend.resolve_alias(raw, alias)
-
-
-def _fold(c_user="user", c_item="item"):
-    from quarry.functions.expr import hash_int
-    return F.pmod(hash_int(F.col(c_user), F.col(c_item), F.lit("fold")), F.lit(10)).cast("int")
-
-
-@query("artist_parse")
-def artist_parse(spark, d):
-    return recommend.parse_id_name(_text(spark, d, roles.artist_lines, "artists"))
-
-
-@query("resolve_alias")
-def resolve_alias(spark, d):
-    return _ratings(spark, d)
-
-
-@query("popularity")
-def popularity(spark, d):
-    r = _ratings(spark, d)
-    return r.groupBy("item").agg(F.sum("count").alias("pop"))
-
-
-def _auc(spark, d, folds):
-    # read by the train, validation and negative-sampling branches: cut once
-    r = _ratings(spark, d).withColumn("fold_of", _fold()).checkpoint()
-    if folds:
-        r = r.select("*", F.explode(F.sequence(F.lit(0), F.lit(9))).alias("fold"))
-        g = ("fold", "user")
-    else:
-        r = r.withColumn("fold", F.lit(0))
-        g = ("user",)
-    cv = r.where(F.col("fold_of") == F.col("fold"))
-    train = r.where(F.col("fold_of") != F.col("fold"))
-    neg = recommend.sample_negatives(cv, r.select("item"), seed=42, group=g)
-    if folds:
-        pop = train.groupBy("fold", "item").agg(F.sum("count").cast("double").alias("score"))
-        ps = cv.select(*g, "item").join(pop, ["fold", "item"], "left").na.fill(0.0, ["score"])
-        ns = neg.join(pop, ["fold", "item"], "left").na.fill(0.0, ["score"])
-    else:
-        ps = recommend.popularity_scorer(train, cv.select(*g, "item"))
-        ns = recommend.popularity_scorer(train, neg)
-    return recommend.auc_per_user(ps, ns, g)
-
-
-@query("user_auc")
-def user_auc(spark, d):
-    return _auc(spark, d, False).select("user", r4("auc").alias("auc"))
-
-
-@query("cv_auc")
-def cv_auc(spark, d):
-    a = _auc(spark, d, True)
-    return a.groupBy("fold").agg(F.round(F.avg("auc"), 6).alias("mean_auc"))
-
-
-@query("als_topn")
-def als_topn(spark, d):
-    """Implicit ALS (rank 10, 5 iterations, reg 0.01, alpha 1.0); the top 5
-    new items for the heaviest user, with names, next to the user's own
-    items.  Scoring is item factors against one broadcast user vector
-    (linear in items; no users x items product)."""
-    from pyspark.ml.recommendation import ALS
-    from quarry.functions.expr import dot
-    r = _ratings(spark, d)
-    als = ALS(rank=10, maxIter=5, regParam=0.01, alpha=1.0, implicitPrefs=True, seed=1,
-              userCol="user", itemCol="item", ratingCol="count")
-    model = als.fit(r.withColumn("count", F.col("count").cast("float")))
-    top_user = (r.groupBy("user").agg(F.sum("count").alias("c"))
-                .orderBy(F.col("c").desc(), "user").limit(1).select("user"))
-    uf = model.userFactors.join(top_user.withColumnRenamed("user", "id"), "id") \
-        .select(F.col("id").alias("user"), F.col("features").alias("uf"))
-    seen = r.join(top_user, "user").select("user", "item")
-    scored = (model.itemFactors.join(F.broadcast(uf), how="inner")   # uf is one row
-              .select("user", F.col("id").alias("item"), dot(F.col("features"), F.col("uf")).alias("score"))
-              .join(seen, ["user", "item"], "left_anti"))
-    recs = scored.orderBy(F.col("score").desc(), "item").limit(5).withColumn("kind", F.lit("recommended"))
-    names = table(spark, d, "part", "p_partkey", "p_name").withColumnRenamed("p_partkey", "item")
-    # the user's existing items: names filtered by membership (semi join)
-    own = names.join(seen.select("item"), "item", "left_semi").join(seen, "item")
-    own = own.select("user", F.lit("existing").alias("kind"), "item", "p_name",
-                     F.lit(None).cast("float").alias("score"))
-    recs = recs.join(names, "item", "left").select("user", "kind", "item", "p_name", "score")
-    return recs.unionByName(own)
-
-
-@query("als_grid")
-def als_grid(spark, d):
-    """ALS grid rank {10, 50} x reg {1.0, 0.001} x alpha {1.0, 40.0}, each scored
-    by mean per-user AUC on a held-out fold with sampled negatives."""
-    from pyspark.ml.recommendation import ALS
-    r = _ratings(spark, d).withColumn("fold_of", _fold())
-    cv, train = r.where(F.col("fold_of") == 0), r.where(F.col("fold_of") != 0)
-    neg = recommend.sample_negatives(cv, r.select("item"), seed=42).checkpoint()
-    train = train.withColumn("count", F.col("count").cast("float")).checkpoint()
-    grid = [(rank, reg, alpha) for rank in (10, 50) for reg in (1.0, 0.001) for alpha in (1.0, 40.0)]
-
-    def one(p):
-        rank, reg, alpha = p
-        m = ALS(rank=rank, maxIter=10, regParam=reg, alpha=alpha, implicitPrefs=True, seed=1,
-                userCol="user", itemCol="item", ratingCol="count").fit(train)
-        ps = m.transform(cv.select("user", "item")).withColumnRenamed("prediction", "score")
-        ns = m.transform(neg).withColumnRenamed("prediction", "score")
-        auc = recommend.auc_per_user(ps.na.fill(0.0, ["score"]), ns.na.fill(0.0, ["score"]))
-        return auc.select(F.lit(rank).alias("rank"), F.lit(reg).alias("reg"),
-                          F.lit(alpha).alias("alpha"), F.avg("auc").alias("mean_auc")).checkpoint()
-
-    from concurrent.futures import ThreadPoolExecutor
-    with ThreadPoolExecutor(max_workers=4) as ex:   # concurrent fits, like ML tuning's parallelism
-        rows = list(ex.map(one, grid))
-    out = rows[0]
-    for x in rows[1:]:
-        out = out.unionByName(x)
-    return out
-
-
-# ------------------------------------------------------------------ 9 graph
-
-def _g(spark, d, k):
-    """Vertices and the (aggregated, small) edge list, the latter written once:
-    degree, triangle and clustering branches all read it, and recomputing it
-    means re-running the lineitem self-join."""
-    return roles.supplier_vertices(spark, d), roles.handoff_edges(spark, d, k).checkpoint()
-
-
-@query("components")
-def components(spark, d):
-    v, e = _g(spark, d, 8)
-    return graph.connected_components(v, e)
-
-
-@query("component_sizes")
-def component_sizes(spark, d):
-    c = components(spark, d)
-    return c.groupBy("component").agg(F.count(F.lit(1)).alias("cnt"))
-
-
-@query("scc")
-def scc(spark, d):
-    v, e = _g(spark, d, 7)
-    return graph.strongly_connected_components(v, e)
-
-
-@query("degrees")
-def degrees(spark, d):
-    v, e = _g(spark, d, 7)
-    return v.join(graph.degrees(e), "id")
-
-
-@query("triangles")
-def triangles(spark, d):
-    v, e = _g(spark, d, 7)
-    return graph.triangle_count(v, e)
-
-
-@query("clustering_coef")
-def clustering_coef(spark, d):
-    v, e = _g(spark, d, 7)
-    c = graph.clustering_coefficient(v, e)
-    return c.select("id", "triangles", "degree", r4("coef").alias("coef"))
-
-
-@query("clustering_mean")
-def clustering_mean(spark, d):
-    v, e = _g(spark, d, 7)
-    return graph.clustering_coefficient(v, e).agg(r4(F.avg("coef")).alias("mean_coef"))
-
-
-@query("landmark_paths")
-def landmark_paths(spark, d):
-    v, e = _g(spark, d, 7)
-    lm = graph.sample_vertices(v, 0.05, seed=1)
-    return graph.landmark_distances(lm, e)
-
-
-@query("pagerank5")
-def pagerank5(spark, d):
-    v, e = _g(spark, d, 7)
-    return graph.pagerank(v, e, 0.15, 5).select("id", F.round("rank", 10).alias("rank"))
-
-
-# ------------------------------------------------------------------- 10 text
-VOCAB_SIZE = 20
-
-
-def _tf(spark, d, materialize=False):
-    """(doc_id, term, tf).  ``materialize`` writes it once to the shared folder
-    when several branches read it, so the corpus is tokenised only once."""
-    tf = text.term_counts(text.remove_stop_words(text.tokens(roles.corpus(spark, d))))
-    return tf.checkpoint() if materialize else tf
-
-
-def _tfidf(spark, d):
-    docs = roles.corpus(spark, d)
-    tf = _tf(spark, d, materialize=True)
-    n_docs = docs.select(F.count(F.lit(1))).scalar()
-    return text.tfidf(tf, text.vocabulary(tf, VOCAB_SIZE), n_docs)
-
-
-@query("tokens")
-def tokens(spark, d):
-    return _tf(spark, d)
-
-
-@query("tfidf")
-def tfidf(spark, d):
-    t = _tfidf(spark, d)
-    return t.select("doc_id", "term", "tf", F.round("idf", 6).alias("idf"), F.round("tfidf", 6).alias("tfidf"))
-
-
-@query("doc_cosine")
-def doc_cosine(spark, d):
-    """Ten documents most similar (TF-IDF cosine) to the first document."""
-    unit = text.normalize_rows(_tfidf(spark, d))
-    q = roles.corpus(spark, d).select(F.min("doc_id")).scalar()
-    c = text.cosine_to(unit, q)
-    top = c.orderBy(F.col("cosine").desc(), F.col("doc_id").asc()).limit(10)
-    return top.select("doc_id", F.round("cosine", 6).alias("cosine"))
-
-
-def _svd(spark, d, k=4):
-    t = _tfidf(spark, d).checkpoint()
-    return text.svd(t, VOCAB_SIZE, k), t
-
-
-@query("concept_terms")
-def concept_terms(spark, d):
-    (u, v, s), t = _svd(spark, d)
-    names = t.select("term", "term_idx").distinct()
-    top = text.top_per_concept(v.join(names, "term_idx"), "term", 10)
-    return top.select("concept", "rank", "term", F.round("weight", 6).alias("weight"))
-
-
-@query("concept_docs")
-def concept_docs(spark, d):
-    (u, v, s), t = _svd(spark, d)
-    top = text.top_per_concept(u, "doc_id", 10)
-    return top.select("concept", "rank", "doc_id", F.round("weight", 6).alias("weight"))
-
-
-# --------------------------------------------------------------- 11 classify
-
-def _cover(spark, d):
-    """0-based label, split column, decoded categories."""
-    c = roles.cover_file(spark, d).withColumn("label", (F.col("label") - 1).cast("double"))
-    c = c.withColumn("split", roles.split_of())
-    return c
-
-
-def _decoded(spark, d):
-    return classify.decode_onehot(_cover(spark, d), {"wilderness": roles.WILD, "soil": roles.SOIL})
-
-
-@query("onehot_decode")
-def onehot_decode(spark, d):
-    x = _decoded(spark, d)
-    return x.select("vec_id", F.col("label").cast("int").alias("label"), "wilderness", "soil")
-
-
-@query("class_priors")
-def class_priors(spark, d):
-    p = classify.class_priors(_cover(spark, d))
-    return p.select(F.col("label").cast("int").alias("label"), F.round("prior", 6).alias("prior"))
-
-
-@query("random_baseline")
-def random_baseline(spark, d):
-    c = _cover(spark, d)
-    a = classify.random_guess_accuracy(c.where(F.col("split") == "train"), c.where(F.col("split") == "cv"))
-    return a.select(F.round("accuracy", 6).alias("accuracy"))
-
-
-def _numeric(spark, d):
-    c = _cover(spark, d)
-    # read by several fits: cut lineage into the shared folder (no executor memory held)
-    return classify.assemble(c, roles.NUMERIC + roles.WILD + roles.SOIL).checkpoint()
-
-
-@query("confusion")
-def confusion(spark, d):
-    """Decision tree (gini, depth 4, 100 bins) scored on the validation split."""
-    x = _numeric(spark, d)
-    m = classify.tree("gini", 4, 100).fit(x.where(F.col("split") == "train"))
-    return classify.confusion(m.transform(x.where(F.col("split") == "cv")))
-
-
-@query("class_metrics")
-def class_metrics(spark, d):
-    x = _numeric(spark, d)
-    m = classify.tree("gini", 4, 100).fit(x.where(F.col("split") == "train"))
-    return classify.precision_recall(m.transform(x.where(F.col("split") == "cv")))
-
-
-@query("tree_grid")
-def tree_grid(spark, d):
-    """impurity {gini, entropy} x depth {1, 20} x bins {10, 300}, numeric features."""
-    x = _numeric(spark, d)
-    grid = [dict(impurity=i, depth=dp, bins=b) for i in ("gini", "entropy") for dp in (1, 20) for b in (10, 300)]
-    tr, cv, te = (x.where(F.col("split") == k) for k in ("train", "cv", "test"))
-    g = classify.grid_eval(tr, cv, grid, classify.tree)
-    # then entropy / depth 20 / 300 bins refitted on train + cv: fit and test accuracy
-    refit = classify.refit_score(tr, cv, te, classify.tree("entropy", 20, 300), "refit entropy/20/300 (test)")
-    return g.unionByName(refit)
-
-
-def _categorical(spark, d):
-    from pyspark.ml.feature import VectorIndexer
-    x = classify.assemble(_decoded(spark, d), roles.NUMERIC + ["wilderness", "soil"], "raw")
-    vi = VectorIndexer(inputCol="raw", outputCol="features", maxCategories=40).fit(x)
-    return vi.transform(x).checkpoint()
-
-
-@query("tree_grid_categorical")
-def tree_grid_categorical(spark, d):
-    """Decoded categories marked categorical: {gini, entropy} x depth {10, 20, 30} x bins {40, 300}."""
-    x = _categorical(spark, d)
-    grid = [dict(impurity=i, depth=dp, bins=b) for i in ("gini", "entropy") for dp in (10, 20, 30)
-            for b in (40, 300)]
-    tr, cv, te = (x.where(F.col("split") == k) for k in ("train", "cv", "test"))
-    g = classify.grid_eval(tr, cv, grid, classify.tree)
-    refit = classify.refit_score(tr, cv, te, classify.tree("entropy", 30, 300), "refit entropy/30/300 (test)")
-    return g.unionByName(refit)
-
-
-@query("forest")
-def forest(spark, d):
-    """Random forest (20 trees, entropy, depth 30, 300 bins): validation
-    accuracy, and the prediction for one validation row."""
-    x = _categorical(spark, d)
-    m = classify.forest().fit(x.where(F.col("split") == "train"))
-    p = m.transform(x.where(F.col("split") == "cv"))
-    acc = p.agg(classify.accuracy(p).alias("value")).select(F.lit("cv_accuracy").alias("metric"), "value")
-    one = (p.orderBy("vec_id").limit(1)
-           .select(F.concat(F.lit("prediction_vec_"), F.col("vec_id").cast("string")).alias("metric"),
-                   F.col("prediction").alias("value")))
-    return acc.unionByName(one)
-
-
-@query("logreg")
-def logreg(spark, d):
-    """Elastic-net logistic regression (10 iterations, reg 0.3, alpha 0.8):
-    the coefficient matrix as (class, feature, coef) plus intercepts."""
-    x = _numeric(spark, d)
-    m = classify.logreg(10, 0.3, 0.8).fit(x.where(F.col("split") != "test"))
-    rows = m.coefficientMatrix.toArray()
-    ic = m.interceptVector.toArray()
-    data = [(int(k), int(j), float(rows[k, j])) for k in range(rows.shape[0]) for j in range(rows.shape[1])]
-    data += [(int(k), -1, float(ic[k])) for k in range(len(ic))]
-    return spark.createDataFrame(data, "class int, feature int, coef double")
-
-
-# ---------------------------------------------------------------- 12 anomaly
-HASH_DIMS = 1 << 10
-KMEANS_K = 150
-
-
-def _anomaly_model(spark, d):
-    from pyspark.ml.clustering import KMeansModel
-    ev = roles.network_records(table(spark, d, "events"))
-    h = anomaly.hasher(["event_type", "k", "value"], HASH_DIMS)
-    feats = h.transform(ev).checkpoint()
-    import hashlib
-    tag = hashlib.md5(d.encode()).hexdigest()[:10]
-    path = shared_dir(spark).rstrip("/") + f"/quarry-models/kmeans-{tag}-{KMEANS_K}-{HASH_DIMS}"
-    model = files.load_or_fit(spark, path, KMeansModel, lambda: anomaly.fit_kmeans(feats, KMEANS_K, 1))
-    return h, model, feats
-
-
-@query("hash_features")
-def hash_features(spark, d):
-    from pyspark.ml.functions import vector_to_array
-    h = anomaly.hasher(["event_type", "k", "value"], HASH_DIMS)
-    x = h.transform(roles.network_records(table(spark, d, "events")))
-    arr = vector_to_array("features")
-    return x.select("event_id", F.size(F.filter(arr, lambda v: v != 0)).alias("nnz"),
-                    F.round(F.aggregate(arr, F.lit(0.0), lambda s, v: s + v), 4).alias("total"))
-
-
-@query("kmeans_assign")
-def kmeans_assign(spark, d):
-    h, model, feats = _anomaly_model(spark, d)
-    s = anomaly.score(model, feats, anomaly.centres(model, spark))
-    return s.select("event_id", "cluster", F.round("distance", 6).alias("distance"))
-
-
-@query("anomaly_stream")
-def anomaly_stream(spark, d):
-    """Events replayed as a file stream (several Parquet files), scored by the
-    batch-fitted model, written to a Parquet sink and read back."""
-    from quarry.streaming.anomaly_stream import run_scoring_stream
-    h, model, _ = _anomaly_model(spark, d)
-    ev = table(spark, d, "events")
-    src = stand_in_source(spark, "events-src", d,
-                          lambda p: ev.repartition(8, "event_id").write.mode("overwrite").parquet(p))
-    sink = run_scoring_stream(spark, src, ev.schema, roles.network_records, h, model,
-                              anomaly.centres(model, spark), shared_dir(spark, "scored"),
-                              shared_dir(spark, "scored-ckpt"), files_per_trigger=2)
-    out = spark.read.parquet(sink)
-    return out.select("event_id", "cluster", F.round("distance", 6).alias("distance"))
-
-
-# ------------------------------------------------------------ 13 scoring
-
-def _image_sets(spark, d):
-    """Two classes written to one folder each - 'tulips' (label >= 5, class 1)
-    and 'daisy' (label < 5, class 0), so every embedding is used - and read
-    back with the class taken from the folder name; a deterministic 60/40
-    split per class; train and test are unions by name."""
-    from quarry.functions.expr import hash_uniform
-    e = table(spark, d, "embeddings", "vec_id", "embedding", "label")
-
-    def write(root):
-        e.where(F.col("label") >= 5).drop("label").write.mode("overwrite").parquet(f"{root}/tulips")
-        e.where(F.col("label") < 5).drop("label").write.mode("overwrite").parquet(f"{root}/daisy")
-    root = stand_in_source(spark, "images", d, write)
-    parts = []
-    for name in ("tulips", "daisy"):
-        x = spark.read.parquet(f"{root}/{name}").select("*", F.col("_metadata.file_path").alias("path"))
-        x = x.withColumn("label", F.when(F.col("path").contains("/tulips/"), 1.0).otherwise(0.0))
-        x = x.withColumn("is_train", hash_uniform(F.col("vec_id"), F.lit("img")) < 0.6)
-        parts.append(x)
-    train = parts[0].where("is_train").unionByName(parts[1].where("is_train"))
-    test = parts[0].where("not is_train").unionByName(parts[1].where("not is_train"))
-    return train, test, root
-
-
-@query("image_files")
-def image_files(spark, d):
-    """binaryFile scan of the class folders: path, length, label from the folder."""
-    _, _, root = _image_sets(spark, d)
-    b = files.read_binary(spark, root, "*.parquet")
-    return b.select("path", "length",
-                    F.when(F.col("path").contains("/tulips/"), 1).otherwise(0).alias("label"))
-
-
-def _fitted(spark, d):
-    train, test, _ = _image_sets(spark, d)
-    model = scoring.feature_lr_pipeline(1, 0.05, 0.3).fit(train)
-    return model, model.transform(test)
-
-
-@query("embed_pipeline")
-def embed_pipeline(spark, d):
-    """Pipeline (featurizer + LR, 1 iteration, reg 0.05, alpha 0.3): test accuracy."""
-    _, pred = _fitted(spark, d)
-    return pred.agg(classify.accuracy(pred).alias("accuracy"))
-
-
-@query("worst_predictions")
-def worst_predictions(spark, d):
-    _, pred = _fitted(spark, d)
-    return scoring.worst_predictions(pred, 10)
-
-
-@query("topk_classes")
-def topk_classes(spark, d):
-    """Ten most probable of the ten classes per embedding (multinomial LR)."""
-    e = table(spark, d, "embeddings", "vec_id", "embedding", "label") \
-        .withColumn("label", F.col("label").cast("double"))
-    m = scoring.feature_lr_pipeline(10, 0.01, 0.0).fit(e)
-    return scoring.top_classes(m.transform(e), 10)
-
-
-@query("sql_model_udf")
-def sql_model_udf(spark, d):
-    """Two fitted models registered as SQL functions and called from SQL."""
-    e = table(spark, d, "embeddings", "vec_id", "embedding", "label") \
-        .withColumn("label", F.col("label").cast("double"))
-    for name, reg in (("k_model_udf", 0.01), ("m_model_udf", 0.1)):
-        lr = scoring.feature_lr_pipeline(10, reg, 0.0).fit(e).stages[-1]
-        scoring.register_linear_model_udf(spark, name, lr.coefficientMatrix.toArray(),
-                                          lr.interceptVector.toArray())
-    e.createOrReplaceTempView("train_df")
-    return spark.sql("SELECT vec_id, CAST(label AS INT) AS label, k_model_udf(embedding) AS k_prediction, "
-                     "m_model_udf(embedding) AS m_prediction FROM train_df")
-
-
-# ------------------------------------------------------------ 14 general ops
-
-@query("csv_roundtrip")
-def csv_roundtrip(spark, d):
-    """Compute-or-load: parts written as CSV with a header and read back with
-    an explicit schema (the reload keeps the types)."""
-    p = table(spark, d, "part")
-    path = files.write_csv(p, shared_dir(spark, "part-csv"))
-    return files.read_csv(spark, path, p.schema, header=True)
-
-
-@query("materialized_components")
-def materialized_components(spark, d):
-    """Components computed once into Parquet in the shared folder, then loaded."""
-    from pyspark.sql import types as T
-    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("component", T.LongType())])
-    path = shared_dir(spark, "components")
-    return files.materialize(spark, path, schema, lambda: components(spark, d))
-
-
-@query("view_sql")
-def view_sql(spark, d):
-    """SQL over temp views: part-type frequency table, ordered by count."""
-    table(spark, d, "lineitem", "l_partkey").createOrReplaceTempView("q_lineitem")
-    table(spark, d, "part", "p_partkey", "p_type").createOrReplaceTempView("q_part")
-    return spark.sql("""
-        SELECT p_type, count(*) AS cnt FROM q_lineitem JOIN q_part ON l_partkey = p_partkey
-        GROUP BY p_type ORDER BY cnt DESC""")
-
-
-@query("flatten")
-def flatten(spark, d):
-    p = table(spark, d, "part", "p_partkey", "p_name")
-    return basic.flatten(p, ["p_partkey"], F.split("p_name", " ")).withColumnRenamed("element", "word")
-
-
-@query("sample_hash")
-def sample_hash(spark, d):
-    """5 % Bernoulli sample of order lines (hash of order, line, part)."""
-    li = table(spark, d, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
-    return basic.hash_sample(li, 0.05, 1, "l_orderkey", "l_linenumber", "l_partkey")
-
-
-@query("sample_stats")
-def sample_stats(spark, d):
-    """Per return flag: summary of the discount-adjusted price, NULL when the
-    discount is zero (counted as missing), plus abs / pow / sqrt / ceil."""
-    li = table(spark, d, "lineitem", "l_returnflag", "l_extendedprice", "l_discount")
-    v = F.when(F.col("l_discount") > 0, F.col("l_extendedprice") * (1 - F.col("l_discount")))
-    s = basic.summary(li.withColumn("v", v), "v", ["l_returnflag"])
-    return s.select("l_returnflag", "cnt", "missing", r4("mean").alias("mean"), r4("stdev").alias("stdev"),
-                    r4("min").alias("min"), r4("max").alias("max"),
-                    F.ceil(F.sqrt(F.abs(F.col("max") - F.col("min")))).alias("ceil_sqrt_range"),
-                    r4(F.pow(F.col("mean") / 1000.0, 2)).alias("mean_k_sq"))
-
-
-@query("top_k")
-def top_k(spark, d):
-    """Ten largest orders by total price (ties by key)."""
-    o = table(spark, d, "orders", "o_orderkey", "o_totalprice")
-    return basic.top_k(o, 10, F.col("o_totalprice").desc(), F.col("o_orderkey").asc())
-
-
-@query("sorted_summary")
-def sorted_summary(spark, d):
-    """Customers per nation with their share, sorted by count descending."""
-    c = table(spark, d, "customer", "c_nationkey")
-    n = c.select(F.count(F.lit(1)).cast("double")).scalar()
-    return (c.groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("cnt"))
-            .withColumn("share", F.round(F.col("cnt") / n, 6))
-            .orderBy(F.col("cnt").desc(), "c_nationkey"))
-
-
-@query("union_distinct")
-def union_distinct(spark, d):
-    """Suppliers that ship anything, union suppliers in debt, distinct."""
-    a = table(spark, d, "lineitem", "l_suppkey").select(F.col("l_suppkey").alias("suppkey"))
-    b = table(spark, d, "supplier", "s_suppkey", "s_acctbal").where(F.col("s_acctbal") < 0) \
-        .select(F.col("s_suppkey").alias("suppkey"))
-    return basic.union_distinct(a, b)
-
-
-@query("partition_pairs")
-def partition_pairs(spark, d):
-    """Consecutive trips per license by repartition + sortWithinPartitions +
-    mapInPandas (the explicit co-locate-and-sort form of next_trip)."""
-    t = _trips_done(spark, d)
-    p = basic.consecutive_pairs(t, "license", ["pickup_datetime", "trip_id"], "trip_id",
-                                ["pickup_datetime"],
-                                "license string, trip_id long, next_trip_id long, "
-                                "pickup_datetime timestamp_ntz, next_pickup_datetime timestamp_ntz")
-    return p.select("license", "trip_id", "next_trip_id")
-
-
-@query("landmark_maps")
-def landmark_maps(spark, d):
-    """Map form of the landmark hops: (id, {landmark: hops}); {} when no
-    landmark reaches the vertex.  Rendered as 'landmark:hops,...' sorted."""
-    v, e = _g(spark, d, 7)
-    lm = graph.sample_vertices(v, 0.05, seed=1)
-    m = graph.landmark_maps_pregel(v, e, lm)
-    ent = F.array_sort(F.map_entries("map"))
-    txt = F.array_join(F.transform(ent, lambda x: F.concat_ws(":", x["key"].cast("string"),
-                                                             x["value"].cast("string"))), ",")
-    return m.select("id", F.size("map").alias("n_landmarks"), txt.alias("hops"))
-
-
-@query("xml_wholetext_topics")
-def xml_wholetext_topics(spark, d):
-    """Whole-file scan (gzip) of the citation XML, major topics by XPath with an
-    attribute predicate, then the topic frequency table.  Each row is one
-    written part file (bounded by the writer's partition size); the rowTag
-    reader in ``xml_topics`` is the record-at-a-time path."""
-    path = roles.citation_xml(spark, d)
-    # part files of empty partitions hold no root element: skip them
-    docs = files.read_lines(spark, path, whole_text=True).where(F.col("value").contains("<MedlineCitation>"))
-    xp = '//MedlineCitation/MeshHeadingList/MeshHeading/DescriptorName[@MajorTopicYN="Y"]/text()'
-    topics = docs.select(F.explode(F.xpath(F.col("value"), F.lit(xp))).alias("topic"))
-    return cooccur.item_frequency(topics, "topic")
+from quarry.plans import queries  # noqa: F401 - registers the queries
+from quarry.plans.queries.anomaly import _anomaly_model  # noqa: F401
+from quarry.plans.queries.risk import _returns  # noqa: F401
+from quarry.plans.queries.text import _svd  # noqa: F401
+from quarry.plans.registry import REGISTRY, Query, query, r4  # noqa: F401
