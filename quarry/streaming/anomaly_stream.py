@@ -1,9 +1,9 @@
 """Structured Streaming scoring of events with a fitted hasher + k-means.
 
-Source: a folder of Parquet files read with ``readStream`` (one file per
-micro-batch via ``maxFilesPerTrigger``); sink: Parquet files, with a
-checkpoint location, both in the shared folder.  The per-row transform is the
-batch one, so stream output equals batch output.
+Source: a folder of Parquet files read with ``readStream`` (``maxFilesPerTrigger``
+files per micro-batch); sink: Parquet files with a checkpoint location, both
+in the shared folder, so a restarted query resumes where it stopped.  The
+per-row transform is the batch one, so stream output equals batch output.
 """
 
 from __future__ import annotations
@@ -12,24 +12,31 @@ from pyspark.ml.clustering import KMeansModel
 from pyspark.ml.feature import FeatureHasher
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from quarry.operators.anomaly import score
 
 
-def run_scoring_stream(spark: SparkSession, source: str, schema: T.StructType, prepare,
-                       hasher: FeatureHasher, model: KMeansModel, centre_table: DataFrame,
-                       sink: str, checkpoint: str, files_per_trigger: int = 1,
-                       available_now: bool = True, processing_time: str = "1 second") -> str:
-    """Start the stream, run it over what is in ``source`` (availableNow) or
-    with a processing-time trigger, and return the sink path."""
+def start_scoring_stream(spark: SparkSession, source: str, schema: T.StructType, prepare,
+                         hasher: FeatureHasher, model: KMeansModel, centre_table: DataFrame,
+                         sink: str, checkpoint: str, files_per_trigger: int = 1,
+                         trigger: dict | None = None) -> StreamingQuery:
+    """Start the scoring stream and return the running query.  ``trigger`` is
+    passed to ``DataStreamWriter.trigger`` (default: 1-second micro-batches)."""
     raw = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
            .parquet(source))
-    scored = score(model, hasher.transform(prepare(raw)), centre_table)
-    out = scored.drop("features")
+    out = score(model, hasher.transform(prepare(raw)), centre_table).drop("features")
     w = (out.writeStream.format("parquet").option("path", sink)
          .option("checkpointLocation", checkpoint).outputMode("append"))
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)
-    q = w.start()
-    if available_now:
-        q.awaitTermination()
+    return w.trigger(**(trigger or {"processingTime": "1 second"})).start()
+
+
+def run_scoring_stream(spark: SparkSession, source: str, schema: T.StructType, prepare,
+                       hasher: FeatureHasher, model: KMeansModel, centre_table: DataFrame,
+                       sink: str, checkpoint: str, files_per_trigger: int = 1) -> str:
+    """Score everything currently in ``source`` (``availableNow``: several
+    micro-batches, then stop) and return the sink path."""
+    q = start_scoring_stream(spark, source, schema, prepare, hasher, model, centre_table, sink,
+                             checkpoint, files_per_trigger, {"availableNow": True})
+    q.awaitTermination()
     return sink

@@ -13,3 +13,27 @@ def test_stream_equals_batch(spark):
     s = sorted(tuple(r) for r in stream.select(*batch.columns).collect())
     assert len(b) == len(s) > 0
     assert b == s
+
+
+def test_processing_time_trigger_equals_batch(spark):
+    from quarry.plans import roles
+    from quarry.plans.queries.anomaly import _anomaly_model
+    from quarry.operators import anomaly
+    from quarry.session import shared_dir
+    from quarry.sources.tables import table
+    from quarry.streaming.anomaly_stream import start_scoring_stream
+    h, model, feats = _anomaly_model(spark, SMOKE)
+    ev = table(spark, SMOKE, "events")
+    src = shared_dir(spark, "t-src")
+    ev.repartition(4, "event_id").write.parquet(src)
+    sink = shared_dir(spark, "t-sink")
+    q = start_scoring_stream(spark, src, ev.schema, roles.network_records, h, model,
+                             anomaly.centres(model, spark), sink, shared_dir(spark, "t-ckpt"),
+                             files_per_trigger=1, trigger={"processingTime": "1 second"})
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    s = spark.read.parquet(sink).select("event_id", "cluster")
+    b = anomaly.score(model, feats, anomaly.centres(model, spark)).select("event_id", "cluster")
+    assert sorted(map(tuple, s.collect())) == sorted(map(tuple, b.collect()))
