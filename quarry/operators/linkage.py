@@ -122,3 +122,28 @@ def match_weights(counts: DataFrame, u_long: DataFrame) -> DataFrame:
     return x.select("field", "m", "u",
                     F.when(ok, r1).alias("match_ratio"), F.when(ok, F.log2(r1)).alias("match_weight"),
                     F.when(ok, r0).alias("nonmatch_ratio"), F.when(ok, F.log2(r0)).alias("nonmatch_weight"))
+
+
+# ------------------------------------------------------------ scored pairs
+
+def score_stats(pairs: DataFrame) -> DataFrame:
+    """Per (matched, score position): count (present), missing, mean, stdev
+    (population), min, max - over given record pairs (id1, id2, scores array,
+    matched).  One pass: posexplode + a partial/final aggregation."""
+    x = pairs.select("matched", F.posexplode("scores").alias("pos", "s"))
+    s = F.col("s")
+    return x.groupBy("matched", "pos").agg(
+        F.count(s).alias("cnt"), F.count_if(s.isNull()).alias("missing"), F.avg(s).alias("mean"),
+        F.stddev_pop(s).alias("stdev"), F.min(s).alias("min"), F.max(s).alias("max"))
+
+
+def weights_from_scores(pairs: DataFrame, freq: DataFrame) -> DataFrame:
+    """Fellegi-Sunter weights from given pairs: m = share of matched pairs
+    whose score is exactly 1 (a missing score counts as disagreement); u from
+    the frequencies table (pos, field, u), aligned with the score positions."""
+    m = (pairs.where(F.col("matched")).select(F.posexplode("scores").alias("pos", "s"))
+         .groupBy("pos").agg(F.count(F.lit(1)).cast("double").alias("pairs"),
+                             F.sum(F.when(F.col("s") == 1.0, 1.0).otherwise(0.0)).alias("agree")))
+    counts = m.join(freq.select("pos", "field"), "pos").select(
+        "field", F.lit(True).alias("matched"), "pairs", "agree")
+    return match_weights(counts, freq.select("field", "u"))
