@@ -67,3 +67,27 @@ def test_plays_ids_aliases(spark):
     assert [(r.id, r.name) for r in n.collect()] == [(10, "Foo")]
     a = formats.aliases(spark, _write(spark, "al", "11\t10\n\t10\n"))
     assert [(r.bad, r.good) for r in a.collect()] == [(11, 10)]
+
+
+def test_articles_citations_images_network(spark):
+    arts = formats.articles(spark, _write(spark, "art", '[{"title": "a", "text": "x y"},\n {"title": "b", "text": null}]',
+                                         "a.json"))
+    assert arts.count() == 2 and arts.select("doc_id").distinct().count() == 2
+    xml = ('<MedlineCitationSet><MedlineCitation><PMID>7</PMID><MeshHeadingList>'
+           '<MeshHeading><DescriptorName MajorTopicYN="Y">Heart</DescriptorName></MeshHeading>'
+           '<MeshHeading><DescriptorName MajorTopicYN="N">Lung</DescriptorName></MeshHeading>'
+           '<MeshHeading><DescriptorName MajorTopicYN="Y">Liver</DescriptorName></MeshHeading>'
+           '</MeshHeadingList></MedlineCitation></MedlineCitationSet>')
+    t = formats.citation_topics(spark, _write(spark, "cit", xml, "c.xml"))
+    assert sorted((r.basket, r.topic) for r in t.collect()) == [("7", "Heart"), ("7", "Liver")]
+    root = shared_dir(spark, "img")
+    for cls in ("tulips", "daisy"):
+        os.makedirs(os.path.join(root, cls), exist_ok=True)
+        with open(os.path.join(root, cls, "x.bin"), "wb") as f:
+            f.write(b"\x00\x01")
+    im = formats.image_folders(spark, root, {"tulips": 1, "daisy": 0})
+    assert sorted(r.label for r in im.collect()) == [0, 1]
+    rec = ",".join(["0", "tcp", "http", "SF"] + ["1"] * 37 + ["normal."])
+    n = formats.network_records(spark, _write(spark, "kdd", rec + "\n"))
+    r = n.first()
+    assert r._c1 == "tcp" and r._c0 == 0.0 and r.label == "normal." and len(n.columns) == 42
