@@ -157,3 +157,41 @@ def auc_per_user(pos_scored: DataFrame, neg_scored: DataFrame,
                                 F.sum("p").alias("np"), F.sum("n").alias("nn"))
             .where((F.col("nn") > 0) & (F.col("np") > 0))
             .select(*g, (F.col("correct") / (F.col("np") * F.col("nn"))).alias("auc")))
+
+
+def area_under_curve(train: DataFrame, cv: DataFrame, items: DataFrame, scorer: Scorer,
+                     seed: int = 42, group: tuple[str, ...] = ("user",),
+                     negatives: DataFrame | None = None) -> DataFrame:
+    """Per-user AUC of any scorer (a function (train, pairs) -> pairs + score):
+    held-out positives from ``cv`` against as many sampled negatives from
+    ``items`` (or the given ``negatives``, to score several models on one
+    sample); users without negatives drop.  Mean it for the model's AUC."""
+    neg = negatives if negatives is not None else sample_negatives(cv, items, seed=seed, group=group)
+    ps = scorer(train, cv.select(*group, "item"))
+    ns = scorer(train, neg)
+    return auc_per_user(ps, ns, group)
+
+
+def als_scorer(model) -> Scorer:
+    """Scorer from a fitted ALS model (unknown users/items score 0)."""
+    def score(_train: DataFrame, pairs: DataFrame) -> DataFrame:
+        return model.transform(pairs).withColumnRenamed("prediction", "score").na.fill(0.0, ["score"])
+    return score
+
+
+def top_n_for_users(model, users: DataFrame, seen: DataFrame, n: int = 5,
+                    max_users: int = 10_000) -> DataFrame:
+    """Top ``n`` unseen items for each user in ``users`` (user column):
+    item factors scored against the users' factor vectors, which are
+    broadcast - their count is checked against ``max_users`` - so the work is
+    linear in items and no users x items product of the whole model is built."""
+    from quarry.functions.expr import dot
+    uf = model.userFactors.join(users.select(F.col("user").alias("id")), "id") \
+        .select(F.col("id").alias("user"), F.col("features").alias("uf"))
+    if uf.limit(max_users + 1).count() > max_users:
+        raise ValueError("user subset too large to broadcast; use recommendForUserSubset")
+    scored = (model.itemFactors.join(F.broadcast(uf), how="inner")
+              .select("user", F.col("id").alias("item"), dot(F.col("features"), F.col("uf")).alias("score"))
+              .join(seen.select("user", "item"), ["user", "item"], "left_anti"))
+    w = Window.partitionBy("user").orderBy(F.col("score").desc(), F.col("item").asc())
+    return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
