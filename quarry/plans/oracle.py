@@ -618,3 +618,17 @@ ORACLE["xml_wholetext_topics"] = """
 SELECT p.p_name AS topic, count(*) AS cnt
 FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey WHERE l.l_quantity >= 25 GROUP BY p.p_name
 """
+
+_PRUNED = ORACLE["cooccurrence_chisq"].replace("WITH ", "WITH RECURSIVE ", 1).rsplit("SELECT topic_a, topic_b,", 1)[0] + """,
+ed AS (SELECT least(substr(md5(topic_a), 1, 8), substr(md5(topic_b), 1, 8)) AS src,
+              greatest(substr(md5(topic_a), 1, 8), substr(md5(topic_b), 1, 8)) AS dst FROM c WHERE chi > 3.84),
+vx AS (SELECT DISTINCT substr(md5(topic), 1, 8) AS id, topic FROM items),
+ue AS (SELECT src, dst FROM ed UNION SELECT dst, src FROM ed)"""
+
+ORACLE["interesting_components"] = _PRUNED + """,
+reach(a, b) AS (SELECT id, id FROM vx UNION SELECT r.a, ue.dst FROM reach r JOIN ue ON ue.src = r.b)
+SELECT vx.id, vx.topic, min(r.b) AS component FROM reach r JOIN vx ON vx.id = r.a GROUP BY vx.id, vx.topic"""
+
+ORACLE["interesting_degrees"] = _PRUNED + """,
+ends AS (SELECT src AS id FROM ed UNION ALL SELECT dst FROM ed)
+SELECT vx.id, vx.topic, count(*) AS degree FROM ends JOIN vx USING (id) GROUP BY vx.id, vx.topic"""

@@ -61,3 +61,29 @@ def xml_topics(spark, d):
     path = roles.citation_xml(spark, d)
     cit = files.read_xml(spark, path, "MedlineCitation", roles.citation_schema())
     return cooccur.major_topics(cit)
+
+
+def _pruned_graph(spark, d, threshold: float = CHI_THRESHOLD):
+    """Topic graph keeping only edges with chi-square above the threshold;
+    vertices are all topics (8-hex md5 ids)."""
+    items = roles.basket_items(spark, d)
+    dist = cooccur.distinct_baskets(items, "basket", "topic")
+    e = cooccur.chi_square_edges(dist, roles.basket_total(spark, d), threshold).select("src", "dst").checkpoint()
+    v = cooccur.vertex_ids(items, "topic")
+    return v, e
+
+
+@query("interesting_components")
+def interesting_components(spark, d):
+    """Connected components of the chi-square-pruned co-occurrence graph."""
+    from quarry.operators import graph
+    v, e = _pruned_graph(spark, d)
+    return graph.connected_components(v.select("id"), e).join(v, "id").select("id", "topic", "component")
+
+
+@query("interesting_degrees")
+def interesting_degrees(spark, d):
+    """Degree of each topic in the pruned graph (topics without edges absent)."""
+    from quarry.operators import graph
+    v, e = _pruned_graph(spark, d)
+    return v.join(graph.degrees(e), "id").select("id", "topic", "degree")
