@@ -42,30 +42,71 @@ def union_distinct(*dfs: DataFrame) -> DataFrame:
 
 
 def consecutive_pairs(df: DataFrame, part: str, order: list[str], key: str,
-                      values: list[str], schema: str) -> DataFrame:
-    """Co-locate by ``part`` and sort inside partitions, then pair each row
-    with the next row of the same ``part`` in one pass per partition
-    (mapInPandas, carrying the last row across Arrow batches)."""
+                      values: list[str], schema: str, partitions: int | None = None) -> DataFrame:
+    """Each row paired with the next row of the same ``part`` in ``order``
+    (the explicit co-locate-and-sort form, one pass per partition with
+    mapInPandas; ``order`` must be unique within a part).
+
+    Rows are range-partitioned on (part, order) and sorted inside
+    partitions, so a part holding a third of the rows spans several
+    consecutive partitions instead of one task.  Pairs inside a partition
+    are emitted by mapInPandas (carrying the last row across Arrow batches);
+    every partition also emits its first and last row, and the pairs across
+    partition boundaries come from those edge rows (two per partition).
+    ``schema`` names the output: part, key, next_<key>, then each value and
+    next_<value>.
+    """
+    from pyspark.sql import Window
     cols = list(dict.fromkeys([part, *order, key, *values]))
-    src = df.select(*cols).repartition(part).sortWithinPartitions(part, *order)
+    n = partitions or df.sparkSession.conf.get("spark.sql.shuffle.partitions")
+    src = (df.select(*cols).repartitionByRange(int(n), part, *order)
+           .sortWithinPartitions(part, *order).withColumn("_pid", F.spark_partition_id()))
+    out_cols = [part, key, "next_" + key] + [c for v in values for c in (v, "next_" + v)]
+    inner_schema = "_kind string, _pid int, " + schema
 
     def pair(batches):
-        carry = None
+        carry, first = None, None
         for pdf in batches:
+            if len(pdf) == 0:
+                continue
+            if first is None:
+                first = pdf.iloc[[0]].reset_index(drop=True)
             if carry is not None:
                 pdf = pd.concat([carry, pdf], ignore_index=True)
+            carry = pdf.iloc[[-1]].reset_index(drop=True)
             if len(pdf) < 2:
-                carry = pdf if len(pdf) else carry
                 continue
             p = pdf[part].to_numpy()
             same = p[:-1] == p[1:]
-            out = {part: p[:-1][same],
-                   key: pdf[key].to_numpy()[:-1][same],
+            out = {"_kind": "pair", "_pid": pdf["_pid"].to_numpy()[:-1][same],
+                   part: p[:-1][same], key: pdf[key].to_numpy()[:-1][same],
                    "next_" + key: pdf[key].to_numpy()[1:][same]}
             for v in values:
                 a = pdf[v].to_numpy()
                 out[v], out["next_" + v] = a[:-1][same], a[1:][same]
-            carry = pdf.iloc[[-1]].reset_index(drop=True)
-            yield pd.DataFrame(out)
-
-    return src.mapInPandas(pair, schema)
+            yield pd.DataFrame(out)[["_kind", "_pid"] + out_cols]
+        for kind, row in (("first", first), ("last", carry)):
+            if row is not None:
+                e = {"_kind": kind, "_pid": row["_pid"].to_numpy(), part: row[part].to_numpy(),
+                     key: row[key].to_numpy(), "next_" + key: [None]}
+                for v in values:
+                    e[v], e["next_" + v] = row[v].to_numpy(), [None]
+                yield pd.DataFrame(e)[["_kind", "_pid"] + out_cols]
+
+    res = src.mapInPandas(pair, inner_schema)
+    inner = res.where(F.col("_kind") == "pair").select(*out_cols)
+    # boundary pairs: last row of a partition with the first row of the next
+    # non-empty partition, when both belong to the same part (edge rows: two
+    # per partition, so this window is bounded by the partition count)
+    edges = res.where(F.col("_kind") != "pair")
+    firsts = edges.where(F.col("_kind") == "first").select(
+        "_pid", *[F.col(c).alias("_f_" + c) for c in [part, key, *values]])
+    w = Window.orderBy("_pid")
+    nxt = firsts.select(F.col("_pid").alias("_prev"),
+                        *[F.lead(F.col("_f_" + c)).over(w).alias("_n_" + c) for c in [part, key, *values]])
+    lasts = edges.where(F.col("_kind") == "last").select("_pid", part, key, *values)
+    cross = (lasts.join(nxt, lasts["_pid"] == nxt["_prev"])
+             .where(F.col(part) == F.col("_n_" + part))
+             .select(part, key, F.col("_n_" + key).alias("next_" + key),
+                     *[c for v in values for c in (F.col(v), F.col("_n_" + v).alias("next_" + v))]))
+    return inner.unionByName(cross)

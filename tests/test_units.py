@@ -166,3 +166,17 @@ def test_negative_sampling_chunked_draws_identical(spark, monkeypatch):
     monkeypatch.setattr(recommend, "DRAW_CHUNK", 3)
     many = sorted(tuple(r) for r in recommend.sample_negatives(pos, items, seed=5).collect())
     assert one == many and len(one) == 28
+
+
+def test_consecutive_pairs_hot_key_across_partitions(spark):
+    from pyspark.sql import Window
+    from quarry.operators import basic
+    rows = [("hot", i, i * 10) for i in range(300)] + [("a", i, i) for i in range(5)] + [("z", 0, 0)]
+    df = spark.createDataFrame(rows, "k string, t long, v long")
+    got = basic.consecutive_pairs(df, "k", ["t"], "t", ["v"],
+                                  "k string, t long, next_t long, v long, next_v long", partitions=16)
+    w = Window.partitionBy("k").orderBy("t")
+    want = (df.select("k", "t", F.lead("t").over(w).alias("next_t"), "v", F.lead("v").over(w).alias("next_v"))
+            .where(F.col("next_t").isNotNull()))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.select(*got.columns).collect()))
+    assert got.count() == 299 + 4
