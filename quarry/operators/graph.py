@@ -35,14 +35,22 @@ def degrees(edges: DataFrame) -> DataFrame:
 
 
 def _propagate_min(labels: DataFrame, edges: DataFrame) -> DataFrame:
-    """Repeat label(v) = min(label(v), label(u) for u -> v) until stable."""
+    """Smallest id reaching each vertex: repeat label(v) = min(label(v),
+    label(u) for u -> v) until stable, with a pointer jump each round:
+    label(v) = min(label(v), label(label(v))) - whatever reaches label(v)
+    also reaches v - so a label crosses long chains in far fewer rounds."""
     cur = _ckpt(labels)
     for _ in range(MAX_ROUNDS):
         msg = (edges.join(cur.select(F.col("id").alias("src"), F.col("label").alias("m")), "src")
                .groupBy(F.col("dst").alias("id")).agg(F.min("m").alias("m")))
-        nxt = (cur.join(msg, "id", "left")
-               .select("id", F.least("label", F.coalesce("m", "label")).alias("label"),
-                       (F.col("m") < F.col("label")).alias("changed")))
+        step = (cur.join(msg, "id", "left")
+                .select("id", F.least("label", F.coalesce("m", "label")).alias("label"), "m",
+                        F.col("label").alias("old")))
+        step = _ckpt(step)
+        hop = step.select(F.col("id").alias("label"), F.col("label").alias("j"))
+        nxt = (step.join(hop, "label", "left")
+               .select("id", F.least("label", F.coalesce("j", "label")).alias("label"), "old")
+               .withColumn("changed", F.col("label") < F.col("old")).drop("old"))
         nxt = _ckpt(nxt)
         if nxt.where(F.col("changed")).limit(1).count() == 0:
             return nxt.select("id", "label")

@@ -136,3 +136,23 @@ def test_salted_pairs_equal_brute_force(spark, items, chunk):
         for a, b in combinations(sorted(ts), 2):
             want[(a, b)] = want.get((a, b), 0) + 1
     assert got == want
+
+
+@settings(max_examples=6, deadline=None)
+@given(edges=st.lists(st.tuples(st.integers(0, 11), st.integers(0, 11)), max_size=30))
+def test_scc_equals_brute_force(spark, edges):
+    from quarry.operators import graph
+    n = 12
+    reach = [[i == j for j in range(n)] for i in range(n)]
+    for a, b in edges:
+        reach[a][b] = True
+    for k in range(n):                      # Floyd-Warshall transitive closure
+        for i in range(n):
+            if reach[i][k]:
+                for j in range(n):
+                    reach[i][j] = reach[i][j] or reach[k][j]
+    want = {i: min(j for j in range(n) if reach[i][j] and reach[j][i]) for i in range(n)}
+    v = spark.createDataFrame([(i,) for i in range(n)], "id long")
+    e = spark.createDataFrame(edges or [(0, 0)], "src long, dst long")
+    got = {r.id: r.component for r in graph.strongly_connected_components(v, e).collect()}
+    assert got == want
