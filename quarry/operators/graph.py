@@ -101,8 +101,9 @@ def strongly_connected_components(vertices: DataFrame, edges: DataFrame) -> Data
     remaining graph are singleton SCCs and are peeled off; otherwise
     forward-propagate the smallest reaching id (colour); a vertex whose colour
     is its own id is a root; the root's SCC is the set of same-colour vertices
-    that reach it (backward propagation inside the colour).  Assign, remove,
-    repeat on the rest.
+    that reach it (min labels over the reversed same-colour edges equal to
+    the root).  Both propagations jump pointers.  Assign, remove, repeat on
+    the rest.
     """
     e_all = _ckpt(edges.select("src", "dst").where(F.col("src") != F.col("dst")).distinct())
     rest = _ckpt(vertices.select("id"))
@@ -130,33 +131,18 @@ def strongly_connected_components(vertices: DataFrame, edges: DataFrame) -> Data
               .join(colour.select(F.col("id").alias("dst"), F.col("label").alias("cd")), "dst")
               .where(F.col("cs") == F.col("cd"))
               .select(F.col("dst").alias("src"), F.col("src").alias("dst")))
-        seed = colour.select("id", F.when(F.col("id") == F.col("label"), F.lit(0)).alias("label"))
-        # label 0 = reached from the root, NULL = not (min-propagation over reversed edges)
-        reach = _propagate_reach(seed, ce)
-        scc = (reach.where(F.col("label").isNotNull()).select("id")
-               .join(colour, "id").select("id", F.col("label").alias("component")))
+        # Inside a colour the root is the smallest id, so v reaches the root
+        # exactly when the min label over the reversed same-colour edges is
+        # the root: the same pointer-jumping propagation decides it.
+        back = _propagate_min(colour.select("id", F.col("id").alias("label")), ce)
+        scc = (back.withColumnRenamed("label", "b").join(colour, "id")
+               .where(F.col("b") == F.col("label")).select("id", F.col("label").alias("component")))
         scc = _ckpt(scc)
         done = scc if done is None else _ckpt(done.unionByName(scc))
         rest = _ckpt(rest.join(scc.select("id"), "id", "left_anti"))
     return done
 
 
-def _propagate_reach(seed: DataFrame, edges: DataFrame) -> DataFrame:
-    """Mark (label 0) every vertex reachable from a marked one along edges."""
-    cur = _ckpt(seed)
-    for _ in range(MAX_ROUNDS):
-        msg = (edges.join(cur.where(F.col("label").isNotNull()).select(F.col("id").alias("src")), "src")
-               .select(F.col("dst").alias("id")).distinct().withColumn("m", F.lit(0)))
-        nxt = (cur.join(msg, "id", "left")
-               .select("id", F.coalesce("label", "m").alias("label"),
-                       (F.col("label").isNull() & F.col("m").isNotNull()).alias("changed")))
-        nxt = _ckpt(nxt)
-        if nxt.where(F.col("changed")).limit(1).count() == 0:
-            return nxt.select("id", "label")
-        cur = nxt.select("id", "label")
-    raise RuntimeError("reachability did not converge")
-
-
 def triangle_count(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     """Triangles through each vertex of the undirected simple graph (0 if none).
 
