@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 
 from quarry.functions.expr import hash_uniform
 
-MAX_ROUNDS = 1000
+# Iterations run until convergence, never to a round cap: every loop below
+# makes progress each round (labels only decrease over a finite id set,
+# vertices are removed, or new (vertex, landmark) pairs are found), so it ends.
 
 
 def _ckpt(df: DataFrame) -> DataFrame:
@@ -40,7 +42,7 @@ def _propagate_min(labels: DataFrame, edges: DataFrame) -> DataFrame:
     label(v) = min(label(v), label(label(v))) - whatever reaches label(v)
     also reaches v - so a label crosses long chains in far fewer rounds."""
     cur = _ckpt(labels)
-    for _ in range(MAX_ROUNDS):
+    while True:
         msg = (edges.join(cur.select(F.col("id").alias("src"), F.col("label").alias("m")), "src")
                .groupBy(F.col("dst").alias("id")).agg(F.min("m").alias("m")))
         step = (cur.join(msg, "id", "left")
@@ -55,7 +57,6 @@ def _propagate_min(labels: DataFrame, edges: DataFrame) -> DataFrame:
         if nxt.where(F.col("changed")).limit(1).count() == 0:
             return nxt.select("id", "label")
         cur = nxt.select("id", "label")
-    raise RuntimeError("label propagation did not converge")
 
 
 def _sym(e: DataFrame) -> DataFrame:
@@ -73,7 +74,7 @@ def connected_components(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     each component is a star around its smallest id.
     """
     e = _ckpt(_sym(edges.select(F.col("src").alias("u"), F.col("dst").alias("v"))))
-    for _ in range(MAX_ROUNDS):
+    while True:
         # large-star: link every larger neighbour of u to the min of u's closed neighbourhood
         mn = e.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = _ckpt(_sym(e.where(F.col("v") > F.col("u")).join(mn, "u")
@@ -108,9 +109,7 @@ def strongly_connected_components(vertices: DataFrame, edges: DataFrame) -> Data
     e_all = _ckpt(edges.select("src", "dst").where(F.col("src") != F.col("dst")).distinct())
     rest = _ckpt(vertices.select("id"))
     done = None
-    for _ in range(MAX_ROUNDS):
-        if rest.limit(1).count() == 0:
-            break
+    while rest.limit(1).count() > 0:   # each phase removes at least one vertex
         ids = rest.select("id")
         e = (e_all.join(ids.withColumnRenamed("id", "src"), "src")
              .join(ids.withColumnRenamed("id", "dst"), "dst"))
@@ -191,7 +190,9 @@ def landmark_distances(landmarks: DataFrame, edges: DataFrame) -> DataFrame:
     e = edges.select("src", "dst").where(F.col("src") != F.col("dst")).distinct()
     best = _ckpt(landmarks.select("id", F.col("id").alias("landmark"), F.lit(0).alias("dist")))
     frontier = best
-    for step in range(1, MAX_ROUNDS):
+    step = 0
+    while True:
+        step += 1
         nxt = (frontier.select(F.col("id").alias("src"), "landmark").join(e, "src")
                .select(F.col("dst").alias("id"), "landmark").distinct()
                .join(best.select("id", "landmark"), ["id", "landmark"], "left_anti")
@@ -230,7 +231,7 @@ def landmark_maps_pregel(vertices: DataFrame, edges: DataFrame, landmarks: DataF
     empty = F.create_map().cast("map<bigint,int>")
     state = _ckpt(vertices.select("id").join(lm, "id", "left").select(
         "id", F.when(F.col("is_lm"), F.create_map(F.col("id"), F.lit(0))).otherwise(empty).alias("map")))
-    for _ in range(MAX_ROUNDS):
+    while True:
         sent = (e.join(state.select(F.col("id").alias("src"), "map"), "src")
                 .where(F.size("map") > 0)
                 .select("dst", F.explode(F.transform_values("map", lambda k, v: v + 1)).alias("lmk", "hops")))

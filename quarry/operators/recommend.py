@@ -87,8 +87,9 @@ def sample_negatives(positives: DataFrame, items: DataFrame, seed: int = 42,
     Draw j of a user is item number hash(user, j, seed) mod n_items; the
     negatives are the first n_pos draws (in j order) that are not positives,
     duplicates allowed, at most n_items draws.  Draws are generated in rounds
-    of growing size until every user is satisfied or has used n_items draws,
-    so the result is exact without generating users x items.
+    of growing size until every user is satisfied or has used all n_items
+    draws (no round cap), so the result is exact without generating
+    users x items.
     """
     from quarry.session import shared_dir
     shared_dir(positives.sparkSession)
@@ -100,8 +101,14 @@ def sample_negatives(positives: DataFrame, items: DataFrame, seed: int = 42,
             .select(*g, "n_pos", F.lit(0).cast("long").alias("have"),
                     F.lit(0).cast("long").alias("next_j")))
     result = None
-    for _ in range(64):
-        end = F.least(F.col("next_j") + (F.col("n_pos") - F.col("have")) * 2 + 8, n_items)
+    rnd = 0
+    while True:
+        # every round advances each open user's draw index (to at most
+        # n_items), so the loop ends; the slack doubles per round, so a user
+        # whose positives cover most items needs only logarithmically many
+        slack = F.lit(8 << min(rnd, 40)).cast("long")
+        end = F.least(F.col("next_j") + (F.col("n_pos") - F.col("have")) * 2 + slack, n_items)
+        rnd += 1
         # two-level generation: chunk starts first (one row per DRAW_CHUNK
         # draws), spread over tasks, then each chunk's draws - a user with a
         # huge positive set never expands all its draws inside one task

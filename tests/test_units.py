@@ -180,3 +180,20 @@ def test_consecutive_pairs_hot_key_across_partitions(spark):
             .where(F.col("next_t").isNotNull()))
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.select(*got.columns).collect()))
     assert got.count() == 299 + 4
+
+
+def test_negative_sampling_dense_positives_no_round_cap(spark):
+    # user 1 holds 95 of 100 items: only 5 distinct non-positives exist, so it
+    # needs many draws; user 2 holds every item and gets none
+    pos = spark.createDataFrame([(1, i) for i in range(95)] + [(2, i) for i in range(100)],
+                                "user long, item long")
+    items = spark.createDataFrame([(i,) for i in range(100)], "item long")
+    neg = recommend.sample_negatives(pos, items, seed=1).collect()
+    got = [r.item for r in neg if r.user == 1]
+    assert all(i >= 95 for i in got) and len(got) >= 1
+    assert not [r for r in neg if r.user == 2]
+    # exactness: the negatives are the first non-positive draws in draw order
+    import hashlib
+    draws = [int(hashlib.md5(f"1|{j}|1".encode()).hexdigest()[:8], 16) % 100 for j in range(100)]
+    want = [d for d in draws if d >= 95][:95]
+    assert sorted(got) == sorted(want)
