@@ -12,6 +12,10 @@ from pyspark.sql import types as T
 
 from quarry.sources.files import drop_header_lines, read_csv, read_lines, string_schema
 
+# The formats' layouts.  Record-pair files carry nine comparison
+# scores; the taxi CSV header lists these columns in this order; citation XML
+# uses MedlineCitation / MeshHeadingList / MeshHeading / DescriptorName with the
+# MajorTopicYN attribute.
 LINKAGE_SCORES = 9
 
 
@@ -102,6 +106,7 @@ def citation_topics(spark: SparkSession, path: str, row_tag: str = "MedlineCitat
     return major_topics(c.withColumn("PMID", F.coalesce("PMID", F.monotonically_increasing_id().cast("string"))))
 
 
+# Fixed values (see the note at the top): taxi CSV columns in file order.
 TAXI_COLUMNS = ("medallion", "hack_license", "vendor_id", "rate_code", "store_and_fwd_flag",
                 "pickup_datetime", "dropoff_datetime", "passenger_count", "trip_time_in_secs",
                 "trip_distance", "pickup_longitude", "pickup_latitude", "dropoff_longitude",
