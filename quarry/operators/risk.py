@@ -22,10 +22,18 @@ from quarry.functions.expr import box_muller, dot, hash_uniform, signed_sqrt, si
 MAX_FACTORS = 512  # bound on parameters brought to the driver
 
 
-def daily_quotes(df: DataFrame, key: str, date: str, price: str) -> DataFrame:
-    """Mean price per (instrument, day)."""
-    return (df.groupBy(F.col(key).alias("instrument"), F.to_date(F.col(date)).alias("date"))
-            .agg(F.avg(price).alias("price")))
+def daily_quotes(df: DataFrame, key: str, date: str, price: str, scale: int | None = None) -> DataFrame:
+    """Mean price per (instrument, day).
+
+    With ``scale`` (e.g. 100 for prices in cents) the mean is exact and
+    independent of summation order: integer units are summed exactly and
+    divided once, so every engine and every partitioning gives the same
+    double."""
+    g = df.groupBy(F.col(key).alias("instrument"), F.to_date(F.col(date)).alias("date"))
+    if scale is None:
+        return g.agg(F.avg(price).alias("price"))
+    units = F.round(F.col(price) * F.lit(float(scale))).cast("long")
+    return g.agg((F.sum(units).cast("double") / (F.count(F.lit(1)) * F.lit(scale)).cast("double")).alias("price"))
 
 
 def fill_calendar(quotes: DataFrame, start: str, end: str) -> DataFrame:

@@ -261,14 +261,16 @@ def _series(name: str, src: str) -> str:
 
 
 _STOCK_SRC = """SELECT o_orderpriority AS instrument, CAST(o_orderdate AS DATE) AS date,
-                       avg(o_totalprice) AS price FROM orders GROUP BY 1, 2"""
+                       CAST(sum(CAST(round(o_totalprice * 100.0) AS BIGINT)) AS DOUBLE)
+                         / CAST(count(*) * 100 AS DOUBLE) AS price FROM orders GROUP BY 1, 2"""
 _FACTOR_SRC = """SELECT c_mktsegment AS instrument, CAST(o_orderdate AS DATE) AS date,
-                        avg(o_totalprice) AS price
+                        CAST(sum(CAST(round(o_totalprice * 100.0) AS BIGINT)) AS DOUBLE)
+                          / CAST(count(*) * 100 AS DOUBLE) AS price
                  FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2"""
 _RISK = "WITH " + _series("s", _STOCK_SRC) + "," + _series("f", _FACTOR_SRC)
 
 ORACLE["bday_fill"] = _RISK + """
-SELECT instrument, date, round(price, 4) AS price FROM s_filled"""
+SELECT instrument, date, price FROM s_filled"""
 
 ORACLE["horizon_returns"] = _RISK + """
 SELECT instrument, date, round(ret, 8) AS ret FROM s_ret"""
@@ -526,7 +528,7 @@ u AS (SELECT tw.doc_id, tw.term, CASE WHEN norm > 0 THEN tfidf / norm ELSE 0 END
       FROM tw JOIN nrm USING (doc_id)),
 q AS (SELECT term, unit AS q FROM u WHERE doc_id = (SELECT min(doc_id) FROM docs)),
 c AS (SELECT u.doc_id, sum(u.unit * q.q) AS cosine FROM u JOIN q USING (term) GROUP BY u.doc_id)
-SELECT doc_id, round(cosine, 6) AS cosine FROM c ORDER BY cosine DESC, doc_id ASC LIMIT 10"""
+SELECT doc_id, round(cosine, 6) AS cosine FROM c ORDER BY round(cosine, 9) DESC, doc_id ASC LIMIT 10"""
 
 
 # --------------------------------------------------------------- classify

@@ -43,7 +43,9 @@ def doc_cosine(spark, d):
     unit = text.normalize_rows(_tfidf(spark, d))
     q = roles.corpus(spark, d).select(F.min("doc_id")).scalar()
     c = text.cosine_to(unit, q)
-    top = c.orderBy(F.col("cosine").desc(), F.col("doc_id").asc()).limit(10)
+    # copies of a document tie at cosine 1 up to float noise: rank on a
+    # rounded key, then doc id, so ties break the same way everywhere
+    top = c.orderBy(F.round("cosine", 9).desc(), F.col("doc_id").asc()).limit(10)
     return top.select("doc_id", F.round("cosine", 6).alias("cosine"))
 
 

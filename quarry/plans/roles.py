@@ -193,7 +193,7 @@ def stock_quotes(spark: SparkSession, d: str) -> DataFrame:
     """Instrument = order priority; price = daily mean order total."""
     from quarry.operators.risk import daily_quotes
     o = table(spark, d, "orders", "o_orderpriority", "o_orderdate", "o_totalprice")
-    return daily_quotes(o, "o_orderpriority", "o_orderdate", "o_totalprice")
+    return daily_quotes(o, "o_orderpriority", "o_orderdate", "o_totalprice", scale=100)
 
 
 def factor_quotes(spark: SparkSession, d: str) -> DataFrame:
@@ -202,7 +202,7 @@ def factor_quotes(spark: SparkSession, d: str) -> DataFrame:
     o = table(spark, d, "orders", "o_custkey", "o_orderdate", "o_totalprice")
     c = table(spark, d, "customer", "c_custkey", "c_mktsegment")
     x = o.join(c, o.o_custkey == c.c_custkey)
-    return daily_quotes(x, "c_mktsegment", "o_orderdate", "o_totalprice")
+    return daily_quotes(x, "c_mktsegment", "o_orderdate", "o_totalprice", scale=100)
 
 
 def trials(spark: SparkSession, d: str) -> DataFrame:
