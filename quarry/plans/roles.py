@@ -94,7 +94,6 @@ def zones(spark: SparkSession) -> DataFrame:
     """Zones from a GeoJSON FeatureCollection written to the shared folder and
     read back (multi-line JSON, one row per feature)."""
     from pyspark.sql import types as T
-    from quarry.session import shared_dir
     from quarry.sources.files import read_json
     from quarry.session import stand_in_source
     path = stand_in_source(spark, "zones", "", lambda p: spark.createDataFrame(
