@@ -27,3 +27,17 @@ def test_native_queries_have_no_python_and_no_cartesian(spark):
         p = _plan(qs[name](spark, SMOKE))
         assert "CartesianProduct" not in p, name
         assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p, name
+
+
+def test_entry_module_imports_without_a_session():
+    """The driver may import the contract before creating a session."""
+    import subprocess
+    import sys
+    code = ("import __spark_entry__ as e; from pyspark import SparkContext; "
+            "assert SparkContext._active_spark_context is None; "
+            "print(len(e.queries()), len(e.oracle_sql()))")
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=120,
+                         cwd=__import__("os").path.dirname(__import__("os").path.dirname(__file__)))
+    assert out.returncode == 0, out.stderr[-500:]
+    n_q, n_o = map(int, out.stdout.split())
+    assert n_q >= n_o > 0
