@@ -6,8 +6,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quarry.llm import linkgraph, mixing, topk, warc
+from quarry.llm import decontam, linkgraph, mixing, topk, warc
 from quarry.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,9 +31,17 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linkgraph.judge(table(spark, sf_dir, "pages", "page_id", "url", "html"))
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontam.scan(table(spark, sf_dir, "documents", "doc_id", "text"),
+                          table(spark, sf_dir, "benchmark", "item_id", "text"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items",
+                        F.sha2(F.concat_ws(",", "items").cast("binary"), 256).alias("items_sha256"), "contaminated")
+
+
 QUERIES: dict[str, Query] = {
     "op1_topk": op1_topk,
     "op4_mix": op4_mix,
     "op5_warc": op5_warc,
     "op6_url_filter": op6_url_filter,
+    "op7_decontaminate": op7_decontaminate,
 }
