@@ -105,3 +105,26 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
        coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN pos USING (rid) LEFT JOIN its USING (rid)
 """
+
+ORACLE["op8_jaccard_join"] = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + least(4, len(w)) - 1], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(1, len(w) - 3) + 1)) AS i FROM d WHERE len(w) > 0)
+), z AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), p AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS o FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2
+), e AS (
+  SELECT x, y FROM p JOIN z a ON a.doc_id = x JOIN z b ON b.doc_id = y WHERE 100 * o >= 85 * (a.n + b.n - o)
+), r(id, c) AS (
+  SELECT doc_id, doc_id FROM d
+  UNION
+  SELECT e.y, r.c FROM r JOIN e ON e.x = r.id WHERE r.c < e.y
+)
+SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, m.c AS component_id
+FROM d LEFT JOIN z USING (doc_id) JOIN (SELECT id, min(c) AS c FROM r GROUP BY id) m ON m.id = d.doc_id
+"""

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import decontam, linkgraph, mixing, topk, warc
+from quarry.llm import decontam, linkgraph, mixing, overlap_join, topk, warc
 from quarry.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,10 +38,15 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.concat_ws(",", "items").cast("binary"), 256).alias("items_sha256"), "contaminated")
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return overlap_join.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"), k=4, num=85, den=100)
+
+
 QUERIES: dict[str, Query] = {
     "op1_topk": op1_topk,
     "op4_mix": op4_mix,
     "op5_warc": op5_warc,
     "op6_url_filter": op6_url_filter,
     "op7_decontaminate": op7_decontaminate,
+    "op8_jaccard_join": op8_jaccard_join,
 }
