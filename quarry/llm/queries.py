@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import decontam, linkgraph, mixing, overlap_join, topk, warc
+from quarry.llm import decontam, linkgraph, lpf, mixing, overlap_join, topk, warc
 from quarry.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,11 @@ def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
 
 
+def op3_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = lpf.remove_repeats(table(spark, sf_dir, "documents", "doc_id", "text"), 400, keep="none")
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op4_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents", "doc_id", "text", "source")).drop("source")
 
@@ -44,6 +49,7 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_topk": op1_topk,
+    "op3_repeats": op3_repeats,
     "op4_mix": op4_mix,
     "op5_warc": op5_warc,
     "op6_url_filter": op6_url_filter,
