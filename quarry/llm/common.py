@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,3 +42,27 @@ def ascii_lower(c: Column) -> Column:
 def crc_fold(doc_id: Column, mod: int) -> Column:
     """crc32 of the id written as text, modulo ``mod``; a null id is fold -1."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % mod, F.lit(-1))
+
+
+def labelled(docs: DataFrame, labels: DataFrame, what: str, mod: int, held: int, most: int) -> DataFrame:
+    """(doc_id, text, label, pick) of at most ``most`` labelled documents
+    outside the held-out fold, in the order of a hash of the id, so the sample
+    is the same in every run.  ``pick`` (0..99) deals them out.  A doc_id with
+    several labels takes the commoner one (1 on a tie); null ids and labels
+    other than 0 and 1 are left out."""
+    lab = (labels.where(F.col(what).isin(0, 1) & F.col("doc_id").isNotNull() & (crc_fold(F.col("doc_id"), mod) != held))
+           .groupBy("doc_id").agg((F.avg(what) >= 0.5).cast("int").alias("label"))
+           .withColumn("_o", F.xxhash64("doc_id")).orderBy("_o", "doc_id").limit(most))
+    lab = written(lab.select("doc_id", "label", F.pmod("_o", F.lit(100)).alias("pick")), "labelled")
+    return docs.select("doc_id", "text").join(bounded(lab, 32), "doc_id")
+
+
+def isotonic(points: DataFrame) -> tuple[list[float], list[float]]:
+    """(x, label) -> the steps of a rising fit of label on x, for
+    interpolation.  Without points of both labels: their common label."""
+    seen = [r[0] for r in points.select("label").distinct().collect()]
+    if len(seen) < 2:
+        return [0.0], [float(seen[0]) if seen else 0.0]
+    fit = IsotonicRegression(featuresCol="x", labelCol="label").fit(
+        points.select(F.col("x").cast("double"), F.col("label").cast("double")))
+    return [float(v) for v in fit.boundaries.toArray()], [float(v) for v in fit.predictions.toArray()]

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import decontam, linkgraph, lpf, mixing, overlap_join, topk, warc
+from quarry.llm import decontam, linkgraph, lpf, mixing, overlap_join, quality, topk, toxicity, warc
 from quarry.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,11 @@ def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents", "doc_id", "text"),
+                            table(spark, sf_dir, "labels", "doc_id", "quality"))
+
+
 def op3_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = lpf.remove_repeats(table(spark, sf_dir, "documents", "doc_id", "text"), 400, keep="none")
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
@@ -47,12 +52,19 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return overlap_join.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"), k=4, num=85, den=100)
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(table(spark, sf_dir, "documents", "doc_id", "text"),
+                             table(spark, sf_dir, "labels", "doc_id", "toxic"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_topk": op1_topk,
+    "op2_quality": op2_quality,
     "op3_repeats": op3_repeats,
     "op4_mix": op4_mix,
     "op5_warc": op5_warc,
     "op6_url_filter": op6_url_filter,
     "op7_decontaminate": op7_decontaminate,
     "op8_jaccard_join": op8_jaccard_join,
+    "op9_toxicity": op9_toxicity,
 }
