@@ -5,10 +5,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import decontam, linkgraph, lpf, mixing, overlap_join, quality, topk, toxicity, warc
+from quarry.llm import decontam, linkgraph, lpf, mixing, overlap_join, pii, quality, topk, toxicity, warc
 from quarry.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,6 +57,21 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                              table(spark, sf_dir, "labels", "doc_id", "toxic"))
 
 
+def _listed(spans: Column) -> Column:
+    return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
+
+
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.report(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    base = F.filter("spans", lambda x: x["k"] <= len(pii.BASE))
+    return found.select("doc_id", *[count(k) for k in pii.BASE],
+                        F.sha2(_listed(base).cast("binary"), 256).alias("base_sha256"),
+                        _listed(F.col("spans")).alias("spans"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_topk": op1_topk,
     "op2_quality": op2_quality,
@@ -67,4 +82,5 @@ QUERIES: dict[str, Query] = {
     "op7_decontaminate": op7_decontaminate,
     "op8_jaccard_join": op8_jaccard_join,
     "op9_toxicity": op9_toxicity,
+    "op10_pii": op10_pii,
 }
