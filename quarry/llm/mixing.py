@@ -56,8 +56,9 @@ def hash_key(seed: str) -> Column:
     return F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
 
 
-def take(docs: DataFrame, goal: DataFrame, seed: str = "mix", rows_per_range: int = 20_000) -> DataFrame:
-    """(doc_id, source, size, _tie) and (source, source_size, target) ->
+def take(docs: DataFrame, goal: DataFrame, seed: str = "mix", rows_per_range: int = 20_000,
+         carry: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, source, size, _tie, and ``carry``) and (source, source_size, target) ->
     doc_id, source, size, source_size, target, taken.
 
     ``floor(target)`` words are taken from each source: whole passes over it,
@@ -85,16 +86,17 @@ def take(docs: DataFrame, goal: DataFrame, seed: str = "mix", rows_per_range: in
     left = budget - passes * F.col("source_size")
     start = F.col("_base") + F.sum("size").over(inside) - F.col("size")
     part = F.greatest(F.lit(0), F.least(F.col("size"), left - start))
-    return d.select("doc_id", "source", "size", "source_size", "target",
+    return d.select("doc_id", "source", *carry, "size", "source_size", "target",
                     (passes * F.col("size") + part).cast("long").alias("taken"))
 
 
 def mix(docs: DataFrame, weights: tuple[float, ...] = (3.0, 1.0, 2.0), share: float = 1.5,
-        max_epochs: float = 2.0, seed: str = "mix") -> DataFrame:
+        max_epochs: float = 2.0, seed: str = "mix", texts: bool = False) -> DataFrame:
     """Documents (doc_id, text, source) -> doc_id, source, size, source_size,
-    target, taken.  Sources in code-point order, null last, take ``weights``
+    target, taken; with ``texts`` also the text.  Sources in code-point order, null last, take ``weights``
     in turn; together they share ``share`` times all words."""
-    d = written(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"),
+    carry = ("text",) if texts else ()
+    d = written(docs.select("doc_id", "source", *carry, word_count(F.col("text")).alias("size"),
                             F.md5(F.coalesce(F.col("text"), F.lit(""))).alias("_tie")), "mix-sizes")
     sizes = d.groupBy("source").agg(F.sum("size").alias("source_size"))
     place = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
@@ -102,4 +104,12 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (3.0, 1.0, 2.0), share: fl
     sizes = sizes.withColumn("weight", F.element_at(turn, (place % len(weights) + 1).cast("int")))
     total = F.sum("source_size").over(Window.partitionBy()) * F.lit(float(share))
     sizes = sizes.withColumn("_all", total)
-    return take(d, targets(sizes, F.col("_all"), max_epochs), seed)
+    return take(d, targets(sizes, F.col("_all"), max_epochs), seed, carry=carry)
+
+
+def mixed_texts(mixed: DataFrame) -> DataFrame:
+    """Rows of ``mix(.., texts=True)`` that the mix takes; a document taken for
+    less than its size is cut to its first ``taken`` words.  ``taken`` beyond
+    the size means that the text is repeated."""
+    cut = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), 1, F.col("taken").cast("int")), " ")
+    return mixed.where("taken > 0").withColumn("text", F.when(F.col("taken") < F.col("size"), cut).otherwise(F.col("text")))

@@ -27,6 +27,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -157,22 +158,25 @@ def learn_lexicons(rows: DataFrame) -> list[tuple[dict, dict]]:
     return out
 
 
-def _featurise(lexicons: list[tuple[dict, dict]], by_fold: bool):
-    """(doc_id, text[, fold, label]) -> doc_id[, label], features; with folds
-    each text takes the lexicon that left its fold out."""
+def _training_features(lexicons: list[tuple[dict, dict]]):
+    """(doc_id, text, fold, label) -> doc_id, label, features; each text takes
+    the lexicon that left its fold out."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n = batch.num_rows
-            folds = batch.column(2).to_pylist() if by_fold else [-1] * n
-            rows = [features(t.as_py(), *lexicons[f]) for t, f in zip(batch.column(1), folds)]
+            rows = [features(t.as_py(), *lexicons[f]) for t, f in zip(batch.column(1), batch.column(2).to_pylist())]
             cols = [pa.array([r[i] for r in rows], pa.float64()) for i in range(len(NAMES))]
-            head = [batch.column(0)] + ([batch.column(3)] if by_fold else [])
-            names = ["doc_id"] + (["label"] if by_fold else []) + list(NAMES)
-            yield pa.RecordBatch.from_arrays([*head, *cols], names=names)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(3), *cols],
+                                             names=["doc_id", "label", *NAMES])
     return run
 
 
 FEATURES = ", ".join(f"{c} double" for c in NAMES)
+#: columns that the model adds on its way; a caller's columns keep their names
+VEC, CLASS, PROB, RAW = "_tox_vec", "_tox_class", "_tox_prob", "_tox_raw"
+
+
+def _vectors(feats: DataFrame, names: list[str]) -> DataFrame:
+    return VectorAssembler(inputCols=names, outputCol=VEC).transform(feats)
 
 
 class Model:
@@ -182,17 +186,25 @@ class Model:
     def __init__(self, lexicons=None, trees=None, rise=None, flat: float = 0.0):
         self.lexicons, self.trees, self.rise, self.flat = lexicons, trees, rise, flat
 
-    def _raw(self, feats: DataFrame) -> DataFrame:
-        vec = VectorAssembler(inputCols=list(NAMES), outputCol="features")
-        return self.trees.transform(vec.transform(feats)).withColumn("x", vector_to_array("probability")[1])
+    def margin(self, vectors: DataFrame) -> DataFrame:
+        """Adds the trees' probability as ``_tox_x``."""
+        return self.trees.transform(vectors).withColumn("_tox_x", vector_to_array(PROB)[1])
 
-    def score(self, docs: DataFrame) -> DataFrame:
-        """Documents (doc_id, text) -> doc_id, score."""
+    def attach(self, docs: DataFrame) -> DataFrame:
+        """``docs`` (with a column text, any others) plus ``_tox_score``."""
         if self.trees is None:
-            return docs.select("doc_id", F.lit(self.flat).alias("score"))
-        feats = docs.select("doc_id", "text").mapInArrow(_featurise(self.lexicons, False), "doc_id long, " + FEATURES)
-        out = self.rise.transform(self._raw(feats))
-        return out.select("doc_id", F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.col("score"))).alias("score"))
+            return docs.withColumn("_tox_score", F.lit(self.flat))
+        lexicon = self.lexicons[-1]
+
+        @F.pandas_udf(FEATURES)
+        def feats(texts: pd.Series) -> pd.DataFrame:
+            return pd.DataFrame([features(t, *lexicon) for t in texts], columns=list(NAMES))
+        kept = docs.columns
+        names = [f"_tox_{c}" for c in NAMES]
+        f = docs.withColumn("_tox_f", feats("text")).select(*kept, *[F.col(f"_tox_f.{c}").alias(n)
+                                                                    for c, n in zip(NAMES, names)])
+        out = self.rise.transform(self.margin(_vectors(f, names)))
+        return out.select(*kept, F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.col("_tox_rise"))).alias("_tox_score"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, what: str = "toxic", mod: int = 4, held: int = 2, most: int = 20_000,
@@ -205,23 +217,24 @@ def fit(docs: DataFrame, labels: DataFrame, what: str = "toxic", mod: int = 4, h
         return Model(flat=float(next(iter(kinds), 0)))
     lexicons = learn_lexicons(rows)
     feats = written(rows.select("doc_id", "text", "fold", "label")
-                    .mapInArrow(_featurise(lexicons, True), "doc_id long, label int, " + FEATURES), "toxic-features")
+                    .mapInArrow(_training_features(lexicons), "doc_id long, label int, " + FEATURES), "toxic-features")
     # a third of the texts, dealt by another hash than the folds, is kept for the calibration
     part = F.pmod(F.xxhash64(F.col("doc_id"), F.lit("rise")), F.lit(3))
     rare = min(kinds.values()) < 60  # too few to part: both fits read all
-    vec = VectorAssembler(inputCols=list(NAMES), outputCol="features")
-    grown = vec.transform(feats if rare else feats.where(part != 0))
-    model = Model(lexicons, GBTClassifier(labelCol="label", maxIter=trees, maxDepth=depth, stepSize=0.2, seed=7,
-                                          minInstancesPerNode=5).fit(grown))
-    held_back = model._raw(feats if rare else feats.where(part == 0))
-    points = written(held_back.select("x", F.col("label").cast("double").alias("label")), "toxic-points")
-    model.rise = IsotonicRegression(featuresCol="x", labelCol="label", predictionCol="score").fit(points)
+    vectors = _vectors(feats, list(NAMES))
+    grow = GBTClassifier(featuresCol=VEC, predictionCol=CLASS, labelCol="label", maxIter=trees, maxDepth=depth,
+                         stepSize=0.2, seed=7, minInstancesPerNode=5).setProbabilityCol(PROB).setRawPredictionCol(RAW)
+    model = Model(lexicons, grow.fit(vectors if rare else vectors.where(part != 0)))
+    held_back = model.margin(vectors if rare else vectors.where(part == 0))
+    points = written(held_back.select("_tox_x", F.col("label").cast("double").alias("label")), "toxic-points")
+    model.rise = IsotonicRegression(featuresCol="_tox_x", labelCol="label", predictionCol="_tox_rise").fit(points)
     return model
 
 
 def classify(docs: DataFrame, labels: DataFrame, what: str = "toxic", mod: int = 4, held: int = 2,
              most: int = 20_000, at: float = 0.3) -> DataFrame:
     """doc_id, held_out, score, predicted of every document."""
-    scored = fit(docs, labels, what, mod, held, most).score(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
-    return scored.select("doc_id", (crc_fold(F.col("doc_id"), mod) == held).alias("held_out"), "score",
-                         (F.col("score") >= at).cast("int").alias("predicted"))
+    scored = fit(docs, labels, what, mod, held, most).attach(docs.select("doc_id", "text"))
+    score = F.col("_tox_score")
+    return scored.select("doc_id", (crc_fold(F.col("doc_id"), mod) == held).alias("held_out"), score.alias("score"),
+                         (score >= at).cast("int").alias("predicted"))
