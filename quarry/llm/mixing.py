@@ -56,7 +56,7 @@ def hash_key(seed: str) -> Column:
     return F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
 
 
-def take(docs: DataFrame, goal: DataFrame, seed: str = "mix", rows_per_range: int = 20_000,
+def take(docs: DataFrame, goal: DataFrame, seed: str = "mix", rows_per_range: int = 4_000,
          carry: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id, source, size, _tie, and ``carry``) and (source, source_size, target) ->
     doc_id, source, size, source_size, target, taken.
