@@ -37,18 +37,22 @@ def box_muller(u1: Column, u2: Column) -> Column:
     return F.sqrt(F.lit(-2.0) * F.log(u1)) * F.cos(F.lit(6.283185307179586) * u2)
 
 
-def chi_square(yy, yb, ya, t) -> Column:
-    """Pearson chi-square of a 2x2 table with Yates' continuity correction.
+def chi_square(both, with_b, with_a, total) -> Column:
+    """Chi-square with Yates' correction of the 2x2 table
 
-    yy: both A and B; ya, yb: margins; t: total.  NULL when a margin is 0 or t
-    (zero divisor), so ANSI mode never raises.
+            | B    not B
+      A     | a    b
+      not A | c    d
+
+    from its cell a (``both``), the margins a + b (``with_a``) and a + c
+    (``with_b``) and the ``total``: n (|ad - bc| - n/2)^2 over the product of
+    the four margins.  NULL when a margin is 0 (so ANSI mode never raises).
     """
-    yy, yb, ya, t = (col_(x).cast("double") for x in (yy, yb, ya, t))
-    na, nb = t - ya, t - yb
-    yn, ny = ya - yy, yb - yy
-    nn = t - ny - yn - yy
-    inner = F.abs(yy * nn - yn * ny) - t / F.lit(2.0)
-    return t * inner * inner / F.nullif(ya * na * yb * nb, F.lit(0.0))
+    a, row, column, n = (col_(x).cast("double") for x in (both, with_a, with_b, total))
+    b, c = row - a, column - a
+    d = n - (a + b + c)
+    margins = F.nullif(row * (c + d) * column * (b + d), F.lit(0.0))
+    return n * F.pow(F.abs(a * d - b * c) - n / 2, F.lit(2.0)) / margins
 
 
 def signed_square(x: Column) -> Column:
@@ -88,7 +92,3 @@ def point_in_polygon(x: Column, y: Column, ring: Column) -> Column:
 def dot(a: Column, b: Column) -> Column:
     """Dot product of two equal-length numeric arrays."""
     return F.aggregate(F.zip_with(a, b, lambda p, q: p * q), F.lit(0.0), lambda s, v: s + v)
-
-
-def minutes_between(start: Column, end: Column) -> Column:
-    return F.timestamp_diff("SECOND", start, end).cast("double") / F.lit(60.0)

@@ -1,41 +1,59 @@
 """Network anomaly detection: typed feature hashing, k-means, distance to the
-assigned centre (batch; the streaming job reuses these transforms)."""
+assigned centre (batch; the streaming job reuses these transforms).
+
+Hashed vectors stay sparse: a row has a few non-zero entries of 2^18.  The
+model is fitted on the entries that occur at all - the others are 0 in every
+row and centre, so clusters and distances are those of the full space.
+"""
 
 from __future__ import annotations
 
 from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.feature import FeatureHasher
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.ml.feature import FeatureHasher, VectorSlicer
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_CENTRES = 10_000  # bound on the centre table joined into every row
-
 
-def hasher(cols: list[str], num_features: int = 1 << 10, categorical: list[str] | None = None) -> FeatureHasher:
+def hasher(cols: list[str], num_features: int = 1 << 18, categorical: list[str] | None = None) -> FeatureHasher:
     """Hash all columns into one sparse vector; numeric columns keep their
     value (hashed by name), strings are one-hot by value."""
     return FeatureHasher(inputCols=cols, outputCol="features", numFeatures=num_features,
                          categoricalCols=categorical or [])
 
 
-def fit_kmeans(features: DataFrame, k: int = 150, seed: int = 1, max_iter: int = 20) -> KMeansModel:
-    return KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="features").fit(features)
+def entries(vector: str = "features") -> Column:
+    """A vector's stored entries as array<struct<indices, values>>."""
+    v = F.unwrap_udt(vector)
+    at = F.when(v["type"] == 0, v["indices"]).otherwise(F.sequence(F.lit(0), F.size(v["values"]) - 1))
+    return F.when(F.size(v["values"]) > 0, F.arrays_zip(at.alias("i"), v["values"].alias("v"))).otherwise(
+        F.array().cast("array<struct<i:int,v:double>>"))
+
+
+def used_entries(featurized: DataFrame) -> list[int]:
+    """Indices of the entries that are not 0 in some row: at most the
+    hasher's ``num_features``, whatever the number of rows."""
+    e = featurized.select(F.explode(entries()).alias("e")).where("e.v <> 0").select(F.col("e.i").alias("i")).distinct()
+    return sorted(r["i"] for r in e.collect())
+
+
+def slicer(indices: list[int]) -> VectorSlicer:
+    return VectorSlicer(inputCol="features", outputCol="used", indices=indices)
 
 
-def centres(model: KMeansModel, spark) -> DataFrame:
-    """(cluster, centre array) - one row per cluster (bounded by k, checked)."""
-    cs = model.clusterCenters()
-    if len(cs) > MAX_CENTRES:
-        raise ValueError("too many centres to join into every row")
-    return spark.createDataFrame([(i, [float(x) for x in c]) for i, c in enumerate(cs)],
-                                 "cluster int, centre array<double>")
+def fit_kmeans(featurized: DataFrame, k: int = 150, seed: int = 1, max_iter: int = 20) -> KMeansModel:
+    """k-means on the sliced vectors (column ``used``)."""
+    return KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="used").fit(featurized)
 
 
-def score(model: KMeansModel, featurized: DataFrame, centre_table: DataFrame) -> DataFrame:
-    """Assign each row to a cluster and add the Euclidean distance to its centre."""
+def score(model: KMeansModel, featurized: DataFrame) -> DataFrame:
+    """Assign each row to a cluster and add the Euclidean distance to its
+    centre: |c|^2 plus v^2 - 2 v c[i] over the row's non-zero entries.  The
+    centres (k x used entries, the model itself) are one array value."""
+    centres = model.clusterCenters()
+    table = F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in centres])
+    norms = F.array(*[F.lit(float((c * c).sum())) for c in centres])
     p = model.transform(featurized).withColumnRenamed("prediction", "cluster")
-    p = p.join(F.broadcast(centre_table), "cluster")
-    diff = F.zip_with(vector_to_array("features"), F.col("centre"), lambda a, b: (a - b) * (a - b))
-    dist = F.sqrt(F.aggregate(diff, F.lit(0.0), lambda s, x: s + x))
-    return p.withColumn("distance", dist).drop("centre")
+    p = p.withColumn("_c", F.get(table, F.col("cluster")))
+    moved = F.aggregate(entries("used"), F.get(norms, F.col("cluster")),
+                        lambda s, e: s + e["v"] * (e["v"] - 2 * F.get(F.col("_c"), e["i"])))
+    return p.withColumn("distance", F.sqrt(F.greatest(F.lit(0.0), moved))).drop("_c", "used")

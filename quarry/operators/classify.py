@@ -61,7 +61,7 @@ def precision_recall(pred: DataFrame, label: str = "label", prediction: str = "p
                     (F.col("tp") / F.nullif(F.col("actual"), F.lit(0))).alias("recall"))
 
 
-def accuracy(pred: DataFrame | None = None, label: str = "label", prediction: str = "prediction") -> F.Column:
+def accuracy(label: str = "label", prediction: str = "prediction") -> F.Column:
     return F.avg((F.col(label) == F.col(prediction)).cast("double"))
 
 
@@ -88,8 +88,8 @@ def grid_eval(train: DataFrame, cv: DataFrame, grid: list[dict], make, paralleli
 
     def one(params):
         m = make(**params).fit(train)
-        tr = m.transform(train).agg(accuracy(None).alias("a")).first()["a"]
-        va = m.transform(cv).agg(accuracy(None).alias("a")).first()["a"]
+        tr = m.transform(train).agg(accuracy().alias("a")).first()["a"]
+        va = m.transform(cv).agg(accuracy().alias("a")).first()["a"]
         return (str(sorted(params.items())), float(tr), float(va))
 
     with ThreadPoolExecutor(max_workers=parallelism) as ex:
@@ -103,7 +103,7 @@ def refit_score(train: DataFrame, cv: DataFrame, test: DataFrame, model, label:
     the held-out test split and on the data it was fitted on."""
     both = train.unionByName(cv)
     m = model.fit(both)
-    fit_acc = m.transform(both).agg(accuracy(None).alias("a")).first()["a"]
-    test_acc = m.transform(test).agg(accuracy(None).alias("a")).first()["a"]
+    fit_acc = m.transform(both).agg(accuracy().alias("a")).first()["a"]
+    test_acc = m.transform(test).agg(accuracy().alias("a")).first()["a"]
     return train.sparkSession.createDataFrame(
         [(label, float(fit_acc), float(test_acc))], "params string, train_accuracy double, cv_accuracy double")

@@ -18,13 +18,6 @@ from quarry.operators import ordered
 Scorer = Callable[[DataFrame, DataFrame], DataFrame]
 
 
-def maybe_broadcast(df: DataFrame, max_rows: int = 2_000_000) -> DataFrame:
-    """Broadcast hint only when the table is proven small (a bounded count:
-    at most max_rows + 1 rows are read to decide); else a shuffle join."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def parse_id_name(lines: DataFrame) -> DataFrame:
     """'id<TAB>name' lines -> (id, name); ids that are not integers, and lines
     without a tab, are dropped; names are trimmed."""
@@ -35,16 +28,21 @@ def parse_id_name(lines: DataFrame) -> DataFrame:
 
 
 def parse_alias(lines: DataFrame) -> DataFrame:
-    """'bad<TAB>good' lines -> (bad, good); blank or non-integer rows dropped."""
+    """'bad<TAB>good' lines -> (bad, good); blank or non-integer rows dropped;
+    of lines with one bad id the last wins, as in a map filled line by line."""
     p = F.split(F.col("value"), "\t")
-    return (lines.select(p[0].try_cast("long").alias("bad"), F.get(p, 1).try_cast("long").alias("good"))
-            .where(F.col("bad").isNotNull() & F.col("good").isNotNull()))
+    return (lines.select(p[0].try_cast("long").alias("bad"), F.get(p, 1).try_cast("long").alias("good"),
+                         F.monotonically_increasing_id().alias("line"))
+            .where(F.col("bad").isNotNull() & F.col("good").isNotNull())
+            .groupBy("bad").agg(F.max_by("good", "line").alias("good")))
 
 
 def resolve_alias(ratings: DataFrame, alias: DataFrame) -> DataFrame:
     """Map item ids through the alias table (default: itself) and sum the
-    counts that become duplicates of one (user, item)."""
-    a = maybe_broadcast(alias.select(F.col("bad").alias("item"), "good"))
+    counts that become duplicates of one (user, item).  A bad id listed twice
+    (with no order to tell the last) maps to the larger good id, so no play is
+    counted twice.  The join is left to AQE's runtime size check."""
+    a = alias.groupBy(F.col("bad").alias("item")).agg(F.max("good").alias("good"))
     r = ratings.join(a, "item", "left").withColumn("item", F.coalesce("good", "item"))
     return r.groupBy("user", "item").agg(F.sum("count").alias("count"))
 

@@ -71,9 +71,10 @@ def horizon_returns(filled: DataFrame, horizon: int = 10) -> DataFrame:
     return r.select("instrument", "date", ret.alias("ret"))
 
 
-def factor_matrix(factor_returns: DataFrame) -> DataFrame:
-    """One row per date, one column per factor (aligned by date)."""
-    return factor_returns.groupBy("date").pivot("instrument").agg(F.first("ret"))
+def factor_matrix(factor_returns: DataFrame, factors: list[str]) -> DataFrame:
+    """One row per date, one column per factor of the given list (aligned by
+    date): the list fixes the schema and spares a job that looks for it."""
+    return factor_returns.groupBy("date").pivot("instrument", factors).agg(F.first("ret"))
 
 
 def factor_cov(factor_returns: DataFrame) -> DataFrame:

@@ -52,10 +52,6 @@ def good_rows(parsed: DataFrame) -> DataFrame:
     return parsed.where(~F.col("parsefailed"))
 
 
-def bad_rows(parsed: DataFrame) -> DataFrame:
-    return parsed.where(F.col("parsefailed"))
-
-
 def with_durations(trips: DataFrame) -> DataFrame:
     """Exact (microsecond) trip length in minutes and hours."""
     us = F.timestamp_diff("MICROSECOND", F.col("pickup_datetime"), F.col("dropoff_datetime"))

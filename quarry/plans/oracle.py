@@ -275,9 +275,11 @@ SELECT instrument, date, price FROM s_filled"""
 ORACLE["horizon_returns"] = _RISK + """
 SELECT instrument, date, round(ret, 8) AS ret FROM s_ret"""
 
-ORACLE["factor_matrix"] = _RISK + """,
-fr AS (SELECT date, instrument, round(ret, 8) AS ret FROM f_ret)
-PIVOT fr ON instrument USING first(ret) GROUP BY date"""
+_SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
+ORACLE["factor_matrix"] = _RISK + """
+SELECT date, """ + ", ".join(
+    f"max(CASE WHEN instrument = '{x}' THEN round(ret, 8) END) AS \"{x}\"" for x in _SEGMENTS) + """
+FROM f_ret GROUP BY date"""
 
 ORACLE["factor_cov"] = _RISK + """
 SELECT a.instrument AS factor_a, b.instrument AS factor_b, round(covar_samp(a.ret, b.ret), 10) AS cov
@@ -413,29 +415,28 @@ SELECT CAST("fold" AS INTEGER) AS "fold", round(avg(auc), 6) AS mean_auc FROM au
 
 
 # ------------------------------------------------------------------ graph
-def _graph(k: int) -> str:
-    return f"""WITH RECURSIVE
+_GRAPH = """WITH RECURSIVE
 v AS (SELECT s_suppkey AS id FROM supplier),
 h AS (SELECT a.l_suppkey AS src, b.l_suppkey AS dst FROM lineitem a JOIN lineitem b
       ON a.l_orderkey = b.l_orderkey AND b.l_linenumber = a.l_linenumber + 1),
-e AS (SELECT src, dst, count(*) AS cnt FROM h WHERE src <> dst GROUP BY 1, 2 HAVING count(*) >= {k}),
+e AS (SELECT src, dst, count(*) AS cnt FROM h WHERE src <> dst GROUP BY 1, 2),
 ue AS (SELECT src, dst FROM e UNION SELECT dst, src FROM e)"""
 
 
-ORACLE["components"] = _graph(8) + """,
+ORACLE["components"] = _GRAPH + """,
 reach(a, b) AS (SELECT id, id FROM v UNION SELECT r.a, ue.dst FROM reach r JOIN ue ON ue.src = r.b)
 SELECT a AS id, min(b) AS component FROM reach GROUP BY a"""
 
-ORACLE["component_sizes"] = _graph(8) + """,
+ORACLE["component_sizes"] = _GRAPH + """,
 reach(a, b) AS (SELECT id, id FROM v UNION SELECT r.a, ue.dst FROM reach r JOIN ue ON ue.src = r.b),
 c AS (SELECT a AS id, min(b) AS component FROM reach GROUP BY a)
 SELECT component, count(*) AS cnt FROM c GROUP BY component"""
 
-ORACLE["scc"] = _graph(7) + """,
+ORACLE["scc"] = _GRAPH + """,
 reach(a, b) AS (SELECT id, id FROM v UNION SELECT r.a, e.dst FROM reach r JOIN e ON e.src = r.b)
 SELECT r.a AS id, min(r.b) AS component FROM reach r JOIN reach q ON q.a = r.b AND q.b = r.a GROUP BY r.a"""
 
-ORACLE["degrees"] = _graph(7) + """,
+ORACLE["degrees"] = _GRAPH + """,
 ends AS (SELECT src AS id FROM e UNION ALL SELECT dst FROM e)
 SELECT id, count(*) AS degree FROM ends JOIN v USING (id) GROUP BY id"""
 
@@ -451,16 +452,16 @@ cc AS (SELECT tri.id, tri.triangles, coalesce(deg.degree, 0) AS degree,
               AS coef
        FROM tri LEFT JOIN deg USING (id))"""
 
-ORACLE["triangles"] = _graph(7) + _TRI + """
+ORACLE["triangles"] = _GRAPH + _TRI + """
 SELECT id, triangles FROM tri"""
 
-ORACLE["clustering_coef"] = _graph(7) + _TRI + """
+ORACLE["clustering_coef"] = _GRAPH + _TRI + """
 SELECT id, triangles, degree, round(coef, 4) AS coef FROM cc"""
 
-ORACLE["clustering_mean"] = _graph(7) + _TRI + """
+ORACLE["clustering_mean"] = _GRAPH + _TRI + """
 SELECT round(avg(coef), 4) AS mean_coef FROM cc"""
 
-ORACLE["landmark_paths"] = _graph(7) + """,
+ORACLE["landmark_paths"] = _GRAPH + """,
 lm AS (SELECT id FROM v WHERE (CAST('0x' || substr(md5(CAST(id AS VARCHAR) || '|1'), 1, 8) AS BIGINT) + 0.5)
                                / 4294967296.0 < 0.05),
 bfs(landmark, id, dist) AS (
@@ -471,7 +472,7 @@ SELECT id, landmark, CAST(min(dist) AS INTEGER) AS dist FROM bfs GROUP BY id, la
 
 
 def _pagerank_sql(iters: int = 5, alpha: float = 0.15) -> str:
-    parts = [_graph(7) + """,
+    parts = [_GRAPH + """,
 n AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM v),
 od AS (SELECT src, count(*) AS outdeg FROM e GROUP BY src),
 r0 AS (SELECT id, 1.0 / (SELECT n FROM n) AS rank FROM v)"""]
@@ -533,12 +534,13 @@ SELECT doc_id, round(cosine, 6) AS cosine FROM c ORDER BY round(cosine, 9) DESC,
 
 # --------------------------------------------------------------- classify
 _COVER = """
+cust AS (SELECT c_mktsegment, c_nationkey, row_number() OVER (ORDER BY c_custkey) - 1 AS idx FROM customer),
 cov AS (SELECT e.vec_id, e.label AS label0, c.c_mktsegment, c.c_nationkey,
                CASE WHEN (CAST('0x' || substr(md5(CAST(e.vec_id AS VARCHAR) || '|split'), 1, 8) AS BIGINT)) % 10 < 8
                     THEN 'train'
                     WHEN (CAST('0x' || substr(md5(CAST(e.vec_id AS VARCHAR) || '|split'), 1, 8) AS BIGINT)) % 10 = 8
                     THEN 'cv' ELSE 'test' END AS split
-        FROM embeddings e JOIN customer c ON e.vec_id = c.c_custkey)
+        FROM embeddings e LEFT JOIN cust c ON c.idx = e.vec_id % (SELECT count(*) FROM customer))
 """
 
 ORACLE["onehot_decode"] = f"""WITH {_COVER}
@@ -602,7 +604,7 @@ SELECT license, trip_id, lead(trip_id) OVER (PARTITION BY license ORDER BY picku
        AS next_trip_id
 FROM done QUALIFY next_trip_id IS NOT NULL""", zoned=True)
 
-ORACLE["landmark_maps"] = _graph(7) + """,
+ORACLE["landmark_maps"] = _GRAPH + """,
 lm AS (SELECT id FROM v WHERE (CAST('0x' || substr(md5(CAST(id AS VARCHAR) || '|1'), 1, 8) AS BIGINT) + 0.5)
                                / 4294967296.0 < 0.05),
 bfs(landmark, id, dist) AS (

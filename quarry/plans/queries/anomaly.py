@@ -12,36 +12,41 @@ from quarry.sources import files
 from quarry.sources.tables import table
 
 
-HASH_DIMS = 1 << 10
 KMEANS_K = 150
+COLUMNS = ["event_type", "k", "value"]
 
 
 def _anomaly_model(spark, d):
+    """Hasher, slicer and k-means model.  The saved model's folder is named by
+    a fingerprint of the rows, so other data is never scored with it; features
+    are made only when it has to be fitted."""
     from pyspark.ml.clustering import KMeansModel
+    from pyspark.ml.feature import VectorSlicer
     ev = roles.network_records(table(spark, d, "events"))
-    h = anomaly.hasher(["event_type", "k", "value"], HASH_DIMS)
-    feats = h.transform(ev).checkpoint()
-    import hashlib
-    tag = hashlib.md5(d.encode()).hexdigest()[:10]
-    path = shared_dir(spark).rstrip("/") + f"/quarry-models/kmeans-{tag}-{KMEANS_K}-{HASH_DIMS}"
-    model = files.load_or_fit(spark, path, KMeansModel, lambda: anomaly.fit_kmeans(feats, KMEANS_K, 1))
-    return h, model, feats
+    h = anomaly.hasher(COLUMNS)
+    mark = ev.agg(F.count(F.lit(1)), F.expr(f"bit_xor(xxhash64({', '.join(COLUMNS)}))"),
+                  F.expr(f"sum(cast(xxhash64({', '.join(COLUMNS)}) as decimal(38,0)))")).first()
+    path = shared_dir(spark).rstrip("/") + f"/quarry-models/kmeans-{KMEANS_K}-" + "-".join(map(str, mark))
+    cut = files.load_or_fit(spark, path + "/entries", VectorSlicer,
+                            lambda: anomaly.slicer(anomaly.used_entries(h.transform(ev))))
+    model = files.load_or_fit(spark, path + "/model", KMeansModel, lambda: anomaly.fit_kmeans(
+        cut.transform(h.transform(ev)).select("used").checkpoint(), KMEANS_K, 1))
+    return h, cut, model
 
 
 @query("hash_features")
 def hash_features(spark, d):
-    from pyspark.ml.functions import vector_to_array
-    h = anomaly.hasher(["event_type", "k", "value"], HASH_DIMS)
-    x = h.transform(roles.network_records(table(spark, d, "events")))
-    arr = vector_to_array("features")
-    return x.select("event_id", F.size(F.filter(arr, lambda v: v != 0)).alias("nnz"),
-                    F.round(F.aggregate(arr, F.lit(0.0), lambda s, v: s + v), 4).alias("total"))
+    x = anomaly.hasher(COLUMNS).transform(roles.network_records(table(spark, d, "events")))
+    x = x.select("event_id", anomaly.entries().alias("e"))
+    return x.select("event_id", F.size(F.filter("e", lambda e: e["v"] != 0)).alias("nnz"),
+                    F.round(F.aggregate("e", F.lit(0.0), lambda s, e: s + e["v"]), 4).alias("total"))
 
 
 @query("kmeans_assign")
 def kmeans_assign(spark, d):
-    h, model, feats = _anomaly_model(spark, d)
-    s = anomaly.score(model, feats, anomaly.centres(model, spark))
+    h, cut, model = _anomaly_model(spark, d)
+    ev = roles.network_records(table(spark, d, "events"))
+    s = anomaly.score(model, cut.transform(h.transform(ev)))
     return s.select("event_id", "cluster", F.round("distance", 6).alias("distance"))
 
 
@@ -50,12 +55,12 @@ def anomaly_stream(spark, d):
     """Events replayed as a file stream (several Parquet files), scored by the
     batch-fitted model, written to a Parquet sink and read back."""
     from quarry.streaming.anomaly_stream import run_scoring_stream
-    h, model, _ = _anomaly_model(spark, d)
+    h, cut, model = _anomaly_model(spark, d)
     ev = table(spark, d, "events")
     src = stand_in_source(spark, "events-src", d,
                           lambda p: ev.repartition(8, "event_id").write.mode("overwrite").parquet(p))
-    sink = run_scoring_stream(spark, src, ev.schema, roles.network_records, h, model,
-                              anomaly.centres(model, spark), shared_dir(spark, "scored"),
+    sink = run_scoring_stream(spark, src, ev.schema, roles.network_records, [h, cut], model,
+                              shared_dir(spark, "scored"),
                               shared_dir(spark, "scored-ckpt"), files_per_trigger=2)
     out = spark.read.parquet(sink)
     return out.select("event_id", "cluster", F.round("distance", 6).alias("distance"))

@@ -98,7 +98,7 @@ def forest(spark, d):
     x = _categorical(spark, d)
     m = classify.forest().fit(x.where(F.col("split") == "train"))
     p = m.transform(x.where(F.col("split") == "cv"))
-    acc = p.agg(classify.accuracy(p).alias("value")).select(F.lit("cv_accuracy").alias("metric"), "value")
+    acc = p.agg(classify.accuracy().alias("value")).select(F.lit("cv_accuracy").alias("metric"), "value")
     one = (p.orderBy("vec_id").limit(1)
            .select(F.concat(F.lit("prediction_vec_"), F.col("vec_id").cast("string")).alias("metric"),
                    F.col("prediction").alias("value")))

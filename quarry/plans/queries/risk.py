@@ -30,13 +30,15 @@ def bday_fill(spark, d):
 
 @query("horizon_returns")
 def horizon_returns(spark, d):
-    return _returns(spark, d).select("instrument", "date", F.round("ret", 8).alias("ret"))
+    # one reader only: nothing is written
+    r = risk.horizon_returns(_filled(spark, d), 10)
+    return r.select("instrument", "date", F.round("ret", 8).alias("ret"))
 
 
 @query("factor_matrix")
 def factor_matrix(spark, d):
-    fr = _returns(spark, d, True).withColumn("ret", F.round("ret", 8))
-    return risk.factor_matrix(fr)
+    fr = risk.horizon_returns(_filled(spark, d, True), 10).withColumn("ret", F.round("ret", 8))
+    return risk.factor_matrix(fr, roles.SEGMENTS)
 
 
 @query("factor_cov")

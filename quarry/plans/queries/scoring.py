@@ -53,7 +53,7 @@ def _fitted(spark, d):
 def embed_pipeline(spark, d):
     """Pipeline (featurizer + LR, 1 iteration, reg 0.05, alpha 0.3): test accuracy."""
     _, pred = _fitted(spark, d)
-    return pred.agg(classify.accuracy(pred).alias("accuracy"))
+    return pred.agg(classify.accuracy().alias("accuracy"))
 
 
 @query("worst_predictions")
@@ -76,10 +76,12 @@ def sql_model_udf(spark, d):
     """Two fitted models registered as SQL functions and called from SQL."""
     e = table(spark, d, "embeddings", "vec_id", "embedding", "label") \
         .withColumn("label", F.col("label").cast("double"))
-    for name, reg in (("k_model_udf", 0.01), ("m_model_udf", 0.1)):
+    for name, reg in (("class_weak_penalty", 0.01), ("class_strong_penalty", 0.1)):
         lr = scoring.feature_lr_pipeline(10, reg, 0.0).fit(e).stages[-1]
         scoring.register_linear_model_udf(spark, name, lr.coefficientMatrix.toArray(),
                                           lr.interceptVector.toArray())
-    e.createOrReplaceTempView("train_df")
-    return spark.sql("SELECT vec_id, CAST(label AS INT) AS label, k_model_udf(embedding) AS k_prediction, "
-                     "m_model_udf(embedding) AS m_prediction FROM train_df")
+    e.createOrReplaceTempView("labelled_vectors")
+    return spark.sql("""
+        SELECT vec_id, int(label) AS label, class_weak_penalty(embedding) AS weak_prediction,
+               class_strong_penalty(embedding) AS strong_prediction
+        FROM labelled_vectors""")

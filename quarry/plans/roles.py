@@ -249,18 +249,16 @@ def artist_lines(spark: SparkSession, d: str) -> DataFrame:
 
 # ------------------------------------------------------------------ graph
 
-def handoff_edges(spark: SparkSession, d: str, min_count: int) -> DataFrame:
+def handoff_edges(spark: SparkSession, d: str) -> DataFrame:
     """Directed supplier hand-off: supplier of line n -> supplier of line n + 1
-    of the same order, kept when seen at least ``min_count`` times (self-loops
-    dropped).  Output (src, dst, cnt)."""
+    of the same order (self-loops dropped).  Output (src, dst, cnt)."""
     a = table(spark, d, "lineitem", "l_orderkey", "l_linenumber", "l_suppkey")
     b = a.select(F.col("l_orderkey").alias("o"), (F.col("l_linenumber") - 1).alias("n"),
                  F.col("l_suppkey").alias("dst"))
     h = (a.select(F.col("l_orderkey").alias("o"), F.col("l_linenumber").alias("n"),
                   F.col("l_suppkey").alias("src"))
          .join(b, ["o", "n"]).where(F.col("src") != F.col("dst")))
-    return (h.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("cnt"))
-            .where(F.col("cnt") >= min_count))
+    return h.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("cnt"))
 
 
 def supplier_vertices(spark: SparkSession, d: str) -> DataFrame:
@@ -279,21 +277,29 @@ def corpus(spark: SparkSession, d: str) -> DataFrame:
 # The five market segments, in one-hot flag order.
 SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 N_NATIONS = 25
-NUMERIC = [f"e{i}" for i in range(10)]
+EMBEDDING = 64  # components of an embedding
+NUMERIC = [f"e{i}" for i in range(EMBEDDING)]
 WILD = [f"w{i}" for i in range(len(SEGMENTS))]
 SOIL = [f"s{i}" for i in range(N_NATIONS)]
 COVER_COLUMNS = NUMERIC + WILD + SOIL + ["label"]
 
 
 def cover_rows(spark: SparkSession, d: str) -> DataFrame:
-    """Forest-cover-like rows: 10 numerics (first embedding dims), one-hot
-    'wilderness' (segment) and 'soil' (nation) flags, 1-based label last."""
+    """Forest-cover-like rows, one per embedding: its components as numerics,
+    one-hot 'wilderness' (segment) and 'soil' (nation) flags, 1-based label
+    last.  The flags are those of the customer whose place in the key order is
+    the vector's id modulo the number of customers: no embedding is lost."""
+    from quarry.operators.recommend import item_index
     e = table(spark, d, "embeddings", "vec_id", "embedding", "label")
     c = table(spark, d, "customer", "c_custkey", "c_nationkey", "c_mktsegment")
-    x = e.join(c, e.vec_id == c.c_custkey)
-    cols = [F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(10)]
-    cols += [(F.col("c_mktsegment") == s).cast("int").alias(WILD[i]) for i, s in enumerate(SEGMENTS)]
-    cols += [(F.col("c_nationkey") == i).cast("int").alias(SOIL[i]) for i in range(N_NATIONS)]
+    place = item_index(c.select(F.col("c_custkey").alias("item"))).withColumnRenamed("item", "c_custkey")
+    c = c.join(place, "c_custkey")
+    n = table(spark, d, "customer", "c_custkey").agg(F.count(F.lit(1)).alias("n")).scalar()
+    x = e.withColumn("idx", F.pmod("vec_id", n)).join(c, "idx", "left")
+    flag = lambda cond: F.coalesce(cond, F.lit(False)).cast("int")
+    cols = [F.get("embedding", F.lit(i)).cast("double").alias(f"e{i}") for i in range(EMBEDDING)]
+    cols += [flag(F.col("c_mktsegment") == s).alias(WILD[i]) for i, s in enumerate(SEGMENTS)]
+    cols += [flag(F.col("c_nationkey") == i).alias(SOIL[i]) for i in range(N_NATIONS)]
     return x.select("vec_id", *cols, (F.col("label") + 1).alias("label"))
 
 

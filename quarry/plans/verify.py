@@ -29,7 +29,7 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return round(v, 4) + 0.0
+        return round(v, 10) + 0.0  # beyond the queries' own rounding (4 to 10 digits)
     if hasattr(v, "tolist"):
         v = v.tolist()
     if isinstance(v, (list, tuple)):

@@ -26,7 +26,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     b = SparkSession.builder.master(master).appName(app)
     conf = dict(_DEFAULTS)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf["spark.driver.memory"] = os.environ.get("QUARRY_DRIVER_MEMORY", "16g")
+    conf["spark.driver.memory"] = os.environ.get("QUARRY_DRIVER_MEMORY", "8g")
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)

@@ -59,11 +59,6 @@ def drop_header_lines(lines: DataFrame, marker: str = '"') -> DataFrame:
     return lines.where(~F.col("value").contains(marker))
 
 
-def write_json(df: DataFrame, path: str) -> str:
-    df.write.mode("overwrite").json(path)
-    return path
-
-
 def read_json(spark: SparkSession, path: str, schema: T.StructType,
               multiline: bool = False) -> DataFrame:
     return spark.read.schema(schema).option("multiLine", multiline).json(path)

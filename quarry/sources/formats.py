@@ -6,7 +6,7 @@ library runs on the original inputs as well as on the fixture stand-ins.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -84,12 +84,20 @@ def network_records(spark: SparkSession, path: str, n_features: int = 41,
     return read_csv(spark, path, T.StructType(fields), header=False)
 
 
+def _row_id(*cols: str) -> F.Column:
+    """A stable row id: a hash of the columns and of a number among equal rows."""
+    equal = Window.partitionBy(F.xxhash64(*cols)).orderBy(*cols)
+    return F.xxhash64(*cols, F.row_number().over(equal))
+
+
 def articles(spark: SparkSession, path: str) -> DataFrame:
-    """Multi-line JSON array of {title, text} -> (doc_id, title, text); the
-    id is carried from here on (never re-derived from row order)."""
+    """Multi-line JSON array of {title, text} -> (doc_id, title, text).  The
+    id is a hash of file, title, text and, for equal articles, their number,
+    so copies stay apart and every scan gives the same ids."""
     schema = T.StructType([T.StructField("title", T.StringType()), T.StructField("text", T.StringType())])
     df = spark.read.schema(schema).option("multiLine", True).json(path)
-    return df.select(F.xxhash64("title", "text").alias("doc_id"), "title", "text")
+    df = df.select("title", "text", F.col("_metadata.file_path").alias("file"))
+    return df.select(_row_id("file", "title", "text").alias("doc_id"), "title", "text")
 
 
 def citation_topics(spark: SparkSession, path: str, row_tag: str = "MedlineCitation") -> DataFrame:
@@ -115,9 +123,10 @@ TAXI_COLUMNS = ("medallion", "hack_license", "vendor_id", "rate_code", "store_an
 
 def taxi_trips(spark: SparkSession, path: str) -> DataFrame:
     """Trip CSV with a header (read as strings, parsed by
-    ``trips.parse_trips``); license = hack license; a trip id is added."""
+    ``trips.parse_trips``); license = hack license; a trip id is added, the same
+    in every scan of the file."""
     raw = read_csv(spark, path, string_schema(*TAXI_COLUMNS), header=True)
-    return raw.select(F.monotonically_increasing_id().alias("trip_id"),
+    return raw.select(_row_id(*TAXI_COLUMNS).alias("trip_id"),
                       F.col("hack_license").alias("license"),
                       "pickup_datetime", "dropoff_datetime", "pickup_longitude", "pickup_latitude",
                       "dropoff_longitude", "dropoff_latitude")

@@ -8,8 +8,8 @@ per-row transform is the batch one, so stream output equals batch output.
 
 from __future__ import annotations
 
+from pyspark.ml import Transformer
 from pyspark.ml.clustering import KMeansModel
-from pyspark.ml.feature import FeatureHasher
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -18,25 +18,28 @@ from quarry.operators.anomaly import score
 
 
 def start_scoring_stream(spark: SparkSession, source: str, schema: T.StructType, prepare,
-                         hasher: FeatureHasher, model: KMeansModel, centre_table: DataFrame,
+                         featurizers: list[Transformer], model: KMeansModel,
                          sink: str, checkpoint: str, files_per_trigger: int = 1,
                          trigger: dict | None = None) -> StreamingQuery:
     """Start the scoring stream and return the running query.  ``trigger`` is
     passed to ``DataStreamWriter.trigger`` (default: 1-second micro-batches)."""
     raw = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
            .parquet(source))
-    out = score(model, hasher.transform(prepare(raw)), centre_table).drop("features")
+    rows = prepare(raw)
+    for f in featurizers:
+        rows = f.transform(rows)
+    out = score(model, rows).drop("features")
     w = (out.writeStream.format("parquet").option("path", sink)
          .option("checkpointLocation", checkpoint).outputMode("append"))
     return w.trigger(**(trigger or {"processingTime": "1 second"})).start()
 
 
 def run_scoring_stream(spark: SparkSession, source: str, schema: T.StructType, prepare,
-                       hasher: FeatureHasher, model: KMeansModel, centre_table: DataFrame,
+                       featurizers: list[Transformer], model: KMeansModel,
                        sink: str, checkpoint: str, files_per_trigger: int = 1) -> str:
     """Score everything currently in ``source`` (``availableNow``: several
     micro-batches, then stop) and return the sink path."""
-    q = start_scoring_stream(spark, source, schema, prepare, hasher, model, centre_table, sink,
+    q = start_scoring_stream(spark, source, schema, prepare, featurizers, model, sink,
                              checkpoint, files_per_trigger, {"availableNow": True})
     q.awaitTermination()
     return sink

@@ -51,8 +51,16 @@ def test_scenario_values_equal_python(spark):
 def test_kmeans_distance_equals_numpy(spark):
     import __spark_entry__ as entry
     from quarry.plans import catalog
-    h, model, feats = catalog._anomaly_model(spark, SMOKE)
-    centres = [np.array(c) for c in model.clusterCenters()]
+    from quarry.plans import roles
+    from quarry.sources.tables import table
+    h, cut, model = catalog._anomaly_model(spark, SMOKE)
+    feats = h.transform(roles.network_records(table(spark, SMOKE, "events")))
+    used = cut.getIndices()
+    centres = []  # in the full hashed space: 0 outside the used entries
+    for c in model.clusterCenters():
+        full = np.zeros(1 << 18)
+        full[used] = c
+        centres.append(full)
     got = {r.event_id: (r.cluster, r.distance) for r in entry.queries()["kmeans_assign"](spark, SMOKE).collect()}
     for r in feats.select("event_id", "features").limit(200).collect():
         v = r.features.toArray()

@@ -61,7 +61,7 @@ def test_component_label_constant_over_edges(spark):
     from quarry.plans import roles
     d = "/root/testdata/sf0.01"
     comp = {r.id: r.component for r in entry.queries()["components"](spark, d).collect()}
-    for e in roles.handoff_edges(spark, d, 8).collect():
+    for e in roles.handoff_edges(spark, d).collect():
         assert comp[e.src] == comp[e.dst]
     assert all(c <= i for i, c in comp.items())
 

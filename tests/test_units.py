@@ -197,3 +197,51 @@ def test_negative_sampling_dense_positives_no_round_cap(spark):
     draws = [int(hashlib.md5(f"1|{j}|1".encode()).hexdigest()[:8], 16) % 100 for j in range(100)]
     want = [d for d in draws if d >= 95][:95]
     assert sorted(got) == sorted(want)
+
+
+def test_alias_listed_twice_counts_plays_once(spark):
+    from quarry.operators import recommend
+    plays = spark.createDataFrame([(1, 10, 5)], "user long, item long, count long")
+    alias = spark.createDataFrame([(10, 7), (10, 8)], "bad long, good long")
+    assert [tuple(r) for r in recommend.resolve_alias(plays, alias).collect()] == [(1, 8, 5)]
+    lines = spark.createDataFrame([("10\t8",), ("10\t7",), ("3\t",), ("",)], "value string").coalesce(1)
+    assert [tuple(r) for r in recommend.parse_alias(lines).collect()] == [(10, 7)]
+
+
+def test_equal_articles_stay_apart(spark, tmp_path):
+    import json
+    from quarry.sources import formats
+    path = tmp_path / "a.json"
+    path.write_text(json.dumps([{"title": "t", "text": "x"}, {"title": "t", "text": "x"}, {"title": "u", "text": "y"}]))
+    ids = [r.doc_id for r in formats.articles(spark, str(path)).collect()]
+    assert len(set(ids)) == 3
+    assert sorted(ids) == sorted(r.doc_id for r in formats.articles(spark, str(path)).collect())
+
+
+def test_handoff_graph_has_edges_and_grows(spark):
+    from quarry.plans import roles
+    n = [roles.handoff_edges(spark, f"/root/testdata/sf{sf}").count() for sf in ("0.001", "0.01", "0.1")]
+    assert 0 < n[0] < n[1] < n[2]
+
+
+def test_cover_rows_keep_every_embedding(spark):
+    from quarry.plans import roles
+    d = "/root/testdata/sf0.001"
+    rows = roles.cover_rows(spark, d)
+    assert rows.count() == spark.read.parquet(f"{d}/embeddings.parquet").count()
+    r = rows.first()
+    assert sum(r[c] for c in roles.WILD) == 1 and sum(r[c] for c in roles.SOIL) == 1
+
+
+def test_sparse_distance_equals_dense(spark):
+    import numpy as np
+    from pyspark.ml.linalg import Vectors
+    from quarry.operators import anomaly
+    rows = [(i, Vectors.sparse(6, [i % 6], [1.0 + i])) for i in range(20)] + [(99, Vectors.dense([0, 1, 0, 2, 0, 0.5]))]
+    df = spark.createDataFrame(rows, ["id", "features"])
+    assert anomaly.used_entries(df) == [0, 1, 2, 3, 4, 5]
+    x = anomaly.slicer([0, 1, 2, 3, 4, 5]).transform(df)
+    model = anomaly.fit_kmeans(x, 3, 1)
+    c = model.clusterCenters()
+    for r in anomaly.score(model, x).collect():
+        assert abs(r.distance - np.linalg.norm(r.features.toArray() - c[r.cluster])) < 1e-9
