@@ -7,6 +7,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry.session import shared_dir
+
 from quarry.functions.expr import hash_uniform
 
 
@@ -93,7 +95,9 @@ def consecutive_pairs(df: DataFrame, part: str, order: list[str], key: str,
                     e[v], e["next_" + v] = row[v].to_numpy(), [None]
                 yield pd.DataFrame(e)[["_kind", "_pid"] + out_cols]
 
-    res = src.mapInPandas(pair, inner_schema)
+    # pairs and edges are read below: one pass, written to the shared folder
+    shared_dir(df.sparkSession)
+    res = src.mapInPandas(pair, inner_schema).checkpoint()
     inner = res.where(F.col("_kind") == "pair").select(*out_cols)
     # boundary pairs: last row of a partition with the first row of the next
     # non-empty partition, when both belong to the same part (edge rows: two

@@ -20,9 +20,12 @@ from pyspark.sql import functions as F
 
 
 def _c2(c) -> F.Column:
-    """C(n, 2) as double (no overflow for large n)."""
-    n = c.cast("double")
-    return n * (n - F.lit(1.0)) / F.lit(2.0)
+    """C(n, 2), exact also beyond 2^53: the even one of n and n - 1 is halved
+    as a long, the product is a decimal."""
+    n = c.cast("long")
+    even = F.when(n % 2 == 0, n).otherwise(n - 1)
+    odd = F.when(n % 2 == 0, n - 1).otherwise(n)
+    return F.shiftright(even, 1).cast("decimal(18,0)") * odd.cast("decimal(18,0)")
 
 
 def to_long(records: DataFrame, block: str, label: str, fields: list[str]) -> DataFrame:
@@ -36,7 +39,7 @@ def pair_field_counts(records: DataFrame, block: str, label: str,
                       fields: list[str]) -> DataFrame:
     """Per (field, matched): pairs, pairs with both values present, agreeing pairs.
 
-    Output columns: field, matched, pairs, nonnull, agree (doubles).
+    Output columns: field, matched, pairs, nonnull, agree (exact decimals).
     """
     from quarry.session import shared_dir
     shared_dir(records.sparkSession)   # checkpoint() below needs the shared folder
@@ -65,7 +68,8 @@ def pair_field_counts(records: DataFrame, block: str, label: str,
              .select(F.sum(_c2(F.col("n")))).scalar())
     per_field = (F.broadcast(records.sparkSession.createDataFrame([(f,) for f in fields], "field string"))
                  .join(m, "field", "left").join(a_all, "field", "left").join(nn_all, "field", "left")
-                 .na.fill(0.0))
+                 .withColumns({c: F.coalesce(F.col(c), F.lit(0).cast("decimal(38,0)"))
+                               for c in ("nonnull_m", "agree_m", "agree_all", "nonnull_all")}))
     matched = per_field.select("field", F.lit(True).alias("matched"), p_m.alias("pairs"),
                                F.col("nonnull_m").alias("nonnull"), F.col("agree_m").alias("agree"))
     unmatched = per_field.select("field", F.lit(False).alias("matched"), (p_all - p_m).alias("pairs"),
@@ -78,7 +82,7 @@ def missing_stats(counts: DataFrame) -> DataFrame:
     """Summary of each field's 0/1 score over the pairs, missing counted apart:
     cnt, missing, mean, stdev (population), min, max."""
     nn, ag = F.col("nonnull"), F.col("agree")
-    mean = ag / F.nullif(nn, F.lit(0.0))
+    mean = ag.cast("double") / F.nullif(nn.cast("double"), F.lit(0.0))
     return counts.select(
         "matched", "field",
         nn.cast("long").alias("cnt"),
@@ -113,7 +117,7 @@ def match_weights(counts: DataFrame, u_long: DataFrame) -> DataFrame:
     its log2.  Undefined (m or u at 0 or 1, or no matched pairs) -> NULL.
     """
     m = (counts.where(F.col("matched"))
-         .select("field", (F.col("agree") / F.nullif(F.col("pairs"), F.lit(0.0))).alias("m")))
+         .select("field", (F.col("agree").cast("double") / F.nullif(F.col("pairs").cast("double"), F.lit(0.0))).alias("m")))
     x = m.join(u_long, "field")
     mm, uu = F.col("m"), F.col("u")
     ok = (mm > 0) & (mm < 1) & (uu > 0) & (uu < 1)

@@ -108,26 +108,39 @@ def factor_features(factor_returns: DataFrame) -> DataFrame:
     return factor_vectors(factor_returns).select("date", featurize_array(F.col("x")).alias("features"))
 
 
-def _ols_group(pdf: pd.DataFrame) -> pd.DataFrame:
-    y = pdf["ret"].to_numpy(dtype=float)
-    x = np.vstack(pdf["features"].to_numpy()).astype(float)
-    a = np.hstack([np.ones((len(y), 1)), x])
-    coef, *_ = np.linalg.lstsq(a, y, rcond=None)
-    return pd.DataFrame({"instrument": pdf["instrument"].iloc[0],
-                         "idx": np.arange(len(coef) - 1, dtype=np.int32),
-                         "coef": coef[1:], "intercept": coef[0]})
+def _solve_moments(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Coefficients of one instrument from its moments: (features + 1)^2 rows,
+    the return being the last variable."""
+    n = int(pdf["i"].max()) + 1
+    cov, mean = np.zeros((n, n)), np.zeros(n)
+    i, j = pdf["i"].to_numpy(), pdf["j"].to_numpy()
+    cov[i, j] = cov[j, i] = pdf["cov"].to_numpy()
+    mean[i] = pdf["mean_i"].to_numpy()
+    sd = np.sqrt(np.diag(cov))[:-1]
+    sd = np.where(sd > 0, sd, 1.0)
+    x, *_ = np.linalg.lstsq(cov[:-1, :-1] / np.outer(sd, sd), cov[:-1, -1] / sd, rcond=None)
+    coef = x / sd
+    return pd.DataFrame({"instrument": pdf["instrument"].iloc[0], "idx": np.arange(n - 1, dtype=np.int32),
+                         "coef": coef, "intercept": mean[-1] - coef @ mean[:-1]})
 
 
 def instrument_ols(stock_returns: DataFrame, features: DataFrame) -> DataFrame:
     """Least squares of each instrument's returns on the factor features, with
     an intercept that is fitted and reported apart (valuation drops it).
 
-    One group per instrument; a group holds one row per calendar day, so its
-    size is bounded by the calendar, not by the data volume.
+    Normal equations: the covariances of all pairs of (features, return) are
+    one aggregation over the days, partial on the map side; what is solved per
+    instrument is their small matrix, however long the calendar.
     """
-    j = stock_returns.join(features, "date").select("instrument", "ret", "features")
-    return j.groupBy("instrument").applyInPandas(
-        _ols_group, "instrument string, idx int, coef double, intercept double")
+    x = (stock_returns.join(features, "date")
+         .select("instrument", F.concat("features", F.array("ret")).alias("x")))
+    x = x.select("instrument", F.posexplode("x").alias("i", "a"), "x")
+    x = x.select("instrument", "i", "a", F.explode(F.transform(
+        F.slice("x", F.col("i") + 1, F.size("x")), lambda b, k: F.struct((k + F.col("i")).alias("j"), b.alias("b")))).alias("o"))
+    moments = x.groupBy("instrument", "i", F.col("o.j").alias("j")).agg(
+        F.covar_pop("a", "o.b").alias("cov"), F.avg("a").alias("mean_i"))
+    return moments.groupBy("instrument").applyInPandas(
+        _solve_moments, "instrument string, idx int, coef double, intercept double")
 
 
 def factor_beta(stock_returns: DataFrame, factor_returns: DataFrame) -> DataFrame:
@@ -164,8 +177,10 @@ def scenario_returns(trials: DataFrame, means: list[float], chol: np.ndarray,
     z = F.array(*[box_muller(hash_uniform(F.col("trial"), F.lit(j), F.lit(seed), F.lit("a")),
                              hash_uniform(F.col("trial"), F.lit(j), F.lit(seed), F.lit("b")))
                   for j in range(n)])
-    rows = [F.array(*[F.lit(float(chol[i, j])) for j in range(n)]) for i in range(n)]
-    f = F.array(*[F.lit(float(means[i])) + dot(rows[i], F.col("z")) for i in range(n)])
+    # the factor matrix is one array value, whatever the number of factors
+    table = F.array(*[F.struct(F.lit(float(means[i])).alias("m"), F.lit([float(v) for v in chol[i]]).alias("row"))
+                      for i in range(n)])
+    f = F.transform(table, lambda t: t["m"] + dot(t["row"], F.col("z")))
     w = F.array(*[F.lit(float(x)) for x in mean_weights])
     return (trials.select("trial", z.alias("z"))
             .select("trial", dot(w, featurize_array(f)).alias("ret")))

@@ -76,9 +76,8 @@ def svd(tfidf_rows: DataFrame, n_terms: int, k: int):
     """Truncated SVD of the doc x term TF-IDF matrix A (rows keyed by doc id).
 
     As for any tall, narrow matrix: the Gram matrix A^T A (n_terms x
-    n_terms) is one aggregation - each doc's dense row (n_terms values, the
-    vocabulary bounds it) contributes its outer product - and is
-    eigen-decomposed on the driver (n_terms^2 numbers, checked);
+    n_terms) is one aggregation - each doc's non-zero entries meet each other,
+    the upper triangle only - and is eigen-decomposed on the driver (n_terms^2 numbers, checked);
     V = eigenvectors, s = sqrt(eigenvalues), and U = A V / s is a column
     expression per doc.  Each singular vector's sign is fixed so its
     largest-magnitude V entry is positive.
@@ -90,15 +89,16 @@ def svd(tfidf_rows: DataFrame, n_terms: int, k: int):
     if n_terms > 1024:
         raise ValueError("Gram matrix too large for a driver-side eigensolve")
     spark = tfidf_rows.sparkSession
+    one = tfidf_rows.select("doc_id", F.col("term_idx").alias("i"), F.col("tfidf").alias("a"))
+    two = tfidf_rows.select("doc_id", F.col("term_idx").alias("j"), F.col("tfidf").alias("b"))
+    pairs = one.join(two, "doc_id").where("i <= j").groupBy("i", "j").agg(F.sum(F.col("a") * F.col("b")).alias("g"))
     m = (tfidf_rows.groupBy("doc_id")
          .agg(F.map_from_entries(F.collect_list(F.struct("term_idx", "tfidf"))).alias("m")))
     rows = m.select("doc_id", F.transform(F.sequence(F.lit(0), F.lit(n_terms - 1)),
                                           lambda i: F.coalesce(F.col("m")[i], F.lit(0.0))).alias("a"))
-    outer = rows.select(F.posexplode("a").alias("i", "ai"), "a").select(
-        "i", F.posexplode(F.transform("a", lambda aj: F.col("ai") * aj)).alias("j", "g"))
     gram = np.zeros((n_terms, n_terms))
-    for r in outer.groupBy("i", "j").agg(F.sum("g").alias("g")).collect():   # n_terms^2 rows
-        gram[r["i"], r["j"]] = r["g"]
+    for r in pairs.collect():   # at most n_terms^2 rows
+        gram[r["i"], r["j"]] = gram[r["j"], r["i"]] = r["g"]
     vals, vecs = np.linalg.eigh(gram)
     order = np.argsort(vals)[::-1][:k]
     vals, vecs = np.clip(vals[order], 0.0, None), vecs[:, order]

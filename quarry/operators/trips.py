@@ -89,47 +89,34 @@ def zone_table(zones: DataFrame) -> DataFrame:
                                              F.col("zone")))
 
 
-MAX_BROADCAST_ZONES = 10_000
-
-
 def assign_zone(trips: DataFrame, zones: DataFrame, point: str = "dropoff_loc",
-                key: str = "trip_id", default: str = "NA", cell: float | None = None) -> DataFrame:
+                default: str = "NA", cell: float | None = None) -> DataFrame:
     """First zone (by priority) whose polygon contains ``point``, else ``default``.
 
-    A zone table of at most MAX_BROADCAST_ZONES polygons (a bounded count is
-    checked) travels as one scalar-subquery value - the array of zones, with
-    bounding boxes - and every trip row picks its first containing zone in
-    place: no join, no shuffle, the trip rows never move.  A larger table -
-    or an explicit ``cell`` size - uses a grid: each polygon is exploded over
-    the grid cells its bounding box covers, each point keyed by its cell, the
-    join is an equi-join on the cell, and the winner per trip is an
-    aggregation joined back.  ``key`` must identify a trip (grid path only).
+    A grid over the zones' boxes: each cell holds the list of the zones whose
+    box meets it, each trip joins its one cell and picks its first containing
+    zone from the list, in place.  Cells are as large as the average box (and
+    at least 1/64 of the largest, so that one zone covers few cells), whatever
+    the unit of the coordinates.  A cell with a large share of the trips is
+    one skewed key of a left join, which AQE splits - or the cell table is
+    small and AQE broadcasts it.
     """
     zt = zone_table(zones)
     x, y = F.col(point + ".x"), F.col(point + ".y")
-    n_zones = zones.limit(MAX_BROADCAST_ZONES + 1).count()
-    if cell is None and n_zones <= MAX_BROADCAST_ZONES:
-        arr = zt.select(F.collect_list(F.struct("priority", "zone", "ring", "min_x", "max_x", "min_y", "max_y"))
-                        ).scalar()
-        # the subquery value is projected first: higher-order functions take columns only
-        t = trips.withColumn("_zones", arr)
-        inside = F.filter("_zones", lambda z: (x >= z["min_x"]) & (x <= z["max_x"]) & (y >= z["min_y"])
-                          & (y <= z["max_y"]) & point_in_polygon(x, y, z["ring"]))
-        best = F.array_min(F.transform(inside, lambda z: F.struct(z["priority"].alias("p"), z["zone"].alias("z"))))
-        return t.withColumn("zone", F.coalesce(best["z"], F.lit(default))).drop("_zones")
-    pts = trips.select(key, x.alias("_px"), y.alias("_py"))
-    in_box = ((F.col("_px") >= F.col("min_x")) & (F.col("_px") <= F.col("max_x"))
-              & (F.col("_py") >= F.col("min_y")) & (F.col("_py") <= F.col("max_y")))
-    size = F.lit(float(cell or 1.0))
-    gx = F.explode(F.sequence(F.floor(F.col("min_x") / size), F.floor(F.col("max_x") / size)))
-    gy = F.explode(F.sequence(F.floor(F.col("min_y") / size), F.floor(F.col("max_y") / size)))
-    zc = zt.select("*", gx.alias("_cx")).select("*", gy.alias("_cy"))
-    pc = pts.select("*", F.floor(F.col("_px") / size).alias("_cx"), F.floor(F.col("_py") / size).alias("_cy"))
-    cand = pc.join(zc, ["_cx", "_cy"]).where(in_box)
-    hit = (cand.where(point_in_polygon(F.col("_px"), F.col("_py"), F.col("ring")))
-           .groupBy(key).agg(F.min_by("zone", "priority").alias("_zone")))
-    return (trips.join(hit, key, "left")
-            .withColumn("zone", F.coalesce(F.col("_zone"), F.lit(default))).drop("_zone"))
+    wide, high = F.col("max_x") - F.col("min_x"), F.col("max_y") - F.col("min_y")
+    w, h = zt.agg(*[F.greatest(F.avg(c), F.max(c) / 64, F.lit(1e-9)) for c in (wide, high)]).first()
+    w, h = (cell or w or 1.0, cell or h or 1.0)
+    at = lambda c, size: F.floor(c / F.lit(float(size)))
+    span = lambda lo, hi, size: F.explode(F.sequence(at(F.col(lo), size), at(F.col(hi), size)))
+    cells = (zt.select(F.struct("priority", "zone", "ring", "min_x", "max_x", "min_y", "max_y").alias("_z"),
+                       "min_y", "max_y", span("min_x", "max_x", w).alias("_cx"))
+             .select("_z", "_cx", span("min_y", "max_y", h).alias("_cy"))
+             .groupBy("_cx", "_cy").agg(F.collect_list("_z").alias("_zones")))
+    t = trips.withColumn("_cx", at(x, w)).withColumn("_cy", at(y, h)).join(cells, ["_cx", "_cy"], "left")
+    inside = F.filter("_zones", lambda z: (x >= z["min_x"]) & (x <= z["max_x"]) & (y >= z["min_y"])
+                      & (y <= z["max_y"]) & point_in_polygon(x, y, z["ring"]))
+    best = F.array_min(F.transform(inside, lambda z: F.struct(z["priority"].alias("p"), z["zone"].alias("z"))))
+    return t.withColumn("zone", F.coalesce(best["z"], F.lit(default))).drop("_zones", "_cx", "_cy")
 
 
 # --------------------------------------------------------------- sessions

@@ -441,9 +441,9 @@ ends AS (SELECT src AS id FROM e UNION ALL SELECT dst FROM e)
 SELECT id, count(*) AS degree FROM ends JOIN v USING (id) GROUP BY id"""
 
 _TRI = """,
-t AS (SELECT a.src AS x, a.dst AS y, b.dst AS z FROM ue a JOIN ue b ON b.src = a.dst
+tris AS (SELECT a.src AS x, a.dst AS y, b.dst AS z FROM ue a JOIN ue b ON b.src = a.dst
       JOIN ue c ON c.src = a.src AND c.dst = b.dst WHERE a.src < a.dst AND a.dst < b.dst),
-per AS (SELECT id, count(*) AS n FROM (SELECT x AS id FROM t UNION ALL SELECT y FROM t UNION ALL SELECT z FROM t) q
+per AS (SELECT id, count(*) AS n FROM (SELECT x AS id FROM tris UNION ALL SELECT y FROM tris UNION ALL SELECT z FROM tris) q
         GROUP BY id),
 tri AS (SELECT v.id, coalesce(per.n, 0) AS triangles FROM v LEFT JOIN per USING (id)),
 deg AS (SELECT src AS id, count(*) AS degree FROM ue GROUP BY src),
@@ -636,3 +636,20 @@ SELECT vx.id, vx.topic, min(r.b) AS component FROM reach r JOIN vx ON vx.id = r.
 ORACLE["interesting_degrees"] = _PRUNED + """,
 ends AS (SELECT src AS id FROM ed UNION ALL SELECT dst FROM ed)
 SELECT vx.id, vx.topic, count(*) AS degree FROM ends JOIN vx USING (id) GROUP BY vx.id, vx.topic"""
+
+_PRUNED_V = _PRUNED + """,
+v AS (SELECT DISTINCT id FROM vx)"""
+
+ORACLE["interesting_triangles"] = _PRUNED_V + _TRI + """
+SELECT id, triangles FROM tri"""
+
+ORACLE["interesting_clustering"] = _PRUNED_V + _TRI + """
+SELECT id, triangles, degree, round(coef, 4) AS coef FROM cc"""
+
+ORACLE["interesting_landmarks"] = _PRUNED_V + """,
+lm AS (SELECT id FROM v WHERE (CAST('0x' || substr(md5(id || '|1'), 1, 8) AS BIGINT) + 0.5) / 4294967296.0 < 0.05),
+bfs(landmark, id, dist) AS (
+  SELECT id, id, 0 FROM lm
+  UNION SELECT b.landmark, ue.dst, b.dist + 1 FROM bfs b JOIN ue ON ue.src = b.id
+        WHERE b.dist < 64)
+SELECT id, landmark, CAST(min(dist) AS INTEGER) AS dist FROM bfs GROUP BY id, landmark"""

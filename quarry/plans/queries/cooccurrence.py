@@ -87,3 +87,29 @@ def interesting_degrees(spark, d):
     from quarry.operators import graph
     v, e = _pruned_graph(spark, d)
     return v.join(graph.degrees(e), "id").select("id", "topic", "degree")
+
+
+@query("interesting_triangles")
+def interesting_triangles(spark, d):
+    """Triangles per topic of the pruned graph."""
+    from quarry.operators import graph
+    v, e = _pruned_graph(spark, d)
+    return graph.triangle_count(v.select("id"), e)
+
+
+@query("interesting_clustering")
+def interesting_clustering(spark, d):
+    """Local clustering coefficient per topic of the pruned graph."""
+    from quarry.operators import graph
+    v, e = _pruned_graph(spark, d)
+    c = graph.clustering_coefficient(v.select("id"), e)
+    return c.select("id", "triangles", "degree", r4("coef").alias("coef"))
+
+
+@query("interesting_landmarks")
+def interesting_landmarks(spark, d):
+    """Hops from 5 % of the topics along the pruned graph's edges, either way."""
+    from quarry.operators import graph
+    v, e = _pruned_graph(spark, d)
+    lm = graph.sample_vertices(v.select("id"), 0.05, seed=1)
+    return graph.landmark_distances(lm, graph.undirected(e))

@@ -7,21 +7,23 @@ from pyspark.sql import functions as F
 from quarry.operators import text
 from quarry.plans import roles
 from quarry.plans.registry import query
+from quarry.session import stand_in_source
 
 
 VOCAB_SIZE = 20
 
 
-def _tf(spark, d, materialize=False):
-    """(doc_id, term, tf).  ``materialize`` writes it once to the shared folder
-    when several branches read it, so the corpus is tokenised only once."""
-    tf = text.term_counts(text.remove_stop_words(text.tokens(roles.corpus(spark, d))))
-    return tf.checkpoint() if materialize else tf
+def _tf(spark, d):
+    """(doc_id, term, tf), written once per application to the shared folder:
+    every text query reads it, and the corpus is tokenised only once."""
+    path = stand_in_source(spark, "term-counts", d, lambda p: text.term_counts(
+        text.remove_stop_words(text.tokens(roles.corpus(spark, d)))).write.parquet(p))
+    return spark.read.parquet(path)
 
 
 def _tfidf(spark, d):
     docs = roles.corpus(spark, d)
-    tf = _tf(spark, d, materialize=True)
+    tf = _tf(spark, d)
     n_docs = docs.select(F.count(F.lit(1))).scalar()
     return text.tfidf(tf, text.vocabulary(tf, VOCAB_SIZE), n_docs)
 

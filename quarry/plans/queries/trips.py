@@ -26,7 +26,7 @@ def _clean_trips(spark, d):
 
 
 def _zoned_trips(spark, d):
-    return trips.assign_zone(_clean_trips(spark, d), roles.zones(spark), "dropoff_loc", "trip_id")
+    return trips.assign_zone(_clean_trips(spark, d), roles.zones(spark), "dropoff_loc")
 
 
 def _trips_done(spark, d):
