@@ -34,6 +34,12 @@ def bounded(df: DataFrame, width: int) -> DataFrame:
     return F.broadcast(df) if small_enough(df, width) else df
 
 
+def sized(df: DataFrame, array: str, item: int, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """Like ``bounded`` for rows that hold an array of ``item`` bytes each."""
+    n, m = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size(array)), F.lit(0))).first()
+    return F.broadcast(df) if 64 * n + item * m <= limit else df
+
+
 def ascii_lower(c: Column) -> Column:
     """Lower-case A-Z only (``lower`` would also change other scripts)."""
     return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

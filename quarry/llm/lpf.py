@@ -19,12 +19,13 @@ hold every match:
 2. Runs whose core occurs once hold no repeat.  Runs equal over all their
    bytes are one class: every start of the later ones has its earlier match in
    the first.
-3. Of cores with different classes, each class's first run is laid out, in
-   document order, in a buffer with the others of its core; the suffix order
-   of the buffer's starts, compared to ``length`` bytes, is built by prefix
-   doubling.  Entries of equal rank are in text order, so an entry's previous
+3. Of cores with different classes, each class's first run is cut in slices of
+   starts at like distance from the minimiser; only slices whose common bytes
+   occur again go on.  They are laid out, in document order, in a buffer with
+   the others of their key; the suffix order of the buffer's starts, compared
+   to ``length`` bytes, is built by prefix doubling.  Entries of equal rank are in text order, so an entry's previous
    smaller position of LPF >= ``length`` is the entry before it.
-4. A core with more classes than ``wide`` is not laid out in one buffer: its
+4. A key with more slices than ``wide`` is not laid out in one buffer: its
    starts are spread over the cluster by the hash of their strings, where the
    smallest start of each string is its earliest.
 
@@ -44,16 +45,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.llm import bytehash
-from quarry.llm.common import written
+from quarry.llm.common import bounded, sized, written
 
 #: starts handled at once in a long document; positions fit the low 20 bits
 PIECE = 1 << 20
 LOW = np.uint64(PIECE * 2 - 1)
-#: bytes of runs laid out in one buffer for suffix sorting
+#: starts of one slice of a run
+SLICE = 32
+#: bytes of slices laid out in one buffer for suffix sorting
 BUFFER = 2 << 20
 
 
@@ -69,7 +72,8 @@ def window_min(x: np.ndarray, w: int) -> np.ndarray:
 
 
 def runs(buf: np.ndarray, length: int, w: int, k: int):
-    """Runs of starts of one document: (core, whole, first, last) arrays."""
+    """Runs of starts of one document: (core, whole, first, last, anchor)
+    arrays."""
     out = []
     for at in range(0, len(buf) - length + 1, PIECE):
         part = buf[at:at + PIECE + length - 1]
@@ -83,7 +87,7 @@ def runs(buf: np.ndarray, length: int, w: int, k: int):
         last = np.append(first[1:] - 1, starts - 1)
         a = anchor[first]
         core = bytehash.Ranges(part, 1).hash(a, a + length - w + 1)
-        out.append((core, r.hash(first, last + length), first + at, last + at))
+        out.append((core, r.hash(first, last + length), first + at, last + at, a + at))
     if not out:
         return None
     return [np.concatenate(x) for x in zip(*out)]
@@ -93,7 +97,7 @@ def _bytes(value) -> np.ndarray:
     return np.frombuffer((value.as_py() or "").encode("utf-8", "surrogatepass"), np.uint8)
 
 
-RUN = "doc_id long, h long, core long, whole long, first int, last int"
+RUN = "doc_id long, h long, core long, whole long, first int, last int, anchor int"
 
 
 def _find_runs(length: int, w: int, k: int):
@@ -106,30 +110,43 @@ def _find_runs(length: int, w: int, k: int):
                     which.append(np.full(len(got[0]), i))
                     cols.append(got)
             if cols:
-                core, whole, first, last = [np.concatenate(x) for x in zip(*cols)]
+                core, whole, first, last, anchor = [np.concatenate(x) for x in zip(*cols)]
                 at = pa.array(np.concatenate(which))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).take(at), batch.column(1).take(at), pa.array(core.view(np.int64)),
                      pa.array(whole.view(np.int64)), pa.array(first.astype(np.int32)),
-                     pa.array(last.astype(np.int32))],
-                    names=["doc_id", "h", "core", "whole", "first", "last"])
+                     pa.array(last.astype(np.int32)), pa.array(anchor.astype(np.int32))],
+                    names=["doc_id", "h", "core", "whole", "first", "last", "anchor"])
     return run
 
 
-def _cut_runs(length: int):
-    """(doc_id, h, text, runs) -> the bytes of each run, with its starts."""
+def _cut_runs(length: int, slice_: int):
+    """(doc_id, h, text, runs) -> runs cut in slices: starts whose distance to
+    the run's minimiser lies between two multiples of ``slice_``, so that equal
+    strings are in slices of one distance.  ``key`` is the hash of the bytes
+    that all strings of such a slice hold, ``bytes`` what its strings cover."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for doc, h, text, want in zip(*(batch.column(i).to_pylist() for i in range(4))):
                 data = (text or "").encode("utf-8", "surrogatepass")
-                for piece in bytehash.pieces(want, lambda r: r["last"] - r["first"] + length, 4 << 20):
+                for some in bytehash.pieces(want, lambda r: 4 * (r["last"] - r["first"] + length), 4 << 20):
+                    near = np.array([r["anchor"] - r["last"] for r in some]) // slice_
+                    n = np.array([r["anchor"] - r["first"] for r in some]) // slice_ - near + 1
+                    who = np.repeat(np.arange(len(some)), n)
+                    j = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + near[who]
+                    anchor, lo, hi = (np.array([r[c] for r in some])[who] for c in ("anchor", "first", "last"))
+                    core = np.array([r["core"] for r in some], np.int64)[who]
+                    at = anchor - j * slice_
+                    first, last = np.maximum(lo, at - slice_ + 1), np.minimum(hi, at)
+                    base = int(first.min())
+                    buf = np.frombuffer(data, np.uint8, int(last.max()) + length - base, base)
+                    key = bytehash.Ranges(buf, 1).hash(at - base, at - base + length - slice_ + 1)
+                    key = bytehash.mix(key ^ core.view(np.uint64) ^ j.astype(np.uint64))
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([doc] * len(piece), pa.int64()), pa.array([h] * len(piece), pa.int64()),
-                         pa.array([r["core"] for r in piece], pa.int64()),
-                         pa.array([r["wide"] for r in piece], pa.bool_()),
-                         pa.array([r["first"] for r in piece], pa.int32()),
-                         pa.array([data[r["first"]:r["last"] + length] for r in piece], pa.binary())],
-                        names=["doc_id", "h", "core", "wide", "first", "bytes"])
+                        [pa.array([doc] * len(who), pa.int64()), pa.array([h] * len(who), pa.int64()),
+                         pa.array(key.view(np.int64)), pa.array(first.astype(np.int32)),
+                         pa.array([data[a:b + length] for a, b in zip(first, last)], pa.binary())],
+                        names=["doc_id", "h", "key", "first", "bytes"])
     return run
 
 
@@ -164,6 +181,7 @@ def repeated_starts(buf: np.ndarray, starts: np.ndarray, length: int) -> tuple[n
     return earlier, later
 
 
+CUT = "doc_id long, h long, key long, first int, bytes binary"
 FLAG = "doc_id long, h long, first int, last int"
 
 
@@ -178,8 +196,8 @@ def _spans_of(flag: np.ndarray, owner: np.ndarray, pos: np.ndarray):
 
 
 def _sort_buffers(length: int, keep: str):
-    """Runs sorted by (core, document order) -> flagged starts.  A buffer ends
-    where a core ends."""
+    """Slices sorted by (key, document order) -> flagged starts.  A buffer ends
+    where a key ends."""
     def flush(rows) -> pa.RecordBatch:
         data = [np.frombuffer(r["bytes"], np.uint8) for r in rows]
         size = np.array([len(d) for d in data])
@@ -200,7 +218,7 @@ def _sort_buffers(length: int, keep: str):
         held, size = [], 0
         for batch in batches:
             for r in batch.to_pylist():
-                if held and size >= BUFFER and r["core"] != held[-1]["core"]:
+                if held and size >= BUFFER and r["key"] != held[-1]["key"]:
                     yield flush(held)
                     held, size = [], 0
                 held.append(r)
@@ -211,7 +229,7 @@ def _sort_buffers(length: int, keep: str):
 
 
 def _spread(length: int):
-    """Runs of wide cores -> (core, string hash, doc_id, h, pos) of each start."""
+    """Slices of wide keys -> (key, string hash, doc_id, h, pos) of each start."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in batch.to_pylist():
@@ -219,10 +237,10 @@ def _spread(length: int):
                 p = np.arange(len(buf) - length + 1)
                 f = bytehash.Ranges(buf, 0).hash(p, p + length)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(p), r["core"])), pa.array(f.view(np.int64)),
+                    [pa.array(np.full(len(p), r["key"])), pa.array(f.view(np.int64)),
                      pa.array([r["doc_id"]] * len(p), pa.int64()), pa.array(np.full(len(p), r["h"])),
                      pa.array((p + r["first"]).astype(np.int32))],
-                    names=["core", "f", "doc_id", "h", "pos"])
+                    names=["key", "f", "doc_id", "h", "pos"])
     return run
 
 
@@ -237,37 +255,52 @@ def flagged_starts(docs: DataFrame, length: int, keep: str, w: int, k: int, wide
     again = (found.groupBy("core").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("core"))
     some = written(found.join(again, "core"), "repeated-cores")
     cls = (some.groupBy("core", "whole")
-           .agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(_place().alias("at"), "last")).alias("one")))
-    cls = written(cls.select("core", "whole", "n", "one.at", F.col("one.last").alias("end")), "classes")
+           .agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(_place().alias("at"), "last", "anchor")).alias("one")))
+    cls = written(cls.select("core", "whole", "n", "one.at", F.col("one.last").alias("end"), "one.anchor"), "classes")
     copies = some.join(cls.where("n > 1").select("core", "whole", "at"), ["core", "whole"])
     if keep == "first":
         copies = copies.where(~_place().eqNullSafe(F.col("at")))
     whole = copies.select("doc_id", "h", "first", "last")
 
     # cores with several classes: the first run of each class is compared with the others
-    many = cls.groupBy("core").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
-    firsts = (cls.join(many, "core")
-              .groupBy(F.col("at.doc_id").alias("d"), F.col("at.h").alias("dh"))
-              .agg(F.sort_array(F.collect_list(F.struct(
-                  F.col("at.pos").alias("first"), F.col("end").alias("last"), "core",
-                  (F.col("m") > wide).alias("wide")))).alias("want")))
+    many = cls.groupBy("core").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("core")
+    firsts = (cls.join(many, "core").groupBy(F.col("at.doc_id").alias("d"), F.col("at.h").alias("dh"))
+              .agg(F.sort_array(F.collect_list(F.struct(F.col("at.pos").alias("first"), F.col("end").alias("last"),
+                                                        "core", "anchor"))).alias("want")))
+    firsts = sized(written(firsts, "first-runs"), "want", 24)
     texts = docs.join(firsts, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("h") == F.col("dh")))
     cut = written(texts.select("doc_id", "h", "text", "want")
-                  .mapInArrow(_cut_runs(length), "doc_id long, h long, core long, wide boolean, first int, bytes binary")
-                  .dropDuplicates(["doc_id", "h", "first"]), "cut-runs")
-    near = (cut.where("not wide").repartition("core").sortWithinPartitions("core", "doc_id", "h", "first")
+                  .mapInArrow(_cut_runs(length, min(SLICE, length)), CUT), "cut-runs")
+    # a slice whose key no other class has holds no repeat; repeated rows of a document are one
+    keys = (cut.select("key", "doc_id", "h", "first").distinct().groupBy("key").agg(F.count(F.lit(1)).alias("m"))
+            .where("m > 1").select("key", (F.col("m") > wide).alias("wide")))
+    cut = written(cut.join(bounded(written(keys, "slice-keys"), 32), "key").dropDuplicates(["key", "doc_id", "h", "first"]),
+                  "near-slices")
+    near = (cut.where("not wide").repartition("key").sortWithinPartitions("key", "doc_id", "h", "first")
             .mapInArrow(_sort_buffers(length, keep), FLAG))
-    spread = cut.where("wide").mapInArrow(_spread(length), "core long, f long, doc_id long, h long, pos int")
-    ends = (spread.groupBy("core", "f").agg(F.min(_place("pos")).alias("lo"), F.max(_place("pos")).alias("hi"))
-            .where("lo <> hi").select("core", "f", "lo"))
-    far = spread.join(ends, ["core", "f"])
+    spread = cut.where("wide").mapInArrow(_spread(length), "key long, f long, doc_id long, h long, pos int")
+    ends = (spread.groupBy("key", "f").agg(F.min(_place("pos")).alias("lo"), F.max(_place("pos")).alias("hi"))
+            .where("lo <> hi").select("key", "f", "lo"))
+    far = spread.join(ends, ["key", "f"])
     if keep == "first":
         far = far.where(~_place("pos").eqNullSafe(F.col("lo")))
     far = far.select("doc_id", "h", F.col("pos").alias("first"), F.col("pos").alias("last"))
     return whole.unionByName(near).unionByName(far)
 
 
-def _remove(length: int):
+def removed_spans(flags: DataFrame, length: int) -> DataFrame:
+    """Flagged starts -> (d, dh, spans): each document's maximal covered
+    [first, last) byte ranges."""
+    line = Window.partitionBy("doc_id", "h").orderBy("first", "last")
+    reach = F.max("last").over(line.rowsBetween(Window.unboundedPreceding, -1)) + length
+    f = flags.withColumn("new", F.when(F.col("first") <= reach, 0).otherwise(1))
+    f = f.withColumn("span", F.sum("new").over(line.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    return (f.groupBy("doc_id", "h", "span").agg(F.min("first").alias("first"), (F.max("last") + length).alias("last"))
+            .groupBy(F.col("doc_id").alias("d"), F.col("h").alias("dh"))
+            .agg(F.sort_array(F.collect_list(F.struct("first", "last"))).alias("spans")))
+
+
+def _remove():
     """(row columns.., text, spans) -> the kept text and what was removed."""
     schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()),
                         ("n_spans", pa.int64()), ("spans", pa.list_(pa.list_(pa.int64()))), ("kept", pa.binary())])
@@ -277,12 +310,7 @@ def _remove(length: int):
             rows, held = [], 0
             for doc, text, spans in zip(*(batch.column(i) for i in range(3))):
                 data = (text.as_py() or "").encode("utf-8", "surrogatepass")
-                merged = []
-                for s in sorted((s["first"], s["last"] + length) for s in spans.as_py() or []):
-                    if merged and s[0] <= merged[-1][1]:
-                        merged[-1][1] = max(merged[-1][1], s[1])
-                    else:
-                        merged.append(list(s))
+                merged = [[s["first"], s["last"]] for s in spans.as_py() or []]
                 parts, at = [], 0
                 for a, b in merged:
                     parts.append(data[at:a])
@@ -299,7 +327,7 @@ def _remove(length: int):
 
 
 def remove_repeats(docs: DataFrame, length: int = 400, keep: str = "first", w: int | None = None, k: int = 24,
-                   wide: int = 1000) -> DataFrame:
+                   wide: int = 5000) -> DataFrame:
     """Documents (doc_id, text) -> one row per document row: doc_id, n_bytes,
     n_removed, n_spans, spans (removed [start, end) byte ranges) and kept (the
     remaining bytes)."""
@@ -308,9 +336,8 @@ def remove_repeats(docs: DataFrame, length: int = 400, keep: str = "first", w: i
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                     F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"), "text")
     flags = written(flagged_starts(d, length, keep, w, k, wide), "flagged")
-    spans = (flags.groupBy(F.col("doc_id").alias("d"), F.col("h").alias("dh"))
-             .agg(F.collect_list(F.struct("first", "last")).alias("spans")))
+    spans = sized(written(removed_spans(flags, length), "spans"), "spans", 8)
     return (d.join(spans, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("h") == F.col("dh")), "left")
             .select("doc_id", "text", "spans")
-            .mapInArrow(_remove(length), "doc_id long, n_bytes long, n_removed long, n_spans long, "
+            .mapInArrow(_remove(), "doc_id long, n_bytes long, n_removed long, n_spans long, "
                                          "spans array<array<long>>, kept binary"))
