@@ -146,15 +146,16 @@ def scan(docs: DataFrame, items: DataFrame, n: int = 10) -> DataFrame:
 
 def near_matches(post: DataFrame, iw: DataFrame, n: int = 10, slack: int = 3) -> DataFrame:
     """Proximity: (doc_id, h, iid, s, at) where all distinct words of window
-    ``s`` stand within ``n + slack`` positions around the posting ``at`` of
-    its rarest word, in any order."""
+    ``s`` stand within ``slack`` positions more than the window has, around
+    the posting ``at`` of its rarest word, in any order."""
     df = post.where("tid > 0").groupBy("tid").agg(F.count(F.lit(1)).alias("df"))
     size = F.least("m", F.lit(n))
     spots = F.sequence(F.greatest(F.lit(0), F.col("i") - n + 1), F.least(F.col("i"), F.col("m") - size))
     w = (iw.join(df, "tid").withColumn("s", F.explode(spots)).groupBy("iid", "s", "m")
          .agg(F.min(F.struct("df", "tid")).alias("r"), F.collect_set("tid").alias("need"), F.count(F.lit(1)).alias("c"))
          .where(F.col("c") == size))
-    seed = post.join(w.select("iid", "s", "need", F.col("r.tid").alias("tid")), "tid").withColumnRenamed("pos", "at")
+    w = w.select("iid", "s", "need", (F.col("c") + slack - 1).cast("int").alias("span"), F.col("r.tid").alias("tid"))
+    seed = post.join(w, "tid").withColumnRenamed("pos", "at")
     want = seed.withColumn("t", F.explode("need")).withColumn("cell", F.floor(F.col("at") / 64))
     reach = n + slack - 1
     p = post.select(F.col("doc_id").alias("d"), F.col("h").alias("dh"), "pos", F.col("tid").alias("t2"))
@@ -163,9 +164,9 @@ def near_matches(post: DataFrame, iw: DataFrame, n: int = 10, slack: int = 3) ->
         F.floor((F.col("pos") - reach) / 64), F.floor((F.col("pos") + reach) / 64)))))
     hit = want.join(p, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("h") == F.col("dh"))
                     & (F.col("t") == F.col("t2")) & (F.col("cell") == F.col("cell2"))
-                    & (F.abs(F.col("pos") - F.col("at")) <= reach))
-    # a span of n + slack positions holding `at` and a posting of every needed term
-    starts = hit.withColumn("lo", F.explode(F.sequence(F.greatest(F.col("pos"), F.col("at")) - reach,
+                    & (F.abs(F.col("pos") - F.col("at")) <= F.col("span")))
+    # a stretch of span + 1 positions holding `at` and a posting of every needed term
+    starts = hit.withColumn("lo", F.explode(F.sequence(F.greatest(F.col("pos"), F.col("at")) - F.col("span"),
                                                        F.least(F.col("pos"), F.col("at")))))
     return (starts.groupBy("doc_id", "h", "iid", "s", "at", "lo")
             .agg(F.count_distinct("t").alias("got"), F.first(F.size("need")).alias("k")).where("got = k")
