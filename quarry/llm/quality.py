@@ -3,8 +3,8 @@ one from bad labelled texts; a text that the bad dictionary compresses worse
 than the good one is likely good.  The size difference over the text's length
 becomes a probability by isotonic regression.
 
-Whole texts are scored, in pieces of ``PIECE`` bytes that each start from the
-dictionary alone, so that a long text is not judged by what it has taught the
+Whole texts are scored, in pieces of about ``PIECE`` bytes that each start from
+the dictionary alone, so that a long text is not judged by what it has taught the
 compressor itself.
 
 Bounds (documented parameters): at most ``most`` labelled documents outside
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from quarry.llm.common import crc_fold, isotonic, labelled, written
 
-PIECE = 1024
+PIECE = 256
 DICT_BYTES = 64 << 10
 DICT_DOCS = 1500
 DICT_DOC_BYTES = 32 << 10
@@ -62,7 +62,9 @@ class Sizer:
         data = (text or "").encode("utf-8", "surrogatepass")
         if not data:
             return 0.0
-        good, bad = (sum(len(c.compress(data[i:i + PIECE])) for i in range(0, len(data), PIECE)) for c in self.both)
+        n = max(1, round(len(data) / PIECE))  # a short rest goes with the last piece
+        cuts = [(i * PIECE, (i + 1) * PIECE if i < n - 1 else len(data)) for i in range(n)]
+        good, bad = (sum(len(c.compress(data[a:b])) for a, b in cuts) for c in self.both)
         return (bad - good) / len(data)
 
 
