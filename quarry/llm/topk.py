@@ -5,10 +5,11 @@ vectors of the block whose value in one dimension falls in one quantised
 level, with the level's lowest and highest value.  For a query, segments are
 processed in rounds of falling impact (the most a segment can add to a score,
 over the least its dimension can add).  After each round every vector has a
-proven lower and upper bound of its score: what its processed segments add at
-least / at most, and at most the next segment's impact for each dimension not
-seen yet.  A vector stays a possible member while its upper bound reaches the
-k-th best lower bound; processing stops when that proof leaves few enough
+proven upper bound of its score: what its processed segments add at most, and
+at most the next segment's impact for each dimension not
+seen yet.  The leaders of the round, scored exactly, prove a lower bound of the
+k-th best score; a vector stays a possible member while its upper bound
+reaches it.  Processing stops when that proof leaves few enough
 possible members, or at the last segment.  The possible members are rescored
 exactly in integers.
 
@@ -46,8 +47,8 @@ class SegmentIndex:
         self.low = np.ascontiguousarray(ranked[s].T)                # dims x segments
         self.high = np.ascontiguousarray(ranked[e - 1].T)
 
-    def search(self, q: np.ndarray, k: int, enough: int = 64,
-               rounds: tuple[float, ...] = (0.4, 0.6, 0.7, 0.8, 0.9, 1.0)) -> tuple[np.ndarray, np.ndarray, int]:
+    def search(self, q: np.ndarray, k: int, enough: int = 512,
+               rounds: tuple[float, ...] = (0.5, 0.6, 0.7, 0.8, 0.9, 1.0)) -> tuple[np.ndarray, np.ndarray, int]:
         """Row numbers and exact scores of every vector that may be among the
         k best of the block, and the number of postings processed."""
         a, b = q[:, None] * self.low, q[:, None] * self.high
@@ -74,7 +75,12 @@ class SegmentIndex:
             # a dimension not seen yet adds 0 at least and the next segment's impact at most
             next_impact = most[order[done]] if done < len(order) else 0
             upper = gain_hi + next_impact * (self.dims - seen)
-            kth = np.partition(gain_lo, self.n - k)[self.n - k] if self.n > k else -1.0
+            # the exact scores of the leaders so far prove how good the k-th best is at least
+            if self.n > 4 * k:
+                lead = np.argpartition(gain_lo, self.n - 4 * k)[self.n - 4 * k:]
+                kth = np.partition(self.mat[lead] @ q, 3 * k)[3 * k] - base.sum()
+            else:
+                kth = -1.0
             may = np.flatnonzero(upper >= kth)
             if len(may) <= max(enough, 2 * k) or done == len(order):
                 break
