@@ -29,7 +29,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.llm.common import bounded, written
+from quarry.llm.common import sized, written
 
 #: Base patterns.  They find what the plain patterns find: a match can begin
 #: only where the run of its first class does, or where the last match ended
@@ -232,28 +232,27 @@ def spans(docs: DataFrame, at: float = 0.5) -> DataFrame:
 
 
 def by_document(found: DataFrame) -> DataFrame:
-    """Spans -> (d, dh, spans): each document's spans in the order of kinds."""
+    """Spans -> (_pii_id, _pii_h, _pii_spans): each document's spans in the
+    order of kinds."""
     rank = F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind")).cast("int")
-    return found.groupBy(F.col("doc_id").alias("d"), F.col("h").alias("dh")).agg(
-        F.array_sort(F.collect_list(F.struct(rank.alias("k"), "start", "end", "kind"))).alias("spans"))
+    return found.groupBy(F.col("doc_id").alias("_pii_id"), F.col("h").alias("_pii_h")).agg(
+        F.array_sort(F.collect_list(F.struct(rank.alias("k"), "start", "end", "kind"))).alias("_pii_spans"))
 
 
 def _attached(docs: DataFrame, at: float) -> DataFrame:
-    """``docs`` (with columns doc_id, text) plus ``_spans``."""
+    """``docs`` (with columns doc_id, text, any others) plus ``_pii_spans``."""
     per = written(by_document(spans(docs, at)), "pii-spans")
-    total = per.agg(F.coalesce(F.sum(F.size("spans")), F.lit(0)), F.count(F.lit(1))).first()
-    width = 64 + 64 * (int(total[0]) // max(1, int(total[1])) + 1)
-    h = F.xxhash64(F.coalesce("text", F.lit("")))
-    keyed = docs.withColumn("_h", h)
-    return (keyed.join(bounded(per, width), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("_h") == F.col("dh")), "left")
-            .withColumn("_spans", F.col("spans")).drop("d", "dh", "spans", "_h"))
+    keyed = docs.withColumn("_pii_text", F.xxhash64(F.coalesce("text", F.lit(""))))
+    return (keyed.join(sized(per, "_pii_spans", 64),
+                       F.col("doc_id").eqNullSafe(F.col("_pii_id")) & (F.col("_pii_text") == F.col("_pii_h")), "left")
+            .drop("_pii_id", "_pii_h", "_pii_text"))
 
 
 def report(docs: DataFrame, at: float = 0.5) -> DataFrame:
     """Documents (doc_id, text) -> doc_id and ``spans`` (k, start, end, kind)."""
     out = _attached(docs.select("doc_id", "text"), at).drop("text")
     empty = F.array().cast("array<struct<k:int,start:bigint,end:bigint,kind:string>>")
-    return out.select("doc_id", F.coalesce("_spans", empty).alias("spans"))
+    return out.select("doc_id", F.coalesce("_pii_spans", empty).alias("spans"))
 
 
 def redact(docs: DataFrame, at: float = 0.5) -> DataFrame:
@@ -262,18 +261,18 @@ def redact(docs: DataFrame, at: float = 0.5) -> DataFrame:
     replaced as one, named after the first.  Columns stay as they are."""
     names = docs.columns
     found = _attached(docs, at)
-    s = F.array_sort(F.transform("_spans", lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), x["kind"].alias("kind"))))
+    s = F.array_sort(F.transform("_pii_spans", lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), x["kind"].alias("kind"))))
     merged = F.aggregate(s, F.slice(s, 1, 0), lambda acc, x: F.when(
         (F.size(acc) > 0) & (F.element_at(acc, -1)["end"] > x["start"]),
         F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.struct(
             F.element_at(acc, -1)["start"].alias("start"), F.greatest(F.element_at(acc, -1)["end"], x["end"]).alias("end"),
             F.element_at(acc, -1)["kind"].alias("kind"))))).otherwise(F.concat(acc, F.array(x))))
-    found = found.withColumn("_cut", merged)
+    found = found.withColumn("_pii_cut", merged)
     text = F.col("text")
-    parts = F.transform("_cut", lambda x, i: F.concat(
-        F.substring(text, (F.when(i == 0, F.lit(1)).otherwise(F.get(F.col("_cut"), i - 1)["end"] + 1)).cast("int"),
-                    (x["start"] - F.when(i == 0, F.lit(0)).otherwise(F.get(F.col("_cut"), i - 1)["end"])).cast("int")),
+    parts = F.transform("_pii_cut", lambda x, i: F.concat(
+        F.substring(text, (F.when(i == 0, F.lit(1)).otherwise(F.get(F.col("_pii_cut"), i - 1)["end"] + 1)).cast("int"),
+                    (x["start"] - F.when(i == 0, F.lit(0)).otherwise(F.get(F.col("_pii_cut"), i - 1)["end"])).cast("int")),
         F.lit("<"), F.upper(x["kind"]), F.lit(">")))
-    tail = F.substring(text, (F.element_at("_cut", -1)["end"] + 1).cast("int"), F.length(text))
-    clean = F.when(F.size("_cut") > 0, F.concat(F.array_join(parts, ""), tail)).otherwise(text)
+    tail = F.substring(text, (F.element_at("_pii_cut", -1)["end"] + 1).cast("int"), F.length(text))
+    clean = F.when(F.size("_pii_cut") > 0, F.concat(F.array_join(parts, ""), tail)).otherwise(text)
     return found.withColumn("text", clean).select(*names)
