@@ -1,23 +1,27 @@
-"""N-gram Jaccard join by T-occurrence search (heap-merge of short inverted
-lists, binary probes into long ones: DivideSkip).
+"""N-gram Jaccard join by T-occurrence search (merge of short inverted lists,
+binary probes into long ones: DivideSkip).
 
 Two documents link when num / den of the union of their shingle sets is
 shared.  Steps, each over all documents:
 
 1. Every text becomes its set of k-word shingles (64-bit hashes).  Equal sets
-   are one class, known by a 128-bit fingerprint, with its smallest doc_id.
-2. Similar sets share a shingle among the rarest ``n - ceil(n * num/den) + 1``
-   of each (prefix filter, valid for any fixed order of shingles).  Shingles
-   found often within a task's texts are ordered last; the bounded list of
-   them only shapes the order, so results do not depend on it.
+   are one class, known by its size and a 128-bit fingerprint, with its
+   smallest doc_id.
+2. Similar sets share a shingle among the first ``n - ceil(n * num/den) + 1``
+   of each, in any fixed order of shingles (prefix filter).  The order: a
+   fifth of all shingles, chosen by hash, rarest first by their exact count
+   over all classes, then the others by hash.  So a class's prefix holds what
+   it shares only if it has too little of its own; classes whose prefix meets
+   no other have no partner.
 3. Per shared prefix shingle the smallest class is the pivot; each class is
    searched against its smallest pivot: the pivot's set is the query, the
    classes that picked it, in chunks, are the inverted index.  A large group
    of near copies costs one search a chunk, not all pairs.
+   Shared shingles count only between classes of like size (bands).
 4. Classes whose shared shingles still span several components are gathered
-   in cells (components of the remaining candidates), cut in chunks of bounded
-   size along components; every two chunks of a cell meet once, each member of
-   one searched in the index of the other.  Chunks of one single component do
+   in cells (components of the remaining candidates of a band), cut in chunks
+   of bounded size along components; every two chunks of a cell meet once, each
+   home member of one searched in the index of the other.  Chunks of one single component do
    not meet each other: their classes are connected already.
 
 No pair that reaches the threshold can be missed between different
@@ -31,9 +35,8 @@ table gives no rows.  Other columns are never read.
 
 from __future__ import annotations
 
-import heapq
+import math
 from collections.abc import Iterator
-from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -41,15 +44,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.llm import bytehash
-from quarry.llm.common import written
+from quarry.llm.common import bounded, written
 from quarry.operators.graph import connected_components
 
-#: most shingles of one chunk (about 8 bytes each, a few times over)
+#: most shingles of one chunk (8 bytes each, a few times over)
 CHUNK = 1_000_000
-#: a task's texts are counted in buffers of this many shingles
-COUNT_BUFFER = 4_000_000
-#: bound of the list of frequent shingles that shapes the order
-FREQUENT = 200_000
+#: one shingle in so many is counted for the order
+EVERY = 5
 
 
 def _i64(a: np.ndarray) -> np.ndarray:
@@ -78,9 +79,10 @@ class Lists:
         """Members whose overlap with q reaches the threshold (DivideSkip).
 
         The T of the search is the least any allowed partner needs.  The
-        longest lists are set aside; a member must appear T - (number of
-        those) times in the short ones, found by a heap merge, and is then
-        counted on by binary probes into the long lists.
+        longest lists are set aside; a member must appear often enough in the
+        short ones, which are merged (sorted runs, by a merging sort in place
+        of a heap: the same sequence, compiled), and is then counted on by
+        binary probes into the long lists, as long as it can still reach T.
         """
         n = len(q)
         t = max(1, -((-num * n) // den))
@@ -93,26 +95,20 @@ class Lists:
         by = np.argsort(s - e, kind="stable")           # longest first
         longest = int(e[by[0]] - s[by[0]])
         aside = min(t - 1, int(t / (0.01 * np.log2(longest + 1) + 1)))
-        long_at, short_at = by[:aside], by[aside:]
-        merged = heapq.merge(*(self.who[s[i]:e[i]].tolist() for i in short_at))
-        out = []
-        probes = [self.who[s[i]:e[i]] for i in long_at]
-        for member, group in groupby(merged):
-            count = sum(1 for _ in group)
-            if count < t - aside:
-                continue
-            size = int(self.sizes[member])
-            want = max(t, int(needed(n, size, num, den)))
-            left = len(probes)
-            for p in probes:
-                if count >= want or count + left < want:
-                    break
-                i = np.searchsorted(p, member)
-                count += int(i < len(p) and p[i] == member)
-                left -= 1
-            if count >= want:
-                out.append(member)
-        return out
+        short = np.sort(np.concatenate([self.who[s[i]:e[i]] for i in by[aside:]]), kind="stable")
+        edge = np.flatnonzero(np.diff(short, prepend=-1, append=-1))
+        member, count = short[edge[:-1]], np.diff(edge)
+        want = np.maximum(t, needed(n, self.sizes[member], num, den))
+        for left in range(aside, -1, -1):               # long lists not probed yet
+            may = count + left >= want
+            member, count, want = member[may], count[may], want[may]
+            if not left or not len(member):
+                break
+            i = by[left - 1]                            # the shortest of the long lists first
+            p = self.who[s[i]:e[i]]
+            at = np.minimum(np.searchsorted(p, member), len(p) - 1)
+            count = count + (p[at] == member)
+        return member.tolist()
 
 
 def _text_sets(batch: pa.RecordBatch, k: int) -> Iterator[tuple[object, np.ndarray]]:
@@ -128,83 +124,48 @@ def fingerprint(s: np.ndarray) -> tuple[int, int]:
     return int(_i64(a)[0]), int(np.int64(b.view(np.int64)))
 
 
-def _profile(k: int, often: int = 4):
-    """(doc_id, text) -> a row per document (n, f1, f2), and per buffer of
-    shingles the ones found in ``often`` different sets (n = -1, f1 = shingle,
-    f2 = count)."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size, seen = [], 0, set()
+def _counted(s: np.ndarray) -> np.ndarray:
+    return _i64(s) % EVERY == 0
 
-        def frequent():
-            if not held:
-                return None
-            tok, cnt = np.unique(np.concatenate(held), return_counts=True)
-            tok, cnt = tok[cnt >= often], cnt[cnt >= often]
-            return _rows([None] * len(tok), np.full(len(tok), -1), _i64(tok), cnt)
 
-        for batch in batches:
-            ids, ns, fa, fb = [], [], [], []
-            for doc, s in _text_sets(batch, k):
-                f = fingerprint(s)
-                ids.append(doc), ns.append(len(s)), fa.append(f[0]), fb.append(f[1])
-                if f not in seen:
-                    seen.add(f)
-                    held.append(s)
-                    size += len(s)
-                    if size >= COUNT_BUFFER:
-                        out = frequent()
-                        held, size, seen = [], 0, set()
-                        yield out
-            yield _rows(ids, ns, fa, fb)
-        out = frequent()
-        if out is not None:
-            yield out
-
-    def _rows(ids, ns, fa, fb):
-        return pa.RecordBatch.from_arrays(
-            [pa.array(ids, pa.int64()), pa.array(ns, pa.int64()), pa.array(fa, pa.int64()), pa.array(fb, pa.int64())],
-            names=["doc_id", "n", "f1", "f2"])
-    return run
+PROFILE = "doc_id long, n long, f1 long, f2 long, m long, tokens array<long>"
 
 
-def _prefixes(k: int, num: int, den: int, frequent):
-    """(doc_id, text) -> (f1, f2, token): the rarest shingles of each set."""
+def _profile(k: int, num: int, den: int):
+    """(doc_id, text) -> size, fingerprint and number of counted shingles of
+    each set, and its ``tokens``: the counted shingles, and others in the order
+    of their hash where those are fewer than a prefix."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hot, level = frequent.value
         for batch in batches:
-            fa, fb, tok, width, done = [], [], [], [], set()
-            for doc, s in _text_sets(batch, k):
-                f = fingerprint(s)
-                if not len(s) or doc is None or f in done:
-                    continue
-                done.add(f)
-                p = len(s) + ((-num * len(s)) // den) + 1
-                key = s >> np.uint64(6)
-                if len(hot):
-                    i = np.searchsorted(hot, s)
-                    i[i == len(hot)] = 0
-                    key = key | np.where(hot[i] == s, level[i], np.uint64(0))
-                tok.append(s[np.lexsort((s, key))[:p]])
-                fa.append(f[0]), fb.append(f[1]), width.append(p)
-            if tok:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.repeat(np.array(fa, np.int64), width)),
-                     pa.array(np.repeat(np.array(fb, np.int64), width)), pa.array(_i64(np.concatenate(tok)))],
-                    names=["f1", "f2", "token"])
+            rows, tok = [], []
+            for _, s in _text_sets(batch, k):
+                own = _counted(s)
+                m = int(own.sum())
+                more = len(s) + ((-num * len(s)) // den) + 1 - m if len(s) else 0
+                rows.append((len(s), *fingerprint(s), m))
+                tok.append(_i64(s[own]) if more <= 0 else np.concatenate([_i64(s[own]), np.sort(_i64(s[~own]))[:more]]))
+            ends = np.cumsum([0] + [len(t) for t in tok])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), *(pa.array([r[i] for r in rows], pa.int64()) for i in range(4)),
+                 pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(tok or [np.zeros(0, np.int64)])))],
+                names=["doc_id", "n", "f1", "f2", "m", "tokens"])
     return run
 
 
-def _sets(k: int):
-    """(v, text) -> (v, n, shingles as bytes)."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids, ns, raw = [], [], []
-            for v, s in _text_sets(batch, k):
-                ids.append(v), ns.append(len(s)), raw.append(s.tobytes())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(ns, pa.int64()), pa.array(raw, pa.binary())],
-                names=["v", "n", "s"])
-    return run
+def _shared_prefixes(rows: DataFrame, num: int, den: int) -> DataFrame:
+    """(token, f1, v, n, m) of shingles in several classes -> the (token, v)
+    that are in the prefixes of several classes."""
+    df = rows.groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+    several = rows.join(df, "token").withColumn("exact", F.pmod("token", F.lit(EVERY)) == 0)
+    own = Window.partitionBy("f1")
+    place = F.row_number().over(own.orderBy(F.desc("exact"), "c", "token"))
+    prefix = F.col("n") - F.ceil(F.col("n") * num / den) + 1
+    # counted shingles that no other class has come first in the order, and meet nothing
+    alone = F.col("m") - F.count(F.when(F.col("exact"), 1)).over(own)
+    first = several.withColumn("place", place).withColumn("alone", alone).where(F.col("place") <= prefix - F.col("alone"))
+    first = written(first.select("token", "v").distinct(), "prefix-rows")
+    met = first.groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("token")
+    return first.join(met, "token")
 
 
 LINKS = "src long, dst long"
@@ -215,20 +176,16 @@ def _link_batch(pairs: list[tuple[int, int]]) -> pa.Table:
                      "dst": pa.array([b for _, b in pairs], pa.int64())})
 
 
-def _decode(col) -> list[np.ndarray]:
-    return [np.frombuffer(x.as_py(), np.uint64) for x in col]
-
-
-def _search_chunks(num: int, den: int):
-    """One group = one meeting of chunks: rows with role 0 are queries, role 1
-    the index, role 2 both.  Links already implied (same component, or by links
-    found here) are not searched again."""
+def _search_chunks(k: int, num: int, den: int):
+    """One group = one meeting of chunks, its texts turned into sets here.
+    Roles: 0 the query of an index of 1; 2 both query and index, with 1 index
+    only; and where two chunks meet, 3 / 4 the lower chunk's home and other
+    members, 5 / 6 those of the higher.  Pairs that are connected already
+    (same component, or by links found here) yield no link."""
     def run(group: pa.Table) -> pa.Table:
         role = np.array(group["role"].to_pylist())
         v, comp = group["v"].to_pylist(), group["comp"].to_pylist()
-        sets = _decode(group["s"])
-        base = np.flatnonzero(role > 0)
-        index = Lists([sets[i] for i in base])
+        sets = [bytehash.shingles(bytehash.word_hashes(t.as_py() or ""), k) for t in group["text"]]
         up: dict[int, int] = {}
 
         def root(x):
@@ -237,51 +194,76 @@ def _search_chunks(num: int, den: int):
                 x = up[x]
             return x
         out = []
-        for i in np.flatnonzero(role != 1):
-            for j in index.search(sets[i], num, den):
-                a, b = root(comp[i]), root(comp[base[j]])
-                if a != b:
-                    up[max(a, b)] = min(a, b)
-                    out.append((v[i], v[base[j]]))
+        for asked, held in ((0, (1,)), (2, (1, 2)), (3, (5, 6)), (5, (4,))):
+            base = np.flatnonzero(np.isin(role, held))
+            queries = np.flatnonzero(role == asked)
+            if not len(base) or not len(queries):
+                continue
+            index = Lists([sets[i] for i in base])
+            for i in queries:
+                for j in index.search(sets[i], num, den):
+                    a, b = root(comp[i]), root(comp[base[j]])
+                    if a != b:
+                        up[max(a, b)] = min(a, b)
+                        out.append((v[i], v[base[j]]))
         return _link_batch(out)
     return run
 
 
-def _load_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """(v, n, s) for the documents named in ``wanted`` (v, f1, f2): one row
-    per class, its texts being equal as sets."""
-    d = docs.join(wanted.select(F.col("v").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    return written(d.select(F.col("doc_id").alias("v"), "text").mapInArrow(_sets(k), "v long, n long, s binary"),
-                   "shingle-sets")
-
-
-def _pivot_links(shared: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """Step 3: (src, dst) links of classes to the pivot that each picked."""
+def _banded(shared: DataFrame, size: DataFrame, num: int, den: int) -> DataFrame:
+    """(token, v) -> (token, v, band, home): linked sets differ in size by at
+    most den/num, so with bands a little wider a class meets its partners in
+    its own (home) band or the one above.  Tokens become tokens of a band;
+    those with one class left go."""
+    width = math.log(1.01 * den / num)
+    b = F.floor(F.log("n") / width)
+    rows = shared.join(size, "v").withColumn("own", b).select(
+        F.col("token").alias("t"), "v", "own", F.explode(F.array(b, b + 1)).alias("band"))
+    rows = rows.select(F.xxhash64("t", "band").alias("token"), "v", "band", (F.col("band") == F.col("own")).alias("home"))
+    met = rows.groupBy("token").agg(F.count(F.lit(1)).alias("c"), F.max("home").alias("any")).where("c > 1 and any")
+    return rows.join(met.select("token"), "token")
+
+
+def _meet(docs: DataFrame, roles: DataFrame, k: int, num: int, den: int) -> DataFrame:
+    """Searches each (cell, lo, hi) group of ``roles`` (cell, lo, hi, v, comp,
+    role).  Texts travel, once for each role, not sets: they are a third of
+    the size."""
+    roles = written(roles, "roles")
+    rows = docs.join(bounded(roles.withColumnRenamed("v", "doc_id"), 72), "doc_id").select(
+        "cell", "lo", "hi", F.col("doc_id").alias("v"), "comp", "role", "text")
+    sc = docs.sparkSession.sparkContext
+    n = max(4 * sc.defaultParallelism, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return rows.repartition(n, "cell", "lo", "hi").groupBy("cell", "lo", "hi").applyInArrow(_search_chunks(k, num, den), LINKS)
+
+
+def _pivot_roles(shared: DataFrame, size: DataFrame) -> DataFrame:
+    """Step 3: each class with the pivot that it picked, in chunks, and the
+    pivot as the query of each chunk."""
     pivot = shared.groupBy("token").agg(F.min("v").alias("pivot"))
-    pick = (shared.join(pivot, "token").where("v <> pivot").groupBy("v").agg(F.min("pivot").alias("pivot")))
-    size = sets.groupBy("v").agg(F.max("n").alias("n"))
+    pick = (shared.join(pivot, "token").where("v <> pivot").groupBy("v").agg(F.min("pivot").alias("cell")))
     pick = written(pick.join(size, "v"), "picks")
-    total = pick.groupBy("pivot").agg(F.ceil(F.sum("n") / CHUNK).cast("int").alias("chunks"))
-    members = (pick.join(total, "pivot")
-               .select("v", F.col("pivot").alias("cell"), F.pmod(F.xxhash64("v"), F.col("chunks")).alias("chunk"))
-               .join(sets, "v").select("cell", "chunk", "v", F.col("v").alias("comp"), "s", F.lit(1).alias("role")))
-    asked = (total.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-             .join(sets.select(F.col("v").alias("pivot"), "s"), "pivot")
-             .select(F.col("pivot").alias("cell"), F.col("chunk").cast("long"), F.col("pivot").alias("v"),
-                     F.col("pivot").alias("comp"), "s", F.lit(0).alias("role")))
-    return members.unionByName(asked).groupBy("cell", "chunk").applyInArrow(_search_chunks(num, den), LINKS)
-
-
-def _cell_links(shared: DataFrame, comp: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """Step 4: links between different components among shared shingles."""
-    s = shared.join(comp, "v").select("token", "v", "comp")
+    total = pick.groupBy("cell").agg(F.ceil(F.sum("n") / CHUNK).cast("int").alias("chunks"))
+    zero = F.lit(0).cast("long")
+    members = pick.join(total, "cell").select(
+        "cell", zero.alias("lo"), F.pmod(F.xxhash64("v"), F.col("chunks")).alias("hi"), "v",
+        F.col("v").alias("comp"), F.lit(1).alias("role"))
+    asked = total.select("cell", zero.alias("lo"), F.explode(F.sequence(zero, F.col("chunks") - 1)).alias("hi"),
+                         F.col("cell").alias("v"), F.col("cell").alias("comp"), F.lit(0).alias("role"))
+    return members.unionByName(asked)
+
+
+def _cell_roles(shared: DataFrame, comp: DataFrame, size: DataFrame) -> DataFrame:
+    """Step 4: the members of cells, in chunks that meet."""
+    s = shared.join(comp, "v").select("token", "v", "band", "home", "comp")
     mixed = (s.groupBy("token").agg(F.min("comp").alias("a"), F.max("comp").alias("b"), F.min("v").alias("first"))
              .where("a <> b").select("token", "first"))
-    rest = written(s.join(mixed, "token"), "undecided")
-    cells = connected_components(rest.select(F.col("v").alias("id")).distinct(),
-                                 rest.select(F.col("v").alias("src"), F.col("first").alias("dst")).distinct())
-    m = (rest.select("v", "comp").distinct().join(cells.select(F.col("id").alias("v"), F.col("component").alias("cell")), "v")
-         .join(sets.groupBy("v").agg(F.max("n").alias("n")), "v"))
+    rest = written(s.join(mixed, "token").select(
+        F.xxhash64("v", "band").alias("id"), F.xxhash64("first", "band").alias("to"), "v", "band", "home", "comp")
+        .distinct(), "undecided")
+    cells = connected_components(rest.select("id").distinct(),
+                                 rest.select(F.col("id").alias("src"), F.col("to").alias("dst")).distinct())
+    m = (rest.select("id", "v", "home", "comp").distinct()
+         .join(cells.withColumnRenamed("component", "cell"), "id").join(size, "v").drop("id"))
     m = written(m, "cell-members")
     per = m.groupBy("cell", "comp").agg(F.sum("n").alias("w"))
     # a component of more than a chunk has chunks of its own; smaller ones fill chunks together
@@ -300,11 +282,10 @@ def _cell_links(shared: DataFrame, comp: DataFrame, sets: DataFrame, num: int, d
     # each chunk meets itself (unless it is of one component) and every chunk but those of its own component
     meet = m.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1))).where(
         (F.col("own") == 0) | (F.col("other") < F.col("before")) | (F.col("other") >= F.col("before") + F.col("own")))
-    meet = meet.select("cell", F.least("chunk", "other").alias("lo"), F.greatest("chunk", "other").alias("hi"), "v", "comp",
-                       F.when(F.col("chunk") == F.col("other"), 2).when(F.col("chunk") < F.col("other"), 0)
-                       .otherwise(1).alias("role"))
-    return (meet.join(sets.select("v", "s"), "v").groupBy("cell", "lo", "hi")
-            .applyInArrow(_search_chunks(num, den), LINKS))
+    return meet.select("cell", F.least("chunk", "other").alias("lo"), F.greatest("chunk", "other").alias("hi"), "v", "comp",
+                       F.when(F.col("chunk") == F.col("other"), F.when(F.col("home"), 2).otherwise(1))
+                       .otherwise(F.when(F.col("chunk") < F.col("other"), F.when(F.col("home"), 3).otherwise(4))
+                                  .otherwise(F.when(F.col("home"), 5).otherwise(6))).alias("role"))
 
 
 def _components(ids: DataFrame, links: DataFrame) -> DataFrame:
@@ -315,28 +296,30 @@ def _components(ids: DataFrame, links: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """Documents (doc_id, text) -> one row per document row: doc_id,
     n_shingles, component_id (the smallest doc_id reachable by links)."""
-    spark = docs.sparkSession
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    seen = written(d.mapInArrow(_profile(k), "doc_id long, n long, f1 long, f2 long"), "profiles")
-    rows = seen.where("n >= 0")
-    top = (seen.where("n = -1").groupBy("f1").agg(F.sum("f2").alias("c"))
-           .orderBy(F.desc("c"), "f1").limit(FREQUENT).collect())
-    hot = np.array([r[0] for r in top], np.int64).view(np.uint64)
-    level = np.array([max(1, int(r[1]).bit_length()) for r in top], np.uint64) << np.uint64(58)
-    by = np.argsort(hot)
-    frequent = spark.sparkContext.broadcast((hot[by], level[by]))
-    classes = written(rows.where("n > 0 and doc_id is not null").groupBy("n", "f1", "f2")
+    rows = written(d.mapInArrow(_profile(k, num, den), PROFILE), "profiles")
+    classes = written(rows.where("n > 0 and doc_id is not null").groupBy("n", "f1", "f2", "m")
                       .agg(F.min("doc_id").alias("v")), "classes")
-    pre = d.mapInArrow(_prefixes(k, num, den, frequent), "f1 long, f2 long, token long")
-    pre = written(pre, "prefixes")
-    multi = pre.groupBy("token").agg(F.min("f1").alias("a"), F.max("f1").alias("b")).where("a <> b").select("token")
-    shared = written(pre.join(multi, "token").join(classes, ["f1", "f2"]).select("token", "v").distinct(), "shared")
+    # one row of each class gives its shingles (repeated rows of an id give them again)
+    reps = bounded(classes.select(F.col("v").alias("doc_id"), "f1"), 24)
+    pre = rows.join(reps, ["doc_id", "f1"], "left_semi").select("f1", F.explode("tokens").alias("token"))
+    multi = written(pre.groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("token"), "shared-tokens")
+    several = written(pre.join(bounded(multi, 24), "token").distinct()
+                      .join(classes.select("f1", "v", "n", "m"), "f1"), "shared-rows")
+    shared = written(_shared_prefixes(several, num, den), "shared")
+    size = classes.groupBy("v").agg(F.max("n").alias("n"))
+    shared = written(_banded(shared, classes.select("v", "n").distinct(), num, den), "banded")
     ids = written(shared.select("v").distinct(), "candidates")
-    sets = _load_sets(d, ids, k)
-    links = written(_pivot_links(shared, sets, num, den), "pivot-links")
+    links = written(_meet(d, _pivot_roles(shared, size), k, num, den), "pivot-links")
     comp = written(_components(ids, links), "components")
-    more = written(_cell_links(shared, comp, sets, num, den), "cell-links")
-    comp = written(_components(ids, links.unionByName(more)), "components")
+    more = written(_meet(d, _cell_roles(shared, comp, size), k, num, den), "cell-links")
+    # rows that share a doc_id are one node: their classes are linked
+    again = rows.where("n > 0 and doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+    tied = rows.join(again, "doc_id").join(classes, ["n", "f1", "f2", "m"]).select("doc_id", "v").distinct()
+    tied = tied.join(tied.groupBy("doc_id").agg(F.min("v").alias("src")), "doc_id").where("v <> src")
+    tied = written(tied.select("src", F.col("v").alias("dst")), "repeated-ids")
+    ids = ids.unionByName(tied.select(F.col("src").alias("v"))).unionByName(tied.select(F.col("dst").alias("v"))).distinct()
+    comp = written(_components(ids, links.unionByName(more).unionByName(tied)), "components")
     known = classes.join(comp, "v", "left").select("n", "f1", "f2", F.coalesce("comp", "v").alias("component_id"))
     return (rows.join(known, ["n", "f1", "f2"], "left")
             .select("doc_id", F.col("n").alias("n_shingles"),
