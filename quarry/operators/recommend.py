@@ -184,6 +184,33 @@ def als_scorer(model) -> Scorer:
     return score
 
 
+def grid_auc(ratings: DataFrame, grid: list, fit: Callable[[DataFrame, tuple], Scorer], folds: int,
+             seed: int = 42, parallelism: int = 4) -> list[float | None]:
+    """The mean AUC of each setting over all folds.  ``ratings`` (user, item,
+    count, fold: written, as every model reads it) is cut once; in each fold
+    ``fit(train, setting)`` gives a scorer of the fold's plays, and all
+    settings meet the same negatives.  A fold without plays, inside or
+    outside, has no AUC and does not count."""
+    from concurrent.futures import ThreadPoolExecutor
+    cuts = []
+    for f in range(folds):
+        cv, train = ratings.where(F.col("fold") == f), ratings.where(F.col("fold") != f)
+        if cv.limit(1).count() and train.limit(1).count():
+            cuts.append((train.drop("fold"), cv, sample_negatives(cv, ratings.select("item"), seed=seed).checkpoint()))
+
+    def one(job):
+        setting, (train, cv, neg) = job
+        auc = area_under_curve(train, cv, ratings.select("item"), fit(train, setting), negatives=neg)
+        return auc.agg(F.avg("auc")).first()[0]
+    with ThreadPoolExecutor(max_workers=parallelism) as ex:   # concurrent fits, like ML tuning's parallelism
+        got = list(ex.map(one, [(p, c) for p in grid for c in cuts]))
+    out = []
+    for i in range(len(grid)):
+        known = [a for a in got[i * len(cuts):(i + 1) * len(cuts)] if a is not None]
+        out.append(sum(known) / len(known) if known else None)
+    return out
+
+
 def top_n_for_users(model, users: DataFrame, seen: DataFrame, n: int = 5,
                     max_users: int = 10_000) -> DataFrame:
     """Top ``n`` unseen items for each user in ``users`` (user column):

@@ -3,6 +3,7 @@ import datetime as dt
 import math
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from quarry.functions.expr import chi_square, point_in_polygon, polygon_area
@@ -245,3 +246,24 @@ def test_sparse_distance_equals_dense(spark):
     c = model.clusterCenters()
     for r in anomaly.score(model, x).collect():
         assert abs(r.distance - np.linalg.norm(r.features.toArray() - c[r.cluster])) < 1e-9
+
+
+def test_grid_scores_every_fold(spark):
+    """The grid's AUC is the mean over all folds, not that of the first."""
+    from quarry.operators import recommend
+    rows = [(u, i, 1 + (u * 7 + i * 5) % 11, (u + 3 * i) % 4) for u in range(6) for i in range(20) if (u * i) % 3 != 1]
+    r = spark.createDataFrame(rows, "user long, item long, count long, fold int")
+    each = []
+    for f in range(4):
+        a = recommend.area_under_curve(r.where(f"fold <> {f}"), r.where(f"fold = {f}"), r.select("item"),
+                                       recommend.popularity_scorer, seed=42)
+        each.append(a.agg({"auc": "avg"}).first()[0])
+    assert len(set(each)) > 1
+    seen = []
+
+    def fit(train, setting):
+        seen.append(setting)
+        return lambda _, pairs: recommend.popularity_scorer(train, pairs)
+    got = recommend.grid_auc(r, ["a", "b"], fit, folds=4)
+    assert sorted(seen) == ["a"] * 4 + ["b"] * 4
+    assert got == [pytest.approx(sum(each) / 4)] * 2
