@@ -25,11 +25,15 @@ shared.  Steps, each over all documents:
    not meet each other: their classes are connected already.
 
 No pair that reaches the threshold can be missed between different
-components, so components are exact.
+components, so components are exact; the links of steps 3 and 4 only span them.
+All links lie inside components, so ``links`` and ``link_counts`` then search
+each component in full (step 5): one of at most a chunk at once, a larger one in
+bands and chunks, every two chunks of a band meeting once.
 
 Defined results: null and empty texts have an empty set and link with
-nothing; a null doc_id links with nothing and has no component; rows that
-share a doc_id are one node of the graph, each with its own set; an empty
+nothing; a null doc_id links with nothing and has no component; in the components
+of ``near_duplicates`` and ``link_counts`` rows that share a doc_id are one
+node of the graph, each with its own set and links; an empty
 table gives no rows.  Other columns are never read.
 """
 
@@ -37,6 +41,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -128,11 +133,11 @@ def _counted(s: np.ndarray) -> np.ndarray:
     return _i64(s) % EVERY == 0
 
 
-PROFILE = "doc_id long, n long, f1 long, f2 long, m long, tokens array<long>"
+PROFILE = "doc_id long, h long, n long, f1 long, f2 long, m long, tokens array<long>"
 
 
 def _profile(k: int, num: int, den: int):
-    """(doc_id, text) -> size, fingerprint and number of counted shingles of
+    """(doc_id, text, h) -> size, fingerprint and number of counted shingles of
     each set, and its ``tokens``: the counted shingles, and others in the order
     of their hash where those are fewer than a prefix."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -146,18 +151,18 @@ def _profile(k: int, num: int, den: int):
                 tok.append(_i64(s[own]) if more <= 0 else np.concatenate([_i64(s[own]), np.sort(_i64(s[~own]))[:more]]))
             ends = np.cumsum([0] + [len(t) for t in tok])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *(pa.array([r[i] for r in rows], pa.int64()) for i in range(4)),
+                [batch.column(0), batch.column(2), *(pa.array([r[i] for r in rows], pa.int64()) for i in range(4)),
                  pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(tok or [np.zeros(0, np.int64)])))],
-                names=["doc_id", "n", "f1", "f2", "m", "tokens"])
+                names=["doc_id", "h", "n", "f1", "f2", "m", "tokens"])
     return run
 
 
 def _shared_prefixes(rows: DataFrame, num: int, den: int) -> DataFrame:
-    """(token, f1, v, n, m) of shingles in several classes -> the (token, v)
+    """(token, v, n, m) of shingles in several classes -> the (token, v)
     that are in the prefixes of several classes."""
     df = rows.groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
     several = rows.join(df, "token").withColumn("exact", F.pmod("token", F.lit(EVERY)) == 0)
-    own = Window.partitionBy("f1")
+    own = Window.partitionBy("v")
     place = F.row_number().over(own.orderBy(F.desc("exact"), "c", "token"))
     prefix = F.col("n") - F.ceil(F.col("n") * num / den) + 1
     # counted shingles that no other class has come first in the order, and meet nothing
@@ -176,12 +181,13 @@ def _link_batch(pairs: list[tuple[int, int]]) -> pa.Table:
                      "dst": pa.array([b for _, b in pairs], pa.int64())})
 
 
-def _search_chunks(k: int, num: int, den: int):
+def _search_chunks(k: int, num: int, den: int, give: str):
     """One group = one meeting of chunks, its texts turned into sets here.
     Roles: 0 the query of an index of 1; 2 both query and index, with 1 index
     only; and where two chunks meet, 3 / 4 the lower chunk's home and other
-    members, 5 / 6 those of the higher.  Pairs that are connected already
-    (same component, or by links found here) yield no link."""
+    members, 5 / 6 those of the higher.  ``give``: "span" - pairs that are connected
+    already (same component, or by links found here) yield no link; "pairs" -
+    every pair, once; "counts" - each member's number of pairs, as ``dst``."""
     def run(group: pa.Table) -> pa.Table:
         role = np.array(group["role"].to_pylist())
         v, comp = group["v"].to_pylist(), group["comp"].to_pylist()
@@ -194,6 +200,7 @@ def _search_chunks(k: int, num: int, den: int):
                 x = up[x]
             return x
         out = []
+        found = np.zeros(len(sets), np.int64)
         for asked, held in ((0, (1,)), (2, (1, 2)), (3, (5, 6)), (5, (4,))):
             base = np.flatnonzero(np.isin(role, held))
             queries = np.flatnonzero(role == asked)
@@ -202,21 +209,34 @@ def _search_chunks(k: int, num: int, den: int):
             index = Lists([sets[i] for i in base])
             for i in queries:
                 for j in index.search(sets[i], num, den):
+                    if give != "span":
+                        # two queries of one index find each other twice
+                        if base[j] != i and (role[base[j]] != asked or v[i] < v[base[j]]):
+                            found[i] += 1
+                            found[base[j]] += 1
+                            if give == "pairs":
+                                out.append((v[i], v[base[j]]))
+                        continue
                     a, b = root(comp[i]), root(comp[base[j]])
                     if a != b:
                         up[max(a, b)] = min(a, b)
                         out.append((v[i], v[base[j]]))
+        if give == "counts":
+            out = [(a, int(n)) for a, n in zip(v, found) if n]
         return _link_batch(out)
     return run
 
 
+def _band(num: int, den: int):
+    return F.floor(F.log("n") / math.log(1.01 * den / num))
+
+
 def _banded(shared: DataFrame, size: DataFrame, num: int, den: int) -> DataFrame:
     """(token, v) -> (token, v, band, home): linked sets differ in size by at
     most den/num, so with bands a little wider a class meets its partners in
     its own (home) band or the one above.  Tokens become tokens of a band;
     those with one class left go."""
-    width = math.log(1.01 * den / num)
-    b = F.floor(F.log("n") / width)
+    b = _band(num, den)
     rows = shared.join(size, "v").withColumn("own", b).select(
         F.col("token").alias("t"), "v", "own", F.explode(F.array(b, b + 1)).alias("band"))
     rows = rows.select(F.xxhash64("t", "band").alias("token"), "v", "band", (F.col("band") == F.col("own")).alias("home"))
@@ -224,16 +244,17 @@ def _banded(shared: DataFrame, size: DataFrame, num: int, den: int) -> DataFrame
     return rows.join(met.select("token"), "token")
 
 
-def _meet(docs: DataFrame, roles: DataFrame, k: int, num: int, den: int) -> DataFrame:
+def _meet(texts: DataFrame, roles: DataFrame, classes: DataFrame, k: int, num: int, den: int,
+          give: str = "span") -> DataFrame:
     """Searches each (cell, lo, hi) group of ``roles`` (cell, lo, hi, v, comp,
     role).  Texts travel, once for each role, not sets: they are a third of
     the size."""
-    roles = written(roles, "roles")
-    rows = docs.join(bounded(roles.withColumnRenamed("v", "doc_id"), 72), "doc_id").select(
-        "cell", "lo", "hi", F.col("doc_id").alias("v"), "comp", "role", "text")
-    sc = docs.sparkSession.sparkContext
-    n = max(4 * sc.defaultParallelism, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return rows.repartition(n, "cell", "lo", "hi").groupBy("cell", "lo", "hi").applyInArrow(_search_chunks(k, num, den), LINKS)
+    roles = written(roles.join(classes.select("v", "doc_id", "h"), "v"), "roles")
+    rows = texts.join(bounded(roles, 88), ["doc_id", "h"]).select("cell", "lo", "hi", "v", "comp", "role", "text")
+    spark = texts.sparkSession
+    n = max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return (rows.repartition(n, "cell", "lo", "hi").groupBy("cell", "lo", "hi")
+            .applyInArrow(_search_chunks(k, num, den, give), LINKS))
 
 
 def _pivot_roles(shared: DataFrame, size: DataFrame) -> DataFrame:
@@ -293,34 +314,141 @@ def _components(ids: DataFrame, links: DataFrame) -> DataFrame:
             .select(F.col("id").alias("v"), F.col("component").alias("comp")))
 
 
-def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """Documents (doc_id, text) -> one row per document row: doc_id,
-    n_shingles, component_id (the smallest doc_id reachable by links)."""
-    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    rows = written(d.mapInArrow(_profile(k, num, den), PROFILE), "profiles")
+def _link_roles(comp: DataFrame, size: DataFrame, num: int, den: int) -> DataFrame:
+    """Step 5: the members of each component of several classes, so that any
+    two of like size meet once."""
+    m = comp.join(size, "v")
+    total = m.groupBy("comp").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("w")).where("c > 1")
+    m = written(m.join(total, "comp"), "component-members")
+    zero = F.lit(0).cast("long")
+    small = m.where(F.col("w") <= CHUNK).select(
+        F.col("comp").alias("cell"), zero.alias("lo"), zero.alias("hi"), "v", "comp", F.lit(2).alias("role"))
+    b = _band(num, den)
+    large = m.where(F.col("w") > CHUNK).withColumn("own", b).withColumn("band", F.explode(F.array(b, b + 1)))
+    large = large.select("comp", "band", "v", "n", (F.col("band") == F.col("own")).alias("home"))
+    per = large.groupBy("comp", "band").agg(F.ceil(F.sum("n") / CHUNK).cast("long").alias("chunks"),
+                                            F.max("home").alias("any")).where("any").drop("any")
+    meet = (large.join(per, ["comp", "band"])
+            .withColumn("chunk", F.pmod(F.xxhash64("v"), F.col("chunks")))
+            .withColumn("other", F.explode(F.sequence(zero, F.col("chunks") - 1))))
+    home = F.col("home")
+    return small.unionByName(meet.select(
+        F.xxhash64("comp", "band").alias("cell"), F.least("chunk", "other").alias("lo"),
+        F.greatest("chunk", "other").alias("hi"), "v", "comp",
+        F.when(F.col("chunk") == F.col("other"), F.when(home, 2).otherwise(1))
+        .when(F.col("chunk") < F.col("other"), F.when(home, 3).otherwise(4))
+        .otherwise(F.when(home, 5).otherwise(6)).alias("role")))
+
+
+class Found(NamedTuple):
+    """``rows``: profiles of all rows; ``classes``: v, n, f1, f2, m and the row
+    (doc_id, h) that stands for each; ``comp``: v, comp of the classes that may
+    have a partner; ``texts``: doc_id, h, text, a row that repeats in full
+    once."""
+    rows: DataFrame
+    classes: DataFrame
+    comp: DataFrame
+    texts: DataFrame
+
+
+def text_hash(text):
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
+def _texts_once(d: DataFrame, rows: DataFrame) -> DataFrame:
+    again = written(rows.where("n > 0 and doc_id is not null").groupBy("doc_id", "h").agg(F.count(F.lit(1)).alias("c"))
+                    .where("c > 1").select("doc_id", "h"), "repeated-rows")
+    if again.limit(1).count() == 0:
+        return d
+    again = bounded(again, 32)
+    one = d.join(again, ["doc_id", "h"], "left_semi").groupBy("doc_id", "h").agg(F.max("text").alias("text"))
+    return d.join(again, ["doc_id", "h"], "left_anti").unionByName(written(one, "repeated-texts"))
+
+
+def find(docs: DataFrame, k: int, num: int, den: int) -> Found:
+    """Steps 1 to 4: classes of (doc_id, text) and their exact components."""
+    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("h", text_hash(F.col("text")))
+    rows = written(d.select("doc_id", "text", "h").mapInArrow(_profile(k, num, den), PROFILE), "profiles")
     classes = written(rows.where("n > 0 and doc_id is not null").groupBy("n", "f1", "f2", "m")
-                      .agg(F.min("doc_id").alias("v")), "classes")
-    # one row of each class gives its shingles (repeated rows of an id give them again)
-    reps = bounded(classes.select(F.col("v").alias("doc_id"), "f1"), 24)
-    pre = rows.join(reps, ["doc_id", "f1"], "left_semi").select("f1", F.explode("tokens").alias("token"))
+                      .agg(F.min(F.struct("doc_id", "h")).alias("r"))
+                      .select(F.monotonically_increasing_id().alias("v"), "n", "f1", "f2", "m", "r.doc_id", "r.h"), "classes")
+    texts = _texts_once(d, rows)
+    # one row of each class gives its shingles (repeated rows of a text give them again)
+    reps = bounded(classes.select("doc_id", "h", "v"), 32)
+    pre = rows.join(reps, ["doc_id", "h"]).select("v", F.explode("tokens").alias("token"))
     multi = written(pre.groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("token"), "shared-tokens")
     several = written(pre.join(bounded(multi, 24), "token").distinct()
-                      .join(classes.select("f1", "v", "n", "m"), "f1"), "shared-rows")
+                      .join(classes.select("v", "n", "m"), "v"), "shared-rows")
     shared = written(_shared_prefixes(several, num, den), "shared")
-    size = classes.groupBy("v").agg(F.max("n").alias("n"))
-    shared = written(_banded(shared, classes.select("v", "n").distinct(), num, den), "banded")
+    size = classes.select("v", "n")
+    shared = written(_banded(shared, size, num, den), "banded")
     ids = written(shared.select("v").distinct(), "candidates")
-    links = written(_meet(d, _pivot_roles(shared, size), k, num, den), "pivot-links")
+    links = written(_meet(texts, _pivot_roles(shared, size), classes, k, num, den), "pivot-links")
     comp = written(_components(ids, links), "components")
-    more = written(_meet(d, _cell_roles(shared, comp, size), k, num, den), "cell-links")
-    # rows that share a doc_id are one node: their classes are linked
-    again = rows.where("n > 0 and doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
-    tied = rows.join(again, "doc_id").join(classes, ["n", "f1", "f2", "m"]).select("doc_id", "v").distinct()
+    more = written(_meet(texts, _cell_roles(shared, comp, size), classes, k, num, den), "cell-links")
+    comp = written(_components(ids, links.unionByName(more)), "components")
+    return Found(rows, classes, comp, texts)
+
+
+def _tied(f: Found) -> DataFrame:
+    """The components, with rows that share a doc_id as one node: their
+    classes are linked."""
+    again = f.rows.where("n > 0 and doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+    tied = f.rows.join(again, "doc_id").join(f.classes.select("v", "n", "f1", "f2", "m"), ["n", "f1", "f2", "m"])
+    tied = tied.join(f.comp, "v", "left").select("doc_id", F.coalesce("comp", "v").alias("v")).distinct()
     tied = tied.join(tied.groupBy("doc_id").agg(F.min("v").alias("src")), "doc_id").where("v <> src")
     tied = written(tied.select("src", F.col("v").alias("dst")), "repeated-ids")
-    ids = ids.unionByName(tied.select(F.col("src").alias("v"))).unionByName(tied.select(F.col("dst").alias("v"))).distinct()
-    comp = written(_components(ids, links.unionByName(more).unionByName(tied)), "components")
-    known = classes.join(comp, "v", "left").select("n", "f1", "f2", F.coalesce("comp", "v").alias("component_id"))
-    return (rows.join(known, ["n", "f1", "f2"], "left")
-            .select("doc_id", F.col("n").alias("n_shingles"),
-                    F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id")))
+    if tied.limit(1).count() == 0:
+        return f.comp
+    ids = tied.select(F.col("src").alias("v")).unionByName(tied.select(F.col("dst").alias("v"))).distinct()
+    joined = written(_components(ids, tied), "components").select(F.col("v").alias("comp"), F.col("comp").alias("to"))
+    every = f.classes.select("v").join(f.comp, "v", "left").withColumn("comp", F.coalesce("comp", "v"))
+    return every.join(joined, "comp", "left").select("v", F.coalesce("to", "comp").alias("comp"))
+
+
+def _known(f: Found) -> DataFrame:
+    """Each class with its component's smallest doc_id."""
+    c = written(f.classes.join(_tied(f), "v", "left").withColumn("comp", F.coalesce("comp", "v")), "class-components")
+    least = c.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
+    return c.join(least, "comp").select("v", "n", "f1", "f2", F.col("doc_id").alias("class_id"), "component_id")
+
+
+def _component_id():
+    return F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id")
+
+
+def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """Documents (doc_id, text) -> one row per document row: doc_id,
+    n_shingles, component_id (the smallest doc_id reachable by links)."""
+    f = find(docs, k, num, den)
+    return (f.rows.join(_known(f).select("n", "f1", "f2", "component_id"), ["n", "f1", "f2"], "left")
+            .select("doc_id", F.col("n").alias("n_shingles"), _component_id()))
+
+
+def links(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """Documents (doc_id, text) -> every link between two different sets, once:
+    a_id, a_hash, b_id, b_hash, the doc_id and ``text_hash`` of the rows that
+    stand for the two (the smallest doc_id with that set)."""
+    f = find(docs, k, num, den)
+    pairs = written(_meet(f.texts, _link_roles(f.comp, f.classes.select("v", "n"), num, den), f.classes, k, num, den, "pairs"),
+                    "links")
+    a = f.classes.select(F.col("v").alias("src"), F.col("doc_id").alias("a_id"), F.col("h").alias("a_hash"))
+    b = f.classes.select(F.col("v").alias("dst"), F.col("doc_id").alias("b_id"), F.col("h").alias("b_hash"))
+    return pairs.join(a, "src").join(b, "dst").select("a_id", "a_hash", "b_id", "b_hash")
+
+
+def link_counts(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """Documents (doc_id, text) -> one row per document row: doc_id,
+    n_shingles, component_id, class_id (the smallest doc_id with an equal set)
+    and n_links, the number of other sets that its set links with.  Counts
+    leave the search, not pairs, so rows grow with the documents.  A row with
+    no words or a null doc_id has no class and no links."""
+    f = find(docs, k, num, den)
+    found = _meet(f.texts, _link_roles(f.comp, f.classes.select("v", "n"), num, den), f.classes, k, num, den, "counts")
+    n = written(found, "link-counts").groupBy(F.col("src").alias("v")).agg(F.sum("dst").alias("n_links"))
+    known = _known(f).join(n, "v", "left").drop("v")
+    mine = F.col("doc_id").isNotNull()
+    return (f.rows.join(known, ["n", "f1", "f2"], "left")
+            .select("doc_id", F.col("n").alias("n_shingles"), _component_id(),
+                    F.when(mine, F.col("class_id")).alias("class_id"),
+                    F.when(mine, F.coalesce("n_links", F.lit(0))).otherwise(0).cast("long").alias("n_links")))

@@ -52,6 +52,10 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return overlap_join.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"), k=4, num=85, den=100)
 
 
+def op8_jaccard_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return overlap_join.link_counts(table(spark, sf_dir, "documents", "doc_id", "text"), k=4, num=85, den=100)
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(table(spark, sf_dir, "documents", "doc_id", "text"),
                              table(spark, sf_dir, "labels", "doc_id", "toxic"))
@@ -81,6 +85,7 @@ QUERIES: dict[str, Query] = {
     "op6_url_filter": op6_url_filter,
     "op7_decontaminate": op7_decontaminate,
     "op8_jaccard_join": op8_jaccard_join,
+    "op8_jaccard_links": op8_jaccard_links,
     "op9_toxicity": op9_toxicity,
     "op10_pii": op10_pii,
 }

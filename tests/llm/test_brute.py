@@ -195,6 +195,32 @@ def test_chunks_meet(spark, monkeypatch):
     assert len(set(got.values())) < len(got)
 
 
+@pytest.mark.parametrize("chunk", [300, 100_000])
+def test_no_link_is_lost(spark, monkeypatch, chunk):
+    """Every pair that reaches the threshold is a link, not only a spanning
+    set of them; copies and rows that share an id add none."""
+    monkeypatch.setattr(overlap_join, "CHUNK", chunk)
+    rng = np.random.default_rng(3)
+    vocab = [f"w{i}" for i in range(400)]
+    rows = []
+    for f in range(3):
+        doc = list(rng.choice(vocab, 250))
+        for _ in range(14):
+            rows.append((len(rows), " ".join(doc)))
+            doc = list(doc)
+            doc[int(rng.integers(len(doc)))] = f"e{len(rows)}"
+    rows += [(100, rows[0][1]), (3, rows[3][1]), (None, rows[1][1]), (101, None)]
+    sets = {i: {tuple(t.split()[j:j + 4]) for j in range(len(t.split()) - 3)} for i, t in rows[:42]}
+    want = {(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])}
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [(min(r["a_id"], r["b_id"]), max(r["a_id"], r["b_id"])) for r in overlap_join.links(docs, 4, 85, 100).collect()]
+    assert len(want) > 100 and sorted(got) == sorted(want)
+    n = {i: sum(i in p for p in want) for i in sets}
+    found = sorted((r["doc_id"] if r["doc_id"] is not None else -1, r["class_id"], r["n_links"])
+                   for r in overlap_join.link_counts(docs, 4, 85, 100).collect())
+    assert found == sorted([(i, i, n[i]) for i in sets] + [(3, 3, n[3]), (100, 0, n[0]), (101, None, 0), (-1, None, 0)])
+
+
 def test_repeated_and_null_ids_in_the_join(spark):
     t = phrase(2, 40)
     docs = spark.createDataFrame([(5, t), (3, t + " x"), (5, "other words here now then"), (None, t), (9, None), (9, ""),
