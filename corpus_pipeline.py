@@ -6,9 +6,10 @@ kept, and returns a DataFrame; all but the last return the columns of
 folder and reads them back for the next.
 
 1. toxicity - documents that the boosted trees score 0.3 or more go.
-2. near_duplicates - of each group linked by n-gram Jaccard similarity (five
-   words, 0.8) the document with the smallest id stays; of rows that share an
-   id, one.  Rows with a null id, and texts without words, stay.
+2. near_duplicates - of each group of texts linked by n-gram Jaccard similarity
+   (five words, 0.8) one row of the smallest id stays.  Rows that share an id
+   are grouped by their texts alone.  Rows with a null id, and texts without
+   words, stay.
 3. decontaminate - documents that hold ten consecutive words of a benchmark
    item (or the whole of a shorter item) go.
 4. pii - spans of personal data are replaced by their kind; ``n_chars``, where
@@ -35,17 +36,23 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str, at: float = 0.
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = written(overlap_join.near_duplicates(docs, k=5, num=80, den=100), "duplicates")
-    gone = written(found.where("component_id <> doc_id").select("doc_id").distinct(), "gone")
-    kept = docs.join(bounded(gone, 32), "doc_id", "left_anti").select(*docs.columns)
-    again = written(found.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
-                    .where("n > 1").select("doc_id"), "repeated-ids")
+    found = written(overlap_join.text_components(docs, k=5, num=80, den=100), "duplicates")
+    first = found.groupBy("component").agg(F.min(F.struct("doc_id", "h")).alias("r")).select("r.doc_id", "r.h")
+    first = written(first, "first-rows")
+    # rows go by id and text: an id may repeat with another text
+    gone = found.join(first, ["doc_id", "h"], "left_anti").select(F.col("doc_id").alias("_d"), F.col("h").alias("_dh"))
+    gone = written(gone.distinct(), "gone")
+    again = written(found.groupBy("doc_id", "h").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+                    .select(F.col("doc_id").alias("_d"), F.col("h").alias("_dh")), "repeated-rows")
+    hashed = docs.withColumn("_h", overlap_join.text_hash(F.col("text")))
+
+    def among(rows: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+        return rows.join(bounded(keys, 40), (rows["doc_id"] == F.col("_d")) & (rows["_h"] == F.col("_dh")), how)
+    kept = among(hashed, gone, "left_anti")
     if again.limit(1).count() == 0:
-        return kept
-    order = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
-    one = (kept.join(bounded(again, 32), "doc_id", "left_semi").withColumn("_place", order)
-           .where("_place = 1").select(*docs.columns))
-    return kept.join(bounded(again, 32), "doc_id", "left_anti").select(*docs.columns).unionByName(one)
+        return kept.select(*docs.columns)
+    one = among(kept, again, "left_semi").dropDuplicates(["doc_id", "_h"])
+    return among(kept, again, "left_anti").unionByName(one).select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

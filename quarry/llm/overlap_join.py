@@ -425,6 +425,16 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100)
             .select("doc_id", F.col("n").alias("n_shingles"), _component_id()))
 
 
+def text_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """Documents (doc_id, text) -> one row per document row with words and an
+    id: doc_id, h (``text_hash``), component (an arbitrary number).  Rows that
+    share a doc_id are connected by their texts only."""
+    f = find(docs, k, num, den)
+    known = f.classes.join(f.comp, "v", "left").select("n", "f1", "f2", F.coalesce("comp", "v").alias("component"))
+    return (f.rows.where("n > 0 and doc_id is not null").join(known, ["n", "f1", "f2"])
+            .select("doc_id", "h", "component"))
+
+
 def links(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """Documents (doc_id, text) -> every link between two different sets, once:
     a_id, a_hash, b_id, b_hash, the doc_id and ``text_hash`` of the rows that

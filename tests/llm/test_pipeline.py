@@ -77,6 +77,18 @@ def test_repeated_ids_and_nulls(spark, tables):
     assert sorted(str(r["doc_id"]) for r in out) == ["1", "3", "None"]
 
 
+def test_ids_that_repeat_with_other_texts(spark, tables):
+    """Texts under one id are not alike for that: of each text one copy stays."""
+    a, b, c = phrase(1, 30), phrase(4, 30), phrase(7, 30)
+    rows = [(5, a), (5, b), (3, a), (4, b), (6, c), (6, None), (6, c), (6, "")]
+    tables.put("documents", [(i, t, "en", "s", 1) for i, t in rows])
+    docs = spark.read.parquet(f"{tables.dir}/documents.parquet")
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, tables.dir)
+    assert kept.columns == docs.columns
+    got = sorted((r["doc_id"], r["text"] or "") for r in kept.collect())
+    assert got == sorted([(3, a), (4, b), (6, c), (6, ""), (6, "")])
+
+
 def test_no_rows(spark, tables):
     for name in ("documents", "benchmark", "labels"):
         tables.put(name, [])
