@@ -12,13 +12,13 @@ from quarry.session import shared_dir
 BROADCAST_BYTES = 64 << 20
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet into the cluster's shared folder and read it
     back: lineage is cut and a lost executor loses nothing.  The write is a
     fresh folder each time."""
     spark = df.sparkSession
     path = shared_dir(spark, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -40,6 +40,28 @@ def sized(df: DataFrame, array: str, item: int, limit: int = BROADCAST_BYTES) ->
     return F.broadcast(df) if 64 * n + item * m <= limit else df
 
 
+def spread_join(left: DataFrame, right: DataFrame, *on: str, most: int = 20_000) -> DataFrame:
+    """``left`` left-joined with ``right``, whose keys ``on`` are unique, when a
+    key may hold a third of ``left`` (a written table).
+
+    A key of more than max(most, rows / 100,000) rows is dealt by a hash of
+    the whole row over as many shares as keep each below that; the row of
+    ``right`` is repeated for each share.  There are fewer than 100,000 such
+    keys whatever the size of ``left``, so their list may be broadcast.
+    """
+    top = max(most, left.count() // 100_000)
+    hot = left.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > top)
+    hot = written(hot.select(*on, F.ceil(F.col("_n") / top).cast("int").alias("_shares")), "hot-keys")
+    if hot.limit(1).count() == 0:
+        return left.join(right, list(on), "left")
+    keys = F.broadcast(hot)
+    share = F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.coalesce("_shares", F.lit(1))).cast("int")
+    dealt = left.join(keys, list(on), "left").withColumn("_share", share).drop("_shares")
+    copies = right.join(keys, list(on), "left").withColumn(
+        "_share", F.explode(F.sequence(F.lit(0), F.coalesce("_shares", F.lit(1)) - 1))).drop("_shares")
+    return dealt.join(copies, [*on, "_share"], "left").drop("_share")
+
+
 def ascii_lower(c: Column) -> Column:
     """Lower-case A-Z only (``lower`` would also change other scripts)."""
     return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

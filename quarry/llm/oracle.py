@@ -128,3 +128,46 @@ WITH RECURSIVE d AS (
 SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, m.c AS component_id
 FROM d LEFT JOIN z USING (doc_id) JOIN (SELECT id, min(c) AS c FROM r GROUP BY id) m ON m.id = d.doc_id
 """
+
+ORACLE["op13_secrets"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(source, chr(1)) AS owner, coalesce(text, '') AS t FROM documents
+), kinds(k, kind, pat, v) AS (
+  VALUES (0, 'assign', '([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 2)
+), m AS (
+  SELECT rid, owner, t, k, kind, string_split_regex(t, pat) AS p, regexp_extract_all(t, pat) AS m,
+         regexp_extract_all(t, pat, v) AS v FROM d, kinds
+  UNION ALL SELECT rid, owner, t, 1, 'access', string_split_regex(t, 'AKIA[A-Z0-9]+'),
+         regexp_extract_all(t, 'AKIA[A-Z0-9]+'), regexp_extract_all(t, 'AKIA[A-Z0-9]+') FROM d
+  UNION ALL SELECT rid, owner, t, 2, 'hex', string_split_regex(t, '[0-9a-f]+'),
+         regexp_extract_all(t, '[0-9a-f]+'), regexp_extract_all(t, '[0-9a-f]+') FROM d
+  UNION ALL SELECT rid, owner, t, 3, 'key', string_split_regex(t, '[A-Za-z0-9+/_-]+'),
+         regexp_extract_all(t, '[A-Za-z0-9+/_-]+'), regexp_extract_all(t, '[A-Za-z0-9+/_-]+') FROM d
+), o AS (
+  SELECT rid, owner, t, k, kind, i, length(p[i]) AS gap, m[i] AS m, v[i] AS v
+  FROM (SELECT *, unnest(range(1, len(m) + 1)) AS i FROM m)
+), s AS (
+  SELECT *, sum(gap + length(m)) OVER (PARTITION BY rid, k ORDER BY i) AS e FROM o
+), f AS (
+  SELECT rid, owner, t, k, kind, e - length(m) AS s, e, v FROM s
+  WHERE CASE k WHEN 0 THEN length(v) >= 6 WHEN 1 THEN length(m) >= 20 WHEN 2 THEN length(m) >= 24
+        ELSE length(m) >= 20 AND len(regexp_extract_all(m, '[0-9]')) >= 3 AND regexp_matches(m, '[A-Z]')
+             AND regexp_matches(m, '[a-z]') AND NOT regexp_matches(m, '[a-z]{7}|[0-9]{9}|//')
+             AND list_aggregate(string_split(m, ''), 'entropy') >= 3.3 END
+), g AS (
+  SELECT * FROM f WHERE k < 3 OR NOT EXISTS
+    (SELECT 1 FROM f b WHERE b.rid = f.rid AND b.k < 3 AND b.s < f.e AND f.s < b.e)
+), c AS (
+  SELECT v, count(DISTINCT owner) <= 1 AS live FROM g GROUP BY v
+), a AS (
+  SELECT rid, count(*) FILTER (k = 0) AS n_assign, count(*) FILTER (k = 1) AS n_access, count(*) FILTER (k = 2) AS n_hex,
+         string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, k) FILTER (k < 3) AS base,
+         string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, k) FILTER (k < 3 OR live) AS spans,
+         count(*) FILTER (k < 3 AND live) AS n_live, count(*) FILTER (k < 3 AND NOT live) AS n_shared
+  FROM (SELECT rid, k, kind, live, CAST(s AS BIGINT) AS s, CAST(e AS BIGINT) AS e FROM g JOIN c USING (v)) GROUP BY rid
+)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans,
+       coalesce(n_live, 0) AS n_live, coalesce(n_shared, 0) AS n_shared
+FROM d LEFT JOIN a USING (rid)
+"""

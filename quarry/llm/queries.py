@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import decontam, linkgraph, lpf, mixing, overlap_join, pii, quality, topk, toxicity, warc
+from quarry.llm import decontam, linkgraph, lpf, mixing, overlap_join, ownership, pii, quality, topk, toxicity, warc
 from quarry.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -76,6 +76,22 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
                         _listed(F.col("spans")).alias("spans"))
 
 
+def op13_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Also ``n_live`` and ``n_shared``: base spans whose value one owner holds, or several."""
+    found = ownership.scan(table(spark, sf_dir, "documents", "doc_id", "text", "source"))
+    base = F.filter("spans", lambda x: x["k"] < len(ownership.BASE))
+
+    def count(test) -> Column:
+        return F.size(F.filter(base, test)).cast("long")
+    kept = F.filter("spans", lambda x: (x["k"] < len(ownership.BASE)) | x["live"])
+
+    def of_kind(kind: str) -> Column:
+        return count(lambda x: x["kind"] == kind).alias(f"n_{kind}")
+    return found.select("doc_id", *map(of_kind, ownership.BASE),
+                        F.sha2(_listed(base).cast("binary"), 256).alias("base_sha256"), _listed(kept).alias("spans"),
+                        count(lambda x: x["live"]).alias("n_live"), count(lambda x: ~x["live"]).alias("n_shared"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_topk": op1_topk,
     "op2_quality": op2_quality,
@@ -88,4 +104,5 @@ QUERIES: dict[str, Query] = {
     "op8_jaccard_links": op8_jaccard_links,
     "op9_toxicity": op9_toxicity,
     "op10_pii": op10_pii,
+    "op13_secrets": op13_secrets,
 }
