@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import decontam, linkgraph, lpf, mixing, overlap_join, ownership, pii, quality, topk, toxicity, warc
+from quarry.llm import alignment, decontam, linkgraph, lpf, mixing, overlap_join, ownership, pii, quality, topk, toxicity, warc
 from quarry.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -76,6 +76,10 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
                         _listed(F.col("spans")).alias("spans"))
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op13_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Also ``n_live`` and ``n_shared``: base spans whose value one owner holds, or several."""
     found = ownership.scan(table(spark, sf_dir, "documents", "doc_id", "text", "source"))
@@ -104,5 +108,6 @@ QUERIES: dict[str, Query] = {
     "op8_jaccard_links": op8_jaccard_links,
     "op9_toxicity": op9_toxicity,
     "op10_pii": op10_pii,
+    "op12_alignment": op12_alignment,
     "op13_secrets": op13_secrets,
 }
