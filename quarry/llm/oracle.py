@@ -171,3 +171,36 @@ SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_acc
        coalesce(n_live, 0) AS n_live, coalesce(n_shared, 0) AS n_shared
 FROM d LEFT JOIN a USING (rid)
 """
+
+ORACLE["op11_collocations"] = r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^.,;:!?\x0A-\x0D]+')) AS t
+  FROM documents
+), w AS (
+  SELECT lang, regexp_extract_all(t, '[^\x20\x09]+') AS w FROM p
+), tot AS (
+  SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY lang
+), f AS (
+  SELECT lang, m, g, count(*) AS f
+  FROM (SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS g
+        FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM w, range(1, 6) r(m) WHERE len(w) >= m))
+  GROUP BY lang, m, g HAVING count(*) >= 100
+), c AS (
+  SELECT lang, m, g, f AS a FROM f WHERE m >= 2
+    AND NOT EXISTS (SELECT 1 FROM f o WHERE o.lang = f.lang AND o.m > f.m AND 100 * o.f >= 100 * f.f
+                    AND contains(' ' || o.g || ' ', ' ' || f.g || ' '))
+), k AS (
+  SELECT *, string_split(g, ' ') AS w, unnest(range(1, m)) AS k FROM c
+), s AS (
+  SELECT k.lang, k.g, k.a, k.k, x.f AS l, y.f AS r, n,
+         CAST((1000::HUGEINT * k.a * n) // (x.f::HUGEINT * y.f) AS BIGINT) AS score
+  FROM k JOIN f x ON x.lang = k.lang AND x.g = array_to_string(k.w[1:k.k], ' ')
+         JOIN f y ON y.lang = k.lang AND y.g = array_to_string(k.w[k.k + 1:k.m], ' ')
+         JOIN tot ON tot.lang = k.lang
+), b AS (
+  SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, g) AS rank, g AS phrase, a, l, r, n, score
+FROM b QUALIFY rank <= 2000
+"""

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import alignment, decontam, linkgraph, lpf, mixing, overlap_join, ownership, pii, quality, topk, toxicity, warc
+from quarry.llm import alignment, collocations, decontam, linkgraph, lpf, mixing, overlap_join, ownership, pii, quality, topk, toxicity, warc
 from quarry.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -76,6 +76,10 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
                         _listed(F.col("spans")).alias("spans"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents", "text", "lang"), floor=100, top=2000)
+
+
 def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align(table(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -108,6 +112,7 @@ QUERIES: dict[str, Query] = {
     "op8_jaccard_links": op8_jaccard_links,
     "op9_toxicity": op9_toxicity,
     "op10_pii": op10_pii,
+    "op11_collocations": op11_collocations,
     "op12_alignment": op12_alignment,
     "op13_secrets": op13_secrets,
 }
