@@ -8,7 +8,11 @@ by a count.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import math
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.expr import hash_uniform
@@ -142,29 +146,88 @@ def strongly_connected_components(vertices: DataFrame, edges: DataFrame) -> Data
     return done
 
 
-def triangle_count(vertices: DataFrame, edges: DataFrame) -> DataFrame:
+#: oriented edges that a cell of the triangle grid should hold
+CELL_EDGES = 3_000_000
+#: wedges that a cell looks at together
+CELL_WEDGES = 1 << 20
+
+
+def _cell_triangles(table: pa.Table) -> pa.Table:
+    """Triangles of one cell per vertex.  Rows (role, x, y) are oriented edges
+    between three blocks of vertices: 0 first-second, 1 first-third, 2
+    second-third.  For each first-second edge (u, v) the shorter of the sorted
+    adjacency arrays of u and v in the third block is looked up in the other."""
+    ids = pa.chunked_array([*table.column("x").chunks, *table.column("y").chunks]).combine_chunks().dictionary_encode()
+    names, code = ids.dictionary, ids.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    n = len(names)
+    role = table.column("role").to_numpy()
+    x, y = code[:len(code) // 2], code[len(code) // 2:]
+    u, v = x[role == 0], y[role == 0]
+    # an adjacency block is its sorted keys x * n + y and where each x begins
+    keys = [np.sort(x[role == r] * n + y[role == r]) for r in (1, 2)]
+    begin = [np.searchsorted(k, np.arange(n + 1) * n) for k in keys]
+    size = [np.diff(b) for b in begin]
+    found = np.zeros(n, np.int64)
+    by_first = size[0][u] <= size[1][v]
+    for own, other, this, that in ((0, 1, u[by_first], v[by_first]), (1, 0, v[~by_first], u[~by_first])):
+        many = size[own][this]
+        total = np.cumsum(many)
+        at = 0
+        while at < len(this):
+            # whole edges up to CELL_WEDGES wedges: an adjacency array is never cut
+            end = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + CELL_WEDGES, side="right")))
+            m = many[at:end]
+            edge = np.repeat(np.arange(at, end), m)
+            place = np.arange(len(edge)) - np.repeat(np.cumsum(m) - m, m) + begin[own][this[edge]]
+            third = keys[own][place] % n
+            want = that[edge] * n + third
+            where = np.searchsorted(keys[other], want)
+            hit = where < len(keys[other])
+            hit[hit] = keys[other][where[hit]] == want[hit]
+            for ends in (this[edge[hit]], that[edge[hit]], third[hit]):
+                found += np.bincount(ends, minlength=n)
+            at = end
+    some = np.flatnonzero(found)
+    return pa.table({"id": names.take(pa.array(some)), "n": pa.array(found[some])})
+
+
+def triangle_count(vertices: DataFrame, edges: DataFrame, blocks: int | None = None) -> DataFrame:
     """Triangles through each vertex of the undirected simple graph (0 if none).
 
     Each edge is oriented from the lower-degree end to the higher (ties by
-    id); a triangle is found once, at its lowest vertex, as two out-edges
-    closed by a third.  Orientation bounds every out-neighbourhood by
-    O(sqrt(E)), so a hub never expands into all pairs of its neighbours.
+    id), which bounds every out-neighbourhood by O(sqrt(E)), hubs included.
+    Vertices are dealt to ``blocks`` blocks, edges so to blocks x blocks, and
+    a triangle u -> v -> w belongs to the cell of its three vertices' blocks.
+    A cell gets its three edge blocks and intersects sorted adjacency arrays
+    edge by edge, so no wedge is ever shuffled: each edge goes to 3 x blocks
+    cells, and a cell holds about 3 E / blocks^2 edges whatever E is.
     """
     u = undirected(edges)
     deg = u.groupBy(F.col("src").alias("id")).agg(F.count(F.lit(1)).alias("d"))
     x = (u.join(deg.select(F.col("id").alias("src"), F.col("d").alias("ds")), "src")
          .join(deg.select(F.col("id").alias("dst"), F.col("d").alias("dd")), "dst"))
-    o = x.where((F.col("ds") < F.col("dd")) | ((F.col("ds") == F.col("dd")) & (F.col("src") < F.col("dst")))) \
-        .select("src", "dst")
-    o = _ckpt(o)
-    a = o.select(F.col("src").alias("v"), F.col("dst").alias("p"))
-    b = o.select(F.col("src").alias("v"), F.col("dst").alias("q"))
-    wedges = a.join(b, "v").where(F.col("p") < F.col("q"))
-    closing = o.select(F.col("src").alias("p"), F.col("dst").alias("q"))
-    closing2 = o.select(F.col("dst").alias("p"), F.col("src").alias("q"))
-    tri = wedges.join(closing.unionByName(closing2), ["p", "q"])
-    per = (tri.select(F.explode(F.array("v", "p", "q")).alias("id"))
-           .groupBy("id").agg(F.count(F.lit(1)).alias("triangles")))
+    o = _ckpt(x.where((F.col("ds") < F.col("dd")) | ((F.col("ds") == F.col("dd")) & (F.col("src") < F.col("dst"))))
+              .select("src", "dst"))
+    if blocks is None:
+        per = o.sparkSession.sparkContext.defaultParallelism
+        blocks = max(math.ceil(math.sqrt(3 * o.count() / CELL_EDGES)), math.ceil(per ** (1 / 3)), 1)
+
+    def block(c: str) -> Column:
+        return F.pmod(F.xxhash64(c), F.lit(blocks)).cast("int")
+    every = F.sequence(F.lit(0), F.lit(blocks - 1))
+    a, b = F.col("a"), F.col("b")
+
+    def cells(role: int, first, second, third) -> Column:
+        return F.transform(every, lambda k: F.struct(
+            F.lit(role).alias("role"), ((first(k) * blocks + second(k)) * blocks + third(k)).alias("cell")))
+    copies = F.concat(cells(0, lambda k: a, lambda k: b, lambda k: k), cells(1, lambda k: a, lambda k: k, lambda k: b),
+                      cells(2, lambda k: k, lambda k: a, lambda k: b))
+    dealt = (o.withColumn("a", block("src")).withColumn("b", block("dst"))
+             .select(F.explode(copies).alias("c"), F.col("src").alias("x"), F.col("dst").alias("y"))
+             .select("c.cell", "c.role", "x", "y").repartition(min(blocks ** 3, 20_000), "cell"))
+    kind = o.schema["src"].dataType.simpleString()
+    per = (dealt.groupBy("cell").applyInArrow(_cell_triangles, f"id {kind}, n long")
+           .groupBy("id").agg(F.sum("n").alias("triangles")))
     return (vertices.select("id").join(per, "id", "left")
             .select("id", F.coalesce("triangles", F.lit(0)).cast("long").alias("triangles")))
 
@@ -184,32 +247,90 @@ def sample_vertices(vertices: DataFrame, fraction: float, seed: int = 1) -> Data
     return vertices.where(hash_uniform(F.col("id"), F.lit(seed)) < F.lit(fraction))
 
 
-def landmark_distances(landmarks: DataFrame, edges: DataFrame) -> DataFrame:
-    """(id, landmark, dist): hop count of the shortest directed path from each
-    landmark to each reachable vertex (BFS rounds over the frontier)."""
-    e = edges.select("src", "dst").where(F.col("src") != F.col("dst")).distinct()
-    best = _ckpt(landmarks.select("id", F.col("id").alias("landmark"), F.lit(0).alias("dist")))
-    frontier = best
-    step = 0
-    while True:
-        step += 1
-        nxt = (frontier.select(F.col("id").alias("src"), "landmark").join(e, "src")
-               .select(F.col("dst").alias("id"), "landmark").distinct()
-               .join(best.select("id", "landmark"), ["id", "landmark"], "left_anti")
-               .withColumn("dist", F.lit(step)))
-        nxt = _ckpt(nxt)
-        if nxt.limit(1).count() == 0:
-            break
-        best = _ckpt(best.unionByName(nxt))
-        frontier = nxt
-    return best
+def sample_landmarks(vertices: DataFrame, count: int, seed: int = 1) -> DataFrame:
+    """``count`` vertices: those of the smallest hash of (id, seed)."""
+    return (vertices.select("id").orderBy(hash_uniform(F.col("id"), F.lit(seed)), "id").limit(count))
+
+
+#: landmarks searched for together: bits of four long words
+SWEEP = 256
 
 
-def landmark_maps(vertices: DataFrame, dist: DataFrame) -> DataFrame:
-    """Map form: (id, map landmark -> hops); {} for vertices no landmark reaches."""
-    m = dist.groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("landmark", "dist"))).alias("map"))
-    return vertices.select("id").join(m, "id", "left").withColumn(
-        "map", F.coalesce("map", F.create_map().cast("map<long,int>")))
+def landmark_hops(landmarks: DataFrame, edges: DataFrame) -> list[tuple[DataFrame, DataFrame]]:
+    """Hop counts of the shortest directed paths from the landmarks, by
+    breadth-first search of SWEEP landmarks at a time.
+
+    A landmark is a bit position in a few long words; frontier and seen
+    vertices carry such bitmaps, so a round's messages are one row per edge
+    (or-ed per vertex) whatever the number of landmarks.  Each round's new
+    bits are kept; at the end a vertex's rounds become one array of hops.
+
+    Returns for each sweep (landmark, pos) and (id, hops): ``hops[pos]`` is
+    the distance, NULL where the landmark does not reach the vertex;
+    vertices that none reaches are left out.
+    """
+    from quarry.operators.recommend import item_index
+    e = _ckpt(edges.select("src", "dst").where(F.col("src") != F.col("dst")).distinct())
+    order = _ckpt(item_index(landmarks.select(F.col("id").alias("item")))
+                  .select(F.col("item").alias("landmark"), F.col("idx").cast("int").alias("pos")))
+    total = order.count()
+    out = []
+    for first in range(0, total, SWEEP):
+        n = min(SWEEP, total - first)
+        names = order.where(F.col("pos").between(first, first + n - 1)).withColumn("pos", F.col("pos") - first)
+        words = range((n + 63) // 64)
+        cols = [f"w{i}" for i in words]
+        bits = [F.when(F.floor(F.col("pos") / 64) == i, F.expr("shiftleft(1L, pos % 64)")).otherwise(F.lit(0)).cast("long")
+                .alias(c) for i, c in zip(words, cols)]
+        seen = frontier = _ckpt(names.select(F.col("landmark").alias("id"), *bits))
+        rounds = [frontier.withColumn("step", F.lit(0))]
+        while True:
+            sent = (e.join(frontier.withColumnRenamed("id", "src"), "src").groupBy(F.col("dst").alias("id"))
+                    .agg(*[F.bit_or(c).alias(c) for c in cols]))
+            old = seen.select("id", *[F.col(c).alias(f"s_{c}") for c in cols])
+            new = sent.join(old, "id", "left").select("id", *[
+                F.col(c).bitwiseAND(F.bitwise_not(F.coalesce(f"s_{c}", F.lit(0)))).alias(c) for c in cols])
+            new = _ckpt(new.where(" or ".join(f"{c} <> 0" for c in cols)))
+            if new.limit(1).count() == 0:
+                break
+            rounds.append(new.withColumn("step", F.lit(len(rounds))))
+            seen = _ckpt(seen.unionByName(new).groupBy("id").agg(*[F.bit_or(c).alias(c) for c in cols]))
+            frontier = new
+        every = rounds[0]
+        for r in rounds[1:]:
+            every = every.unionByName(r)
+        # a vertex has at most as many rounds as landmarks reach it
+        per = every.groupBy("id").agg(F.collect_list(F.struct("step", F.array(*cols).alias("w"))).alias("r"))
+        hops = F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda p: F.get(F.filter("r", lambda r: F.getbit(
+            F.get(r["w"], F.floor(p / 64).cast("int")), (p % 64).cast("int")) == 1), 0)["step"])
+        out.append((names, _ckpt(per.select("id", hops.alias("hops")))))
+    return out
+
+
+def landmark_distances(landmarks: DataFrame, edges: DataFrame) -> DataFrame:
+    """(id, landmark, dist): hop count of the shortest directed path from each
+    landmark to each vertex it reaches."""
+    out = landmarks.select("id", F.col("id").alias("landmark"), F.lit(0).alias("dist")).limit(0)
+    for names, hops in landmark_hops(landmarks, edges):
+        rows = hops.select("id", F.posexplode("hops").alias("pos", "dist")).where("dist is not null")
+        # at most SWEEP names
+        out = out.unionByName(rows.join(F.broadcast(names), "pos").select("id", "landmark", "dist"))
+    return out
+
+
+def landmark_maps(vertices: DataFrame, landmarks: DataFrame, edges: DataFrame) -> DataFrame:
+    """Map form, one row per vertex: (id, map landmark -> hops); {} for
+    vertices no landmark reaches.  The maps of several sweeps are merged
+    key by key."""
+    kind = vertices.schema["id"].dataType.simpleString()
+    empty = F.create_map().cast(f"map<{kind},int>")
+    state = vertices.select("id", empty.alias("map"))
+    for names, hops in landmark_hops(landmarks, edges):
+        listed = F.lit([r["landmark"] for r in names.orderBy("pos").collect()])  # SWEEP names at most
+        pairs = F.filter(F.arrays_zip(listed.alias("landmark"), F.col("hops").alias("hops")), lambda x: x["hops"].isNotNull())
+        found = hops.select("id", F.map_from_entries(pairs).alias("m"))
+        state = state.join(found, "id", "left").select("id", merge_min_maps(F.col("map"), F.coalesce("m", empty)).alias("map"))
+    return state
 
 
 def merge_min_maps(a, b):

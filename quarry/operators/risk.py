@@ -279,18 +279,110 @@ def poisson1(u: F.Column) -> F.Column:
     return expr
 
 
-def bootstrap_var_cvar(returns: DataFrame, replicates: int = 100, seed: int = 7,
-                       key: str = "trial", value: str = "ret") -> DataFrame:
+#: steps of the tail histogram, and the share of the values it first covers
+TAIL_STEPS = 32
+TAIL_SHARE = 0.06
+
+
+def _draws(key: F.Column, replicates: int, seed: int) -> F.Column:
+    """A row's count in each replicate, as an array."""
+    return F.transform(F.sequence(F.lit(0), F.lit(replicates - 1)), lambda g: poisson1(hash_uniform(key, g, F.lit(seed))))
+
+
+def _tail_histogram(rows: DataFrame, edges: list[float], replicates: int):
+    """(v, counts) -> two arrays [bucket, replicate]: the count of rows and the
+    sum of their values.  Bucket i holds edges[i-1] < v <= edges[i], the last
+    one the rest.  Tasks add up their rows; what is shuffled and comes back are
+    (steps + 1) x replicates cells."""
+    import numpy as np
+    import pyarrow as pa
+
+    def run(batches):
+        n = len(edges) + 1
+        count, total = np.zeros((n, replicates)), np.zeros((n, replicates))
+        for batch in batches:
+            v = batch.column("v").to_numpy()
+            if not len(v):
+                continue
+            w = batch.column("w").flatten().to_numpy().reshape(len(v), replicates)
+            b = np.searchsorted(edges, v, side="left")
+            order = np.argsort(b, kind="stable")
+            at, first = np.unique(b[order], return_index=True)
+            w = w[order].astype(float)
+            count[at] += np.add.reduceat(w, first)
+            total[at] += np.add.reduceat(w * v[order][:, None], first)
+        some = np.nonzero(count)
+        yield pa.RecordBatch.from_arrays([pa.array(some[0]), pa.array(some[1]), pa.array(count[some]), pa.array(total[some])],
+                                         names=["b", "g", "n", "s"])
+    cells = (rows.mapInArrow(run, "b long, g long, n double, s double").groupBy("b", "g")
+             .agg(F.sum("n").alias("n"), F.sum("s").alias("s")).collect())
+    count, total = np.zeros((len(edges) + 1, replicates)), np.zeros((len(edges) + 1, replicates))
+    for c in cells:
+        count[c["b"], c["g"]], total[c["b"], c["g"]] = c["n"], c["s"]
+    return count, total
+
+
+def bootstrap_var_cvar(returns: DataFrame, replicates: int = 100, seed: int = 7, key: str = "trial",
+                       value: str = "ret", share: float = TAIL_SHARE) -> DataFrame:
     """VaR and CVaR of each Poisson bootstrap replicate: every row gets a
-    Poisson(1) count per replicate from a hash of (row key, replicate, seed),
-    one pass, no resampled copies.  Returns (replicate, var, cvar)."""
-    r = returns.select(F.col(key).alias("key"), F.col(value).alias("v"),
-                       F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))).alias("grp"))
-    r = r.withColumn("w", poisson1(hash_uniform(F.col("key"), F.col("grp"), F.lit(seed)))) \
-         .where(F.col("w") > 0)
-    k = r.groupBy("grp").agg(tail_k(F.sum("w")).alias("k"))
-    s = var_cvar_from_selection(select_kth(r, k))
-    return s.select(F.col("grp").alias("replicate"), "var", "cvar")
+    Poisson(1) count per replicate from a hash of (row key, replicate, seed).
+
+    No resampled copies: one pass adds each row's counts into a histogram of
+    the lower tail (edges at quantiles up to ``share`` of the values).  Running
+    sums over its buckets prove, for each replicate, which bucket holds the
+    k-th smallest value; if the histogram does not reach it for some replicate,
+    it is made anew over twice the share.  Only rows of those buckets are then
+    expanded into (replicate, value, count), and the k-th value is selected
+    among them.  Null and NaN returns take no part; a replicate without rows
+    is left out.  Returns (replicate, var, cvar).
+    """
+    import numpy as np
+    from quarry.session import shared_dir
+    spark = returns.sparkSession
+    shared_dir(spark)
+    d = (returns.select(F.col(key).alias("key"), F.col(value).cast("double").alias("v"))
+         .where(F.col("v").isNotNull() & ~F.isnan("v")).checkpoint())
+    counted = d.select("v", _draws(F.col("key"), replicates, seed).alias("w"))
+    empty = spark.createDataFrame([], "replicate int, var double, cvar double")
+    while True:
+        steps = [min(1.0, share) * (i + 1) / TAIL_STEPS for i in range(TAIL_STEPS)]
+        edges = d.agg(F.percentile_approx("v", steps, 10_000)).first()[0]
+        if edges is None:
+            return empty
+        edges = sorted(set(edges))
+        if share >= 1.0:
+            edges.append(float("inf"))
+        count, total = _tail_histogram(counted, edges, replicates)
+        weight = count.sum(axis=0)
+        k = np.maximum(np.floor(weight / 20.0), 1.0)
+        through = count[:-1].cumsum(axis=0)
+        live = weight > 0
+        if (through[-1] >= k)[live].all():
+            break
+        share *= 2
+    # the bucket of each replicate's k-th value, and what lies below it
+    at = (through < k).sum(axis=0)
+    bounds = [float("-inf"), *edges]
+    rows = []
+    for g in np.flatnonzero(live):
+        b = at[g]
+        rows.append((int(g), float(bounds[b]), float(bounds[b + 1]), float(k[g]),
+                     float(count[:b, g].sum()), float(total[:b, g].sum())))
+    if not rows:
+        return empty
+    place = spark.createDataFrame(rows, "grp int, lo double, hi double, k double, below double, sum double")
+    inside = F.transform(F.lit([r[1] for r in rows]), lambda lo, i: F.struct(
+        F.get(F.lit([r[0] for r in rows]), i).alias("grp"), lo.alias("lo"), F.get(F.lit([r[2] for r in rows]), i).alias("hi")))
+    near = d.where((F.col("v") > min(r[1] for r in rows)) & (F.col("v") <= max(r[2] for r in rows)))
+    near = near.select("v", F.explode(F.filter(F.transform(
+        F.filter(inside, lambda x: (F.col("v") > x["lo"]) & (F.col("v") <= x["hi"])),
+        lambda x: F.struct(x["grp"].alias("grp"), poisson1(hash_uniform(F.col("key"), x["grp"], F.lit(seed))).alias("w"))),
+        lambda x: x["w"] > 0)).alias("x")).select("v", "x.grp", "x.w")
+    s = select_kth(near, place.select("grp", (F.col("k") - F.col("below")).alias("k")))
+    s = s.drop("k").join(place, "grp").select(
+        "grp", "kth", (F.col("sum_below") + F.col("sum")).alias("sum_below"),
+        (F.col("weight_below") + F.col("below")).alias("weight_below"), "k")
+    return var_cvar_from_selection(s).select(F.col("grp").alias("replicate"), "var", "cvar")
 
 
 def confidence_interval(stats: DataFrame, col: str, p: float = 0.05) -> DataFrame:
