@@ -210,7 +210,7 @@ def triangle_count(vertices: DataFrame, edges: DataFrame, blocks: int | None = N
               .select("src", "dst"))
     if blocks is None:
         per = o.sparkSession.sparkContext.defaultParallelism
-        blocks = max(math.ceil(math.sqrt(3 * o.count() / CELL_EDGES)), math.ceil(per ** (1 / 3)), 1)
+        blocks = max(math.ceil(math.sqrt(3 * o.count() / CELL_EDGES)), math.ceil((2 * per) ** (1 / 3)))
 
     def block(c: str) -> Column:
         return F.pmod(F.xxhash64(c), F.lit(blocks)).cast("int")
