@@ -45,15 +45,43 @@ def fit_kmeans(featurized: DataFrame, k: int = 150, seed: int = 1, max_iter: int
     return KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="used").fit(featurized)
 
 
-def score(model: KMeansModel, featurized: DataFrame) -> DataFrame:
+def centre_postings(model: KMeansModel) -> tuple[DataFrame, DataFrame]:
+    """The fitted centres as tables in the shared folder: an inverted index
+    (i, cluster, weight) of their entries that are not 0, and (cluster, norm),
+    the squared norms."""
+    import numpy as np
+    import pandas as pd
+    from pyspark.sql import SparkSession
+
+    from quarry.session import shared_dir
+    spark = SparkSession.getActiveSession()
+    c = np.array(model.clusterCenters())
+    at = np.nonzero(c)
+    tables = []
+    for name, data, schema in (
+            ("postings", {"i": at[1], "cluster": at[0], "weight": c[at]}, "i int, cluster int, weight double"),
+            ("norms", {"cluster": np.arange(len(c)), "norm": (c * c).sum(axis=1)}, "cluster int, norm double")):
+        path = shared_dir(spark, f"centre-{name}")
+        spark.createDataFrame(pd.DataFrame(data), schema).write.parquet(path)
+        tables.append(spark.read.schema(schema).parquet(path))
+    return tables[0], tables[1]
+
+
+def score(model: KMeansModel, featurized: DataFrame, centres: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
     """Assign each row to a cluster and add the Euclidean distance to its
-    centre: |c|^2 plus v^2 - 2 v c[i] over the row's non-zero entries.  The
-    centres (k x used entries, the model itself) are one array value."""
-    centres = model.clusterCenters()
-    table = F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in centres])
-    norms = F.array(*[F.lit(float((c * c).sum())) for c in centres])
+    centre: |c|^2 plus v (v - 2 c[i]) over the row's entries.  The entries are
+    looked up in the inverted index of the centres (``centre_postings``) and
+    added up per row, so the plan does not grow with clusters or entries; the
+    index is broadcast or shuffled by its size at run time.  Not for a
+    streaming frame itself: score its micro-batches."""
+    postings, norms = centres or centre_postings(model)
     p = model.transform(featurized).withColumnRenamed("prediction", "cluster")
-    p = p.withColumn("_c", F.get(table, F.col("cluster")))
-    moved = F.aggregate(entries("used"), F.get(norms, F.col("cluster")),
-                        lambda s, e: s + e["v"] * (e["v"] - 2 * F.get(F.col("_c"), e["i"])))
-    return p.withColumn("distance", F.sqrt(F.greatest(F.lit(0.0), moved))).drop("_c", "used")
+    keep = [c for c in p.columns if c != "used"]
+    rows = p.select(F.monotonically_increasing_id().alias("_row"), F.struct(*keep).alias("_all"), "cluster",
+                    F.explode_outer(entries("used")).alias("e"))
+    rows = rows.select("_row", "_all", "cluster", F.col("e.i").alias("i"), F.coalesce("e.v", F.lit(0.0)).alias("v"))
+    part = F.col("v") * (F.col("v") - 2 * F.coalesce("weight", F.lit(0.0)))
+    moved = (rows.join(postings, ["i", "cluster"], "left")
+             .groupBy("_row").agg(F.sum(part).alias("_moved"), F.first("_all").alias("_all")).select("_moved", "_all.*"))
+    return moved.join(norms, "cluster").select(
+        *keep, F.sqrt(F.greatest(F.lit(0.0), F.col("norm") + F.col("_moved"))).alias("distance"))

@@ -184,31 +184,54 @@ def als_scorer(model) -> Scorer:
     return score
 
 
+def dense_ids(ratings: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Ratings with users and items numbered from 0 as ints, which ALS needs
+    (ids beyond 31 bits, or not numbers, included), and both dictionaries
+    (user, uid) and (item, iid)."""
+    users = (item_index(ratings.select(F.col("user").alias("item")))
+             .select(F.col("item").alias("user"), F.col("idx").cast("int").alias("uid"))).checkpoint()
+    items = item_index(ratings.select("item")).select("item", F.col("idx").cast("int").alias("iid")).checkpoint()
+    out = ratings.join(users, "user").join(items, "item").drop("user", "item")
+    return out.withColumnsRenamed({"uid": "user", "iid": "item"}), users, items
+
+
 def grid_auc(ratings: DataFrame, grid: list, fit: Callable[[DataFrame, tuple], Scorer], folds: int,
-             seed: int = 42, parallelism: int = 4) -> list[float | None]:
+             seed: int = 42, parallelism: int = 8) -> list[float | None]:
     """The mean AUC of each setting over all folds.  ``ratings`` (user, item,
-    count, fold: written, as every model reads it) is cut once; in each fold
-    ``fit(train, setting)`` gives a scorer of the fold's plays, and all
-    settings meet the same negatives.  A fold without plays, inside or
-    outside, has no AUC and does not count."""
+    count, fold: written, as every model reads it) is cut once and the
+    negatives of all folds are drawn together.  In each fold
+    ``fit(train, setting)`` gives a scorer of the fold's plays, and what it
+    makes of the fold's positives and negatives is written; one plan then
+    computes the AUC of every (setting, fold, user).  A fold without plays,
+    inside or outside, has no AUC and does not count."""
     from concurrent.futures import ThreadPoolExecutor
-    cuts = []
-    for f in range(folds):
-        cv, train = ratings.where(F.col("fold") == f), ratings.where(F.col("fold") != f)
-        if cv.limit(1).count() and train.limit(1).count():
-            cuts.append((train.drop("fold"), cv, sample_negatives(cv, ratings.select("item"), seed=seed).checkpoint()))
+
+    from quarry.session import shared_dir
+    spark = ratings.sparkSession
+    neg = sample_negatives(ratings, ratings.select("item"), seed=seed, group=("fold", "user"))
+    pairs = (ratings.select("fold", "user", "item", F.lit(1).alias("is_pos"))
+             .unionByName(neg.select("fold", "user", "item", F.lit(0).alias("is_pos")))
+             .repartition("fold").checkpoint())
+    cuts = [(f, ratings.where(F.col("fold") != f).drop("fold")) for f in range(folds)]
+    cuts = [(f, t) for f, t in cuts if t.limit(1).count() and pairs.where(F.col("fold") == f).limit(1).count()]
+    root = shared_dir(spark, "grid-scores")
 
     def one(job):
-        setting, (train, cv, neg) = job
-        auc = area_under_curve(train, cv, ratings.select("item"), fit(train, setting), negatives=neg)
-        return auc.agg(F.avg("auc")).first()[0]
+        i, (f, train) = job
+        scored = fit(train, grid[i])(train, pairs.where(F.col("fold") == f))
+        scored.select(F.lit(i).alias("setting"), "fold", "user", F.col("score").cast("double").alias("score"), "is_pos") \
+            .write.parquet(f"{root}/setting-{i}-fold-{f}")
+    jobs = [(i, c) for i in range(len(grid)) for c in cuts]
     with ThreadPoolExecutor(max_workers=parallelism) as ex:   # concurrent fits, like ML tuning's parallelism
-        got = list(ex.map(one, [(p, c) for p in grid for c in cuts]))
-    out = []
-    for i in range(len(grid)):
-        known = [a for a in got[i * len(cuts):(i + 1) * len(cuts)] if a is not None]
-        out.append(sum(known) / len(known) if known else None)
-    return out
+        list(ex.map(one, jobs))
+    if not jobs:
+        return [None] * len(grid)
+    scored = (spark.read.schema("setting int, fold int, user long, score double, is_pos int")
+              .parquet(*[f"{root}/setting-{i}-fold-{f}" for i, (f, _) in jobs]))
+    auc = auc_per_user(scored.where("is_pos = 1"), scored.where("is_pos = 0"), ("setting", "fold", "user"))
+    mean = auc.groupBy("setting", "fold").agg(F.avg("auc").alias("auc")).groupBy("setting").agg(F.avg("auc").alias("auc"))
+    got = {r["setting"]: r["auc"] for r in mean.collect()}  # a row per setting
+    return [got.get(i) for i in range(len(grid))]
 
 
 def top_n_for_users(model, users: DataFrame, seen: DataFrame, n: int = 5,

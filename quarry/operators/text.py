@@ -2,9 +2,9 @@
 concept rankings, cosine queries.
 
 TF-IDF is kept sparse and relational, (doc_id, term, tf, idf, tfidf), so
-every step is a join or an aggregation; the SVD aggregates the vocabulary-
-sized Gram matrix from the same rows and keeps doc ids on U (row identity is
-carried, never zipped).
+every step is a join or an aggregation; the SVD multiplies the same rows with
+narrow tables of vectors and keeps doc ids on U (row identity is carried,
+never zipped).
 """
 
 from __future__ import annotations
@@ -47,13 +47,26 @@ def vocabulary(tf: DataFrame, size: int) -> DataFrame:
     return top.withColumn("term_idx", (F.row_number().over(w) - 1).cast("int"))  # <= size rows
 
 
+def every_term(tf: DataFrame) -> DataFrame:
+    """The whole vocabulary (term, term_idx), numbered in the terms' order."""
+    from quarry.operators.recommend import item_index
+    return (item_index(tf.select(F.col("term").alias("item")))
+            .select(F.col("item").alias("term"), F.col("idx").cast("int").alias("term_idx")))
+
+
+#: terms of a vocabulary that may be broadcast (about 100 bytes each)
+BROADCAST_TERMS = 100_000
+
+
 def tfidf(tf: DataFrame, vocab: DataFrame, n_docs) -> DataFrame:
-    """(doc_id, term, term_idx, tf, idf, tfidf) with idf = ln((m + 1) / (df + 1))."""
-    v = F.broadcast(vocab.select("term", "term_idx"))  # bounded by the vocabulary size
-    t = tf.join(v, "term")
+    """(doc_id, term, term_idx, tf, idf, tfidf) with idf = ln((m + 1) / (df + 1)).
+    A vocabulary of more than BROADCAST_TERMS terms is joined by shuffle."""
+    small = vocab.limit(BROADCAST_TERMS + 1).count() <= BROADCAST_TERMS
+    hint = F.broadcast if small else (lambda df: df)
+    t = tf.join(hint(vocab.select("term", "term_idx")), "term")
     df_ = t.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     idf = F.log((F.lit(n_docs).cast("double") + 1.0) / (F.col("df").cast("double") + 1.0))
-    return (t.join(F.broadcast(df_.select("term", idf.alias("idf"))), "term")
+    return (t.join(hint(df_.select("term", idf.alias("idf"))), "term")
             .withColumn("tfidf", F.col("tf") * F.col("idf")))
 
 
@@ -72,49 +85,122 @@ def cosine_to(unit: DataFrame, query_doc) -> DataFrame:
             .groupBy("doc_id").agg(F.sum(F.col("unit") * F.col("q")).alias("cosine")))
 
 
-def svd(tfidf_rows: DataFrame, n_terms: int, k: int):
-    """Truncated SVD of the doc x term TF-IDF matrix A (rows keyed by doc id).
+def _block_r(batches):
+    """The R factor of a block of rows, taken in by and by: R of [R; rows]."""
+    import numpy as np
+    import pyarrow as pa
+    r = None
+    for batch in batches:
+        rows = batch.column("y").flatten().to_numpy(zero_copy_only=False)
+        if batch.num_rows:
+            rows = rows.reshape(batch.num_rows, -1)
+            r = np.linalg.qr(rows if r is None else np.vstack([r, rows]), mode="r")
+    if r is not None:
+        yield pa.RecordBatch.from_arrays([pa.array(list(r), pa.list_(pa.float64()))], names=["y"])
+
+
+def tall_r(rows: DataFrame, y: str = "y", fan: int = 32):
+    """R of the QR factorisation of a tall matrix (a row per DataFrame row):
+    every partition is reduced to its R, and these are stacked and reduced again,
+    ``fan`` at a time, until few are left.  What comes to the driver
+    is at most ``fan`` small triangles."""
+    import numpy as np
+    parts = rows.select(F.col(y).alias("y")).mapInArrow(_block_r, "y array<double>").checkpoint()
+    n = parts.rdd.getNumPartitions()
+    while n > fan:
+        n = -(-n // fan)
+        parts = parts.coalesce(n).mapInArrow(_block_r, "y array<double>").checkpoint()
+    got = [r["y"] for r in parts.collect()]
+    return np.linalg.qr(np.array(got), mode="r") if got else None
+
+
+def _times(y: str, matrix) -> F.Column:
+    """A row (array) times a small matrix."""
+    from quarry.functions.expr import dot
+    return F.array(*[dot(F.col(y), F.lit([float(x) for x in col])) for col in matrix.T])
 
-    As for any tall, narrow matrix: the Gram matrix A^T A (n_terms x
-    n_terms) is one aggregation - each doc's non-zero entries meet each other,
-    the upper triangle only - and is eigen-decomposed on the driver (n_terms^2 numbers, checked);
-    V = eigenvectors, s = sqrt(eigenvalues), and U = A V / s is a column
-    expression per doc.  Each singular vector's sign is fixed so its
-    largest-magnitude V entry is positive.
+
+def _orthonormal(r, least: float = 1e-7):
+    """What makes columns with this R orthonormal; directions that are as good
+    as dependent are left out."""
+    import numpy as np
+    _, d, wt = np.linalg.svd(r)
+    keep = d > least * max(d.max(initial=0.0), 1e-300)
+    return wt[keep].T / d[keep]
+
+
+def _apply(rows: DataFrame, on: str, to: str, table: DataFrame, width: int) -> DataFrame:
+    """Matrix (on, to, a) times the tall matrix (on, q): (to, y).  Sums are
+    partial before the shuffle; which side is broadcast is left to the sizes
+    seen at run time."""
+    sums = [F.sum(F.col("a") * F.get(F.col("q"), F.lit(j))).alias(f"y{j}") for j in range(width)]
+    out = rows.join(table, on).groupBy(to).agg(*sums)
+    return out.select(to, F.array(*[F.coalesce(f"y{j}", F.lit(0.0)) for j in range(width)]).alias("y")).checkpoint()
+
+
+def svd(tfidf_rows: DataFrame, n_terms: int, k: int, oversample: int = 16, tol: float = 1e-8, seed: int = 11):
+    """Truncated SVD of the doc x term TF-IDF matrix A (rows keyed by doc id),
+    whatever the number of terms: randomised block power iteration.
+
+    A block of k + ``oversample`` random term vectors is multiplied by A and
+    its transpose in turn (a join and an aggregation each) and made
+    orthonormal each time by a tree of QR factorisations of row blocks, until
+    the leading k singular values move by less than ``tol``.  A vocabulary no
+    wider than the block starts from the unit vectors, which need no rounds.
+    Documents and terms stay in tables; the driver sees matrices of block
+    width only.  Each singular vector's sign is fixed so that its
+    largest V entry is positive (ties: the smaller term).
 
     Returns (U (doc_id, concept, weight), V (term_idx, concept, weight),
-    singular values).
+    singular values); values below 1e-6 of the largest are left out.
     """
     import numpy as np
-    if n_terms > 1024:
-        raise ValueError("Gram matrix too large for a driver-side eigensolve")
+    from quarry.functions.expr import box_muller, hash_uniform
+    from quarry.session import shared_dir
     spark = tfidf_rows.sparkSession
-    one = tfidf_rows.select("doc_id", F.col("term_idx").alias("i"), F.col("tfidf").alias("a"))
-    two = tfidf_rows.select("doc_id", F.col("term_idx").alias("j"), F.col("tfidf").alias("b"))
-    pairs = one.join(two, "doc_id").where("i <= j").groupBy("i", "j").agg(F.sum(F.col("a") * F.col("b")).alias("g"))
-    m = (tfidf_rows.groupBy("doc_id")
-         .agg(F.map_from_entries(F.collect_list(F.struct("term_idx", "tfidf"))).alias("m")))
-    rows = m.select("doc_id", F.transform(F.sequence(F.lit(0), F.lit(n_terms - 1)),
-                                          lambda i: F.coalesce(F.col("m")[i], F.lit(0.0))).alias("a"))
-    gram = np.zeros((n_terms, n_terms))
-    for r in pairs.collect():   # at most n_terms^2 rows
-        gram[r["i"], r["j"]] = gram[r["j"], r["i"]] = r["g"]
-    vals, vecs = np.linalg.eigh(gram)
-    order = np.argsort(vals)[::-1][:k]
-    vals, vecs = np.clip(vals[order], 0.0, None), vecs[:, order]
-    keep = vals > 1e-12 * max(vals.max(initial=0.0), 1e-300)
-    vals, vecs = vals[keep], vecs[:, keep]
-    signs = np.where(vecs[np.abs(vecs).argmax(axis=0), np.arange(vecs.shape[1])] >= 0, 1.0, -1.0)
-    v = vecs * signs
-    s = np.sqrt(vals)
-    v_df = spark.createDataFrame(
-        [(i, j, float(v[i, j])) for i in range(v.shape[0]) for j in range(v.shape[1])],
-        "term_idx int, concept int, weight double")
-    cols = [F.array(*[F.lit(float(v[i, c] / s[c])) for i in range(n_terms)]) for c in range(v.shape[1])]
-    from quarry.functions.expr import dot
-    u = rows.select("doc_id", F.array(*[dot(F.col("a"), cvec) for cvec in cols]).alias("u"))
-    u_long = u.select("doc_id", F.posexplode("u").alias("concept", "weight"))
-    return u_long, v_df, [float(x) for x in s]
+    shared_dir(spark)
+    a = tfidf_rows.select("doc_id", "term_idx", F.col("tfidf").cast("double").alias("a")).checkpoint()
+    width = min(n_terms, k + oversample)
+    terms = a.select("term_idx").distinct()
+    if width == n_terms:
+        start = [F.when(F.col("term_idx") == j, 1.0).otherwise(0.0) for j in range(width)]
+    else:
+        start = [box_muller(hash_uniform("term_idx", F.lit(j), F.lit(seed)), hash_uniform("term_idx", F.lit(j), F.lit(seed + 1)))
+                 for j in range(width)]
+    q = terms.select("term_idx", F.array(*start).alias("q")).checkpoint()
+    last = None
+    while width < n_terms:
+        y = _apply(a, "term_idx", "doc_id", q, width)
+        r = tall_r(y)
+        if r is None:
+            break
+        fit = _orthonormal(r)
+        z = _apply(a, "doc_id", "term_idx", y.select("doc_id", _times("y", fit).alias("q")), fit.shape[1])
+        r = tall_r(z)
+        fit = _orthonormal(r)
+        width = fit.shape[1]
+        q = z.select("term_idx", _times("y", fit).alias("q")).checkpoint()
+        now = np.linalg.svd(r, compute_uv=False)[:k]
+        if last is not None and len(last) == len(now) and (abs(now - last) <= tol * now.max()).all():
+            break
+        last = now
+    y = _apply(a, "term_idx", "doc_id", q, width)
+    r = tall_r(y)
+    if r is None:
+        none = spark.createDataFrame([], "term_idx int, concept int, weight double")
+        return a.select("doc_id", F.lit(0).alias("concept"), F.col("a").alias("weight")).limit(0), none, []
+    _, s, vt = np.linalg.svd(r)
+    keep = np.arange(min(k, len(s)))
+    keep = keep[s[keep] > 1e-6 * max(s.max(), 1e-300)]
+    s, v = s[keep], vt[keep].T
+    tops = q.select("term_idx", F.posexplode(_times("q", v)).alias("concept", "weight"))
+    first = tops.groupBy("concept").agg(F.max_by("weight", F.struct(F.round(F.abs("weight"), 12), -F.col("term_idx"))).alias("w"))
+    sign = np.ones(len(s))
+    for row in first.collect():  # k rows
+        sign[row["concept"]] = -1.0 if row["w"] < 0 else 1.0
+    v = v * sign
+    u = y.select("doc_id", F.posexplode(_times("y", v / s)).alias("concept", "weight"))
+    return u, q.select("term_idx", F.posexplode(_times("q", v)).alias("concept", "weight")), [float(x) for x in s]
 
 
 def top_per_concept(weights: DataFrame, key: str, n: int, salts: int = 64) -> DataFrame:

@@ -69,3 +69,17 @@ def concept_docs(spark, d):
     (u, v, s), t = _svd(spark, d)
     top = text.top_per_concept(u, "doc_id", 10)
     return top.select("concept", "rank", "doc_id", F.round("weight", 6).alias("weight"))
+
+
+@query("concept_terms_all")
+def concept_terms_all(spark, d):
+    """The concepts' top terms when the whole vocabulary takes part, with the
+    singular value of each concept."""
+    docs = roles.corpus(spark, d)
+    tf = _tf(spark, d)
+    vocab = text.every_term(tf).checkpoint()
+    t = text.tfidf(tf, vocab, docs.select(F.count(F.lit(1))).scalar())
+    u, v, s = text.svd(t, vocab.count(), 4, tol=1e-6)
+    top = text.top_per_concept(v.join(vocab, "term_idx"), "term", 10)
+    value = F.get(F.lit(s or [0.0]), F.col("concept"))
+    return top.select("concept", "rank", "term", F.round("weight", 4).alias("weight"), F.round(value, 2).alias("strength"))

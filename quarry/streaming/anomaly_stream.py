@@ -1,9 +1,11 @@
 """Structured Streaming scoring of events with a fitted hasher + k-means.
 
 Source: a folder of Parquet files read with ``readStream`` (``maxFilesPerTrigger``
-files per micro-batch); sink: Parquet files with a checkpoint location, both
-in the shared folder, so a restarted query resumes where it stopped.  The
-per-row transform is the batch one, so stream output equals batch output.
+files per micro-batch); sink: Parquet, a folder per micro-batch that a repeated
+batch overwrites, with a checkpoint location, both in the shared folder, so a
+restarted query resumes where it stopped and writes each row once.  Every
+micro-batch is scored by the batch operator, so stream output equals batch
+output; the centres' index is made once.
 """
 
 from __future__ import annotations
@@ -14,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from quarry.operators.anomaly import score
+from quarry.operators.anomaly import centre_postings, score
 
 
 def start_scoring_stream(spark: SparkSession, source: str, schema: T.StructType, prepare,
@@ -25,12 +27,14 @@ def start_scoring_stream(spark: SparkSession, source: str, schema: T.StructType,
     passed to ``DataStreamWriter.trigger`` (default: 1-second micro-batches)."""
     raw = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
            .parquet(source))
-    rows = prepare(raw)
-    for f in featurizers:
-        rows = f.transform(rows)
-    out = score(model, rows).drop("features")
-    w = (out.writeStream.format("parquet").option("path", sink)
-         .option("checkpointLocation", checkpoint).outputMode("append"))
+    centres = centre_postings(model)
+
+    def one(batch: DataFrame, batch_id: int) -> None:
+        rows = prepare(batch)
+        for f in featurizers:
+            rows = f.transform(rows)
+        score(model, rows, centres).drop("features").write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
+    w = raw.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint)
     return w.trigger(**(trigger or {"processingTime": "1 second"})).start()
 
 
