@@ -78,7 +78,8 @@ def score(model: KMeansModel, featurized: DataFrame, centres: tuple[DataFrame, D
     p = model.transform(featurized).withColumnRenamed("prediction", "cluster")
     keep = [c for c in p.columns if c != "used"]
     rows = p.select(F.monotonically_increasing_id().alias("_row"), F.struct(*keep).alias("_all"), "cluster",
-                    F.explode_outer(entries("used")).alias("e"))
+                    entries("used").alias("e"))  # numbered before its entries are dealt out
+    rows = rows.select("_row", "_all", "cluster", F.explode_outer("e").alias("e"))
     rows = rows.select("_row", "_all", "cluster", F.col("e.i").alias("i"), F.coalesce("e.v", F.lit(0.0)).alias("v"))
     part = F.col("v") * (F.col("v") - 2 * F.coalesce("weight", F.lit(0.0)))
     moved = (rows.join(postings, ["i", "cluster"], "left")

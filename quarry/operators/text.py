@@ -124,7 +124,7 @@ def _orthonormal(r, least: float = 1e-7):
     """What makes columns with this R orthonormal; directions that are as good
     as dependent are left out."""
     import numpy as np
-    _, d, wt = np.linalg.svd(r)
+    _, d, wt = np.linalg.svd(r, full_matrices=False)
     keep = d > least * max(d.max(initial=0.0), 1e-300)
     return wt[keep].T / d[keep]
 
@@ -160,7 +160,11 @@ def svd(tfidf_rows: DataFrame, n_terms: int, k: int, oversample: int = 16, tol:
     spark = tfidf_rows.sparkSession
     shared_dir(spark)
     a = tfidf_rows.select("doc_id", "term_idx", F.col("tfidf").cast("double").alias("a")).checkpoint()
+    none = spark.createDataFrame([], "term_idx int, concept int, weight double")
+    no_docs = a.select("doc_id", F.lit(0).alias("concept"), F.col("a").alias("weight")).limit(0)
     width = min(n_terms, k + oversample)
+    if not width or a.limit(1).count() == 0:
+        return no_docs, none, []
     terms = a.select("term_idx").distinct()
     if width == n_terms:
         start = [F.when(F.col("term_idx") == j, 1.0).otherwise(0.0) for j in range(width)]
@@ -171,10 +175,7 @@ def svd(tfidf_rows: DataFrame, n_terms: int, k: int, oversample: int = 16, tol:
     last = None
     while width < n_terms:
         y = _apply(a, "term_idx", "doc_id", q, width)
-        r = tall_r(y)
-        if r is None:
-            break
-        fit = _orthonormal(r)
+        fit = _orthonormal(tall_r(y))
         z = _apply(a, "doc_id", "term_idx", y.select("doc_id", _times("y", fit).alias("q")), fit.shape[1])
         r = tall_r(z)
         fit = _orthonormal(r)
@@ -185,11 +186,7 @@ def svd(tfidf_rows: DataFrame, n_terms: int, k: int, oversample: int = 16, tol:
             break
         last = now
     y = _apply(a, "term_idx", "doc_id", q, width)
-    r = tall_r(y)
-    if r is None:
-        none = spark.createDataFrame([], "term_idx int, concept int, weight double")
-        return a.select("doc_id", F.lit(0).alias("concept"), F.col("a").alias("weight")).limit(0), none, []
-    _, s, vt = np.linalg.svd(r)
+    _, s, vt = np.linalg.svd(tall_r(y), full_matrices=False)
     keep = np.arange(min(k, len(s)))
     keep = keep[s[keep] > 1e-6 * max(s.max(), 1e-300)]
     s, v = s[keep], vt[keep].T

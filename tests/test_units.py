@@ -253,10 +253,11 @@ def test_grid_scores_every_fold(spark):
     from quarry.operators import recommend
     rows = [(u, i, 1 + (u * 7 + i * 5) % 11, (u + 3 * i) % 4) for u in range(6) for i in range(20) if (u * i) % 3 != 1]
     r = spark.createDataFrame(rows, "user long, item long, count long, fold int")
+    neg = recommend.sample_negatives(r, r.select("item"), seed=42, group=("fold", "user")).checkpoint()
     each = []
     for f in range(4):
         a = recommend.area_under_curve(r.where(f"fold <> {f}"), r.where(f"fold = {f}"), r.select("item"),
-                                       recommend.popularity_scorer, seed=42)
+                                       recommend.popularity_scorer, negatives=neg.where(f"fold = {f}").drop("fold"))
         each.append(a.agg({"auc": "avg"}).first()[0])
     assert len(set(each)) > 1
     seen = []
@@ -267,3 +268,67 @@ def test_grid_scores_every_fold(spark):
     got = recommend.grid_auc(r, ["a", "b"], fit, folds=4)
     assert sorted(seen) == ["a"] * 4 + ["b"] * 4
     assert got == [pytest.approx(sum(each) / 4)] * 2
+
+
+def test_centre_index_stays_out_of_the_plan(spark):
+    """The plan of a scored frame does not grow with clusters or entries."""
+    import numpy as np
+    from pyspark.ml.linalg import Vectors
+    from quarry.operators import anomaly
+    rng = np.random.default_rng(1)
+    df = spark.createDataFrame([(i, Vectors.dense(rng.normal(size=300))) for i in range(80)], ["id", "features"])
+    sizes = []
+    for width, k in ((20, 2), (300, 40)):
+        x = anomaly.slicer(list(range(width))).transform(df)
+        model = anomaly.fit_kmeans(x, k, 1, 3)
+        got = anomaly.score(model, x)
+        sizes.append(len(got._jdf.queryExecution().optimizedPlan().toString()))
+        c = model.clusterCenters()
+        for r in got.collect():
+            assert abs(r.distance - np.linalg.norm(r.features.toArray()[:width] - c[r.cluster])) < 1e-5
+    assert sizes[1] < 1.1 * sizes[0]
+
+
+def _svd_rows(spark, a):
+    rows = [(i, j, float(a[i, j])) for i in range(a.shape[0]) for j in range(a.shape[1]) if a[i, j]]
+    return spark.createDataFrame(rows, "doc_id long, term_idx int, tfidf double").repartition(5)
+
+
+def test_svd_equals_the_gram_way(spark):
+    """20 terms: singular values and vectors of the dense decomposition."""
+    import numpy as np
+    from quarry.operators import text
+    rng = np.random.default_rng(2)
+    a = rng.normal(size=(60, 20)) * (rng.random((60, 20)) < 0.4)
+    u, v, s = text.svd(_svd_rows(spark, a), 20, 4)
+    vals, vecs = np.linalg.eigh(a.T @ a)
+    assert np.allclose(s, np.sqrt(vals[::-1][:4]), atol=1e-9)
+    vv, uu = np.zeros((20, 4)), np.zeros((60, 4))
+    for r in v.collect():
+        vv[r.term_idx, r.concept] = r.weight
+    for r in u.collect():
+        uu[r.doc_id, r.concept] = r.weight
+    assert np.allclose(abs(vv), abs(vecs[:, ::-1][:, :4]), atol=1e-6)
+    assert (vv[abs(vv).argmax(axis=0), range(4)] > 0).all()
+    assert np.allclose(uu * s, a @ vv, atol=1e-6)
+
+
+def test_svd_of_5000_terms(spark):
+    """More terms than the block is wide, of rank 6, and of rank below k."""
+    import numpy as np
+    from quarry.operators import text
+    rng = np.random.default_rng(5)
+    mask = rng.random((80, 5000)) < 0.02
+    a = np.where(mask, rng.normal(size=(80, 5000)), 0.0) * 0.2
+    a[:, :60] += rng.normal(size=(80, 6)) * [9, 7, 5, 4, 3, 2] @ rng.normal(size=(6, 60))
+    u, v, s = text.svd(_svd_rows(spark, a), 5000, 4)
+    want = np.linalg.svd(a, full_matrices=False)
+    assert np.allclose(s, want[1][:4], rtol=1e-7)
+    vv = np.zeros((5000, 4))
+    for r in v.collect():
+        vv[r.term_idx, r.concept] = r.weight
+    assert np.allclose(abs(vv), abs(want[2][:4].T), atol=1e-5)
+    one = np.outer(np.arange(1.0, 9.0), np.ones(30))
+    assert len(text.svd(_svd_rows(spark, one), 30, 4)[2]) == 1
+    none = spark.createDataFrame([], "doc_id long, term_idx int, tfidf double")
+    assert text.svd(none, 0, 4)[2] == []
