@@ -77,16 +77,22 @@ def polygon_area(ring: Column) -> Column:
     return F.abs(s) / F.lit(2.0)
 
 
-def point_in_polygon(x: Column, y: Column, ring: Column) -> Column:
-    """Even-odd ray casting.  Points on the lower/left edges count as inside,
-    points on upper/right edges as outside (half-open rule), so a shared edge
-    belongs to exactly one of two adjacent polygons."""
+def crossed(x: Column, y: Column, edges: Column, start) -> Column:
+    """``start`` turned by each edge (a, b) that a ray from (x, y) to the right
+    crosses.  Points on the lower/left edges count as inside, points on
+    upper/right edges as outside (half-open rule), so a shared edge belongs
+    to exactly one of two adjacent polygons."""
     def step(acc, e):
         x1, y1, x2, y2 = e["a"]["x"], e["a"]["y"], e["b"]["x"], e["b"]["y"]
         crosses = (y1 > y) != (y2 > y)
         xint = x1 + (y - y1) * (x2 - x1) / F.nullif(y2 - y1, F.lit(0.0))
         return F.when(crosses & (x < xint), ~acc).otherwise(acc)
-    return F.aggregate(ring_pairs(ring), F.lit(False), step)
+    return F.aggregate(edges, start, step)
+
+
+def point_in_polygon(x: Column, y: Column, ring: Column) -> Column:
+    """Even-odd ray casting on one ring."""
+    return crossed(x, y, ring_pairs(ring), F.lit(False))
 
 
 def dot(a: Column, b: Column) -> Column:

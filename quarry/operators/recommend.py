@@ -234,19 +234,85 @@ def grid_auc(ratings: DataFrame, grid: list, fit: Callable[[DataFrame, tuple], S
     return [got.get(i) for i in range(len(grid))]
 
 
-def top_n_for_users(model, users: DataFrame, seen: DataFrame, n: int = 5,
-                    max_users: int = 10_000) -> DataFrame:
-    """Top ``n`` unseen items for each user in ``users`` (user column):
-    item factors scored against the users' factor vectors, which are
-    broadcast - their count is checked against ``max_users`` - so the work is
-    linear in items and no users x items product of the whole model is built."""
-    from quarry.functions.expr import dot
-    uf = model.userFactors.join(users.select(F.col("user").alias("id")), "id") \
-        .select(F.col("id").alias("user"), F.col("features").alias("uf"))
-    if uf.limit(max_users + 1).count() > max_users:
-        raise ValueError("user subset too large to broadcast; use recommendForUserSubset")
-    scored = (model.itemFactors.join(F.broadcast(uf), how="inner")
-              .select("user", F.col("id").alias("item"), dot(F.col("features"), F.col("uf")).alias("score"))
-              .join(seen.select("user", "item"), ["user", "item"], "left_anti"))
-    w = Window.partitionBy("user").orderBy(F.col("score").desc(), F.col("item").asc())
-    return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
+#: items and users of a block
+ITEM_BLOCK = 2048
+USER_BLOCK = 2048
+
+
+def _best_of_blocks(n: int):
+    """One block of users against the item blocks of a round."""
+    def run(left, right):
+        import numpy as np
+        import pyarrow as pa
+        users = left.to_pylist()
+        packed = [x for block in right.column("items").to_pylist() for x in block]
+        ids = np.array([x["item"] for x in packed], np.int64)
+        f = np.array([x["f"] for x in packed], float).reshape(len(ids), -1)
+        # nothing later is longer than this round's shortest item
+        shortest = float(np.linalg.norm(f, axis=1).min()) if len(ids) else 0.0
+        out = []
+        for u in users:
+            item, score = np.array(u["items"], np.int64), np.array(u["scores"], float)
+            if not u["done"] and len(ids):
+                new = ~np.isin(ids, np.array(u["seen"], np.int64))
+                item, score = np.concatenate([item, ids[new]]), np.concatenate([score, f[new] @ np.array(u["f"], float)])
+                top = np.lexsort((item, -score))[:n]
+                item, score = item[top], score[top]
+            # Cauchy-Schwarz: no item of norm <= shortest can reach the n-th score (ties are let in)
+            bound = shortest * float(np.linalg.norm(u["f"])) * (1 + 1e-9) + 1e-12
+            done = bool(u["done"] or (len(score) == n and score[-1] > bound))
+            out.append({**u, "items": item.tolist(), "scores": score.tolist(), "done": done})
+        return pa.Table.from_pylist(out, schema=left.schema)
+    return run
+
+
+def top_n_for_users(model, users: DataFrame | None, seen: DataFrame, n: int = 5) -> DataFrame:
+    """The ``n`` unseen items of the highest scores (ties to the smaller item)
+    for each user in ``users``, or for all users of the model: (user, item,
+    score, rank), exactly as scoring every item would give them.
+
+    Items are taken in blocks of falling factor norm, one block in the first
+    round and twice as many in each further one.  By Cauchy-Schwarz a user's scores of
+    all later items are at most the product of the norms, so a user whose n-th
+    score beats that is done, and most need few rounds.  Each round joins the
+    open users, in blocks, with the round's items; the users' state is written
+    in between.  A user's own seen items travel with the user.
+    """
+    from quarry.session import shared_dir
+    spark = seen.sparkSession
+    shared_dir(spark)
+    items = model.itemFactors.select(F.col("id").cast("long").alias("item"), F.col("features").cast("array<double>").alias("f"))
+    items = items.withColumn("norm", F.sqrt(F.aggregate("f", F.lit(0.0), lambda s, v: s + v * v)))
+    place = item_index(items.select(F.struct((-F.col("norm")).alias("falling"), "item").alias("item")))
+    items = (items.join(place.select(F.col("item.item").alias("item"), F.floor(F.col("idx") / ITEM_BLOCK).alias("block")), "item"))
+    # a row for each block, of ITEM_BLOCK items at most
+    items = items.groupBy("block").agg(F.collect_list(F.struct("item", "f")).alias("items")).checkpoint()
+    blocks = items.agg(F.max("block")).first()[0]
+    uf = model.userFactors.select(F.col("id").cast("long").alias("user"), F.col("features").cast("array<double>").alias("f"))
+    if users is not None:
+        uf = uf.join(users.select(F.col("user").cast("long").alias("user")).distinct(), "user")
+    own = seen.groupBy(F.col("user").cast("long").alias("user")).agg(F.collect_set(F.col("item").cast("long")).alias("seen"))
+    none = F.array().cast("array<bigint>")
+    user_blocks = max(1, -(-uf.count() // USER_BLOCK))
+    share = F.pmod(F.xxhash64("user"), F.lit(user_blocks)).alias("ub")
+    state = uf.join(own, "user", "left").select(
+        share, "user", "f", F.coalesce("seen", none).alias("seen"), none.alias("items"),
+        F.array().cast("array<double>").alias("scores"), F.lit(False).alias("done")).checkpoint()
+    at, step, finished = 0, 1, None
+    while blocks is not None and at <= blocks:
+        open_ = state.where(~F.col("done"))
+        # every open user block meets every item of the round, once
+        dealt = (items.where(F.col("block").between(at, at + step - 1))
+                 .select("items", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(user_blocks - 1).cast("long"))).alias("to"))
+                 .join(open_.select(F.col("ub").alias("to")).distinct(), "to", "left_semi"))
+        nxt = open_.groupBy("ub").cogroup(dealt.groupBy("to")).applyInArrow(_best_of_blocks(n), open_.schema).checkpoint()
+        done = nxt.where("done").select("user", "items", "scores")
+        finished = done if finished is None else finished.unionByName(done)
+        state = nxt
+        at, step = at + step, step * 2
+        if state.where(~F.col("done")).limit(1).count() == 0:
+            break
+    rest = state.where(~F.col("done")).select("user", "items", "scores")
+    every = rest if finished is None else finished.unionByName(rest)
+    return (every.select("user", F.posexplode(F.arrays_zip("items", "scores")).alias("pos", "x"))
+            .select("user", F.col("x.items").alias("item"), F.col("x.scores").alias("score"), (F.col("pos") + 1).alias("rank")))

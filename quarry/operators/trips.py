@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.functions.expr import point_in_polygon, polygon_area
+from quarry.functions.expr import crossed, polygon_area, ring_pairs
 from quarry.operators import ordered
 
 TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
@@ -75,46 +75,76 @@ def drop_zero_points(trips: DataFrame) -> DataFrame:
 # ------------------------------------------------------------------ zones
 
 def zone_table(zones: DataFrame) -> DataFrame:
-    """Zones (zone_code int, zone string, ring array<struct<x,y>>) with their
-    priority: code ascending, then area descending (larger zone wins a tie),
-    and the ring's bounding box for the range pre-filter."""
-    xs = F.transform("ring", lambda p: p["x"])
-    ys = F.transform("ring", lambda p: p["y"])
-    z = zones.select("zone_code", "zone", "ring",
-                     polygon_area(F.col("ring")).alias("area"),
-                     F.array_min(xs).alias("min_x"), F.array_max(xs).alias("max_x"),
-                     F.array_min(ys).alias("min_y"), F.array_max(ys).alias("max_y"))
+    """Zones (zone_code int, zone string, and ``rings``, all rings of all
+    parts, or ``ring``, the only one) with a number, their bounding box and their
+    priority: code ascending, then area descending (larger zone wins a tie;
+    ``area`` where given, else the rings' sum)."""
+    z = zones if "rings" in zones.columns else zones.withColumn("rings", F.array("ring"))
+    if "area" not in z.columns:
+        z = z.withColumn("area", F.aggregate(F.transform("rings", polygon_area), F.lit(0.0), lambda s, x: s + x))
+    points = F.flatten("rings")
+    xs, ys = F.transform(points, lambda p: p["x"]), F.transform(points, lambda p: p["y"])
+    z = z.select(F.monotonically_increasing_id().alias("zone_no"), "zone_code", "zone", "rings", "area",
+                 F.array_min(xs).alias("min_x"), F.array_max(xs).alias("max_x"),
+                 F.array_min(ys).alias("min_y"), F.array_max(ys).alias("max_y"))
     # Priority as a sortable struct: lower code first, then larger area, then name.
     return z.withColumn("priority", F.struct(F.col("zone_code"), (-F.col("area")).alias("neg_area"),
                                              F.col("zone")))
 
 
+def zone_cells(zt: DataFrame, w: float, h: float) -> DataFrame:
+    """The zones' outlines dealt to a grid: (_cx, _cy, _zones), for each cell
+    the zones that a point in it may lie in, with the edges to test and the
+    parity of those that need no test.
+
+    A point is inside where a ray to the right crosses an odd number of edges,
+    of all rings together, so holes and several parts need nothing more.  In
+    a row of cells an edge can be crossed from its own cells and those to their
+    left.  From two cells to the left on, an edge that spans the row's whole
+    height is crossed by every ray: it only turns the cell's parity.  Others
+    stay in the cell's list.  A ring of any size is so spread over its cells.
+    """
+    size_x, size_y = F.lit(float(w)), F.lit(float(h))
+    e = zt.select("zone_no", "priority", "zone", F.floor(F.col("min_x") / size_x).alias("left"),
+                  F.explode(F.flatten(F.transform("rings", ring_pairs))).alias("e"))
+    e = e.select("zone_no", "priority", "zone", "left", "e", F.col("e.a.x").alias("x1"), F.col("e.a.y").alias("y1"),
+                 F.col("e.b.x").alias("x2"), F.col("e.b.y").alias("y2")).where("y1 <> y2")  # level edges are never crossed
+    low, high = F.least("y1", "y2"), F.greatest("y1", "y2")
+    e = e.withColumn("_cy", F.explode(F.sequence(F.floor(low / size_y), F.floor(high / size_y))))
+    # a margin of half a cell keeps rounding out of what needs no test
+    spans = (low < (F.col("_cy") - 0.5) * size_y) & (high > (F.col("_cy") + 1.5) * size_y)
+    e = e.withColumn("spans", spans).withColumn("_cx", F.explode(F.sequence(
+        F.col("left"), F.floor(F.greatest("x1", "x2") / size_x))))
+    sure = F.col("spans") & (F.col("_cx") + 1 < F.floor(F.least("x1", "x2") / size_x))
+    per = e.groupBy("_cx", "_cy", "zone_no", "priority", "zone").agg(
+        (F.sum(sure.cast("int")) % 2 == 1).alias("odd"), F.collect_list(F.when(~sure, F.col("e"))).alias("edges"))
+    per = per.where(F.col("odd") | (F.size("edges") > 0))
+    return per.groupBy("_cx", "_cy").agg(F.collect_list(F.struct("priority", "zone", "odd", "edges")).alias("_zones"))
+
+
 def assign_zone(trips: DataFrame, zones: DataFrame, point: str = "dropoff_loc",
                 default: str = "NA", cell: float | None = None) -> DataFrame:
-    """First zone (by priority) whose polygon contains ``point``, else ``default``.
-
-    A grid over the zones' boxes: each cell holds the list of the zones whose
-    box meets it, each trip joins its one cell and picks its first containing
-    zone from the list, in place.  Cells are as large as the average box (and
-    at least 1/64 of the largest, so that one zone covers few cells), whatever
-    the unit of the coordinates.  A cell with a large share of the trips is
-    one skewed key of a left join, which AQE splits - or the cell table is
-    small and AQE broadcasts it.
+    """First zone (by priority) whose polygons contain ``point``, else ``default``.
+
+    The zones' edges are dealt to a grid (``zone_cells``); each trip joins its
+    one cell and picks its first containing zone from the list, in place.
+    Cells are as large as the average box (and at least 1/64 of the largest,
+    so that one zone covers few columns), whatever the unit of the
+    coordinates.  A cell with a large share of the trips is one skewed key of a
+    left join, which AQE splits - or the cell table is small and AQE
+    broadcasts it.
     """
-    zt = zone_table(zones)
+    from quarry.session import shared_dir
+    shared_dir(trips.sparkSession)
+    zt = zone_table(zones).checkpoint()
     x, y = F.col(point + ".x"), F.col(point + ".y")
     wide, high = F.col("max_x") - F.col("min_x"), F.col("max_y") - F.col("min_y")
     w, h = zt.agg(*[F.greatest(F.avg(c), F.max(c) / 64, F.lit(1e-9)) for c in (wide, high)]).first()
     w, h = (cell or w or 1.0, cell or h or 1.0)
-    at = lambda c, size: F.floor(c / F.lit(float(size)))
-    span = lambda lo, hi, size: F.explode(F.sequence(at(F.col(lo), size), at(F.col(hi), size)))
-    cells = (zt.select(F.struct("priority", "zone", "ring", "min_x", "max_x", "min_y", "max_y").alias("_z"),
-                       "min_y", "max_y", span("min_x", "max_x", w).alias("_cx"))
-             .select("_z", "_cx", span("min_y", "max_y", h).alias("_cy"))
-             .groupBy("_cx", "_cy").agg(F.collect_list("_z").alias("_zones")))
-    t = trips.withColumn("_cx", at(x, w)).withColumn("_cy", at(y, h)).join(cells, ["_cx", "_cy"], "left")
-    inside = F.filter("_zones", lambda z: (x >= z["min_x"]) & (x <= z["max_x"]) & (y >= z["min_y"])
-                      & (y <= z["max_y"]) & point_in_polygon(x, y, z["ring"]))
+    cells = zone_cells(zt, w, h)
+    t = (trips.withColumn("_cx", F.floor(x / F.lit(float(w)))).withColumn("_cy", F.floor(y / F.lit(float(h))))
+         .join(cells, ["_cx", "_cy"], "left"))
+    inside = F.filter("_zones", lambda z: crossed(x, y, z["edges"], z["odd"]))
     best = F.array_min(F.transform(inside, lambda z: F.struct(z["priority"].alias("p"), z["zone"].alias("z"))))
     return t.withColumn("zone", F.coalesce(best["z"], F.lit(default))).drop("_zones", "_cx", "_cy")
 

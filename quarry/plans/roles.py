@@ -93,27 +93,11 @@ def zones_geojson_text() -> str:
 def zones(spark: SparkSession) -> DataFrame:
     """Zones from a GeoJSON FeatureCollection written to the shared folder and
     read back (multi-line JSON, one row per feature)."""
-    from pyspark.sql import types as T
-    from quarry.sources.files import read_json
     from quarry.session import stand_in_source
+    from quarry.sources.formats import geojson_zones
     path = stand_in_source(spark, "zones", "", lambda p: spark.createDataFrame(
         [(zones_geojson_text(),)], "value string").coalesce(1).write.mode("overwrite").text(p))
-    geom = T.StructType([T.StructField("type", T.StringType()),
-                         T.StructField("coordinates", T.ArrayType(T.ArrayType(T.ArrayType(T.DoubleType()))))])
-    props = T.StructType([T.StructField("boroughCode", T.StringType()),
-                          T.StructField("borough", T.StringType())])
-    feat = T.StructType([T.StructField("type", T.StringType()),
-                         T.StructField("properties", props),
-                         T.StructField("geometry", geom)])
-    schema = T.StructType([T.StructField("type", T.StringType()),
-                           T.StructField("features", T.ArrayType(feat))])
-    fc = read_json(spark, path, schema, multiline=True)
-    f = fc.select(F.explode("features").alias("f"))
-    return f.select(
-        F.col("f.properties.boroughCode").cast("int").alias("zone_code"),
-        F.col("f.properties.borough").alias("zone"),
-        F.transform(F.col("f.geometry.coordinates")[0],
-                    lambda p: F.struct(p[0].alias("x"), p[1].alias("y"))).alias("ring"))
+    return geojson_zones(spark, path)
 
 
 # --------------------------------------------------------------- linkage

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quarry.functions.expr import polygon_area
 from quarry.sources.files import drop_header_lines, read_csv, read_lines, string_schema
 
 # The formats' layouts.  Record-pair files carry nine comparison
@@ -134,17 +135,28 @@ def taxi_trips(spark: SparkSession, path: str) -> DataFrame:
 
 def geojson_zones(spark: SparkSession, path: str, code: str = "boroughCode",
                   name: str = "borough") -> DataFrame:
-    """GeoJSON FeatureCollection of polygons -> (zone_code, zone, ring)."""
-    geom = T.StructType([T.StructField("type", T.StringType()),
-                         T.StructField("coordinates", T.ArrayType(T.ArrayType(T.ArrayType(T.DoubleType()))))])
+    """GeoJSON FeatureCollection of Polygons and MultiPolygons -> (zone_code,
+    zone, rings, area): ``rings`` are all rings of all parts, holes included;
+    the area is that of the outer rings less the holes.  Features of other
+    kinds are left out."""
+    geom = T.StructType([T.StructField("type", T.StringType()), T.StructField("coordinates", T.StringType())])
     props = T.StructType([T.StructField(code, T.StringType()), T.StructField(name, T.StringType())])
     feat = T.StructType([T.StructField("properties", props), T.StructField("geometry", geom)])
     schema = T.StructType([T.StructField("features", T.ArrayType(feat))])
     f = spark.read.schema(schema).option("multiLine", True).json(path).select(F.explode("features").alias("f"))
-    return f.select(F.col(f"f.properties.{code}").try_cast("int").alias("zone_code"),
-                    F.col(f"f.properties.{name}").alias("zone"),
-                    F.transform(F.col("f.geometry.coordinates")[0],
-                                lambda p: F.struct(p[0].alias("x"), p[1].alias("y"))).alias("ring"))
+    text = F.col("f.geometry.coordinates")
+    parts = (F.when(F.col("f.geometry.type") == "Polygon", F.array(F.from_json(text, "array<array<array<double>>>")))
+             .when(F.col("f.geometry.type") == "MultiPolygon", F.from_json(text, "array<array<array<array<double>>>>")))
+    parts = F.transform(parts, lambda rings: F.transform(rings, lambda ring: F.transform(
+        ring, lambda p: F.struct(p[0].alias("x"), p[1].alias("y")))))
+    f = f.select(F.col(f"f.properties.{code}").try_cast("int").alias("zone_code"),
+                 F.col(f"f.properties.{name}").alias("zone"), parts.alias("parts")).where("parts is not null")
+
+    def own(rings):
+        return F.aggregate(F.transform(rings, lambda ring, i: F.when(i == 0, polygon_area(ring)).otherwise(-polygon_area(ring))),
+                           F.lit(0.0), lambda s, x: s + x)
+    area = F.aggregate(F.transform("parts", own), F.lit(0.0), lambda s, x: s + x)
+    return f.select("zone_code", "zone", F.flatten("parts").alias("rings"), area.alias("area"))
 
 
 def price_folder(spark: SparkSession, path: str) -> DataFrame:

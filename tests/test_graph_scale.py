@@ -100,3 +100,77 @@ def test_bootstrap_of_few_rows(spark):
     got = risk.bootstrap_var_cvar(one, 20).collect()
     assert 0 < len(got) < 20 and {(r["var"], r["cvar"]) for r in got} == {(2.5, 2.5)}
     assert risk.bootstrap_var_cvar(one.limit(0), 20).collect() == []
+
+
+def _geojson(spark, features):
+    import json
+
+    from quarry.session import shared_dir
+    from quarry.sources import formats
+    path = shared_dir(spark, "zones-test")
+    feats = [{"type": "Feature", "properties": {"boroughCode": str(c), "borough": n}, "geometry": {"type": kind, "coordinates": xy}}
+             for c, n, kind, xy in features]
+    spark.createDataFrame([(json.dumps({"type": "FeatureCollection", "features": feats}, indent=1),)], "value string") \
+        .coalesce(1).write.text(path)
+    return formats.geojson_zones(spark, path)
+
+
+def _inside(x, y, rings):
+    odd = False
+    for ring in rings:
+        for (x1, y1), (x2, y2) in zip(ring, ring[1:] + ring[:1]):
+            if (y1 > y) != (y2 > y) and x < x1 + (y - y1) * (x2 - x1) / (y2 - y1):
+                odd = not odd
+    return odd
+
+
+@pytest.mark.parametrize("cell", [None, 3.0, 0.7, 500.0])
+def test_zones_with_holes_and_parts(spark, cell):
+    """Holes, several parts, an island in a hole, a ring of many edges, a repeated feature: even-odd
+    over all rings, first zone by (code, area)."""
+    from quarry.operators import trips
+    rng = random.Random(6)
+    square = lambda a, b, c, d: [[a, b], [c, b], [c, d], [a, d], [a, b]]
+    round_ = [[50 + 30 * np.cos(t), 60 + 25 * np.sin(t) * (1 + 0.1 * np.sin(9 * t))] for t in np.linspace(0, 6.28, 400)]
+    feats = [(2, "ring", "Polygon", [square(0, 0, 40, 40), square(10, 10, 30, 30)]),
+             (3, "island", "Polygon", [square(15, 15, 25, 25)]),
+             (1, "two", "MultiPolygon", [[square(50, 0, 60, 10)], [square(70, 0, 95, 20), square(75, 5, 80, 15)]]),
+             (4, "blob", "Polygon", [[list(map(float, p)) for p in round_], square(45, 55, 52, 66)]),
+             (5, "all", "Polygon", [square(-5, -5, 100, 100)]), (5, "all", "Polygon", [square(-5, -5, 100, 100)]),
+             (0, "none", "Point", [1.0, 2.0])]
+    z = _geojson(spark, feats)
+    assert {(r["zone"], round(r["area"])) for r in z.collect()} >= {("ring", 1200), ("two", 550)}
+    points = [(i, (rng.uniform(-8, 104), rng.uniform(-8, 104))) for i in range(1500)]
+    points += [(2000 + i, p) for i, p in enumerate([(10.0, 10.0), (30.0, 20.0), (0.0, 0.0), (40.0, 40.0), (75.0, 10.0), (60.0, 5.0)])]
+    t = spark.createDataFrame(points, "trip_id long, dropoff_loc struct<x:double,y:double>")
+    got = {r["trip_id"]: r["zone"] for r in trips.assign_zone(t, z, cell=cell).collect()}
+    rings = sorted((c, n, sum(xy, []) if kind == "MultiPolygon" else xy) for c, n, kind, xy in feats if kind != "Point")
+    want = {i: next((n for _, n, r in rings if _inside(x, y, r)), "NA") for i, (x, y) in points}
+    assert got == want and len(set(want.values())) == 6
+
+
+@pytest.mark.parametrize("size", [(7, 5), (2048, 2048)])
+def test_top_n_of_all_users(spark, monkeypatch, size):
+    """Exact against all scores, with repeated item vectors, zero vectors and users who saw nearly all."""
+    from quarry.operators import recommend
+    monkeypatch.setattr(recommend, "ITEM_BLOCK", size[0])
+    monkeypatch.setattr(recommend, "USER_BLOCK", size[1])
+    rng = np.random.default_rng(9)
+    items = rng.integers(-4, 5, (90, 4)).astype(float) * rng.integers(1, 6, (90, 1))
+    items[50:60] = items[0]
+    users = rng.integers(-4, 5, (33, 4)).astype(float)
+    users[3] = items[70] = 0.0
+
+    class Model:
+        itemFactors = spark.createDataFrame([(i + 1, x.tolist()) for i, x in enumerate(items)], "id int, features array<float>")
+        userFactors = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(users)], "id int, features array<float>")
+    seen = [(u, i + 1) for u in range(33) for i in range(90) if rng.random() < 0.2 or (u == 5 and i > 2)]
+    saw = spark.createDataFrame(seen, "user long, item long")
+    got = [(r["user"], r["rank"], r["item"], r["score"]) for r in recommend.top_n_for_users(Model, None, saw, 5).collect()]
+    want = []
+    for u in range(33):
+        free = sorted((-float(users[u] @ items[i - 1]), i) for i in range(1, 91) if (u, i) not in set(seen))[:5]
+        want += [(u, k + 1, i, -s + 0.0) for k, (s, i) in enumerate(free)]
+    assert sorted(got) == sorted(want)
+    some = spark.createDataFrame([(4,), (4,), (77,)], "user long")
+    assert {r["user"] for r in recommend.top_n_for_users(Model, some, saw, 5).collect()} == {4}
