@@ -10,9 +10,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import xxhash
 
 _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 _S33 = np.uint64(33)
+#: bytes from which a word is hashed by itself
+LONG_WORD = 128
 BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 _POWERS: dict[tuple[int, bool], np.ndarray] = {}
 
@@ -79,7 +82,12 @@ def word_hashes(text: str, piece: int = 1 << 20) -> np.ndarray:
 def _words(buf: np.ndarray) -> np.ndarray:
     solid = np.concatenate([[False], buf != 32, [False]])
     edge = np.flatnonzero(solid[1:] != solid[:-1])
-    return Ranges(buf).hash(edge[::2], edge[1::2])
+    start, end = edge[::2], edge[1::2]
+    out = Ranges(buf).hash(start, end)
+    # polynomials modulo 2**64 can collide on long strings, whatever the base
+    for i in np.flatnonzero(end - start >= LONG_WORD):
+        out[i] = xxhash.xxh3_64_intdigest(buf[start[i]:end[i]].tobytes())
+    return out
 
 
 def shingles(words: np.ndarray, k: int) -> np.ndarray:
