@@ -75,24 +75,35 @@ def host_edges(pages: DataFrame) -> DataFrame:
             .groupBy("src", "dst").agg(F.sum("weight").alias("weight")))
 
 
-def personalised_rank(edges: DataFrame, seeds: DataFrame, damping: float = 0.85, rounds: int = 12) -> DataFrame:
+#: steps of the walk between two written ranks
+STEPS = 8
+
+
+def personalised_rank(edges: DataFrame, seeds: DataFrame, damping: float = 0.85, tol: float = 1e-5) -> DataFrame:
     """Edges (src, dst, weight) and seeds (host, mass, summing to 1) ->
-    (host, score): ``rounds`` steps of a walk that restarts at the seeds.
+    (host, score): a walk that restarts at the seeds, until STEPS more steps
+    change the scores by less than ``tol`` in all.
 
-    Sums per host are partial before the shuffle, so a hub that everyone links
+    After r steps at most damping ** r of the mass is unsettled, so the loop
+    ends, and a host of the evidence's chain is only passed by when its score is
+    below ``tol``.  Sums per host are partial before the shuffle, so a hub that everyone links
     to is added up on the map side.  Mass at a host without out-edges restarts.
     """
     out = edges.groupBy("src").agg(F.sum("weight").alias("_all"))
     step = written(edges.join(out, "src").select("src", "dst", (F.col("weight") / F.col("_all")).alias("p")), "walk")
-    rank = seeds.select("host", F.col("mass").alias("score"))
-    for i in range(rounds):
-        moved = (step.join(rank.withColumnRenamed("host", "src"), "src")
-                 .select(F.col("dst").alias("host"), (F.col("score") * F.col("p") * damping).alias("score")))
-        kept = seeds.select("host", (F.col("mass") * (1 - damping)).alias("score"))
-        rank = moved.unionByName(kept).groupBy("host").agg(F.sum("score").alias("score"))
-        if i % 4 == 3:
-            rank = written(rank, "rank")
-    return rank
+    kept = seeds.select("host", (F.col("mass") * (1 - damping)).alias("score"))
+    rank = written(seeds.select("host", F.col("mass").alias("score")), "rank")
+    while True:
+        last = rank
+        for _ in range(STEPS):
+            moved = (step.join(rank.withColumnRenamed("host", "src"), "src")
+                     .select(F.col("dst").alias("host"), (F.col("score") * F.col("p") * damping).alias("score")))
+            rank = moved.unionByName(kept).groupBy("host").agg(F.sum("score").alias("score"))
+        rank = written(rank, "rank")
+        moved = (rank.unionByName(last.select("host", (-F.col("score")).alias("score")))
+                 .groupBy("host").agg(F.sum("score").alias("d")).agg(F.sum(F.abs("d"))).first()[0])
+        if (moved or 0.0) < tol:
+            return rank
 
 
 def _seeds(judged: DataFrame, verdict: str) -> DataFrame:
@@ -101,7 +112,7 @@ def _seeds(judged: DataFrame, verdict: str) -> DataFrame:
     return n.select("host", (F.col("n") / total.scalar()).alias("mass"))
 
 
-def judge(pages: DataFrame, rules=RULES, damping: float = 0.85, rounds: int = 12, bias: float = 1.0) -> DataFrame:
+def judge(pages: DataFrame, rules=RULES, damping: float = 0.85, tol: float = 1e-5, bias: float = 1.0) -> DataFrame:
     """Pages (page_id, url, html) -> page_id, host, path, rule, verdict,
     trust, distrust."""
     host, path = url_parts(F.col("url"))
@@ -111,8 +122,8 @@ def judge(pages: DataFrame, rules=RULES, damping: float = 0.85, rounds: int = 12
     judged = written(p.drop("html"), "judged")
     edges = written(host_edges(p.select("host", "html")), "host-edges")
     back = edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "weight")
-    trust = personalised_rank(edges, _seeds(judged, "allow"), damping, rounds)
-    distrust = personalised_rank(back, _seeds(judged, "block"), damping, rounds)
+    trust = personalised_rank(edges, _seeds(judged, "allow"), damping, tol)
+    distrust = personalised_rank(back, _seeds(judged, "block"), damping, tol)
     score = written(trust.withColumnRenamed("score", "trust")
                     .join(distrust.withColumnRenamed("score", "distrust"), "host", "full"), "host-scores")
     t, d = F.coalesce("trust", F.lit(0.0)), F.coalesce("distrust", F.lit(0.0))
