@@ -15,8 +15,9 @@ gives the gaps between them, and running sums of gaps and matches the places.
 
 Defined results: null and empty texts have no spans; a null doc_id stands for
 itself; rows equal in id and text get equal results, one each; without
-candidates (or with candidates that all vote alike) there are base spans only;
-an empty table gives no rows.  Other columns are never read.
+candidates there are base spans only; where all candidates' evidence lies on one
+side, their own probabilities decide (a tie at ``at`` is a span); very long
+texts are matched whole; an empty table gives no rows.  Other columns are never read.
 """
 
 from __future__ import annotations
@@ -175,7 +176,9 @@ def em(counts: list[tuple[tuple[int, ...], float]], rounds: int = 50) -> tuple[l
 
 def classify(candidates: DataFrame, at: float = 0.5) -> DataFrame | None:
     """Candidates (.., kind, m, left, right) -> those the span classifier
-    accepts, with ``p``; None when nothing can be learned."""
+    accepts, with ``p``; None without candidates.  Where all soft labels lie on
+    one side a classifier has nothing to tell apart, and each candidate's
+    own EM probability decides."""
     spark = candidates.sparkSession
     cols = F.col("kind"), F.col("m"), F.col("left"), F.col("right")
     feats = _features(*cols)
@@ -185,10 +188,13 @@ def classify(candidates: DataFrame, at: float = 0.5) -> DataFrame | None:
         seen = c.where(F.col("kind") == kind).groupBy("votes").agg(F.count(F.lit(1)).alias("n")).collect()
         seen = sorted((tuple(r["votes"]), float(r["n"])) for r in seen)
         soft += [(kind, v, x) for (v, _), x in zip(seen, em(seen)[0])]
-    if not soft or max(x for *_, x in soft) < at or min(x for *_, x in soft) >= at:
+    if not soft:
         return None
     told = spark.sql("SELECT * FROM VALUES " + ", ".join(
         f"('{k}', array({', '.join(map(str, v))}), {x!r}D)" for k, v, x in soft) + " AS t(kind, votes, truth)")
+    if max(x for *_, x in soft) < at or min(x for *_, x in soft) >= at:
+        return (c.join(told, ["kind", "votes"]).where(F.col("truth") >= at)
+                .select("doc_id", "h", "kind", "start", "end", F.col("truth").alias("p")))
     names = list(feats)
     # equal spans are one weighted row: the fit reads a table of feature patterns, not of spans
     rows = (c.groupBy("kind", "votes", *names).agg(F.count(F.lit(1)).alias("n")).join(told, ["kind", "votes"])
