@@ -33,7 +33,7 @@ from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.llm.common import crc_fold, labelled, written
@@ -207,6 +207,10 @@ class Model:
         return out.select(*kept, F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.col("_tox_rise"))).alias("_tox_score"))
 
 
+#: parts of the labelled rows for the calibration
+PARTS = 3
+
+
 def fit(docs: DataFrame, labels: DataFrame, what: str = "toxic", mod: int = 4, held: int = 2, most: int = 20_000,
         trees: int = 20, depth: int = 4) -> Model:
     rows = labelled(docs, labels, what, mod, held, most)
@@ -218,16 +222,24 @@ def fit(docs: DataFrame, labels: DataFrame, what: str = "toxic", mod: int = 4, h
     lexicons = learn_lexicons(rows)
     feats = written(rows.select("doc_id", "text", "fold", "label")
                     .mapInArrow(_training_features(lexicons), "doc_id long, label int, " + FEATURES), "toxic-features")
-    # a third of the texts, dealt by another hash than the folds, is kept for the calibration
-    part = F.pmod(F.xxhash64(F.col("doc_id"), F.lit("rise")), F.lit(3))
-    rare = min(kinds.values()) < 60  # too few to part: both fits read all
-    vectors = _vectors(feats, list(NAMES))
+    # each label's rows are dealt to PARTS parts: a part is scored by trees that have not seen it
+    deal = Window.partitionBy("label").orderBy(F.xxhash64(F.col("doc_id"), F.lit("rise")), "doc_id")
+    vectors = written(_vectors(feats, list(NAMES)).withColumn("part", F.row_number().over(deal) % PARTS), "toxic-vectors")
     grow = GBTClassifier(featuresCol=VEC, predictionCol=CLASS, labelCol="label", maxIter=trees, maxDepth=depth,
                          stepSize=0.2, seed=7, minInstancesPerNode=5).setProbabilityCol(PROB).setRawPredictionCol(RAW)
-    model = Model(lexicons, grow.fit(vectors if rare else vectors.where(part != 0)))
-    held_back = model.margin(vectors if rare else vectors.where(part == 0))
-    points = written(held_back.select("_tox_x", F.col("label").cast("double").alias("label")), "toxic-points")
-    model.rise = IsotonicRegression(featuresCol="_tox_x", labelCol="label", predictionCol="_tox_rise").fit(points)
+    model = Model(lexicons, grow.fit(vectors))
+
+    def unseen(i: int) -> DataFrame:
+        sub = Model(lexicons, grow.fit(vectors.where(F.col("part") != i)))
+        return sub.margin(vectors.where(F.col("part") == i)).select("_tox_x", F.col("label").cast("double").alias("label"))
+    if min(kinds.values()) > 1:
+        points = unseen(0)
+        for i in range(1, PARTS):
+            points = points.unionByName(unseen(i))
+    else:  # a label's only row cannot be both left out and learned from
+        points = model.margin(vectors).select("_tox_x", F.col("label").cast("double").alias("label"))
+    model.rise = IsotonicRegression(featuresCol="_tox_x", labelCol="label", predictionCol="_tox_rise").fit(
+        written(points, "toxic-points"))
     return model
 
 
