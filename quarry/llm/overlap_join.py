@@ -52,8 +52,9 @@ from quarry.llm import bytehash
 from quarry.llm.common import bounded, written
 from quarry.operators.graph import connected_components
 
-#: most shingles of one chunk (8 bytes each, a few times over)
-CHUNK = 1_000_000
+#: most shingles of one chunk (8 bytes each, a few times over); a text travels
+#: once for each chunk that its own meets, so fewer and larger chunks ship less
+CHUNK = 3_000_000
 #: one shingle in so many is counted for the order
 EVERY = 5
 
