@@ -52,11 +52,15 @@ from quarry.llm import bytehash
 from quarry.llm.common import bounded, written
 from quarry.operators.graph import connected_components
 
-#: most shingles of one chunk (8 bytes each, a few times over); a text travels
-#: once for each chunk that its own meets, so fewer and larger chunks ship less
-CHUNK = 3_000_000
-#: one shingle in so many is counted for the order
-EVERY = 5
+#: most shingles of one chunk (8 bytes each, a few times over)
+CHUNK = 1_000_000
+
+
+def counted_share(num: int, den: int) -> int:
+    """One shingle in so many is counted for the order: enough that a set's
+    counted shingles outnumber its prefix by a third, so that a set that
+    shares little has a prefix of shingles that are its own."""
+    return max(1, int(den / (1.3 * (den - num)))) if num < den else 5
 
 
 def _i64(a: np.ndarray) -> np.ndarray:
@@ -130,8 +134,8 @@ def fingerprint(s: np.ndarray) -> tuple[int, int]:
     return int(_i64(a)[0]), int(np.int64(b.view(np.int64)))
 
 
-def _counted(s: np.ndarray) -> np.ndarray:
-    return _i64(s) % EVERY == 0
+def _counted(s: np.ndarray, every: int) -> np.ndarray:
+    return _i64(s) % every == 0
 
 
 PROFILE = "doc_id long, h long, n long, f1 long, f2 long, m long, tokens array<long>"
@@ -141,11 +145,13 @@ def _profile(k: int, num: int, den: int):
     """(doc_id, text, h) -> size, fingerprint and number of counted shingles of
     each set, and its ``tokens``: the counted shingles, and others in the order
     of their hash where those are fewer than a prefix."""
+    every = counted_share(num, den)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows, tok = [], []
             for _, s in _text_sets(batch, k):
-                own = _counted(s)
+                own = _counted(s, every)
                 m = int(own.sum())
                 more = len(s) + ((-num * len(s)) // den) + 1 - m if len(s) else 0
                 rows.append((len(s), *fingerprint(s), m))
@@ -162,7 +168,7 @@ def _shared_prefixes(rows: DataFrame, num: int, den: int) -> DataFrame:
     """(token, v, n, m) of shingles in several classes -> the (token, v)
     that are in the prefixes of several classes."""
     df = rows.groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
-    several = rows.join(df, "token").withColumn("exact", F.pmod("token", F.lit(EVERY)) == 0)
+    several = rows.join(df, "token").withColumn("exact", F.pmod("token", F.lit(counted_share(num, den))) == 0)
     own = Window.partitionBy("v")
     place = F.row_number().over(own.orderBy(F.desc("exact"), "c", "token"))
     prefix = F.col("n") - F.ceil(F.col("n") * num / den) + 1
