@@ -43,12 +43,28 @@ def test_walk_settles(spark):
     edges = spark.createDataFrame([(f"h{i}", f"h{j}", float(w[i, j])) for i in range(n) for j in range(n) if w[i, j]],
                                   "src string, dst string, weight double")
     seeds = spark.createDataFrame([("h0", 0.7), ("h5", 0.3)], "host string, mass double")
-    got = {r["host"]: r["score"] for r in linkgraph.personalised_rank(edges, seeds).collect()}
     s = np.zeros(n)
     s[0], s[5] = 0.7, 0.3
     p = w / w.sum(axis=1, keepdims=True)
     want = np.linalg.solve(np.eye(n) - 0.85 * p.T, 0.15 * s)
-    assert np.abs([got[f"h{i}"] - want[i] for i in range(n)]).sum() < 1e-4
+    for size, tol in (1000, 1e-5), (8, 2e-3):  # one block; blocks that hand mass to each other
+        got = {r["host"]: r["score"] for r in linkgraph.personalised_rank(edges, seeds, tol=tol, size=size).collect()}
+        assert np.abs([got[f"h{i}"] - want[i] for i in range(n)]).sum() < tol
+
+
+def test_hub_and_split_site(spark, monkeypatch):
+    """A hub's edges are dealt over shares and a site over blocks; isolated and empty seeds."""
+    monkeypatch.setattr(linkgraph, "HOT", 3)
+    n = 20
+    e = [("hub.s.net", f"h{i}.s.net", 1.0) for i in range(n)] + [(f"h{i}.s.net", "hub.s.net", 2.0) for i in range(0, n, 2)]
+    edges = spark.createDataFrame(e, "src string, dst string, weight double")
+    seeds = spark.createDataFrame([("hub.s.net", 0.5), ("alone.org", 0.5)], "host string, mass double")
+    got = {r["host"]: r["score"] for r in linkgraph.personalised_rank(edges, seeds, tol=1e-3, size=5).collect()}
+    hub = 0.075 / (1 - 0.85 ** 2 / 2)
+    assert abs(got["hub.s.net"] - hub) < 1e-3 and abs(got["alone.org"] - 0.075) < 1e-12
+    assert all(abs(got[f"h{i}.s.net"] - 0.85 * hub / n) < 1e-3 for i in range(n))
+    assert linkgraph.personalised_rank(edges, seeds.limit(0)).collect() == []
+    assert {r["host"] for r in linkgraph.personalised_rank(edges.limit(0), seeds).collect()} == {"hub.s.net", "alone.org"}
 
 
 def test_keys_alone_are_found(spark):
