@@ -8,7 +8,7 @@ from quarry.operators import anomaly
 from quarry.plans import roles
 from quarry.plans.registry import query
 from quarry.session import shared_dir, stand_in_source
-from quarry.sources import files
+from quarry.sources import results
 from quarry.sources.tables import table
 
 
@@ -26,10 +26,10 @@ def _anomaly_model(spark, d):
     h = anomaly.hasher(COLUMNS)
     mark = ev.agg(F.count(F.lit(1)), F.expr(f"bit_xor(xxhash64({', '.join(COLUMNS)}))"),
                   F.expr(f"sum(cast(xxhash64({', '.join(COLUMNS)}) as decimal(38,0)))")).first()
-    path = shared_dir(spark).rstrip("/") + f"/quarry-models/kmeans-{KMEANS_K}-" + "-".join(map(str, mark))
-    cut = files.load_or_fit(spark, path + "/entries", VectorSlicer,
-                            lambda: anomaly.slicer(anomaly.used_entries(h.transform(ev))))
-    model = files.load_or_fit(spark, path + "/model", KMeansModel, lambda: anomaly.fit_kmeans(
+    key = f"{KMEANS_K}-" + "-".join(map(str, mark))
+    cut = results.load_or_fit(spark, "entries", key, VectorSlicer,
+                              lambda: anomaly.slicer(anomaly.used_entries(h.transform(ev))))
+    model = results.load_or_fit(spark, "kmeans", key, KMeansModel, lambda: anomaly.fit_kmeans(
         cut.transform(h.transform(ev)).select("used").checkpoint(), KMEANS_K, 1))
     return h, cut, model
 

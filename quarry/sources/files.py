@@ -1,5 +1,5 @@
 """File sources and sinks: CSV / text / JSON / XML / binary scans with explicit
-schemas, write-then-read materialisation, and model load-or-fit.
+schemas.
 
 All paths are expected to be on storage every executor sees (the shared
 folder from ``quarry.session.shared_dir``), never a machine-local temp dir.
@@ -7,8 +7,6 @@ folder from ``quarry.session.shared_dir``), never a machine-local temp dir.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -85,28 +83,3 @@ def read_binary(spark: SparkSession, path: str, glob: str | None = None) -> Data
     if glob:
         r = r.option("pathGlobFilter", glob)
     return r.load(path)
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(hpath)
-
-
-def materialize(spark: SparkSession, path: str, schema: T.StructType,
-                compute: Callable[[], DataFrame]) -> DataFrame:
-    """Compute-or-load a result table as Parquet.  The reload always uses the
-    given schema, so a later run sees the same types as the first one."""
-    if not _exists(spark, path):
-        compute().write.mode("overwrite").parquet(path)
-    return spark.read.schema(schema).parquet(path)
-
-
-def load_or_fit(spark: SparkSession, path: str, loader, fit: Callable[[], object]):
-    """Load a saved ML model, else fit it and save it for the next run."""
-    if _exists(spark, path):
-        return loader.load(path)
-    model = fit()
-    model.write().overwrite().save(path)
-    return model
