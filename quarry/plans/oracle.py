@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from quarry.operators import lemmas
+
 ORACLE: dict[str, str] = {}
 
 _BASKETS = """
@@ -519,6 +521,20 @@ tw AS (SELECT *, tf * idf AS tfidf FROM ti)
 
 ORACLE["tokens"] = f"WITH {_TEXT} SELECT doc_id, term, tf FROM tf"
 
+_FORMS = ", ".join(str(f) for f in lemmas.FORMS)
+_ENDINGS = ", ".join(str(e) for e in lemmas.ENDINGS)
+ORACLE["lemmas"] = f"""WITH {_TEXT},
+forms(lang, form, lemma) AS (VALUES {_FORMS}),
+endings(lang, suffix, ending) AS (VALUES {_ENDINGS}),
+words AS (SELECT DISTINCT coalesce(lang, '') AS lang, term FROM tf JOIN documents USING (doc_id)),
+ruled AS (SELECT w.lang, w.term, arg_max(left(w.term, length(w.term) - length(suffix)) || ending, length(suffix)) AS lemma
+          FROM words w JOIN endings e ON e.lang = w.lang AND suffix(w.term, e.suffix)
+          WHERE length(w.term) - length(e.suffix) >= {lemmas.STEM} GROUP BY 1, 2),
+found AS (SELECT w.lang, w.term, coalesce(f.lemma, r.lemma, w.term) AS lemma FROM words w
+          LEFT JOIN forms f ON f.lang = w.lang AND f.form = w.term LEFT JOIN ruled r ON r.lang = w.lang AND r.term = w.term)
+SELECT tf.doc_id, f.lemma, CAST(sum(tf.tf) AS BIGINT) AS tf FROM tf JOIN documents d USING (doc_id)
+JOIN found f ON f.lang = coalesce(d.lang, '') AND f.term = tf.term GROUP BY 1, 2"""
+
 ORACLE["tfidf"] = f"""WITH {_TEXT}
 SELECT doc_id, term, tf, round(idf, 6) AS idf, round(tfidf, 6) AS tfidf FROM tw"""
 

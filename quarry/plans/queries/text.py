@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from quarry.operators import lemmas as lemma_ops
 from quarry.operators import text
 from quarry.plans import roles
 from quarry.plans.registry import query
 from quarry.session import stand_in_source
+from quarry.sources.tables import table
 
 
 VOCAB_SIZE = 20
@@ -33,6 +35,14 @@ def tokens(spark, d):
     return _tf(spark, d)
 
 
+@query("lemmas")
+def lemmas(spark, d):
+    """Counts per document and lemma, over the words of every document."""
+    langs = table(spark, d, "documents", "doc_id", "lang")
+    return lemma_ops.lemma_counts(_tf(spark, d).join(langs, "doc_id"), lemma_ops.form_table(spark),
+                                  lemma_ops.ending_table(spark))
+
+
 @query("tfidf")
 def tfidf(spark, d):
     t = _tfidf(spark, d)
