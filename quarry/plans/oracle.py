@@ -234,6 +234,46 @@ SELECT field, round(m, 4) AS m, round(u, 4) AS u,
 FROM x
 """
 
+_PAIRS = """
+pair AS (SELECT a.c_custkey AS id1, a.c_mktsegment = b.c_mktsegment AS matched,
+                a.c_acctbal >= 0 AND b.c_acctbal >= 0 AS ok,
+                CAST(round(a.c_acctbal * 100.0) AS BIGINT) AS ca, CAST(round(b.c_acctbal * 100.0) AS BIGINT) AS cb,
+                a.c_nationkey AS na, b.c_nationkey AS nb, a.c_name AS xa, b.c_name AS xb,
+                a.c_acctbal AS ba, b.c_acctbal AS bb
+         FROM customer a JOIN customer b ON b.c_custkey = a.c_custkey + 1),
+score AS (
+  SELECT matched, 0 AS pos, (na = nb)::INT::DOUBLE AS s FROM pair
+  UNION ALL SELECT matched, 1, (na % 5 = nb % 5)::INT FROM pair
+  UNION ALL SELECT matched, 2, (right(xa, 1) = right(xb, 1))::INT FROM pair
+  UNION ALL SELECT matched, 3, (id1 // 10 = (id1 + 1) // 10)::INT FROM pair
+  UNION ALL SELECT matched, 4, CASE WHEN ok THEN greatest(0, 100 - floor(abs(ca - cb) / 10000.0)) / 100.0 END FROM pair
+  UNION ALL SELECT matched, 5, CASE WHEN ok THEN (floor(ba / 1000.0) = floor(bb / 1000.0))::INT END FROM pair
+  UNION ALL SELECT matched, 6, CASE WHEN ok THEN (ca % 10 = cb % 10)::INT END FROM pair
+  UNION ALL SELECT matched, 7, ((ba >= 0) = (bb >= 0))::INT FROM pair
+  UNION ALL SELECT matched, 8, CASE WHEN na < 20 THEN (substr(xa, -2, 1) = substr(xb, -2, 1))::INT END FROM pair)"""
+
+ORACLE["pair_scores"] = f"""
+WITH {_PAIRS}
+SELECT matched, pos, count(s) AS cnt, count(*) - count(s) AS missing, round(avg(s), 4) AS mean,
+       round(stddev_pop(s), 4) AS stdev, round(min(s), 4) AS min, round(max(s), 4) AS max
+FROM score GROUP BY matched, pos
+"""
+
+ORACLE["pair_weights"] = f"""
+WITH {_PAIRS},
+f AS (SELECT pos, count(*) FILTER (WHERE s = 1) / count(*)::DOUBLE AS u,
+             count(*) FILTER (WHERE s = 1 AND matched) / (count(*) FILTER (WHERE matched))::DOUBLE AS m
+      FROM score GROUP BY pos),
+x AS (SELECT *, (m > 0 AND m < 1 AND u > 0 AND u < 1) AS ok FROM f)
+SELECT ['s_nation', 's_zone', 's_name', 's_decade', 's_balance', 's_band', 's_cents', 's_sign', 's_tens'][pos + 1] AS field,
+       round(m, 4) AS m, round(u, 4) AS u,
+       round(CASE WHEN ok THEN m / u END, 4) AS match_ratio,
+       round(CASE WHEN ok THEN log2(m / u) END, 4) AS match_weight,
+       round(CASE WHEN ok THEN (1 - m) / (1 - u) END, 4) AS nonmatch_ratio,
+       round(CASE WHEN ok THEN log2((1 - m) / (1 - u)) END, 4) AS nonmatch_weight
+FROM x
+"""
+
 ORACLE["xml_topics"] = """
 SELECT l.l_orderkey AS basket, p.p_name AS topic
 FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey WHERE l.l_quantity >= 25
@@ -274,6 +314,8 @@ _RISK = "WITH " + _series("s", _STOCK_SRC) + "," + _series("f", _FACTOR_SRC)
 ORACLE["bday_fill"] = _RISK + """
 SELECT instrument, date, price FROM s_filled"""
 
+ORACLE["price_folder"] = ORACLE["bday_fill"]
+
 ORACLE["horizon_returns"] = _RISK + """
 SELECT instrument, date, round(ret, 8) AS ret FROM s_ret"""
 

@@ -8,7 +8,7 @@ from quarry.operators import linkage
 from quarry.plans import roles
 from quarry.plans.registry import query, r4
 from quarry.session import shared_dir, stand_in_source
-from quarry.sources import files
+from quarry.sources import files, formats
 
 
 def _link_counts(spark, d):
@@ -49,3 +49,27 @@ def match_weights(spark, d):
     u_long = wide.unpivot([], fields, "field", "u")
     w = linkage.match_weights(_link_counts(spark, d), u_long)
     return w.select("field", *[r4(c).alias(c) for c in w.columns if c != "field"])
+
+
+def _pairs(spark, d):
+    path = stand_in_source(spark, "pairs", d, lambda p: files.write_lines(roles.pair_lines(spark, d), p))
+    return formats.linkage_pairs(spark, path)
+
+
+@query("pair_scores")
+def pair_scores(spark, d):
+    """Scored record pairs read from their CSV: statistics per score and flag."""
+    s = linkage.score_stats(_pairs(spark, d))
+    return s.select("matched", "pos", "cnt", "missing", *[r4(c).alias(c) for c in ("mean", "stdev", "min", "max")])
+
+
+@query("pair_weights")
+def pair_weights(spark, d):
+    """Match weights from the scored pairs' own agreement: m among matched
+    pairs, u among all."""
+    pairs = _pairs(spark, d)
+    u = (pairs.select(F.posexplode("scores").alias("pos", "s")).groupBy("pos")
+         .agg((F.count_if(F.col("s") == 1.0).cast("double") / F.count(F.lit(1))).alias("u")))
+    names = F.get(F.array(*[F.lit(x) for x in roles.PAIR_FIELDS]), F.col("pos"))
+    w = linkage.weights_from_scores(pairs, u.select("pos", names.alias("field"), "u"))
+    return w.select("field", *[r4(c).alias(c) for c in w.columns if c != "field"])

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quarry.operators import risk
+from quarry.operators import risk, tiles
 from quarry.plans import roles
 from quarry.plans.registry import query
+from quarry.session import stand_in_source
+from quarry.sources import formats
 
 
 def _filled(spark, d, factors=False):
@@ -81,6 +83,26 @@ def scenario_returns(spark, d):
     return _scenarios(spark, d)
 
 
+@query("scenario_returns_fine")
+def scenario_returns_fine(spark, d):
+    """Some 625 factors (nation, segment, priority), covariance and draws by
+    tiles, valued for a portfolio by order value."""
+    q = risk.fill_calendar(roles.fine_factor_quotes(spark, d), roles.RISK_START, roles.RISK_END)
+    fr = risk.horizon_returns(q, 10).checkpoint()
+    index = tiles.factor_index(fr)
+    low = tiles.cholesky_tiles(tiles.covariance_tiles(fr, index), index.count())
+    return tiles.tiled_scenario_returns(roles.trials(spark, d), low, risk.factor_means(fr),
+                                        roles.fine_factor_weights(spark, d), index)
+
+
+@query("price_folder")
+def price_folder(spark, d):
+    """Per-instrument price files read back and filled onto the calendar."""
+    path = stand_in_source(spark, "prices", d, lambda p: roles.price_files(spark, d, p))
+    q = formats.price_folder(spark, path, "dd-MMM-yyyy", folders=True)
+    return risk.fill_calendar(q, roles.RISK_START, roles.RISK_END).select("instrument", "date", "price")
+
+
 @query("scenario_var")
 def scenario_var(spark, d):
     return risk.var_cvar(_scenarios(spark, d))

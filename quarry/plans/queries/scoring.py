@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from quarry.functions.expr import hash_uniform
 from quarry.operators import classify, scoring
 from quarry.plans.registry import query
 from quarry.session import stand_in_source
@@ -11,42 +12,33 @@ from quarry.sources import files
 from quarry.sources.tables import table
 
 
-def _image_sets(spark, d):
-    """Two classes written to one folder each - 'tulips' (label >= 5, class 1)
-    and 'daisy' (label < 5, class 0), so every embedding is used - and read
-    back with the class taken from the folder name; a deterministic 60/40
-    split per class; train and test are unions by name."""
-    from quarry.functions.expr import hash_uniform
+def _class_folders(spark, d):
+    """The embeddings as files in a folder per class: labels of 5 and more,
+    and the others."""
     e = table(spark, d, "embeddings", "vec_id", "embedding", "label")
+    kind = F.when(F.col("label") >= 5, "high").otherwise("low").alias("kind")
+    return stand_in_source(spark, "classes", d, lambda root: e.select("vec_id", "embedding", kind)
+                           .write.mode("overwrite").partitionBy("kind").parquet(root))
 
-    def write(root):
-        e.where(F.col("label") >= 5).drop("label").write.mode("overwrite").parquet(f"{root}/tulips")
-        e.where(F.col("label") < 5).drop("label").write.mode("overwrite").parquet(f"{root}/daisy")
-    root = stand_in_source(spark, "images", d, write)
-    parts = []
-    for name in ("tulips", "daisy"):
-        x = spark.read.parquet(f"{root}/{name}").select("*", F.col("_metadata.file_path").alias("path"))
-        x = x.withColumn("label", F.when(F.col("path").contains("/tulips/"), 1.0).otherwise(0.0))
-        x = x.withColumn("is_train", hash_uniform(F.col("vec_id"), F.lit("img")) < 0.6)
-        parts.append(x)
-    train = parts[0].where("is_train").unionByName(parts[1].where("is_train"))
-    test = parts[0].where("not is_train").unionByName(parts[1].where("not is_train"))
-    return train, test, root
+
+def _labelled(spark, d):
+    """One frame: the class is its folder's, ``is_train`` a hash draw of 60 %."""
+    x = spark.read.parquet(_class_folders(spark, d))
+    return x.select("vec_id", "embedding", (F.col("kind") == "high").cast("double").alias("label"),
+                    (hash_uniform(F.col("vec_id"), F.lit("img")) < 0.6).alias("is_train"))
 
 
 @query("image_files")
 def image_files(spark, d):
     """binaryFile scan of the class folders: path, length, label from the folder."""
-    _, _, root = _image_sets(spark, d)
-    b = files.read_binary(spark, root, "*.parquet")
-    return b.select("path", "length",
-                    F.when(F.col("path").contains("/tulips/"), 1).otherwise(0).alias("label"))
+    b = files.read_binary(spark, _class_folders(spark, d), "*.parquet")
+    return b.select("path", "length", F.col("path").contains("/kind=high/").cast("int").alias("label"))
 
 
 def _fitted(spark, d):
-    train, test, _ = _image_sets(spark, d)
-    model = scoring.feature_lr_pipeline(1, 0.05, 0.3).fit(train)
-    return model, model.transform(test)
+    x = _labelled(spark, d)
+    model = scoring.feature_lr_pipeline(1, 0.05, 0.3).fit(x.where("is_train"))
+    return model, model.transform(x.where("not is_train"))
 
 
 @query("embed_pipeline")

@@ -78,7 +78,9 @@ def concept_terms(spark, d):
 def concept_docs(spark, d):
     (u, v, s), t = _svd(spark, d)
     top = text.top_per_concept(u, "doc_id", 10)
-    return top.select("concept", "rank", "doc_id", F.round("weight", 6).alias("weight"))
+    title = F.substring(F.trim(F.regexp_extract("text", r"^\s*([^\r\n]*)", 1)), 1, 80)
+    titles = roles.corpus(spark, d).select("doc_id", title.alias("title"))
+    return top.join(titles, "doc_id").select("concept", "rank", "doc_id", "title", F.round("weight", 6).alias("weight"))
 
 
 @query("concept_terms_all")

@@ -118,6 +118,7 @@ def linkage_records(spark: SparkSession, d: str) -> DataFrame:
         F.when(ok, F.pmod(F.round(F.col("c_acctbal") * 100.0).cast("long"), F.lit(10))).alias("f_cents"))
 
 
+PAIR_FIELDS = ["s_nation", "s_zone", "s_name", "s_decade", "s_balance", "s_band", "s_cents", "s_sign", "s_tens"]
 LINK_HEADER = '"id","block","f_band","f_tail","f_cents","segment"'
 
 
@@ -131,6 +132,40 @@ def linkage_lines(spark: SparkSession, d: str) -> DataFrame:
     return head.unionByName(body)
 
 
+def pair_lines(spark: SparkSession, d: str) -> DataFrame:
+    """Candidate record pairs as CSV text: customers with neighbouring numbers,
+    nine comparison scores ('?' = missing), TRUE where their segments agree,
+    and a quoted header line inside the data.  Scores are 1 or 0 for agreement,
+    but the fifth, a similarity of the balances in hundredths."""
+    c = table(spark, d, "customer", "c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
+    a = c.select([F.col(x).alias(x.replace("c_", "a_")) for x in c.columns])
+    b = c.select([F.col(x).alias(x.replace("c_", "b_")) for x in c.columns])
+    p = a.join(b, F.col("b_custkey") == F.col("a_custkey") + 1)
+    ok = (F.col("a_acctbal") >= 0) & (F.col("b_acctbal") >= 0)
+
+    def cents(x):
+        return F.round(F.col(x) * 100.0).cast("long")
+
+    def same(x, y):
+        return F.when(x == y, 1).otherwise(0)
+    gap = F.abs(cents("a_acctbal") - cents("b_acctbal"))
+    near = F.greatest(F.lit(0), F.lit(100) - F.floor(gap / F.lit(10000.0)).cast("int"))
+    scores = [same(F.col("a_nationkey"), F.col("b_nationkey")),
+              same(F.col("a_nationkey") % 5, F.col("b_nationkey") % 5),
+              same(F.substring("a_name", -1, 1), F.substring("b_name", -1, 1)),
+              same(F.floor(F.col("a_custkey") / 10), F.floor(F.col("b_custkey") / 10)),
+              F.when(ok, near.cast("double") / 100.0),
+              F.when(ok, same(F.floor(F.col("a_acctbal") / 1000.0), F.floor(F.col("b_acctbal") / 1000.0))),
+              F.when(ok, same(F.pmod(cents("a_acctbal"), F.lit(10)), F.pmod(cents("b_acctbal"), F.lit(10)))),
+              same(F.col("a_acctbal") >= 0, F.col("b_acctbal") >= 0),
+              F.when(F.col("a_nationkey") < 20, same(F.substring("a_name", -2, 1), F.substring("b_name", -2, 1)))]
+    same_segment = F.when(F.col("a_mktsegment") == F.col("b_mktsegment"), "TRUE").otherwise("FALSE")
+    body = p.select(F.concat_ws(",", F.col("a_custkey").cast("string"), F.col("b_custkey").cast("string"),
+                                *[F.coalesce(x.cast("string"), F.lit("?")) for x in scores], same_segment).alias("value"))
+    names = ["id1", "id2", *PAIR_FIELDS, "matched"]
+    return spark.createDataFrame([(",".join(f'"{x}"' for x in names),)], "value string").unionByName(body)
+
+
 # ------------------------------------------------------------ citations XML
 
 def citation_records(spark: SparkSession, d: str) -> DataFrame:
@@ -188,6 +223,41 @@ def factor_quotes(spark: SparkSession, d: str) -> DataFrame:
     return daily_quotes(x, "c_mktsegment", "o_orderdate", "o_totalprice", scale=100)
 
 
+def fine_factor_quotes(spark: SparkSession, d: str) -> DataFrame:
+    """Factor = customer nation, segment and order priority (some 625 factors);
+    price = daily mean order total."""
+    from quarry.operators.risk import daily_quotes
+    return daily_quotes(_fine_orders(spark, d), "factor", "o_orderdate", "o_totalprice", scale=100)
+
+
+def _fine_orders(spark: SparkSession, d: str) -> DataFrame:
+    o = table(spark, d, "orders", "o_custkey", "o_orderdate", "o_totalprice", "o_orderpriority")
+    c = table(spark, d, "customer", "c_custkey", "c_nationkey", "c_mktsegment")
+    factor = F.concat_ws("|", "c_nationkey", "c_mktsegment", "o_orderpriority").alias("factor")
+    return o.join(c, o.o_custkey == c.c_custkey).select(factor, "o_orderdate", "o_totalprice")
+
+
+def fine_factor_weights(spark: SparkSession, d: str) -> DataFrame:
+    """A portfolio holding each factor by its share of the order value."""
+    x = _fine_orders(spark, d).groupBy("factor").agg(F.sum("o_totalprice").alias("value"))
+    total = x.select(F.sum("value")).scalar()
+    return x.select("factor", F.lit(0.0).alias("square"), F.lit(0.0).alias("root"), (F.col("value") / total).alias("raw"))
+
+
+def price_files(spark: SparkSession, d: str, path: str) -> str:
+    """The stock quotes as one folder of CSV files per instrument, newest
+    first, dates as dd-MMM-yyyy; each instrument's first day has a second row
+    without a price."""
+    q = stock_quotes(spark, d)
+    bad = q.groupBy("instrument").agg(F.min("date").alias("date")).withColumn("price", F.lit(None).cast("double"))
+    x = q.unionByName(bad)
+    x = x.repartitionByRange("instrument", F.col("date").desc()).sortWithinPartitions("instrument", F.col("date").desc())
+    (x.select("instrument", F.date_format("date", "dd-MMM-yyyy").alias("date"),
+              F.coalesce(F.col("price").cast("string"), F.lit("-")).alias("open"))
+     .write.mode("overwrite").option("header", True).partitionBy("instrument").csv(path))
+    return path
+
+
 def trials(spark: SparkSession, d: str) -> DataFrame:
     """One Monte Carlo trial per order: the trial count grows with the data."""
     return table(spark, d, "orders", "o_orderkey").select(F.col("o_orderkey").alias("trial"))

@@ -159,14 +159,16 @@ def geojson_zones(spark: SparkSession, path: str, code: str = "boroughCode",
     return f.select("zone_code", "zone", F.flatten("parts").alias("rings"), area.alias("area"))
 
 
-def price_folder(spark: SparkSession, path: str) -> DataFrame:
+def price_folder(spark: SparkSession, path: str, date_format: str = "dd-MMM-yy", folders: bool = False) -> DataFrame:
     """A folder of per-instrument CSVs (header, newest first, possibly with a
     byte-order mark): instrument = file name without extension, date parsed
-    as dd-MMM-yy, price = the first value column; unparsable rows dropped.
-    Order is irrelevant here: the calendar fill orders by date."""
+    as ``date_format``, price = the first value column; unparsable rows dropped.
+    With ``folders`` an instrument has a folder ``instrument=<name>`` of any
+    number of files.  Order is irrelevant here: the calendar fill orders by
+    date."""
     raw = read_csv(spark, path, string_schema("date", "open"), header=True)
-    fname = F.regexp_extract(F.col("_metadata.file_name"), r"^(.*?)(\.[^.]*)?$", 1)
-    date = F.try_to_timestamp(F.regexp_replace("date", "^﻿", ""), F.lit("dd-MMM-yy"))
+    fname = F.col("instrument") if folders else F.regexp_extract(F.col("_metadata.file_name"), r"^(.*?)(\.[^.]*)?$", 1)
+    date = F.try_to_timestamp(F.regexp_replace("date", "^﻿", ""), F.lit(date_format))
     return (raw.select(fname.alias("instrument"), F.to_date(date).alias("date"),
                        F.col("open").try_cast("double").alias("price"))
             .where(F.col("date").isNotNull() & F.col("price").isNotNull()))
