@@ -23,8 +23,10 @@ hold every match:
    starts at like distance from the minimiser; only slices whose common bytes
    occur again go on.  They are laid out, in document order, in a buffer with
    the others of their key; the suffix order of the buffer's starts, compared
-   to ``length`` bytes, is built by prefix doubling.  Entries of equal rank are in text order, so an entry's previous
-   smaller position of LPF >= ``length`` is the entry before it.
+   to ``length`` bytes, is built by prefix doubling, whose steps also give the
+   common prefixes of neighbours; previous and next smaller positions then give
+   each start's LPF (and, seen from the end of the text, its longest later
+   match), both counted to ``length``.
 4. A key with more slices than ``wide`` is not laid out in one buffer: its
    starts are spread over the cluster by the hash of their strings, where the
    smallest start of each string is its earliest.
@@ -49,7 +51,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.llm import bytehash
-from quarry.llm.common import bounded, sized, written
+from quarry.llm.common import bounded, sized, spread_join, written
 
 #: starts handled at once in a long document; positions fit the low 20 bits
 PIECE = 1 << 20
@@ -150,35 +152,92 @@ def _cut_runs(length: int, slice_: int):
     return run
 
 
-def truncated_order(buf: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
+def suffix_order(buf: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndarray, list]:
     """Ranks of the ``length``-byte strings at ``starts`` in lexicographic
-    order (equal strings, equal rank), by prefix doubling."""
+    order (equal strings, equal rank), by prefix doubling, and the steps on the
+    way: (bytes compared, rank of every position by them)."""
     n = len(buf)
     rank = np.zeros(n + length, dtype=np.uint64)  # past the end: zeros, never inside a start's string
     for i in range(min(8, length)):               # the first 8 bytes as one number
         rank[:n - i] |= buf[i:].astype(np.uint64) << np.uint64(8 * (7 - i))
     have = min(8, length)
     rank[:n] = np.unique(rank[:n], return_inverse=True)[1]
+    steps = [(have, rank.astype(np.uint32))]
     while have < length:
         step = min(have, length - have)
         pair = (rank[:n] << np.uint64(32)) | rank[step:n + step]
-        if have + step == length:
-            return np.unique(pair[starts], return_inverse=True)[1]
-        rank[:n] = np.unique(pair, return_inverse=True)[1]
         have += step
-    return np.unique(rank[starts], return_inverse=True)[1]
+        if have == length:
+            return np.unique(pair[starts], return_inverse=True)[1], steps
+        rank[:n] = np.unique(pair, return_inverse=True)[1]
+        steps.append((have, rank.astype(np.uint32)))
+    return np.unique(rank[starts], return_inverse=True)[1], steps
+
+
+def neighbour_lcp(buf: np.ndarray, at: np.ndarray, same: np.ndarray, steps: list, length: int) -> np.ndarray:
+    """Common prefix, to ``length`` bytes, of each entry of suffix order (text
+    positions ``at``) and the next: the doubling steps from the longest down,
+    then single bytes."""
+    a, b = at[:-1], at[1:]
+    off = np.zeros(len(a), dtype=np.int64)
+    last = len(steps[0][1]) - 1
+    for have, rank in reversed(steps):
+        off += np.where(rank[np.minimum(a + off, last)] == rank[np.minimum(b + off, last)], have, 0)
+    more, end = np.ones(len(a), bool), len(buf) - 1
+    for _ in range(7):
+        more &= buf[np.minimum(a + off, end)] == buf[np.minimum(b + off, end)]
+        off += more
+    return np.where(same, length, np.minimum(off, length - 1))
+
+
+def _to_smaller(key: np.ndarray, lcp: np.ndarray, most: int) -> np.ndarray:
+    """For each entry, the common prefix with the previous entry of a smaller
+    key (0 if there is none): windows of 2^l entries before it whose minimum
+    is not smaller are passed over, the widest first, and the least LCP over
+    what is passed is carried along."""
+    m = len(key)
+    low, reach = [key], [lcp]                     # minima of windows of 1, 2, 4, .. entries and their LCPs
+    while 2 << (len(low) - 1) <= m:
+        w = 1 << (len(low) - 1)
+        low.append(np.minimum(low[-1][:-w], low[-1][w:]))
+        reach.append(np.minimum(reach[-1][:len(reach[-1]) - w], reach[-1][w:]))
+    cur = np.arange(m)
+    got = np.full(m, most, dtype=np.int64)
+    for level in range(len(low) - 1, -1, -1):
+        j = cur - (1 << level)
+        i = np.flatnonzero(j >= 0)
+        i = i[low[level][j[i]] > key[i]]
+        got[i] = np.minimum(got[i], reach[level][j[i]])
+        cur[i] = j[i]
+    first = cur == 0
+    got[~first] = np.minimum(got[~first], lcp[cur[~first] - 1])
+    got[first] = 0
+    return got
+
+
+def previous_factors(order: np.ndarray, lcp: np.ndarray, length: int, later: bool = False) -> np.ndarray:
+    """LPF of each start (to ``length``): ``order`` lists the starts, numbered
+    in text order, in suffix order, ``lcp`` the common prefix of neighbours.
+    Among earlier starts the longest matches are the previous and the next
+    smaller position in suffix order.  With ``later``, the longest match with a
+    later start instead."""
+    key = -order if later else order
+    before = _to_smaller(key, lcp, length)
+    after = _to_smaller(key[::-1], lcp[::-1], length)[::-1]
+    out = np.empty(len(order), dtype=np.int64)
+    out[order] = np.maximum(before, after)
+    return out
 
 
 def repeated_starts(buf: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """For starts in text order: whether LPF >= length (an earlier match), and
     whether a later start matches as far."""
-    rank = truncated_order(buf, starts, length)
+    rank, steps = suffix_order(buf, starts, length)
     order = np.argsort(rank, kind="stable")       # suffix order, ties by position
     same = rank[order[1:]] == rank[order[:-1]]
-    earlier, later = np.zeros(len(starts), bool), np.zeros(len(starts), bool)
-    earlier[order[1:]] = same                     # the entry before is the previous smaller position
-    later[order[:-1]] = same
-    return earlier, later
+    lcp = neighbour_lcp(buf, starts[order], same, steps, length)
+    return (previous_factors(order, lcp, length) >= length,
+            previous_factors(order, lcp, length, later=True) >= length)
 
 
 CUT = "doc_id long, h long, key long, first int, bytes binary"
@@ -198,31 +257,42 @@ def _spans_of(flag: np.ndarray, owner: np.ndarray, pos: np.ndarray):
 def _sort_buffers(length: int, keep: str):
     """Slices sorted by (key, document order) -> flagged starts.  A buffer ends
     where a key ends."""
-    def flush(rows) -> pa.RecordBatch:
-        data = [np.frombuffer(r["bytes"], np.uint8) for r in rows]
-        size = np.array([len(d) for d in data])
-        base = np.concatenate([[0], np.cumsum(size)[:-1]])
+    def flush(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        rows = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+        col = rows.column("bytes")
+        ends = np.frombuffer(col.buffers()[1], np.int32)[col.offset:col.offset + len(col) + 1]
+        size = np.diff(ends)
         count = size - length + 1
-        owner = np.repeat(np.arange(len(rows)), count)
+        owner = np.repeat(np.arange(len(size)), count)
         inside = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-        earlier, later = repeated_starts(np.concatenate(data), base[owner] + inside, length)
+        buf = np.frombuffer(col.buffers()[2], np.uint8)[ends[0]:ends[-1]]
+        earlier, later = repeated_starts(buf, (ends[:-1] - ends[0])[owner] + inside, length)
         a, b = _spans_of(earlier if keep == "first" else earlier | later, owner, inside)
-        who = owner[a]
-        lead = np.array([r["first"] for r in rows], np.int64)
+        lead = rows.column("first").to_numpy()
+        who = pa.array(owner[a])
         return pa.RecordBatch.from_arrays(
-            [pa.array([rows[i]["doc_id"] for i in who], pa.int64()), pa.array([rows[i]["h"] for i in who], pa.int64()),
-             pa.array((lead[who] + inside[a]).astype(np.int32)), pa.array((lead[who] + inside[b]).astype(np.int32))],
+            [rows.column("doc_id").take(who), rows.column("h").take(who),
+             pa.array((lead[owner[a]] + inside[a]).astype(np.int32)), pa.array((lead[owner[b]] + inside[b]).astype(np.int32))],
             names=["doc_id", "h", "first", "last"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
+        held, size, key = [], 0, None
         for batch in batches:
-            for r in batch.to_pylist():
-                if held and size >= BUFFER and r["key"] != held[-1]["key"]:
+            if not batch.num_rows:
+                continue
+            keys = batch.column("key").to_numpy()
+            cuts = np.append(np.flatnonzero(keys[1:] != keys[:-1]) + 1, len(keys))
+            bytes_ = batch.column("bytes").nbytes / len(keys)
+            at = 0
+            for cut in [0, *cuts]:                # the rows before ``cut`` are whole keys, but perhaps the last
+                if cut < len(keys) and keys[cut] != key and size + (cut - at) * bytes_ >= BUFFER:
+                    if cut > at:
+                        held.append(batch.slice(at, cut - at))
                     yield flush(held)
-                    held, size = [], 0
-                held.append(r)
-                size += len(r["bytes"])
+                    held, size, at = [], 0, cut
+            held.append(batch.slice(at))
+            size += (len(keys) - at) * bytes_
+            key = keys[-1]
         if held:
             yield flush(held)
     return run
@@ -253,11 +323,12 @@ def flagged_starts(docs: DataFrame, length: int, keep: str, w: int, k: int, wide
     strings are to be removed, as ranges."""
     found = written(docs.mapInArrow(_find_runs(length, w, k), RUN), "runs")
     again = (found.groupBy("core").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("core"))
-    some = written(found.join(again, "core"), "repeated-cores")
+    again = written(again.withColumn("again", F.lit(True)), "again")
+    some = written(spread_join(found, again, "core").where("again").drop("again"), "repeated-cores")
     cls = (some.groupBy("core", "whole")
            .agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(_place().alias("at"), "last", "anchor")).alias("one")))
     cls = written(cls.select("core", "whole", "n", "one.at", F.col("one.last").alias("end"), "one.anchor"), "classes")
-    copies = some.join(cls.where("n > 1").select("core", "whole", "at"), ["core", "whole"])
+    copies = spread_join(some, cls.where("n > 1").select("core", "whole", "at"), "core", "whole").where("at is not null")
     if keep == "first":
         copies = copies.where(~_place().eqNullSafe(F.col("at")))
     whole = copies.select("doc_id", "h", "first", "last")

@@ -67,11 +67,62 @@ def test_truncated_order(data, length):
     starts = np.arange(max(0, len(buf) - length + 1))
     if not len(starts):
         return
-    rank = lpf.truncated_order(buf, starts, length)
+    rank, _ = lpf.suffix_order(buf, starts, length)
     cut = [data[p:p + length] for p in starts]
     assert list(rank) == [sorted(set(cut)).index(c) for c in cut]
 
 
+@settings(max_examples=80, deadline=None)
+@given(st.binary(min_size=1, max_size=160).map(lambda b: bytes(x % 3 for x in b)), st.integers(1, 40))
+def test_longest_previous_factors(data, length):
+    buf = np.frombuffer(data, np.uint8)
+    starts = np.arange(max(0, len(buf) - length + 1))
+    if not len(starts):
+        return
+
+    def common(a, b):
+        n = 0
+        while n < length and data[a + n] == data[b + n]:
+            n += 1
+        return n
+    rank, steps = lpf.suffix_order(buf, starts, length)
+    order = np.argsort(rank, kind="stable")
+    lcp = lpf.neighbour_lcp(buf, starts[order], rank[order[1:]] == rank[order[:-1]], steps, length)
+    assert list(lcp) == [common(a, b) for a, b in zip(order, order[1:])]
+    assert list(lpf.previous_factors(order, lcp, length)) == [
+        max([common(p, q) for q in range(p)], default=0) for p in starts]
+    assert list(lpf.previous_factors(order, lcp, length, later=True)) == [
+        max([common(p, q) for q in range(p + 1, len(starts))], default=0) for p in starts]
+
+
+def test_buffers_end_where_a_key_ends(monkeypatch):
+    import pyarrow as pa
+    rng = np.random.default_rng(0)
+    rows = []
+    for key in range(40):
+        text = bytes(rng.integers(97, 100, 60).astype(np.uint8))
+        rows += [{"doc_id": key * 10 + i, "h": 0, "key": key, "first": 5, "bytes": text[:50 - i]} for i in range(key % 4 + 1)]
+    schema = pa.schema([("doc_id", pa.int64()), ("h", pa.int64()), ("key", pa.int64()), ("first", pa.int32()), ("bytes", pa.binary())])
+
+    def flagged(size, batch):
+        monkeypatch.setattr(lpf, "BUFFER", size)
+        batches = [pa.RecordBatch.from_pylist(rows[i:i + batch], schema=schema) for i in range(0, len(rows), batch)]
+        out = list(lpf._sort_buffers(20, "none")(iter(batches)))
+        return len(out), {(r["doc_id"], p) for b in out for r in b.to_pylist() for p in range(r["first"], r["last"] + 1)}
+    want = set()
+    for r in rows:
+        mates = [o for o in rows if o["key"] == r["key"]]
+        for p in range(len(r["bytes"]) - 19):
+            cut = r["bytes"][p:p + 20]
+            if sum(o["bytes"][q:q + 20] == cut for o in mates for q in range(len(o["bytes"]) - 19)) > 1:
+                want.add((r["doc_id"], p + 5))
+    for size, batch in ((1, 7), (1, 1000), (300, 3), (1 << 20, 9)):
+        n, got = flagged(size, batch)
+        assert want <= got
+        if size == 1:
+            assert n == 40 and got == want
+
+
 def test_no_texts(spark, tables):
     tables.put("documents", []).put("labels", [])
     for name in ("op2_quality", "op3_repeats", "op9_toxicity", "op10_pii"):
