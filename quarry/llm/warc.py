@@ -13,8 +13,8 @@ smallest page id is the response, the others revisit it; of repeated rows of
 that page the first is the response.
 
 Defined results: null html is an empty payload; a null url becomes an empty
-target; a null page id sorts first, is written with an empty id, and is the
-smallest only where no other id has the payload; an empty table writes an
+target; null page ids come first, dealt over shards of their own by payload
+digest, are written with an empty id, and are the smallest only where no other id has the payload; an empty table writes an
 empty manifest; other columns are never read.
 """
 
@@ -35,6 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.llm.common import written
+from quarry.operators.recommend import item_index
 from quarry.session import shared_dir
 
 DATE = "2000-01-01T00:00:00Z"  # fixed: headers are regenerated, not dated
@@ -45,19 +46,27 @@ PAGES = ("page_id long, url string, payload_bytes long, payload_digest string, r
          "refers_to long, payload binary")
 
 
+def _qualified(spark: SparkSession, folder: str) -> str:
+    """The folder's full address: a path without a scheme lies on Hadoop's
+    default file system, as Spark's own readers have it."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    full = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    return full.replace("file:/", "file:///", 1) if not full.startswith("file:///") else full
+
+
 def _open_fs(uri: str) -> tuple[fs.FileSystem, str]:
-    """File system and path of a folder on any storage that Arrow knows; a
-    plain path is local."""
-    return fs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("file:") else "file://" + uri)
+    """File system and path of a folder on any storage that Arrow knows."""
+    return fs.FileSystem.from_uri(uri)
 
 
 def record_bytes(page_id, url, payload: bytes, digest: bytes, refers_to, serial: int) -> bytes:
-    """One WARC/1.1 record.  ``serial`` tells repeated rows of a page apart."""
+    """One WARC/1.1 record.  ``serial`` tells repeated rows of a page apart,
+    and rows of one payload where the page id is null."""
     sha = "sha256:" + base64.b32encode(digest).decode()
     name = lambda i, n: f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'page:{i}:{n}')}>"
     kind = "response" if refers_to is None else "revisit"
     block = (HTTP % len(payload)) + (payload if kind == "response" else b"")
-    head = [("WARC-Type", kind), ("WARC-Record-ID", name(page_id, serial)), ("WARC-Date", DATE),
+    head = [("WARC-Type", kind), ("WARC-Record-ID", name(digest.hex() if page_id is None else page_id, serial)), ("WARC-Date", DATE),
             ("WARC-Target-URI", (url or "").replace("\r", "%0D").replace("\n", "%0A")),
             ("WARC-Payload-Digest", sha),
             ("WARC-Block-Digest", "sha256:" + base64.b32encode(hashlib.sha256(block).digest()).decode()),
@@ -114,6 +123,8 @@ def _write_task(folder: str, roll_bytes: int, min_bytes: int):
                     page, serial = r["page_id"], 0
                 if key != last:
                     last, refers, seen = key, None, False
+                    if page is None:
+                        serial = 0
                 if r["kind"] == 0:
                     refers = r["refers_to"]
                     continue
@@ -133,27 +144,31 @@ def _write_task(folder: str, roll_bytes: int, min_bytes: int):
     return run
 
 
-def shard_bounds(ids: DataFrame, per_shard: int, marks: int = 20_000) -> list[int]:
-    """Upper bounds of the shards: every ``per_shard``-th row in id order,
-    estimated from the ids whose hash is a multiple of a step.  The marks
-    depend on the ids alone (no sampling seed), and there are about ``marks``
-    of them at any size.  They only place bounds; every row is written."""
-    n = ids.count()
-    step = max(1, n // marks)
-    kept = sorted(r[0] for r in ids.where("page_id is not null")
-                  .where(F.pmod(F.xxhash64("page_id"), F.lit(step)) == 0).select("page_id").collect())
+def shard_bounds(ids: DataFrame, per_shard: int, fine: int = 16) -> list[int]:
+    """Upper bounds of the shards: about every ``per_shard``-th id in id order,
+    from marks, the ids whose hash is a multiple of a step that leaves ``fine``
+    marks a shard at any size.  The marks are sorted and numbered on the
+    cluster; the driver gets one number a shard.  They depend on the ids alone
+    (no sampling seed) and only place bounds; every row is written."""
+    step = max(1, per_shard // fine)
     every = max(1, per_shard // step)
-    return sorted(set(kept[every::every]))
+    marks = ids.where(F.col("page_id").isNotNull() & (F.pmod(F.xxhash64("page_id"), F.lit(step)) == 0))
+    kept = item_index(marks.select(F.col("page_id").alias("item")))
+    kept = kept.where((F.col("idx") > 0) & (F.col("idx") % every == 0)).select("item").toArrow()
+    return sorted(kept.column("item").to_pylist())
 
 
-def _with_shard(rows: DataFrame, bounds: list[int]) -> DataFrame:
-    """``shard``: the number of bounds at or below the page id; null ids first."""
+def _with_shard(rows: DataFrame, bounds: list[int], null_shards: int) -> DataFrame:
+    """``shard``: null ids are dealt over the first ``null_shards`` by their
+    payload's digest; then the number of bounds at or below the page id."""
+    spread = F.pmod(F.xxhash64("digest"), F.lit(null_shards))
     if not bounds:
-        return rows.withColumn("shard", F.lit(0))
+        return rows.withColumn("shard", F.when(F.col("page_id").isNull(), spread).otherwise(null_shards).cast("int"))
     inf = float("inf")
     cut = Bucketizer(splits=[-inf, *sorted(set(map(float, bounds))), inf], inputCol="_id", outputCol="_shard")
     return (cut.transform(rows.withColumn("_id", F.coalesce(F.col("page_id").cast("double"), F.lit(-inf))))
-            .withColumn("shard", F.col("_shard").cast("int")).drop("_id", "_shard"))
+            .withColumn("shard", F.when(F.col("page_id").isNull(), spread)
+                        .otherwise(F.col("_shard") + null_shards).cast("int")).drop("_id", "_shard"))
 
 
 def write_archive(pages: DataFrame, folder: str, min_bytes: int = 100, roll_bytes: int = 64 << 20,
@@ -171,15 +186,17 @@ def write_archive(pages: DataFrame, folder: str, min_bytes: int = 100, roll_byte
             .where("page_id is null or page_id > refers_to").where("refers_to is not null")
             .select("page_id", "digest", "refers_to").distinct())
     bounds = shard_bounds(ids, per_shard)
+    null_shards = max(1, -(-ids.where("page_id is null").count() // per_shard))
     rows = (p.select("page_id", "digest", F.lit(1).alias("kind"), "url", "payload",
                      F.lit(None).cast("long").alias("refers_to"))
             .unionByName(told.select("page_id", "digest", F.lit(0).alias("kind"),
                                      F.lit(None).cast("string").alias("url"),
                                      F.lit(None).cast("binary").alias("payload"), "refers_to")))
-    rows = _with_shard(rows, bounds)
+    rows = _with_shard(rows, bounds, null_shards)
+    folder = _qualified(spark, folder)
     files, path = _open_fs(folder)
     files.create_dir(path, recursive=True)
-    parts = (rows.repartition(len(bounds) + 1, "shard")
+    parts = (rows.repartitionById(null_shards + len(bounds) + 1, F.col("shard"))  # a task a shard
              .sortWithinPartitions("shard", "page_id", "digest", "kind", "url")
              .mapInArrow(_write_task(folder, roll_bytes, min_bytes), MANIFEST))
     parts = sorted(map(tuple, written(parts, "warc-parts").collect()))
@@ -250,6 +267,7 @@ def _read_task(folder: str, batch_bytes: int = 8 << 20):
 def read_archive(spark: SparkSession, folder: str) -> DataFrame:
     """One row per record of the files in the manifest; a revisit has no
     payload of its own, its length and digest are those of the full payload."""
+    folder = _qualified(spark, folder)
     files, path = _open_fs(folder)
     with files.open_input_stream(f"{path}/manifest.json") as f:
         parts = json.loads(f.read())
