@@ -117,7 +117,7 @@ def _matrix(rows, dims: int) -> tuple[np.ndarray, np.ndarray]:
 def _search_blocks(k: int, levels: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in (batch.slice(i, 1).to_pylist()[0] for i in range(batch.num_rows)):
                 dims = max(len(r["vec"]) for r in row["base"] + row["asked"])
                 ids, mat = _matrix(row["base"], dims)
                 index = SegmentIndex(mat, levels)
@@ -146,20 +146,22 @@ def _search_blocks(k: int, levels: int):
 
 
 def top_k(vectors: DataFrame, asked: DataFrame, k: int = 10, base_rows: int = 4096,
-          query_rows: int = 256, levels: int = 32) -> DataFrame:
+          query_rows: int = 4096, levels: int = 32) -> DataFrame:
     """Vectors (id, vec) and queries (id, vec), integers -> query_id,
     query_vec, rank, vec_id, score: each query's ``k`` best vectors.
 
     Every block of queries meets every block of vectors once (a stated query
     set against all rows, in blocks); each meeting returns k rows a query, and
     the best k of those are the result.  Block sizes bound a task's memory.
+    The blocks meet by a shuffle: the queries repeated for every block of
+    vectors are more than their size before the repeat tells a broadcast.
     """
     base = _pack(vectors.distinct(), "bb", base_rows, "base")
     ask = _pack(asked.distinct(), "qb", query_rows, "asked")
     blocks = max(1, -(-vectors.count() // base_rows))
-    pairs = (ask.withColumn("bb", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-             .join(base, "bb").select("base", "asked"))
-    part = pairs.repartition(max(1, blocks)).mapInArrow(_search_blocks(k, levels), OUT)
+    pairs = (ask.withColumn("bb", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).repartition(blocks, "bb")
+             .hint("merge").join(base.repartition(blocks, "bb"), "bb").select("base", "asked"))
+    part = pairs.mapInArrow(_search_blocks(k, levels), OUT)
     order = Window.partitionBy("query_id", "query_vec").orderBy(F.desc("score"), "vec_id", "vec")
     return (part.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
             .select("query_id", "query_vec", "rank", "vec_id", "score"))

@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from quarry.llm import decontam, linkgraph, lpf, overlap_join, pii, topk
 from quarry.llm.queries import QUERIES
@@ -342,3 +343,16 @@ def test_rank_is_the_walk(spark):
                                       spark.createDataFrame([("d", 1.0)], "host string, mass double"), 0.85, 1e-12)
     got = {r["host"]: r["score"] for r in got.collect()}
     assert np.allclose([got.get(n, 0.0) for n in names], x)
+
+
+def test_queries_meet_blocks_without_a_broadcast(spark):
+    """The queries are repeated for every block of vectors, which a size from
+    before the repeat hides: such a side must never be sent to the driver."""
+    v = spark.range(300).select("id", F.array(F.col("id") % 7, F.col("id") % 5).alias("vec"))
+    found = topk.top_k(v, v.where("id % 10 = 0"), k=3, base_rows=20, query_rows=8)
+    got = found.select("query_id", "vec_id", "rank").collect()
+    vec = {i: (i % 7, i % 5) for i in range(300)}
+    for q in range(0, 300, 10):
+        best = sorted((i for i in vec if i != q), key=lambda i: (-vec[i][0] * vec[q][0] - vec[i][1] * vec[q][1], i))[:3]
+        assert [r["vec_id"] for r in sorted((r for r in got if r["query_id"] == q), key=lambda r: r["rank"])] == best
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
