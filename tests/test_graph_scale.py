@@ -53,6 +53,16 @@ def test_no_edges(spark):
     assert graph.landmark_distances(v, e).count() == 3
 
 
+def test_landmarks_grow_with_the_vertices(spark):
+    from quarry.functions.expr import hash_uniform
+    from quarry.plans.queries import graph as queries
+    v = spark.range(4000).select("id")
+    share = {r["id"] for r in v.where(hash_uniform(F.col("id"), F.lit(1)) < 0.05).collect()}
+    marks = [r["id"] for r in graph.sample_landmarks(v, queries.LEAST, 1, queries.SHARE).collect()]
+    assert len(share) > 150 and len(marks) == len(set(marks)) and set(marks) == share
+    assert graph.sample_landmarks(v.where("id < 300"), queries.LEAST, 1, queries.SHARE).count() == 64
+
+
 @pytest.mark.parametrize("sweep", [256, 70, 3])
 def test_landmark_hops(spark, monkeypatch, sweep):
     monkeypatch.setattr(graph, "SWEEP", sweep)
