@@ -32,10 +32,27 @@ def remove_stop_words(tok: DataFrame, stop_words: list[str] | None = None) -> Da
     return r.transform(tok).select("doc_id", F.col("filtered").alias("words"))
 
 
+def _counted(tok: DataFrame) -> DataFrame:
+    """(doc_id, term, tf) within each row: the runs of its sorted words."""
+    s, starts = F.col("_s"), F.col("_starts")
+    first = F.filter(F.sequence(F.lit(0), F.size(s) - 1),
+                     lambda i: (i == 0) | (F.get(s, i) != F.get(s, F.greatest(i - 1, F.lit(0)))))
+    runs = F.transform(starts, lambda i, k: F.struct(
+        F.get(s, i).alias("term"), (F.coalesce(F.get(starts, k + 1), F.size(s)) - i).cast("long").alias("tf")))
+    return (tok.where(F.size("words") > 0).select("doc_id", F.sort_array("words").alias("_s"))
+            .withColumn("_starts", first).select("doc_id", F.explode(runs).alias("x")).select("doc_id", "x.term", "x.tf"))
+
+
 def term_counts(tok: DataFrame) -> DataFrame:
-    """(doc_id, term, tf)."""
-    return (tok.select("doc_id", F.explode("words").alias("term"))
-            .groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf")))
+    """(doc_id, term, tf).  Words are counted inside their row; only rows that
+    share a doc_id with others (found by a pass over the ids alone) are shuffled."""
+    n = tok.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+    again = n.where("n > 1").select(F.col("doc_id").alias("_d")).checkpoint()
+    if again.limit(1).count() == 0:
+        return _counted(tok)
+    same = F.col("doc_id").eqNullSafe(F.col("_d"))
+    several = _counted(tok.join(again, same, "left_semi")).groupBy("doc_id", "term").agg(F.sum("tf").alias("tf"))
+    return _counted(tok.join(again, same, "left_anti")).unionByName(several)
 
 
 def vocabulary(tf: DataFrame, size: int) -> DataFrame:
