@@ -68,10 +68,21 @@ def lemma_map(words: DataFrame, forms: DataFrame, endings: DataFrame, stem: int
             .select("lang", "word", F.coalesce("_form", ruled, "word").alias("lemma")))
 
 
+#: words of a map that may be broadcast (about 100 bytes each)
+BROADCAST_WORDS = 200_000
+
+
 def lemma_counts(tf: DataFrame, forms: DataFrame, endings: DataFrame, stem: int = STEM) -> DataFrame:
     """(doc_id, lang, term, tf) -> (doc_id, lemma, tf): counts of words that
-    share a lemma are added up.  A very common word's rows are one key of the
-    join; AQE splits it, since the map has one row per word."""
+    share a lemma are added up.  The map has one row per word and is written;
+    only words whose lemma is another travel to the counts, by broadcast while
+    they are few (then nothing but the last sums is shuffled); a longer map is
+    shuffled, and AQE splits a very common word's rows."""
+    from quarry.session import shared_dir
+    shared_dir(tf.sparkSession)
     t = tf.withColumn("lang", F.coalesce("lang", F.lit(""))).withColumnRenamed("term", "word")
-    found = lemma_map(t.select("lang", "word"), forms, endings, stem)
-    return t.join(found, ["lang", "word"]).groupBy("doc_id", "lemma").agg(F.sum("tf").alias("tf"))
+    found = lemma_map(t.select("lang", "word"), forms, endings, stem).where("lemma <> word").checkpoint()
+    if found.limit(BROADCAST_WORDS + 1).count() <= BROADCAST_WORDS:
+        found = F.broadcast(found)
+    return (t.where(F.col("word").isNotNull()).join(found, ["lang", "word"], "left")
+            .groupBy("doc_id", F.coalesce("lemma", "word").alias("lemma")).agg(F.sum("tf").alias("tf")))
