@@ -46,7 +46,9 @@ from quarry.llm.common import written
 BYTE_BPE = "/opt/tokenizers/byte_bpe_50k.json"
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
 #: bytes of text that a task handles at a time (one text at least)
-SLICE = 2 << 20
+SLICE = 1 << 20
+#: links looked up together
+LINKS = 1 << 18
 #: A tokens of a lane
 LANE = 256
 #: fixed value: how the byte-level vocabulary splits a text before its merges
@@ -238,11 +240,11 @@ class Aligner:
                 "links": a[ia] * self.nb + b[ib], "cut": cut}
 
 
-def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    size = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+def _slices(batch: pa.RecordBatch, size: np.ndarray, most: int) -> Iterator[pa.RecordBatch]:
+    """Runs of rows of at most ``most`` together, by ``size``; a larger row is alone."""
     start = total = 0
     for i, n in enumerate(size):
-        if i > start and total + n > SLICE:
+        if i > start and total + n > most:
             yield batch.slice(start, i - start)
             start, total = i, 0
         total += n
@@ -250,46 +252,72 @@ def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         yield batch.slice(start)
 
 
+def _sizes(lengths: pa.Array) -> np.ndarray:
+    return pc.fill_null(lengths, 0).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+class Counts:
+    """How often each link occurred; links are gathered and counted LINKS at a time."""
+
+    def __init__(self):
+        self.keys, self.counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.waiting, self.n = [], 0
+
+    def add(self, links: np.ndarray):
+        self.waiting.append(links)
+        self.n += len(links)
+        if self.n >= LINKS:
+            self.settle()
+
+    def settle(self):
+        new, n = np.unique(np.concatenate([np.zeros(0, np.int64), *self.waiting]), return_counts=True)
+        self.waiting, self.n = [], 0
+        at = np.searchsorted(self.keys, new)
+        known = at < len(self.keys)
+        known[known] = self.keys[at[known]] == new[known]
+        self.counts[at[known]] += n[known]
+        self.keys = np.insert(self.keys, at[~known], new[~known])
+        self.counts = np.insert(self.counts, at[~known], n[~known])
+
+
 def _encode(a_path: str, b_path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner, keys, counts, id_type = None, np.zeros(0, np.int64), np.zeros(0, np.int64), None
+        aligner, seen, id_type = None, Counts(), None
         names = ["doc_id", "n_a", "n_b", "n_groups", "groups_sha256", "links", "counts"]
         for batch in batches:
-            for part in _slices(batch):
+            for part in _slices(batch, _sizes(pc.binary_length(batch.column("text"))), SLICE):
                 aligner = aligner or Aligner(a_path, b_path)
                 id_type = part.column("doc_id").type
                 got = aligner.documents(part.column("text").to_pylist())
-                seen, n = np.unique(np.concatenate([keys, got["links"]]), return_inverse=True)
-                counts = np.bincount(n, np.concatenate([counts, np.ones(len(got["links"]), np.int64)]),
-                                     len(seen)).astype(np.int64)
-                keys = seen
+                seen.add(got["links"])
                 offsets = pa.array(np.concatenate([[0], got["cut"]]).astype(np.int32))
                 links = pa.ListArray.from_arrays(offsets, pa.array(got["links"]))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array(got["n_a"]), pa.array(got["n_b"]), pa.array(got["n_groups"]),
                      pa.array(got["digest"], pa.string()), links, pa.nulls(part.num_rows, pa.list_(pa.int64()))], names=names)
-        if len(keys):  # the task's pair counts: one row without a digest
+        seen.settle()
+        if len(seen.keys):  # the task's pair counts: one row without a digest
             yield pa.RecordBatch.from_arrays(
                 [pa.nulls(1, id_type), *[pa.nulls(1, pa.int64())] * 3, pa.nulls(1, pa.string()),
-                 pa.array([keys], pa.list_(pa.int64())), pa.array([counts], pa.list_(pa.int64()))], names=names)
+                 pa.array([seen.keys], pa.list_(pa.int64())), pa.array([seen.counts], pa.list_(pa.int64()))], names=names)
     return run
 
 
 def _judge(keys: np.ndarray, counts: np.ndarray, best: np.ndarray):
+    def per_row(values: np.ndarray, ends: np.ndarray) -> pa.Array:
+        return pa.array(np.diff(np.concatenate([[0], np.cumsum(values, dtype=np.int64)])[ends], prepend=0))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            links = batch.column("links")
-            flat = links.flatten().to_numpy(zero_copy_only=False)
-            rows = np.repeat(np.arange(batch.num_rows), links.value_lengths().to_numpy(zero_copy_only=False))
-            at = np.searchsorted(keys, flat)
-            sums = np.zeros(batch.num_rows, np.int64)
-            np.add.at(sums, rows, counts[at])
-            n_best = np.bincount(rows[best[at]], minlength=batch.num_rows)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(n) for n in ("doc_id", "n_a", "n_b", "n_groups")]
-                + [links.value_lengths().cast(pa.int64()), pa.array(n_best.astype(np.int64)), pa.array(sums),
-                   batch.column("groups_sha256")],
-                names=["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"])
+            for part in _slices(batch, _sizes(pc.list_value_length(batch.column("links"))), LINKS):
+                links = part.column("links")
+                size = _sizes(links.value_lengths())
+                at = np.searchsorted(keys, links.flatten().to_numpy(zero_copy_only=False))
+                ends = np.cumsum(size)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(n) for n in ("doc_id", "n_a", "n_b", "n_groups")]
+                    + [pa.array(size), per_row(best[at], ends), per_row(counts[at], ends), part.column("groups_sha256")],
+                    names=["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"])
     return run
 
 

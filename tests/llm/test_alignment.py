@@ -105,3 +105,31 @@ def test_pairs_have_a_bound(spark, sides):
     for r in pairs:
         x, y = aligner.a.bytes[r["a"]], aligner.b.bytes[r["b"]]
         assert x.endswith(y) or y.endswith(x)
+
+
+def test_links_are_looked_up_in_bounded_slices(monkeypatch):
+    """Rows of many links are not taken a whole batch at a time."""
+    import numpy as np
+    import pyarrow as pa
+    monkeypatch.setattr(alignment, "LINKS", 10)
+    rng = np.random.default_rng(4)
+    rows = [rng.integers(0, 40, rng.integers(0, 25)).tolist() for _ in range(50)] + [[]]
+    n = len(rows)
+    keys = np.arange(40)
+    counts, best = rng.integers(1, 1 << 40, 40), rng.integers(0, 2, 40).astype(bool)
+    zero = pa.array([0] * n, pa.int64())
+    batch = pa.RecordBatch.from_arrays([pa.array(range(n)), zero, zero, zero, pa.array([""] * n), pa.array(rows, pa.list_(pa.int64()))],
+                                       names=["doc_id", "n_a", "n_b", "n_groups", "groups_sha256", "links"])
+    out = list(alignment._judge(keys, counts, best)([batch.slice(0, 20), batch.slice(20)]))
+    assert max(sum(x.column("n_links").to_pylist()) for x in out if x.num_rows > 1) <= 10
+    got = [r for x in out for r in x.to_pylist()]
+    assert [r["doc_id"] for r in got] == list(range(n))
+    assert [(r["n_links"], r["n_best"], r["count_sum"]) for r in got] == [
+        (len(x), sum(bool(best[i]) for i in x), sum(int(counts[i]) for i in x)) for x in rows]
+    seen = alignment.Counts()
+    for x in rows:
+        seen.add(np.array(x, np.int64))
+    seen.settle()
+    flat = [i for x in rows for i in x]
+    assert dict(zip(seen.keys.tolist(), seen.counts.tolist())) == {i: flat.count(i) for i in flat}
+    assert (np.diff(seen.keys) > 0).all()
