@@ -44,13 +44,16 @@ def cooccurrence_chisq(spark, d, threshold: float = CHI_THRESHOLD):
 def xml_wholetext_topics(spark, d):
     """Whole-file scan (gzip) of the citation XML, major topics by XPath with an
     attribute predicate, then the topic frequency table.  Each row is one
-    written part file (bounded by the writer's partition size); the rowTag
-    reader in ``xml_topics`` is the record-at-a-time path."""
+    written part file (bounded by its number of citations), cut into its
+    citations before the XPath, so no tree of a whole file is built; the
+    rowTag reader in ``xml_topics`` is the record-at-a-time path."""
     path = roles.citation_xml(spark, d)
     # part files of empty partitions hold no root element: skip them
-    docs = files.read_lines(spark, path, whole_text=True).where(F.col("value").contains("<MedlineCitation>"))
+    docs = files.read_lines(spark, path, whole_text=True).where(F.col("value").contains("<MedlineCitation"))
+    found = docs.select(files.elements("value", "MedlineCitation").alias("found"))
+    cits = found.select(F.explode(files.element_groups(F.col("found"))).alias("value"))
     xp = '//MedlineCitation/MeshHeadingList/MeshHeading/DescriptorName[@MajorTopicYN="Y"]/text()'
-    topics = docs.select(F.explode(F.xpath(F.col("value"), F.lit(xp))).alias("topic"))
+    topics = cits.select(F.explode(F.xpath(F.col("value"), F.lit(xp))).alias("topic"))
     return cooccur.item_frequency(topics, "topic")
 
 

@@ -191,12 +191,17 @@ def citation_schema():
                          T.StructField("MeshHeadingList", hlist)])
 
 
+#: citations of one file: a whole-text scan holds a file at a time
+CITATIONS = 10_000
+
+
 def citation_xml(spark: SparkSession, d: str) -> str:
     """Write the citations as gzip XML (root MedlineCitationSet) to the shared folder."""
     from quarry.session import stand_in_source
     from quarry.sources.files import write_xml
     return stand_in_source(spark, "citations", d, lambda p: write_xml(
-        citation_records(spark, d), p, "MedlineCitation", "MedlineCitationSet", compression="gzip"))
+        citation_records(spark, d), p, "MedlineCitation", "MedlineCitationSet", compression="gzip",
+        max_records=CITATIONS))
 
 
 # ------------------------------------------------------------------- risk

@@ -63,9 +63,10 @@ def read_json(spark: SparkSession, path: str, schema: T.StructType,
 
 
 def write_xml(df: DataFrame, path: str, row_tag: str, root_tag: str,
-              compression: str | None = None) -> str:
+              compression: str | None = None, max_records: int = 0) -> str:
+    """Write one element per row; ``max_records`` bounds the elements of a file."""
     w = (df.write.mode("overwrite").format("xml")
-         .option("rowTag", row_tag).option("rootTag", root_tag))
+         .option("rowTag", row_tag).option("rootTag", root_tag).option("maxRecordsPerFile", max_records))
     if compression:
         w = w.option("compression", compression)
     w.save(path)
@@ -77,6 +78,19 @@ def read_xml(spark: SparkSession, path: str, row_tag: str, schema: T.StructType)
     return spark.read.format("xml").option("rowTag", row_tag).schema(schema).load(path)
 
 
+def elements(text: str, tag: str):
+    """The ``tag`` elements of an XML text, each as a text of its own (elements
+    of one tag do not nest; entities are those of XML itself)."""
+    return F.regexp_extract_all(F.col(text), F.lit(rf"(?s)<{tag}(?:\s[^>]*)?(?<!/)>.*?</{tag}\s*>"), 0)
+
+
+def element_groups(found, n: int = 200, root: str = "group"):
+    """An array of elements as texts of at most ``n`` of them under a root."""
+    size = F.size(found)
+    return F.when(size > 0, F.transform(F.sequence(F.lit(0), size - 1, F.lit(n)), lambda i: F.concat(
+        F.lit(f"<{root}>"), F.array_join(F.slice(found, i + 1, n), ""), F.lit(f"</{root}>"))))
+
+
 def read_binary(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
     """binaryFile scan: path, modificationTime, length, content."""
     r = spark.read.format("binaryFile").option("recursiveFileLookup", "true")

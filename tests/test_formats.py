@@ -91,3 +91,17 @@ def test_articles_citations_images_network(spark):
     n = formats.network_records(spark, _write(spark, "kdd", rec + "\n"))
     r = n.first()
     assert r._c1 == "tcp" and r._c0 == 0.0 and r.label == "normal." and len(n.columns) == 42
+
+
+def test_whole_text_is_cut_into_elements(spark, tmp_path):
+    from quarry.sources import files
+    x = '<?xml version="1.0"?>\n<CSet>\n<C n="1">\n<a>x &amp; y</a></C><C/><C n="2"/><C><a/></C >\n</CSet>'
+    df = spark.createDataFrame([(x,), ("",), ("<CSet/>",)], "value string")
+    got = [r["e"] for r in df.select(F.explode(files.elements("value", "C")).alias("e")).collect()]
+    assert got == ['<C n="1">\n<a>x &amp; y</a></C>', "<C><a/></C >"]
+    df = spark.range(25).coalesce(1).selectExpr("id AS n")
+    files.write_xml(df, str(tmp_path / "x"), "C", "CSet", "gzip", max_records=10)
+    whole = files.read_lines(spark, str(tmp_path / "x"), whole_text=True)
+    assert sorted(r["k"] for r in whole.select(F.size(files.elements("value", "C")).alias("k")).collect()) == [5, 10, 10]
+    groups = df.select("n", F.explode(files.element_groups(F.array_repeat(F.lit("<C/>"), F.col("n").cast("int")), 10)).alias("g"))
+    assert [r["g"].count("<C/>") for r in groups.where("n = 23").collect()] == [10, 10, 3] and groups.where("n = 0").count() == 0
