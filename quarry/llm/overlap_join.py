@@ -257,7 +257,7 @@ def _meet(texts: DataFrame, roles: DataFrame, classes: DataFrame, k: int, num: i
     role).  Texts travel, once for each role, not sets: they are a third of
     the size."""
     roles = written(roles.join(classes.select("v", "doc_id", "h"), "v"), "roles")
-    rows = texts.join(bounded(roles, 88), ["doc_id", "h"]).select("cell", "lo", "hi", "v", "comp", "role", "text")
+    rows = texts.join(bounded(roles, 160), ["doc_id", "h"]).select("cell", "lo", "hi", "v", "comp", "role", "text")
     spark = texts.sparkSession
     n = max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
     return (rows.repartition(n, "cell", "lo", "hi").groupBy("cell", "lo", "hi")
@@ -380,11 +380,12 @@ def find(docs: DataFrame, k: int, num: int, den: int) -> Found:
                       .agg(F.min(F.struct("doc_id", "h")).alias("r"))
                       .select(F.monotonically_increasing_id().alias("v"), "n", "f1", "f2", "m", "r.doc_id", "r.h"), "classes")
     texts = _texts_once(d, rows)
+    # widths as the driver holds a broadcast row: collected, hashed at up to twice the room, in blocks
     # one row of each class gives its shingles (repeated rows of a text give them again)
-    reps = bounded(classes.select("doc_id", "h", "v"), 32)
+    reps = bounded(classes.select("doc_id", "h", "v"), 128)
     pre = rows.join(reps, ["doc_id", "h"]).select("v", F.explode("tokens").alias("token"))
     multi = written(pre.groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("token"), "shared-tokens")
-    several = written(pre.join(bounded(multi, 24), "token").distinct()
+    several = written(pre.join(bounded(multi, 96), "token").distinct()
                       .join(classes.select("v", "n", "m"), "v"), "shared-rows")
     shared = written(_shared_prefixes(several, num, den), "shared")
     size = classes.select("v", "n")
