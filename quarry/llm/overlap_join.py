@@ -257,7 +257,7 @@ def _meet(texts: DataFrame, roles: DataFrame, classes: DataFrame, k: int, num: i
     role).  Texts travel, once for each role, not sets: they are a third of
     the size."""
     roles = written(roles.join(classes.select("v", "doc_id", "h"), "v"), "roles")
-    rows = texts.join(bounded(roles, 160), ["doc_id", "h"]).select("cell", "lo", "hi", "v", "comp", "role", "text")
+    rows = texts.join(bounded(roles, 192), ["doc_id", "h"]).select("cell", "lo", "hi", "v", "comp", "role", "text")
     spark = texts.sparkSession
     n = max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
     return (rows.repartition(n, "cell", "lo", "hi").groupBy("cell", "lo", "hi")

@@ -93,3 +93,20 @@ def test_no_rows(spark, tables):
     for name in ("documents", "benchmark", "labels"):
         tables.put(name, [])
     assert corpus_pipeline.run(spark, tables.dir).count() == 0
+
+
+def test_broadcasts_count_what_the_driver_holds(spark, monkeypatch):
+    """A broadcast row takes its columns several times over on the driver:
+    collected, hashed at up to twice the room and held in blocks."""
+    from quarry.llm import overlap_join
+    seen = []
+
+    def bounded(df, width):
+        seen.append((df.columns, width))
+        return df
+    monkeypatch.setattr(overlap_join, "bounded", bounded)
+    words = [f"w{i}" for i in range(40)]
+    rows = [(1, " ".join(words)), (2, " ".join(words + ["x"])), (3, "a b c d e f g h")]
+    overlap_join.find(spark.createDataFrame(rows, "doc_id long, text string"), 5, 80, 100)
+    assert {"token"} in [set(c) for c, _ in seen]
+    assert all(width >= 16 * len(c) + 64 for c, width in seen if "token" in c or "v" in c)
