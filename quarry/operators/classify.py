@@ -1,19 +1,20 @@
 """Classification: one-hot decoding, class priors, random-guess baseline,
 decision trees / forests / logistic regression with confusion metrics.
 
-Models come from ``pyspark.ml``; the evaluation pieces (priors, confusion,
+Trees come from ``trees``, other models from ``pyspark.ml``; the evaluation pieces (priors, confusion,
 precision / recall) are plain aggregations over (label, prediction).
 """
 
 from __future__ import annotations
 
-from pyspark.ml.classification import (DecisionTreeClassifier, LogisticRegression,
-                                       RandomForestClassifier)
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry.operators.trees import TreeClassifier
+
 
 def decode_onehot(df: DataFrame, groups: dict[str, list[str]]) -> DataFrame:
     """Replace each group of 0/1 flag columns by the 0-based index of its set
@@ -65,14 +66,13 @@ def accuracy(label: str = "label", prediction: str = "prediction") -> F.Column:
     return F.avg((F.col(label) == F.col(prediction)).cast("double"))
 
 
-def tree(impurity: str = "gini", depth: int = 4, bins: int = 100, seed: int = 1) -> DecisionTreeClassifier:
-    return DecisionTreeClassifier(impurity=impurity, maxDepth=depth, maxBins=bins, seed=seed)
+def tree(impurity: str = "gini", depth: int = 4, bins: int = 100, seed: int = 1) -> TreeClassifier:
+    return TreeClassifier(impurity, depth, bins, seed)
 
 
 def forest(trees: int = 20, impurity: str = "entropy", depth: int = 30, bins: int = 300,
-           seed: int = 1) -> RandomForestClassifier:
-    return RandomForestClassifier(numTrees=trees, impurity=impurity, maxDepth=depth, maxBins=bins,
-                                  featureSubsetStrategy="auto", seed=seed)
+           seed: int = 1) -> TreeClassifier:
+    return TreeClassifier(impurity, depth, bins, seed, trees=trees)
 
 
 def logreg(max_iter: int = 10, reg: float = 0.3, elastic: float = 0.8) -> LogisticRegression:
@@ -85,6 +85,7 @@ def grid_eval(train: DataFrame, cv: DataFrame, grid: list[dict], make, paralleli
     jobs from ``parallelism`` driver threads (as ML tuning's ``parallelism``)."""
     from concurrent.futures import ThreadPoolExecutor
     spark = train.sparkSession
+    train, cv = train.select("label", "features"), cv.select("label", "features")
 
     def one(params):
         m = make(**params).fit(train)
@@ -101,7 +102,7 @@ def grid_eval(train: DataFrame, cv: DataFrame, grid: list[dict], make, paralleli
 def refit_score(train: DataFrame, cv: DataFrame, test: DataFrame, model, label: str) -> DataFrame:
     """Refit one chosen model on train + cv (union by name) and score it on
     the held-out test split and on the data it was fitted on."""
-    both = train.unionByName(cv)
+    both, test = train.unionByName(cv).select("label", "features"), test.select("label", "features")
     m = model.fit(both)
     fit_acc = m.transform(both).agg(accuracy().alias("a")).first()["a"]
     test_acc = m.transform(test).agg(accuracy().alias("a")).first()["a"]

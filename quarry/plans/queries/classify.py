@@ -50,14 +50,14 @@ def confusion(spark, d):
     """Decision tree (gini, depth 4, 100 bins) scored on the validation split."""
     x = _numeric(spark, d)
     m = classify.tree("gini", 4, 100).fit(x.where(F.col("split") == "train"))
-    return classify.confusion(m.transform(x.where(F.col("split") == "cv")))
+    return classify.confusion(m.transform(x.where(F.col("split") == "cv").select("label", "features")))
 
 
 @query("class_metrics")
 def class_metrics(spark, d):
     x = _numeric(spark, d)
     m = classify.tree("gini", 4, 100).fit(x.where(F.col("split") == "train"))
-    return classify.precision_recall(m.transform(x.where(F.col("split") == "cv")))
+    return classify.precision_recall(m.transform(x.where(F.col("split") == "cv").select("label", "features")))
 
 
 @query("tree_grid")
@@ -97,7 +97,7 @@ def forest(spark, d):
     accuracy, and the prediction for one validation row."""
     x = _categorical(spark, d)
     m = classify.forest().fit(x.where(F.col("split") == "train"))
-    p = m.transform(x.where(F.col("split") == "cv"))
+    p = m.transform(x.where(F.col("split") == "cv").select("vec_id", "label", "features"))
     acc = p.agg(classify.accuracy().alias("value")).select(F.lit("cv_accuracy").alias("metric"), "value")
     one = (p.orderBy("vec_id").limit(1)
            .select(F.concat(F.lit("prediction_vec_"), F.col("vec_id").cast("string")).alias("metric"),
