@@ -9,10 +9,16 @@ never zipped).
 
 from __future__ import annotations
 
+import sys
+
+from pyspark import cloudpickle
 from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+# tasks get these functions by value: executors need not have the package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 TOKEN_PATTERN = r"\p{L}+"
 
 
@@ -121,8 +127,12 @@ def tall_r(rows: DataFrame, y: str = "y", fan: int = 32):
     every partition is reduced to its R, and these are stacked and reduced again,
     ``fan`` at a time, until few are left.  What comes to the driver
     is at most ``fan`` small triangles."""
+    return _joined_r(rows.select(F.col(y).alias("y")).mapInArrow(_block_r, "y array<double>").checkpoint(), fan)
+
+
+def _joined_r(parts: DataFrame, fan: int = 32):
+    """One R of the partitions' (written)."""
     import numpy as np
-    parts = rows.select(F.col(y).alias("y")).mapInArrow(_block_r, "y array<double>").checkpoint()
     n = parts.rdd.getNumPartitions()
     while n > fan:
         n = -(-n // fan)
@@ -155,17 +165,136 @@ def _apply(rows: DataFrame, on: str, to: str, table: DataFrame, width: int) -> D
     return out.select(to, F.array(*[F.coalesce(f"y{j}", F.lit(0.0)) for j in range(width)]).alias("y")).checkpoint()
 
 
+#: bytes of a term matrix that every task may hold
+TERM_MATRIX = 64 << 20
+#: entries of the matrix that a task multiplies at once
+ENTRIES = 200_000
+
+
+def _doc_chunks(batches):
+    """Entries sorted by document, in chunks of whole documents: (batch, first
+    entry of each document)."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+    held, n = [], 0
+
+    def starts(t):
+        doc = t.column("doc_id")
+        v, null = doc.fill_null(0).to_numpy(), pc.is_null(doc).to_numpy(zero_copy_only=False)
+        return np.flatnonzero(np.r_[True, (v[1:] != v[:-1]) | (null[1:] != null[:-1])])
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+            n += batch.num_rows
+        if n >= ENTRIES:
+            t = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            at = starts(t)
+            if len(at) > 1:   # the last document may go on
+                yield t.slice(0, at[-1]), at[:-1]
+                t = t.slice(at[-1])
+            held, n = [t], t.num_rows
+    if held:
+        t = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+        yield t, starts(t)
+
+
+def _products(matrix, want: str):
+    """A partition's rows of A times a term matrix (a broadcast): ``want`` "docs"
+    gives them, "r" the R factor of them, "terms" their product with A transposed."""
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+        q, r, z = matrix.value, None, None
+        for t, at in _doc_chunks(batches):
+            term, a = t.column("term_idx").to_numpy(), t.column("a").to_numpy()
+            y = np.add.reduceat(a[:, None] * q[term], at, axis=0)
+            if want == "docs":
+                yield pa.RecordBatch.from_arrays(
+                    [t.column("doc_id").take(pa.array(at)), pa.array(list(y), pa.list_(pa.float64()))], names=["doc_id", "y"])
+            elif want == "r":
+                r = np.linalg.qr(y if r is None else np.vstack([r, y]), mode="r")
+            else:
+                z = np.zeros(q.shape) if z is None else z
+                part = a[:, None] * np.repeat(y, np.diff(np.r_[at, len(a)]), axis=0)
+                for j in range(q.shape[1]):
+                    z[:, j] += np.bincount(term, part[:, j], len(q))
+        if r is not None:
+            yield pa.RecordBatch.from_arrays([pa.array(list(r), pa.list_(pa.float64()))], names=["y"])
+        if z is not None:
+            some = np.flatnonzero(z.any(1))
+            for k in range(0, len(some), 10_000):
+                rows = some[k:k + 10_000]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(rows, pa.int32()), pa.array(list(z[rows]), pa.list_(pa.float64()))], names=["term_idx", "y"])
+    return run
+
+
+class _InTasks:
+    """Products with A when the term matrix fits every task: A stays where it
+    is, cut by document, and only sums per partition and term are shuffled."""
+
+    def __init__(self, a: DataFrame, n_terms: int):
+        from quarry.session import last_use
+        self.a = last_use(a.repartition("doc_id").sortWithinPartitions("doc_id"), lambda x: x.checkpoint())
+        self.n_terms, self.id = n_terms, a.schema["doc_id"].dataType.simpleString()
+        self.sc = a.sparkSession.sparkContext
+
+    def _matrix(self, q: DataFrame):
+        import numpy as np
+        got = q.select("term_idx", "q").toArrow().combine_chunks()
+        rows = np.concatenate([c.flatten().to_numpy() for c in got.column("q").chunks]).reshape(got.num_rows, -1)
+        m = np.zeros((self.n_terms, rows.shape[1]))
+        m[got.column("term_idx").to_numpy()] = rows
+        return m
+
+    def _map(self, a: DataFrame, matrix, want: str, schema: str) -> DataFrame:
+        return a.mapInArrow(_products(self.sc.broadcast(matrix), want), schema)
+
+    def docs_r(self, q: DataFrame, width: int):
+        self.q = self._matrix(q)
+        return _joined_r(self._map(self.a, self.q, "r", "y array<double>").checkpoint())
+
+    def terms(self, q: DataFrame, fit, width: int) -> DataFrame:
+        w = fit.shape[1]
+        # a row per term and task, so there are as many tasks as cores only
+        z = self._map(self.a.coalesce(self.sc.defaultParallelism), self.q @ fit, "terms", "term_idx int, y array<double>")
+        out = z.groupBy("term_idx").agg(*[F.sum(F.get("y", F.lit(j))).alias(f"y{j}") for j in range(w)])
+        return out.select("term_idx", F.array(*[f"y{j}" for j in range(w)]).alias("y")).checkpoint()
+
+    def docs(self, q: DataFrame, width: int) -> DataFrame:
+        return self._map(self.a, self._matrix(q), "docs", f"doc_id {self.id}, y array<double>").checkpoint()
+
+
+class _Joined:
+    """The same products by joins, for any number of terms."""
+
+    def __init__(self, a: DataFrame):
+        self.a = a
+
+    def docs(self, q: DataFrame, width: int) -> DataFrame:
+        self._y = _apply(self.a, "term_idx", "doc_id", q, width)
+        return self._y
+
+    def docs_r(self, q: DataFrame, width: int):
+        return tall_r(self.docs(q, width))
+
+    def terms(self, q: DataFrame, fit, width: int) -> DataFrame:
+        return _apply(self.a, "doc_id", "term_idx", self._y.select("doc_id", _times("y", fit).alias("q")), fit.shape[1])
+
+
 def svd(tfidf_rows: DataFrame, n_terms: int, k: int, oversample: int = 16, tol: float = 1e-8, seed: int = 11):
     """Truncated SVD of the doc x term TF-IDF matrix A (rows keyed by doc id),
     whatever the number of terms: randomised block power iteration.
 
     A block of k + ``oversample`` random term vectors is multiplied by A and
-    its transpose in turn (a join and an aggregation each) and made
+    its transpose in turn (inside tasks while a term matrix is at most TERM_MATRIX
+    bytes, else by a join and an aggregation each) and made
     orthonormal each time by a tree of QR factorisations of row blocks, until
     the leading k singular values move by less than ``tol``.  A vocabulary no
     wider than the block starts from the unit vectors, which need no rounds.
     Documents and terms stay in tables; the driver sees matrices of block
-    width only.  Each singular vector's sign is fixed so that its
+    width, and a term matrix that it broadcasts.  Each singular vector's sign is fixed so that its
     largest V entry is positive (ties: the smaller term).
 
     Returns (U (doc_id, concept, weight), V (term_idx, concept, weight),
@@ -189,11 +318,11 @@ def svd(tfidf_rows: DataFrame, n_terms: int, k: int, oversample: int = 16, tol:
         start = [box_muller(hash_uniform("term_idx", F.lit(j), F.lit(seed)), hash_uniform("term_idx", F.lit(j), F.lit(seed + 1)))
                  for j in range(width)]
     q = terms.select("term_idx", F.array(*start).alias("q")).checkpoint()
+    by = _InTasks(a, n_terms) if n_terms * width * 8 <= TERM_MATRIX else _Joined(a)
     last = None
     while width < n_terms:
-        y = _apply(a, "term_idx", "doc_id", q, width)
-        fit = _orthonormal(tall_r(y))
-        z = _apply(a, "doc_id", "term_idx", y.select("doc_id", _times("y", fit).alias("q")), fit.shape[1])
+        fit = _orthonormal(by.docs_r(q, width))
+        z = by.terms(q, fit, width)
         r = tall_r(z)
         fit = _orthonormal(r)
         width = fit.shape[1]
@@ -202,7 +331,7 @@ def svd(tfidf_rows: DataFrame, n_terms: int, k: int, oversample: int = 16, tol:
         if last is not None and len(last) == len(now) and (abs(now - last) <= tol * now.max()).all():
             break
         last = now
-    y = _apply(a, "term_idx", "doc_id", q, width)
+    y = by.docs(q, width)
     _, s, vt = np.linalg.svd(tall_r(y), full_matrices=False)
     keep = np.arange(min(k, len(s)))
     keep = keep[s[keep] > 1e-6 * max(s.max(), 1e-300)]
