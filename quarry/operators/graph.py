@@ -63,11 +63,6 @@ def _propagate_min(labels: DataFrame, edges: DataFrame) -> DataFrame:
         cur = nxt.select("id", "label")
 
 
-def _sym(e: DataFrame) -> DataFrame:
-    e = e.where(F.col("u") != F.col("v"))
-    return e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct()
-
-
 def connected_components(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     """(id, component): component = smallest id reachable ignoring direction.
 
@@ -76,27 +71,34 @@ def connected_components(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     aggregations and two joins over the edge list, and the number of rounds
     grows with log(n) rather than with the graph diameter.  At convergence
     each component is a star around its smallest id.
+
+    An edge is kept once, from its larger end to its smaller: a vertex's least
+    neighbour is that of its edges down, or itself.  Rounds end when no edge
+    leads to a vertex that has an edge down, and no vertex has two: these are
+    stars.  Hand-offs are written as Parquet, whose small files are read many
+    to a task, and removed when the next is there.
     """
-    e = _ckpt(_sym(edges.select(F.col("src").alias("u"), F.col("dst").alias("v"))))
+    from quarry.session import handed_off
+    far, near = F.greatest("src", "dst").alias("u"), F.least("src", "dst").alias("v")
+    e, drop = handed_off(edges.where(F.col("src") != F.col("dst")).select(far, near).distinct(), "edges-down")
     while True:
-        # large-star: link every larger neighbour of u to the min of u's closed neighbourhood
-        mn = e.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = _ckpt(_sym(e.where(F.col("v") > F.col("u")).join(mn, "u")
-                           .select(F.col("v").alias("u"), F.col("m").alias("v"))))
-        # small-star: link u and its smaller neighbours to the min of them
-        low = large.where(F.col("v") < F.col("u"))
-        ml = low.groupBy("u").agg(F.min("v").alias("m"))
-        small = (low.join(ml, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-                 .unionByName(ml.select("u", F.col("m").alias("v"))))
-        nxt = _ckpt(_sym(small))
-        changed = (nxt.join(e, ["u", "v"], "left_anti").limit(1).count()
-                   + e.join(nxt, ["u", "v"], "left_anti").limit(1).count())
-        e = nxt
-        if changed == 0:
+        # large-star: link every larger neighbour of v to the min of v's closed neighbourhood
+        down = e.groupBy(F.col("u").alias("v")).agg(F.min("v").alias("m"))
+        large, drop_large = handed_off(e.join(down, "v", "left").select(
+            "u", F.coalesce("m", "v").alias("v"), F.col("m").isNotNull().alias("moved")), "large-star")
+        if large.where("moved").isEmpty() and large.groupBy("u").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
+            drop_large()
             break
-    star = e.groupBy("u").agg(F.min("v").alias("m"))
-    return (vertices.select("id").join(star.withColumnRenamed("u", "id"), "id", "left")
-            .select("id", F.least(F.col("id"), F.coalesce("m", "id")).alias("component")))
+        # small-star: link u and its smaller neighbours to the min of them
+        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        ends = F.explode(F.array("u", "v")).alias("u")
+        small = large.join(least, "u").select(ends, F.col("m").alias("v")).where(F.col("u") != F.col("v")).distinct()
+        nxt, drop_next = handed_off(small, "small-star")
+        drop_large()
+        drop()
+        e, drop = nxt, drop_next
+    return (vertices.select("id").join(e.withColumnsRenamed({"u": "id", "v": "m"}), "id", "left")
+            .select("id", F.coalesce("m", "id").alias("component")))
 
 
 def strongly_connected_components(vertices: DataFrame, edges: DataFrame) -> DataFrame:
