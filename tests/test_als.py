@@ -24,6 +24,7 @@ def table_of(df):
 def test_as_pyspark_ml(spark, monkeypatch, rank, reg, alpha):
     monkeypatch.setattr(als, "CELLS", 64)   # rows of more plays than a batch holds
     monkeypatch.setattr(als, "SENT_ROWS", 5)
+    monkeypatch.setattr(als, "HELD_ROUNDS", 1)
     rows = plays()
     df = spark.createDataFrame(rows, "model int, user int, item int, count float")
     settings = dict(rank=rank, regParam=reg, alpha=alpha, implicitPrefs=True, seed=1, numUserBlocks=2, numItemBlocks=2,
