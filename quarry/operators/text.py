@@ -2,9 +2,8 @@
 concept rankings, cosine queries.
 
 TF-IDF is kept sparse and relational, (doc_id, term, tf, idf, tfidf), so
-every step is a join or an aggregation; the SVD multiplies the same rows with
-narrow tables of vectors and keeps doc ids on U (row identity is carried,
-never zipped).
+every step is a join or an aggregation; the SVD lays the same rows out in blocks
+of documents and keeps doc ids on U (row identity is carried, never zipped).
 """
 
 from __future__ import annotations
@@ -16,6 +15,8 @@ from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from quarry.operators.tiles import normals
+
 # tasks get these functions by value: executors need not have the package
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -83,14 +84,18 @@ BROADCAST_TERMS = 100_000
 
 def tfidf(tf: DataFrame, vocab: DataFrame, n_docs) -> DataFrame:
     """(doc_id, term, term_idx, tf, idf, tfidf) with idf = ln((m + 1) / (df + 1)).
-    A vocabulary of more than BROADCAST_TERMS terms is joined by shuffle."""
-    small = vocab.limit(BROADCAST_TERMS + 1).count() <= BROADCAST_TERMS
-    hint = F.broadcast if small else (lambda df: df)
-    t = tf.join(hint(vocab.select("term", "term_idx")), "term")
-    df_ = t.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    idf = F.log((F.lit(n_docs).cast("double") + 1.0) / (F.col("df").cast("double") + 1.0))
-    return (t.join(hint(df_.select("term", idf.alias("idf"))), "term")
-            .withColumn("tfidf", F.col("tf") * F.col("idf")))
+    A vocabulary of more than BROADCAST_TERMS terms is joined by shuffle: its
+    rows, with their idf, meet the counts once and are what is held in memory."""
+    def idf(df_):
+        return df_.select("term", F.log((F.lit(n_docs).cast("double") + 1.0) / (F.col("df").cast("double") + 1.0)).alias("idf"))
+    per_term = lambda t: t.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    terms = vocab.select("term", "term_idx")
+    if vocab.limit(BROADCAST_TERMS + 1).count() <= BROADCAST_TERMS:
+        t = tf.join(F.broadcast(terms), "term")
+        t = t.join(F.broadcast(idf(per_term(t))), "term")
+    else:
+        t = tf.join(terms.join(idf(per_term(tf)), "term").hint("shuffle_hash"), "term")
+    return t.withColumn("tfidf", F.col("tf") * F.col("idf"))
 
 
 def normalize_rows(tfidf_rows: DataFrame, value: str = "tfidf") -> DataFrame:
@@ -108,67 +113,20 @@ def cosine_to(unit: DataFrame, query_doc) -> DataFrame:
             .groupBy("doc_id").agg(F.sum(F.col("unit") * F.col("q")).alias("cosine")))
 
 
-def _block_r(batches):
-    """The R factor of a block of rows, taken in by and by: R of [R; rows]."""
-    import numpy as np
-    import pyarrow as pa
-    r = None
-    for batch in batches:
-        rows = batch.column("y").flatten().to_numpy(zero_copy_only=False)
-        if batch.num_rows:
-            rows = rows.reshape(batch.num_rows, -1)
-            r = np.linalg.qr(rows if r is None else np.vstack([r, rows]), mode="r")
-    if r is not None:
-        yield pa.RecordBatch.from_arrays([pa.array(list(r), pa.list_(pa.float64()))], names=["y"])
-
-
-def tall_r(rows: DataFrame, y: str = "y", fan: int = 32):
-    """R of the QR factorisation of a tall matrix (a row per DataFrame row):
-    every partition is reduced to its R, and these are stacked and reduced again,
-    ``fan`` at a time, until few are left.  What comes to the driver
-    is at most ``fan`` small triangles."""
-    return _joined_r(rows.select(F.col(y).alias("y")).mapInArrow(_block_r, "y array<double>").checkpoint(), fan)
-
-
-def _joined_r(parts: DataFrame, fan: int = 32):
-    """One R of the partitions' (written)."""
-    import numpy as np
-    n = parts.rdd.getNumPartitions()
-    while n > fan:
-        n = -(-n // fan)
-        parts = parts.coalesce(n).mapInArrow(_block_r, "y array<double>").checkpoint()
-    got = [r["y"] for r in parts.collect()]
-    return np.linalg.qr(np.array(got), mode="r") if got else None
-
-
-def _times(y: str, matrix) -> F.Column:
-    """A row (array) times a small matrix."""
-    from quarry.functions.expr import dot
-    return F.array(*[dot(F.col(y), F.lit([float(x) for x in col])) for col in matrix.T])
-
-
-def _orthonormal(r, least: float = 1e-7):
-    """What makes columns with this R orthonormal; directions that are as good
-    as dependent are left out."""
-    import numpy as np
-    _, d, wt = np.linalg.svd(r, full_matrices=False)
-    keep = d > least * max(d.max(initial=0.0), 1e-300)
-    return wt[keep].T / d[keep]
-
-
 def _apply(rows: DataFrame, on: str, to: str, table: DataFrame, width: int) -> DataFrame:
-    """Matrix (on, to, a) times the tall matrix (on, q): (to, y).  Sums are
-    partial before the shuffle; which side is broadcast is left to the sizes
-    seen at run time."""
+    """Matrix (on, to, a) times the tall matrix (on, q): (to, y).  The plain
+    product by a join, to compare those of the blocks with."""
     sums = [F.sum(F.col("a") * F.get(F.col("q"), F.lit(j))).alias(f"y{j}") for j in range(width)]
     out = rows.join(table, on).groupBy(to).agg(*sums)
     return out.select(to, F.array(*[F.coalesce(f"y{j}", F.lit(0.0)) for j in range(width)]).alias("y")).checkpoint()
 
 
-#: bytes of a term matrix that every task may hold
+#: bytes of the term vectors that a task adds up
 TERM_MATRIX = 64 << 20
-#: entries of the matrix that a task multiplies at once
-ENTRIES = 200_000
+#: entries of a block of documents
+ENTRIES = 2_000_000
+#: vectors a document keeps; beyond that the best half goes on
+COLUMNS = 128
 
 
 def _doc_chunks(batches):
@@ -199,151 +157,435 @@ def _doc_chunks(batches):
         yield t, starts(t)
 
 
-def _products(matrix, want: str):
-    """A partition's rows of A times a term matrix (a broadcast): ``want`` "docs"
-    gives them, "r" the R factor of them, "terms" their product with A transposed."""
+def _blocks(batches):
+    """A partition's entries as blocks of documents: where each document's
+    entries start, each entry's place among the block's terms, and its value."""
+    import numpy as np
+    import pyarrow as pa
+    from pyspark import TaskContext
+    task = TaskContext.get().partitionId()
+    for k, (t, at) in enumerate(_doc_chunks(batches)):
+        terms, place = np.unique(t.column("term_idx").to_numpy(), return_inverse=True)
+        docs = pa.ListArray.from_arrays(pa.array([0, len(at)], pa.int32()), t.column("doc_id").take(pa.array(at)))
+        blobs = (at.astype(np.int64), place.astype(np.int32), t.column("a").to_numpy(), terms.astype(np.int32))
+        yield pa.RecordBatch.from_arrays([pa.array([f"{task}-{k}"]), docs, *[pa.array([x.tobytes()], pa.binary()) for x in blobs]],
+                                         names=["name", "docs", "starts", "place", "a", "terms"])
+
+
+def _term_lists(parts: list[int]):
+    """A block's terms for each part of the terms."""
     def run(batches):
         import numpy as np
         import pyarrow as pa
-        q, r, z = matrix.value, None, None
-        for t, at in _doc_chunks(batches):
-            term, a = t.column("term_idx").to_numpy(), t.column("a").to_numpy()
-            y = np.add.reduceat(a[:, None] * q[term], at, axis=0)
-            if want == "docs":
+        for batch in batches:
+            for block, x in zip(batch.column("block").to_pylist(), batch.column("terms").to_pylist()):
+                terms = np.frombuffer(x, np.int32)
+                of = terms % len(parts)
                 yield pa.RecordBatch.from_arrays(
-                    [t.column("doc_id").take(pa.array(at)), pa.array(list(y), pa.list_(pa.float64()))], names=["doc_id", "y"])
-            elif want == "r":
-                r = np.linalg.qr(y if r is None else np.vstack([r, y]), mode="r")
-            else:
-                z = np.zeros(q.shape) if z is None else z
-                part = a[:, None] * np.repeat(y, np.diff(np.r_[at, len(a)]), axis=0)
-                for j in range(q.shape[1]):
-                    z[:, j] += np.bincount(term, part[:, j], len(q))
-        if r is not None:
-            yield pa.RecordBatch.from_arrays([pa.array(list(r), pa.list_(pa.float64()))], names=["y"])
-        if z is not None:
-            some = np.flatnonzero(z.any(1))
-            for k in range(0, len(some), 10_000):
-                rows = some[k:k + 10_000]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(rows, pa.int32()), pa.array(list(z[rows]), pa.list_(pa.float64()))], names=["term_idx", "y"])
+                    [pa.array([block] * len(parts), pa.int32()), pa.array(parts, pa.int32()),
+                     pa.array([terms[of == p].tobytes() for p in range(len(parts))], pa.binary())], names=["block", "part", "terms"])
     return run
 
 
-class _InTasks:
-    """Products with A when the term matrix fits every task: A stays where it
-    is, cut by document, and only sums per partition and term are shuffled."""
+def _shared(t):
+    """One part of the terms: each block's terms that other blocks have too, and
+    their places among all such terms of the part."""
+    import numpy as np
+    import pyarrow as pa
+    lists = [np.frombuffer(x, np.int32) for x in t.column("terms").to_pylist()]
+    every, n = np.unique(np.concatenate(lists), return_counts=True)
+    every = every[n > 1]
+    own = [x[np.isin(x, every, assume_unique=True)] for x in lists]
+    return pa.table({"block": t.column("block"), "part": t.column("part"),
+                     "terms": pa.array([x.tobytes() for x in own], pa.binary()),
+                     "at": pa.array([np.searchsorted(every, x).astype(np.int32).tobytes() for x in own], pa.binary()),
+                     "n": pa.array([len(every)] * len(own), pa.int32())})
+
+
+def _settled(left, right):
+    """A block with its terms in the order of the parts that share them, the
+    terms that it has alone last."""
+    import numpy as np
+    import pyarrow as pa
+    right = right.sort_by("part")
+    terms = np.frombuffer(left.column("terms")[0].as_py(), np.int32)
+    lists = [np.frombuffer(x, np.int32) for x in right.column("terms").to_pylist()]
+    order = np.concatenate([*lists, terms[:0]])
+    order = np.concatenate([order, np.setdiff1d(terms, order, assume_unique=True)])
+    to = np.empty(len(terms), np.int32)
+    to[np.searchsorted(terms, order)] = np.arange(len(terms), dtype=np.int32)
+    place = to[np.frombuffer(left.column("place")[0].as_py(), np.int32)]
+    blobs = {"place": place, "terms": order, "parts": right.column("part").to_numpy().astype(np.int32),
+             "sizes": np.array([len(x) for x in lists], np.int32)}
+    return pa.table({"block": left.column("block"), "docs": left.column("docs"), "starts": left.column("starts"),
+                     "a": left.column("a"), **{k: pa.array([x.tobytes()], pa.binary()) for k, x in blobs.items()}})
+
+
+_MESSAGE = "block int, part int, x binary, gram binary"
+
+
+def _message(block: list, part: list, x: list, gram: list):
+    import pyarrow as pa
+    return pa.table([pa.array(block, pa.int32()), pa.array(part, pa.int32()), pa.array(x, pa.binary()), pa.array(gram, pa.binary())],
+                    names=["block", "part", "x", "gram"])
+
+
+class _Docs:
+    """A block of documents inside a task."""
+
+    def __init__(self, row):
+        import numpy as np
+        kinds = {"starts": np.int64, "place": np.int32, "a": np.float64, "terms": np.int32, "parts": np.int32, "sizes": np.int32}
+        for name, kind in kinds.items():
+            setattr(self, name, np.frombuffer(row.column(name)[0].as_py(), kind))
+        self.place = self.place.astype(np.intp)
+        self.block, self.shared = row.column("block")[0].as_py(), int(self.sizes.sum())
+        self.lengths = np.diff(np.append(self.starts, len(self.a)))
+
+    def vectors(self, right):
+        """The documents' vectors so far, from the rows of negative parts."""
+        import numpy as np
+        rows = sorted((-p, x) for p, x in zip(right.column("part").to_pylist(), right.column("x").to_pylist()) if p < 0)
+        return np.hstack([np.frombuffer(x).reshape(len(self.starts), -1) for _, x in rows])
+
+    def terms_of(self, q, alone: bool = False):
+        """Documents' vectors times A: those of the block's terms, or of the
+        terms only that it has alone."""
+        import numpy as np
+        place, a, doc = self.place, self.a, None
+        if alone:
+            some = np.flatnonzero(place >= self.shared)
+            doc = np.searchsorted(self.starts, some, side="right") - 1
+            place, a = place[some] - self.shared, a[some]
+        n = len(self.terms) - (self.shared if alone else 0)
+        out = np.empty((n, q.shape[1]))
+        for j, x in enumerate(q.T):
+            out[:, j] = np.bincount(place, a * (np.repeat(x, self.lengths) if doc is None else x[doc]), n)
+        return out
+
+    def docs_of(self, z):
+        """Terms' vectors times A: those of the documents."""
+        import numpy as np
+        out = np.empty((len(self.starts), z.shape[1]))
+        for j, x in enumerate(np.ascontiguousarray(z.T)):
+            out[:, j] = np.add.reduceat(self.a * x[self.place], self.starts)
+        return out
+
+    def to_parts(self, z):
+        import numpy as np
+        return [x.tobytes() for x in np.split(z[:self.shared], np.cumsum(self.sizes)[:-1])]
+
+
+def _first(width: int, n_terms: int, seed: int):
+    """A times random vectors of the terms; unit vectors when there are no more terms."""
+    def run(batches):
+        import numpy as np
+        for batch in batches:
+            for i in range(batch.num_rows):
+                b = _Docs(batch.slice(i, 1))
+                if width == n_terms:
+                    z = (b.terms[:, None] == np.arange(width)).astype(float)
+                else:
+                    z = normals(b.terms.astype(np.int64), 0, width, seed)
+                x = b.docs_of(z)
+                yield from _message([b.block], [-1], [x.tobytes()], [(x.T @ x).tobytes()]).to_batches()
+    return run
+
+
+def _down(mix):
+    """The documents' mixed vectors times A, to the parts of the terms."""
+    def run(left, right):
+        b = _Docs(left)
+        x = b.to_parts(b.terms_of(b.vectors(right) @ mix))
+        return _message([b.block] * len(x), b.parts.tolist(), x, [None] * len(x))
+    return run
+
+
+def _added(left, right):
+    """(links, total of each shared term of a part)."""
+    import numpy as np
+    at = {b: np.frombuffer(x, np.int32) for b, x in zip(left.column("block").to_pylist(), left.column("at").to_pylist())}
+    got = {b: np.frombuffer(x) for b, x in zip(right.column("block").to_pylist(), right.column("x").to_pylist())}
+    width = max((len(x) // len(at[b]) for b, x in got.items() if len(at[b])), default=0)
+    total = np.zeros((left.column("n")[0].as_py(), width))
+    for b in sorted(got):   # in one order, so that sums agree
+        if len(at[b]):
+            total[at[b]] += got[b].reshape(-1, width)
+    return at, total
+
+
+def _back(left, right):
+    """Totals of the shared terms, to the blocks that have them."""
+    at, total = _added(left, right)
+    blocks = sorted(at)
+    part = left.column("part")[0].as_py()
+    return _message(blocks, [part] * len(blocks), [total[at[b]].tobytes() for b in blocks], [None] * len(blocks))
+
+
+def _up(mix, number: int):
+    """New vectors of the documents, with their products with all so far."""
+    def run(left, right):
+        import numpy as np
+        b = _Docs(left)
+        x = b.vectors(right)
+        rows = sorted((p, r) for p, r in zip(right.column("part").to_pylist(), right.column("x").to_pylist()) if p >= 0)
+        z = [np.frombuffer(r).reshape(-1, mix.shape[1]) for _, r in rows]
+        new = b.docs_of(np.vstack([*z, b.terms_of(x @ mix, alone=True)]))
+        return _message([b.block], [-number], [new.tobytes()], [(np.hstack([x, new]).T @ new).tobytes()])
+    return run
+
+
+def _mixed(mix):
+    """The documents' vectors replaced by a mix of them."""
+    def run(left, right):
+        b = _Docs(left)
+        x = b.vectors(right) @ mix
+        return _message([b.block], [-1], [x.tobytes()], [(x.T @ x).tobytes()])
+    return run
+
+
+_TERMS = "terms binary, x binary"
+
+
+def _terms_table(terms, x):
+    import pyarrow as pa
+    return pa.table([pa.array([terms.tobytes()], pa.binary()), pa.array([x.tobytes()], pa.binary())], names=["terms", "x"])
+
+
+def _alone_terms(mix):
+    def run(left, right):
+        b = _Docs(left)
+        return _terms_table(b.terms[b.shared:], b.terms_of(b.vectors(right) @ mix, alone=True))
+    return run
+
+
+def _shared_terms(left, right):
+    import numpy as np
+    at, total = _added(left, right)
+    terms = np.empty(len(total), np.int32)
+    for b, x in zip(left.column("block").to_pylist(), left.column("terms").to_pylist()):
+        terms[at[b]] = np.frombuffer(x, np.int32)
+    return _terms_table(terms, total)
 
-    def __init__(self, a: DataFrame, n_terms: int):
-        from quarry.session import last_use
-        self.a = last_use(a.repartition("doc_id").sortWithinPartitions("doc_id"), lambda x: x.checkpoint())
-        self.n_terms, self.id = n_terms, a.schema["doc_id"].dataType.simpleString()
-        self.sc = a.sparkSession.sparkContext
 
-    def _matrix(self, q: DataFrame):
+def _largest(k: int):
+    """The entry of the largest size (ties: the smaller term) of each concept in
+    each row's terms."""
+    def run(batches):
         import numpy as np
-        got = q.select("term_idx", "q").toArrow().combine_chunks()
-        rows = np.concatenate([c.flatten().to_numpy() for c in got.column("q").chunks]).reshape(got.num_rows, -1)
-        m = np.zeros((self.n_terms, rows.shape[1]))
-        m[got.column("term_idx").to_numpy()] = rows
-        return m
+        import pyarrow as pa
+        for batch in batches:
+            for terms, x in zip(batch.column("terms").to_pylist(), batch.column("x").to_pylist()):
+                terms, x = np.frombuffer(terms, np.int32), np.frombuffer(x).reshape(-1, k)
+                if len(terms):
+                    best = [np.lexsort((terms, -np.round(np.abs(c), 12)))[0] for c in x.T]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(range(k), pa.int32()), pa.array(terms[best]), pa.array(x[best, range(k)])],
+                        names=["concept", "term_idx", "weight"])
+    return run
 
-    def _map(self, a: DataFrame, matrix, want: str, schema: str) -> DataFrame:
-        return a.mapInArrow(_products(self.sc.broadcast(matrix), want), schema)
 
-    def docs_r(self, q: DataFrame, width: int):
-        self.q = self._matrix(q)
-        return _joined_r(self._map(self.a, self.q, "r", "y array<double>").checkpoint())
+def _term_rows(sign):
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+        k = len(sign)
+        for batch in batches:
+            for terms, x in zip(batch.column("terms").to_pylist(), batch.column("x").to_pylist()):
+                terms, x = np.frombuffer(terms, np.int32), np.frombuffer(x).reshape(-1, k) * sign
+                for lo in range(0, len(terms), 10_000):
+                    n = len(terms[lo:lo + 10_000])
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.repeat(terms[lo:lo + n], k)), pa.array(np.tile(np.arange(k, dtype=np.int32), n)),
+                         pa.array(x[lo:lo + n].ravel())], names=["term_idx", "concept", "weight"])
+    return run
 
-    def terms(self, q: DataFrame, fit, width: int) -> DataFrame:
-        w = fit.shape[1]
-        # a row per term and task, so there are as many tasks as cores only
-        z = self._map(self.a.coalesce(self.sc.defaultParallelism), self.q @ fit, "terms", "term_idx int, y array<double>")
-        out = z.groupBy("term_idx").agg(*[F.sum(F.get("y", F.lit(j))).alias(f"y{j}") for j in range(w)])
-        return out.select("term_idx", F.array(*[f"y{j}" for j in range(w)]).alias("y")).checkpoint()
 
-    def docs(self, q: DataFrame, width: int) -> DataFrame:
-        return self._map(self.a, self._matrix(q), "docs", f"doc_id {self.id}, y array<double>").checkpoint()
+def _doc_rows(mix):
+    def run(left, right):
+        import numpy as np
+        import pyarrow as pa
+        u = _Docs(left).vectors(right) @ mix
+        n, k = u.shape
+        docs = left.column("docs").combine_chunks().flatten()
+        return pa.table([docs.take(pa.array(np.repeat(np.arange(n), k))), pa.array(np.tile(np.arange(k, dtype=np.int32), n)),
+                         pa.array(u.ravel())], names=["doc_id", "concept", "weight"])
+    return run
+
 
+def _even(spark, parts: int, least: int) -> list[int]:
+    """At least ``least`` numbers that a shuffle by an int column deals evenly over ``parts`` partitions."""
+    rows = spark.range(8 * (parts + least)).select(F.col("id").cast("int").alias("id"))
+    dealt: dict[int, list[int]] = {}
+    for r in rows.select("id", F.pmod(F.hash("id"), F.lit(parts)).alias("p")).collect():   # numbers only
+        dealt.setdefault(r["p"], []).append(r["id"])
+    turn = max(len(x) for x in dealt.values())
+    return [x[i] for i in range(turn) for _, x in sorted(dealt.items()) if i < len(x)]
 
-class _Joined:
-    """The same products by joins, for any number of terms."""
 
-    def __init__(self, a: DataFrame):
-        self.a = a
+class _Blocks:
+    """The sparse matrix A (documents by terms) in blocks of documents, written once.
 
-    def docs(self, q: DataFrame, width: int) -> DataFrame:
-        self._y = _apply(self.a, "term_idx", "doc_id", q, width)
-        return self._y
+    A term that one block has alone never leaves it.  For the others a block sends
+    its sums to the term's part, where they are added, and the part sends
+    the totals back: a product by A and its transpose shuffles a vector per
+    block and shared term, and no entry of the matrix."""
 
-    def docs_r(self, q: DataFrame, width: int):
-        return tall_r(self.docs(q, width))
+    def __init__(self, a: DataFrame, n_terms: int, width: int):
+        from quarry.session import last_use
+        self.spark = spark = a.sparkSession
+        self.id = a.schema["doc_id"].dataType.simpleString()
+        self.shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+        def kept(df, key):
+            # cogroups read it where it is
+            return last_use(df.repartition(self.shuffle, key).sortWithinPartitions(key), lambda x: x.checkpoint())
+        blobs = "starts binary, place binary, a binary, terms binary"
+        laid = last_use(a.repartition("doc_id").sortWithinPartitions("doc_id").mapInArrow(
+            _blocks, f"name string, docs array<{self.id}>, {blobs}"), lambda x: x.checkpoint())
+        names = sorted(r["name"] for r in laid.select("name").collect())   # a name a block
+        self.empty = not names
+        if self.empty:
+            return
+        per = max(spark.sparkContext.defaultParallelism, -(-n_terms * width * 8 // max(1, TERM_MATRIX)))
+        parts = min(n_terms, per)
+        even = _even(spark, self.shuffle, max(len(names), parts))
+        number = spark.createDataFrame(list(zip(names, even)), "name string, block int")
+        laid = laid.join(F.broadcast(number), "name").drop("name")   # a row a block
+        lists = laid.select("block", "terms").mapInArrow(_term_lists(even[:parts]), "block int, part int, terms binary")
+        self.links = kept(lists.groupBy("part").applyInArrow(_shared, "block int, part int, terms binary, at binary, n int"), "part")
+        settled = (laid.groupBy("block").cogroup(self.links.select("block", "part", "terms").groupBy("block"))
+                   .applyInArrow(_settled, f"block int, docs array<{self.id}>, starts binary, a binary, place binary, terms binary, "
+                                           "parts binary, sizes binary"))
+        self.laid = kept(settled, "block")
+
+    def _by_block(self, rows: DataFrame, run, schema: str = _MESSAGE) -> DataFrame:
+        return self.laid.groupBy("block").cogroup(rows.groupBy("block")).applyInArrow(run, schema)
+
+    def _by_part(self, rows: DataFrame, run, schema: str = _MESSAGE) -> DataFrame:
+        return self.links.groupBy("part").cogroup(rows.groupBy("part")).applyInArrow(run, schema)
+
+    def _written(self, df: DataFrame):
+        """A table of new vectors and the sum of the blocks' products."""
+        import numpy as np
+        from quarry.session import last_use
+        new = last_use(df, lambda x: x.checkpoint())
+        grams = [np.frombuffer(r["gram"]) for r in new.select("block", "gram").orderBy("block").collect()]   # a small matrix a block
+        return new, sum(grams[1:], grams[0])
+
+    def first(self, width: int, n_terms: int, seed: int):
+        new, gram = self._written(self.laid.mapInArrow(_first(width, n_terms, seed), _MESSAGE))
+        self.state = new
+        return gram.reshape(-1, width)
+
+    def product(self, mix, number: int):
+        """A times its transpose times the mixed vectors, kept as further vectors."""
+        sent = self._by_block(self.state, _down(mix))
+        rows = self._by_part(sent, _back).unionByName(self.state)
+        new, gram = self._written(self._by_block(rows, _up(mix, number)))
+        self.state = self.state.unionByName(new)
+        return gram.reshape(-1, mix.shape[1])
+
+    def mix(self, mix):
+        self.state, gram = self._written(self._by_block(self.state, _mixed(mix)))
+        return gram.reshape(-1, mix.shape[1])
+
+    def docs(self, mix) -> DataFrame:
+        return self._by_block(self.state, _doc_rows(mix), f"doc_id {self.id}, concept int, weight double")
+
+    def terms(self, mix) -> DataFrame:
+        """(terms, x): rows of many terms' vectors, A transposed times the mixed ones."""
+        from quarry.session import last_use
+        alone = self._by_block(self.state, _alone_terms(mix), _TERMS)
+        met = self._by_part(self._by_block(self.state, _down(mix)), _shared_terms, _TERMS)
+        return last_use(alone.unionByName(met), lambda x: x.checkpoint())
 
-    def terms(self, q: DataFrame, fit, width: int) -> DataFrame:
-        return _apply(self.a, "doc_id", "term_idx", self._y.select("doc_id", _times("y", fit).alias("q")), fit.shape[1])
 
+def _ritz(blocks: _Blocks, first, k: int, tol: float):
+    """The leading eigenvalues of A times its transpose and what mixes the kept
+    vectors to theirs: block Lanczos with all vectors orthogonalised against all
+    others, restarted with the best half when a document keeps more than COLUMNS."""
+    import numpy as np
 
-def svd(tfidf_rows: DataFrame, n_terms: int, k: int, oversample: int = 16, tol: float = 1e-8, seed: int = 11):
+    def orthonormal(r, gram, scale, least=1e-6):
+        d, w = np.linalg.eigh(r.T @ gram @ r)
+        keep = d > least ** 2 * scale
+        return r @ w[:, keep] / np.sqrt(d[keep]), (w[:, keep] * np.sqrt(d[keep])).T
+    gram = first
+    last, _ = orthonormal(np.eye(len(gram)), gram, gram.diagonal().max(initial=1e-300))
+    basis, h, tables = last, np.zeros((0, 0)), 1
+    while last.shape[1]:
+        tables += 1
+        got, n, w = blocks.product(last, tables), len(gram), last.shape[1]
+        gram = np.block([[gram, got[:n]], [got[:n].T, (got[n:] + got[n:].T) / 2]])
+        basis = np.vstack([basis, np.zeros((w, basis.shape[1]))])
+        c = basis.T @ gram[:, n:]
+        m = len(c) - w
+        h = np.block([[h, c[:m]], [c[:m].T, (c[m:] + c[m:].T) / 2]])
+        rest = np.vstack([np.zeros((n, w)), np.eye(w)])
+        for _ in range(2):
+            rest = rest - basis @ (basis.T @ gram @ rest)
+        last, over = orthonormal(rest, gram, gram[n:, n:].diagonal().max())
+        value, y = np.linalg.eigh(h)
+        value, y = value[::-1], y[:, ::-1]
+        off = np.linalg.norm(over @ y[-w:, :k], axis=0)
+        if len(value) >= k and (off <= tol * value[0]).all():
+            break
+        if last.shape[1] and basis.shape[1] + 2 * last.shape[1] > COLUMNS:
+            best = min(basis.shape[1], max(2 * k, COLUMNS // 2))
+            gram = blocks.mix(np.hstack([basis @ y[:, :best], last]))
+            tables, h = 1, np.diag(value[:best])
+            basis = np.eye(len(gram))
+            last = basis[:, best:]
+        elif last.shape[1]:
+            basis = np.hstack([basis, last])
+    if not len(h):
+        return np.zeros(0), basis
+    return value[:k], basis[:, :len(h)] @ y[:, :k]
+
+
+def svd(tfidf_rows: DataFrame, n_terms: int, k: int, oversample: int = 4, tol: float = 1e-8, seed: int = 11):
     """Truncated SVD of the doc x term TF-IDF matrix A (rows keyed by doc id),
-    whatever the number of terms: randomised block power iteration.
+    whatever the number of terms: block Lanczos on A times its transpose.
 
-    A block of k + ``oversample`` random term vectors is multiplied by A and
-    its transpose in turn (inside tasks while a term matrix is at most TERM_MATRIX
-    bytes, else by a join and an aggregation each) and made
-    orthonormal each time by a tree of QR factorisations of row blocks, until
-    the leading k singular values move by less than ``tol``.  A vocabulary no
+    A block of k + ``oversample`` vectors of the documents, A times random vectors
+    of the terms, is multiplied by A transposed and by A in turn, inside
+    tasks that hold a block of documents (see ``_Blocks``); the leading k
+    values are those of all vectors so far together, and rounds end when what they
+    leave over is at most ``tol`` of the largest.  A vocabulary no
     wider than the block starts from the unit vectors, which need no rounds.
-    Documents and terms stay in tables; the driver sees matrices of block
-    width, and a term matrix that it broadcasts.  Each singular vector's sign is fixed so that its
+    Documents and terms stay in tables; the driver sees matrices of at most COLUMNS
+    columns.  Each singular vector's sign is fixed so that its
     largest V entry is positive (ties: the smaller term).
 
     Returns (U (doc_id, concept, weight), V (term_idx, concept, weight),
     singular values); values below 1e-6 of the largest are left out.
     """
     import numpy as np
-    from quarry.functions.expr import box_muller, hash_uniform
     from quarry.session import shared_dir
     spark = tfidf_rows.sparkSession
     shared_dir(spark)
-    a = tfidf_rows.select("doc_id", "term_idx", F.col("tfidf").cast("double").alias("a")).checkpoint()
+    a = tfidf_rows.select("doc_id", "term_idx", F.col("tfidf").cast("double").alias("a"))
     none = spark.createDataFrame([], "term_idx int, concept int, weight double")
     no_docs = a.select("doc_id", F.lit(0).alias("concept"), F.col("a").alias("weight")).limit(0)
     width = min(n_terms, k + oversample)
-    if not width or a.limit(1).count() == 0:
+    blocks = _Blocks(a, n_terms, width) if width else None
+    if blocks is None or blocks.empty:
         return no_docs, none, []
-    terms = a.select("term_idx").distinct()
-    if width == n_terms:
-        start = [F.when(F.col("term_idx") == j, 1.0).otherwise(0.0) for j in range(width)]
-    else:
-        start = [box_muller(hash_uniform("term_idx", F.lit(j), F.lit(seed)), hash_uniform("term_idx", F.lit(j), F.lit(seed + 1)))
-                 for j in range(width)]
-    q = terms.select("term_idx", F.array(*start).alias("q")).checkpoint()
-    by = _InTasks(a, n_terms) if n_terms * width * 8 <= TERM_MATRIX else _Joined(a)
-    last = None
-    while width < n_terms:
-        fit = _orthonormal(by.docs_r(q, width))
-        z = by.terms(q, fit, width)
-        r = tall_r(z)
-        fit = _orthonormal(r)
-        width = fit.shape[1]
-        q = z.select("term_idx", _times("y", fit).alias("q")).checkpoint()
-        now = np.linalg.svd(r, compute_uv=False)[:k]
-        if last is not None and len(last) == len(now) and (abs(now - last) <= tol * now.max()).all():
-            break
-        last = now
-    y = by.docs(q, width)
-    _, s, vt = np.linalg.svd(tall_r(y), full_matrices=False)
-    keep = np.arange(min(k, len(s)))
-    keep = keep[s[keep] > 1e-6 * max(s.max(), 1e-300)]
-    s, v = s[keep], vt[keep].T
-    tops = q.select("term_idx", F.posexplode(_times("q", v)).alias("concept", "weight"))
+    value, mix = _ritz(blocks, blocks.first(width, n_terms, seed), k, tol)
+    s = np.sqrt(np.maximum(value, 0.0))
+    keep = s > 1e-6 * s.max(initial=1e-300)
+    s, mix = s[keep], mix[:, keep]
+    if not len(s):
+        return no_docs, none, []
+    v = blocks.terms(mix / s)
+    tops = v.mapInArrow(_largest(len(s)), "concept int, term_idx int, weight double")
     first = tops.groupBy("concept").agg(F.max_by("weight", F.struct(F.round(F.abs("weight"), 12), -F.col("term_idx"))).alias("w"))
     sign = np.ones(len(s))
     for row in first.collect():  # k rows
         sign[row["concept"]] = -1.0 if row["w"] < 0 else 1.0
-    v = v * sign
-    u = y.select("doc_id", F.posexplode(_times("y", v / s)).alias("concept", "weight"))
-    return u, q.select("term_idx", F.posexplode(_times("q", v)).alias("concept", "weight")), [float(x) for x in s]
+    return (blocks.docs(mix * sign), v.mapInArrow(_term_rows(sign), "term_idx int, concept int, weight double"),
+            [float(x) for x in s])
 
 
 def top_per_concept(weights: DataFrame, key: str, n: int, salts: int = 64) -> DataFrame:

@@ -66,6 +66,19 @@ def _svd(spark, d, k=4):
     return text.svd(t, VOCAB_SIZE, k), t
 
 
+def _top_terms(spark, d, k=4, **settings):
+    """The concepts' top terms when the whole vocabulary takes part, and the
+    concepts' singular values."""
+    docs = roles.corpus(spark, d)
+    tf = _tf(spark, d)
+    vocab = text.every_term(tf).checkpoint()
+    t = text.tfidf(tf, vocab, docs.select(F.count(F.lit(1))).scalar())
+    u, v, s = text.svd(t, vocab.count(), k, **settings)
+    # terms are numbered in their order: ties break as by the term
+    top = text.top_per_concept(v, "term_idx", 10)
+    return vocab.join(F.broadcast(top), "term_idx"), s   # ten rows a concept
+
+
 @query("concept_terms")
 def concept_terms(spark, d):
     (u, v, s), t = _svd(spark, d)
@@ -85,13 +98,7 @@ def concept_docs(spark, d):
 
 @query("concept_terms_all")
 def concept_terms_all(spark, d):
-    """The concepts' top terms when the whole vocabulary takes part, with the
-    singular value of each concept."""
-    docs = roles.corpus(spark, d)
-    tf = _tf(spark, d)
-    vocab = text.every_term(tf).checkpoint()
-    t = text.tfidf(tf, vocab, docs.select(F.count(F.lit(1))).scalar())
-    u, v, s = text.svd(t, vocab.count(), 4, tol=1e-6)
-    top = text.top_per_concept(v.join(vocab, "term_idx"), "term", 10)
+    """The concepts' top terms, with the singular value of each concept."""
+    top, s = _top_terms(spark, d, tol=1e-6)
     value = F.get(F.lit(s or [0.0]), F.col("concept"))
     return top.select("concept", "rank", "term", F.round("weight", 4).alias("weight"), F.round(value, 2).alias("strength"))
