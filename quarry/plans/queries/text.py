@@ -81,9 +81,7 @@ def _top_terms(spark, d, k=4, **settings):
 
 @query("concept_terms")
 def concept_terms(spark, d):
-    (u, v, s), t = _svd(spark, d)
-    names = t.select("term", "term_idx").distinct()
-    top = text.top_per_concept(v.join(names, "term_idx"), "term", 10)
+    top, _ = _top_terms(spark, d)
     return top.select("concept", "rank", "term", F.round("weight", 6).alias("weight"))
 
 

@@ -69,3 +69,24 @@ def test_tfidf_by_both_joins(spark, monkeypatch):
         t = text.tfidf(tf, text.every_term(tf), 6)
         got.append((t.columns, sorted(map(tuple, t.collect()))))
     assert got[0] == got[1] and len(got[0][1]) == 39
+
+
+def test_concept_terms_of_every_term(spark):
+    """Not of the 20 commonest terms alone: against the dense matrix of the corpus."""
+    import __spark_entry__ as entry
+    from quarry.plans.queries import text as queries
+    d = "/root/testdata/sf0.001"
+    tf = queries._tf(spark, d).toPandas()
+    docs, terms = (sorted(tf[c].unique()) for c in ("doc_id", "term"))
+    m = spark.read.parquet(f"{d}/documents.parquet").count()
+    a = np.zeros((len(docs), len(terms)))
+    a[np.searchsorted(docs, tf["doc_id"]), np.searchsorted(terms, tf["term"])] = tf["tf"]
+    a *= np.log((m + 1) / ((a > 0).sum(0) + 1))
+    v = np.linalg.svd(a, full_matrices=False)[2][:4]
+    v *= np.sign(v[range(4), abs(v).argmax(1)])[:, None]
+    got = entry.queries()["concept_terms"](spark, d).collect()
+    assert len(got) == 40
+    for c in range(4):
+        top = sorted((r for r in got if r["concept"] == c), key=lambda r: r["rank"])
+        assert np.allclose([r["weight"] for r in top], np.sort(v[c])[::-1][:10], atol=2e-6)
+        assert np.allclose([v[c][terms.index(r["term"])] for r in top], [r["weight"] for r in top], atol=2e-6)
