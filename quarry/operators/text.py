@@ -413,16 +413,6 @@ def _doc_rows(mix):
     return run
 
 
-def _even(spark, parts: int, least: int) -> list[int]:
-    """At least ``least`` numbers that a shuffle by an int column deals evenly over ``parts`` partitions."""
-    rows = spark.range(8 * (parts + least)).select(F.col("id").cast("int").alias("id"))
-    dealt: dict[int, list[int]] = {}
-    for r in rows.select("id", F.pmod(F.hash("id"), F.lit(parts)).alias("p")).collect():   # numbers only
-        dealt.setdefault(r["p"], []).append(r["id"])
-    turn = max(len(x) for x in dealt.values())
-    return [x[i] for i in range(turn) for _, x in sorted(dealt.items()) if i < len(x)]
-
-
 class _Blocks:
     """The sparse matrix A (documents by terms) in blocks of documents, written once.
 
@@ -432,7 +422,7 @@ class _Blocks:
     block and shared term, and no entry of the matrix."""
 
     def __init__(self, a: DataFrame, n_terms: int, width: int):
-        from quarry.session import last_use
+        from quarry.session import even_keys, last_use
         self.spark = spark = a.sparkSession
         self.id = a.schema["doc_id"].dataType.simpleString()
         self.shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -449,7 +439,7 @@ class _Blocks:
             return
         per = max(spark.sparkContext.defaultParallelism, -(-n_terms * width * 8 // max(1, TERM_MATRIX)))
         parts = min(n_terms, per)
-        even = _even(spark, self.shuffle, max(len(names), parts))
+        even = even_keys(spark, self.shuffle, max(len(names), parts))
         number = spark.createDataFrame(list(zip(names, even)), "name string, block int")
         laid = laid.join(F.broadcast(number), "name").drop("name")   # a row a block
         lists = laid.select("block", "terms").mapInArrow(_term_lists(even[:parts]), "block int, part int, terms binary")
