@@ -50,6 +50,17 @@ def test_blocks_and_sweeps_of_names(spark, monkeypatch, sweep, edges, words):
     assert len(got) == len(want) and {(r["id"], r["landmark"]): r["dist"] for r in got} == want
 
 
+def test_maps_are_merged_once(spark, monkeypatch):
+    """Each sweep used to merge every vertex's whole map again."""
+    monkeypatch.setattr(graph, "SWEEP", 10)
+    v, e, want = _case(spark, 40, 2, int)
+    m = graph.landmark_maps(v.unionByName(spark.createDataFrame([(99,)], "id long")), v, e)
+    plan = m._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("map_zip_with") == 1
+    got = {r["id"]: r["map"] for r in m.collect()}
+    assert got.pop(99) == {} and {(i, k): d for i, x in got.items() for k, d in x.items()} == want
+
+
 def test_no_landmarks(spark):
     v, e, _ = _case(spark, 20, 2, int)
     assert graph.landmark_distances(v.where(F.col("id") < 0), e).count() == 0
