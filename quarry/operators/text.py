@@ -202,65 +202,58 @@ def _shared(t):
                      "n": pa.array([len(every)] * len(own), pa.int32())})
 
 
-def _settled(left, right):
-    """A block with its terms in the order of the parts that share them, the
-    terms that it has alone last."""
-    import numpy as np
-    import pyarrow as pa
-    right = right.sort_by("part")
-    terms = np.frombuffer(left.column("terms")[0].as_py(), np.int32)
-    lists = [np.frombuffer(x, np.int32) for x in right.column("terms").to_pylist()]
-    order = np.concatenate([*lists, terms[:0]])
-    order = np.concatenate([order, np.setdiff1d(terms, order, assume_unique=True)])
-    to = np.empty(len(terms), np.int32)
-    to[np.searchsorted(terms, order)] = np.arange(len(terms), dtype=np.int32)
-    place = to[np.frombuffer(left.column("place")[0].as_py(), np.int32)]
-    blobs = {"place": place, "terms": order, "parts": right.column("part").to_numpy().astype(np.int32),
-             "sizes": np.array([len(x) for x in lists], np.int32)}
-    return pa.table({"block": left.column("block"), "docs": left.column("docs"), "starts": left.column("starts"),
-                     "a": left.column("a"), **{k: pa.array([x.tobytes()], pa.binary()) for k, x in blobs.items()}})
-
+_MESSAGE = "block int, part int, number int, x binary, gram binary"
+#: numbers of messages that are no vectors of documents (1, 2, ..)
+SUMS, LISTS = 0, -1
 
-_MESSAGE = "block int, part int, x binary, gram binary"
 
-
-def _message(block: list, part: list, x: list, gram: list):
+def _message(block: list, part: list, number: int, x: list, gram: list):
     import pyarrow as pa
-    return pa.table([pa.array(block, pa.int32()), pa.array(part, pa.int32()), pa.array(x, pa.binary()), pa.array(gram, pa.binary())],
-                    names=["block", "part", "x", "gram"])
+    return pa.table([pa.array(block, pa.int32()), pa.array(part, pa.int32()), pa.array([number] * len(block), pa.int32()),
+                     pa.array(x, pa.binary()), pa.array(gram, pa.binary())], names=["block", "part", "number", "x", "gram"])
 
 
 class _Docs:
-    """A block of documents inside a task."""
+    """A block of documents inside a task, with its terms that others have too (their
+    places by part, from the rows of number LISTS)."""
 
-    def __init__(self, row):
+    def __init__(self, row, right=None):
         import numpy as np
-        kinds = {"starts": np.int64, "place": np.int32, "a": np.float64, "terms": np.int32, "parts": np.int32, "sizes": np.int32}
-        for name, kind in kinds.items():
+        for name, kind in {"starts": np.int64, "place": np.int32, "a": np.float64, "terms": np.int32}.items():
             setattr(self, name, np.frombuffer(row.column(name)[0].as_py(), kind))
         self.place = self.place.astype(np.intp)
-        self.block, self.shared = row.column("block")[0].as_py(), int(self.sizes.sum())
+        self.block = row.column("block")[0].as_py()
         self.lengths = np.diff(np.append(self.starts, len(self.a)))
-
-    def vectors(self, right):
-        """The documents' vectors so far, from the rows of negative parts."""
+        if right is not None:
+            rows = list(zip(*(right.column(c).to_pylist() for c in ("number", "part", "x"))))
+            self.at = {p: np.searchsorted(self.terms, np.frombuffer(x, np.int32)) for n, p, x in rows if n == LISTS}
+            self.sums = {p: x for n, p, x in rows if n == SUMS}
+            own = [np.frombuffer(x).reshape(len(self.starts), -1) for n, _, x in sorted((r for r in rows if r[0] > 0), key=lambda r: r[0])]
+            self.vectors = np.hstack(own)
+            alone = np.ones(len(self.terms), bool)
+            for at in self.at.values():
+                alone[at] = False
+            self.alone = np.flatnonzero(alone)
+
+    def terms_of(self, q):
+        """Documents' vectors times A: those of the block's terms."""
         import numpy as np
-        rows = sorted((-p, x) for p, x in zip(right.column("part").to_pylist(), right.column("x").to_pylist()) if p < 0)
-        return np.hstack([np.frombuffer(x).reshape(len(self.starts), -1) for _, x in rows])
+        out = np.empty((len(self.terms), q.shape[1]))
+        for j, x in enumerate(q.T):
+            out[:, j] = np.bincount(self.place, self.a * np.repeat(x, self.lengths), len(out))
+        return out
 
-    def terms_of(self, q, alone: bool = False):
-        """Documents' vectors times A: those of the block's terms, or of the
-        terms only that it has alone."""
+    def alone_of(self, q):
+        """Those of the terms that the block has alone."""
         import numpy as np
-        place, a, doc = self.place, self.a, None
-        if alone:
-            some = np.flatnonzero(place >= self.shared)
-            doc = np.searchsorted(self.starts, some, side="right") - 1
-            place, a = place[some] - self.shared, a[some]
-        n = len(self.terms) - (self.shared if alone else 0)
-        out = np.empty((n, q.shape[1]))
+        to = np.full(len(self.terms), -1)
+        to[self.alone] = np.arange(len(self.alone))
+        to = to[self.place]
+        some = np.flatnonzero(to >= 0)
+        doc, to, a = np.searchsorted(self.starts, some, side="right") - 1, to[some], self.a[some]
+        out = np.empty((len(self.alone), q.shape[1]))
         for j, x in enumerate(q.T):
-            out[:, j] = np.bincount(place, a * (np.repeat(x, self.lengths) if doc is None else x[doc]), n)
+            out[:, j] = np.bincount(to, a * x[doc], len(out))
         return out
 
     def docs_of(self, z):
@@ -271,10 +264,6 @@ class _Docs:
             out[:, j] = np.add.reduceat(self.a * x[self.place], self.starts)
         return out
 
-    def to_parts(self, z):
-        import numpy as np
-        return [x.tobytes() for x in np.split(z[:self.shared], np.cumsum(self.sizes)[:-1])]
-
 
 def _first(width: int, n_terms: int, seed: int):
     """A times random vectors of the terms; unit vectors when there are no more terms."""
@@ -288,16 +277,17 @@ def _first(width: int, n_terms: int, seed: int):
                 else:
                     z = normals(b.terms.astype(np.int64), 0, width, seed)
                 x = b.docs_of(z)
-                yield from _message([b.block], [-1], [x.tobytes()], [(x.T @ x).tobytes()]).to_batches()
+                yield from _message([b.block], [None], 1, [x.tobytes()], [(x.T @ x).tobytes()]).to_batches()
     return run
 
 
 def _down(mix):
     """The documents' mixed vectors times A, to the parts of the terms."""
     def run(left, right):
-        b = _Docs(left)
-        x = b.to_parts(b.terms_of(b.vectors(right) @ mix))
-        return _message([b.block] * len(x), b.parts.tolist(), x, [None] * len(x))
+        b = _Docs(left, right)
+        z = b.terms_of(b.vectors @ mix)
+        n = len(b.at)
+        return _message([b.block] * n, list(b.at), SUMS, [z[at].tobytes() for at in b.at.values()], [None] * n)
     return run
 
 
@@ -319,28 +309,29 @@ def _back(left, right):
     at, total = _added(left, right)
     blocks = sorted(at)
     part = left.column("part")[0].as_py()
-    return _message(blocks, [part] * len(blocks), [total[at[b]].tobytes() for b in blocks], [None] * len(blocks))
+    return _message(blocks, [part] * len(blocks), SUMS, [total[at[b]].tobytes() for b in blocks], [None] * len(blocks))
 
 
 def _up(mix, number: int):
     """New vectors of the documents, with their products with all so far."""
     def run(left, right):
         import numpy as np
-        b = _Docs(left)
-        x = b.vectors(right)
-        rows = sorted((p, r) for p, r in zip(right.column("part").to_pylist(), right.column("x").to_pylist()) if p >= 0)
-        z = [np.frombuffer(r).reshape(-1, mix.shape[1]) for _, r in rows]
-        new = b.docs_of(np.vstack([*z, b.terms_of(x @ mix, alone=True)]))
-        return _message([b.block], [-number], [new.tobytes()], [(np.hstack([x, new]).T @ new).tobytes()])
+        b = _Docs(left, right)
+        z, x = np.empty((len(b.terms), mix.shape[1])), b.vectors
+        z[b.alone] = b.alone_of(x @ mix)
+        for p, at in b.at.items():
+            z[at] = np.frombuffer(b.sums[p]).reshape(-1, mix.shape[1])
+        new = b.docs_of(z)
+        return _message([b.block], [None], number, [new.tobytes()], [(np.hstack([x, new]).T @ new).tobytes()])
     return run
 
 
 def _mixed(mix):
     """The documents' vectors replaced by a mix of them."""
     def run(left, right):
-        b = _Docs(left)
-        x = b.vectors(right) @ mix
-        return _message([b.block], [-1], [x.tobytes()], [(x.T @ x).tobytes()])
+        b = _Docs(left, right)
+        x = b.vectors @ mix
+        return _message([b.block], [None], 1, [x.tobytes()], [(x.T @ x).tobytes()])
     return run
 
 
@@ -354,8 +345,8 @@ def _terms_table(terms, x):
 
 def _alone_terms(mix):
     def run(left, right):
-        b = _Docs(left)
-        return _terms_table(b.terms[b.shared:], b.terms_of(b.vectors(right) @ mix, alone=True))
+        b = _Docs(left, right)
+        return _terms_table(b.terms[b.alone], b.alone_of(b.vectors @ mix))
     return run
 
 
@@ -405,7 +396,7 @@ def _doc_rows(mix):
     def run(left, right):
         import numpy as np
         import pyarrow as pa
-        u = _Docs(left).vectors(right) @ mix
+        u = _Docs(left, right).vectors @ mix
         n, k = u.shape
         docs = left.column("docs").combine_chunks().flatten()
         return pa.table([docs.take(pa.array(np.repeat(np.arange(n), k))), pa.array(np.tile(np.arange(k, dtype=np.int32), n)),
@@ -422,35 +413,32 @@ class _Blocks:
     block and shared term, and no entry of the matrix."""
 
     def __init__(self, a: DataFrame, n_terms: int, width: int):
-        from quarry.session import even_keys, last_use
+        from quarry.session import even_keys, handed_off, last_use
         self.spark = spark = a.sparkSession
         self.id = a.schema["doc_id"].dataType.simpleString()
-        self.shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
         def kept(df, key):
             # cogroups read it where it is
-            return last_use(df.repartition(self.shuffle, key).sortWithinPartitions(key), lambda x: x.checkpoint())
-        blobs = "starts binary, place binary, a binary, terms binary"
-        laid = last_use(a.repartition("doc_id").sortWithinPartitions("doc_id").mapInArrow(
-            _blocks, f"name string, docs array<{self.id}>, {blobs}"), lambda x: x.checkpoint())
-        names = sorted(r["name"] for r in laid.select("name").collect())   # a name a block
+            return last_use(df.repartition(shuffle, key).sortWithinPartitions(key), lambda x: x.checkpoint())
+        made, remove = handed_off(a.repartition("doc_id").sortWithinPartitions("doc_id").mapInArrow(
+            _blocks, f"name string, docs array<{self.id}>, starts binary, place binary, a binary, terms binary"), "svd-blocks")
+        names = sorted(r["name"] for r in made.select("name").collect())   # a name a block
         self.empty = not names
-        if self.empty:
-            return
-        per = max(spark.sparkContext.defaultParallelism, -(-n_terms * width * 8 // max(1, TERM_MATRIX)))
-        parts = min(n_terms, per)
-        even = even_keys(spark, self.shuffle, max(len(names), parts))
-        number = spark.createDataFrame(list(zip(names, even)), "name string, block int")
-        laid = laid.join(F.broadcast(number), "name").drop("name")   # a row a block
-        lists = laid.select("block", "terms").mapInArrow(_term_lists(even[:parts]), "block int, part int, terms binary")
-        self.links = kept(lists.groupBy("part").applyInArrow(_shared, "block int, part int, terms binary, at binary, n int"), "part")
-        settled = (laid.groupBy("block").cogroup(self.links.select("block", "part", "terms").groupBy("block"))
-                   .applyInArrow(_settled, f"block int, docs array<{self.id}>, starts binary, a binary, place binary, terms binary, "
-                                           "parts binary, sizes binary"))
-        self.laid = kept(settled, "block")
+        if not self.empty:
+            per = max(spark.sparkContext.defaultParallelism, -(-n_terms * width * 8 // max(1, TERM_MATRIX)))
+            parts = min(n_terms, per)
+            even = even_keys(spark, shuffle, max(len(names), parts))
+            number = spark.createDataFrame(list(zip(names, even)), "name string, block int")
+            self.laid = kept(made.join(F.broadcast(number), "name").drop("name"), "block")   # a row a block
+            lists = self.laid.select("block", "terms").mapInArrow(_term_lists(even[:parts]), "block int, part int, terms binary")
+            self.links = kept(lists.groupBy("part").applyInArrow(_shared, "block int, part int, terms binary, at binary, n int"), "part")
+            none = F.lit(None).cast("binary")
+            self.lists = self.links.select("block", "part", F.lit(LISTS).alias("number"), F.col("terms").alias("x"), none.alias("gram"))
+        remove()
 
     def _by_block(self, rows: DataFrame, run, schema: str = _MESSAGE) -> DataFrame:
-        return self.laid.groupBy("block").cogroup(rows.groupBy("block")).applyInArrow(run, schema)
+        return self.laid.groupBy("block").cogroup(rows.unionByName(self.lists).groupBy("block")).applyInArrow(run, schema)
 
     def _by_part(self, rows: DataFrame, run, schema: str = _MESSAGE) -> DataFrame:
         return self.links.groupBy("part").cogroup(rows.groupBy("part")).applyInArrow(run, schema)

@@ -8,7 +8,7 @@ from quarry.operators import lemmas as lemma_ops
 from quarry.operators import text
 from quarry.plans import roles
 from quarry.plans.registry import query
-from quarry.session import stand_in_source
+from quarry.session import last_use, stand_in_source
 from quarry.sources.tables import table
 
 
@@ -71,7 +71,7 @@ def _top_terms(spark, d, k=4, **settings):
     concepts' singular values."""
     docs = roles.corpus(spark, d)
     tf = _tf(spark, d)
-    vocab = text.every_term(tf).checkpoint()
+    vocab = last_use(text.every_term(tf), lambda x: x.checkpoint())
     t = text.tfidf(tf, vocab, docs.select(F.count(F.lit(1))).scalar())
     u, v, s = text.svd(t, vocab.count(), k, **settings)
     # terms are numbered in their order: ties break as by the term
